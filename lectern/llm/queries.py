@@ -6,12 +6,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lectern.llm import exact_dedup, secret_scan, sentencepieces, warc
+from lectern.llm import exact_dedup, fingerprints, secret_scan, sentencepieces, warc
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_warc": warc.op1_warc,
+        "op2_fingerprints": fingerprints.op2_fingerprints,
         "op3_exact_dedup": exact_dedup.op3_exact_dedup,
         "op4_secret_scan": secret_scan.op4_secret_scan,
         "op6_sentencepiece": sentencepieces.op6_sentencepiece,

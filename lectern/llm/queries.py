@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lectern.llm import exact_dedup, fingerprints, secret_scan, sentencepieces, warc
+from lectern.llm import exact_dedup, fingerprints, secret_scan, sentencepieces, toxicity, warc
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -16,6 +16,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op3_exact_dedup": exact_dedup.op3_exact_dedup,
         "op4_secret_scan": secret_scan.op4_secret_scan,
         "op6_sentencepiece": sentencepieces.op6_sentencepiece,
+        "op8_toxicity": toxicity.op8_toxicity,
     }
 
 

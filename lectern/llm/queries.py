@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lectern.llm import exact_dedup, fingerprints, mixing, secret_scan, sentencepieces, toxicity, warc
+from lectern.llm import exact_dedup, fingerprints, jaccard_join, mixing, secret_scan, sentencepieces, toxicity, warc
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -15,6 +15,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op2_fingerprints": fingerprints.op2_fingerprints,
         "op3_exact_dedup": exact_dedup.op3_exact_dedup,
         "op4_secret_scan": secret_scan.op4_secret_scan,
+        "op5_jaccard_join": jaccard_join.op5_jaccard_join,
         "op6_sentencepiece": sentencepieces.op6_sentencepiece,
         "op8_toxicity": toxicity.op8_toxicity,
         "op10_mixing": mixing.op10_mixing,

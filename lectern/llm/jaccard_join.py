@@ -293,7 +293,8 @@ def jaccard_components(docs: DataFrame, percent: int = 90, size: int = 3, id_col
     rows = materialize(signed(docs, id_col, text_col, size, t), "signed")
     signs = rows.filter("size(sigs) > 0").select("node", F.explode("sigs").alias("sig"))
     several = signs.groupBy("sig").agg(F.min("node").alias("low"), F.max("node").alias("high")).filter("low < high").select("sig", "low")
-    near = signs.join(several, "sig").filter("node <> low").select(F.col("node").alias("a"), F.col("low").alias("b"))
+    # hash joins that build the smaller side, at every size: neither 8-byte signatures nor texts are sorted, and plans do not change as tables grow
+    near = signs.join(several.hint("shuffle_hash"), "sig").filter("node <> low").select(F.col("node").alias("a"), F.col("low").alias("b"))
     clusters = materialize(components(near), "clusters")
 
     classes = rows.filter("key IS NOT NULL").groupBy("key").agg(F.first("node").alias("node"), F.min("_id").alias("least"), F.first("n").alias("n"), F.count(F.lit(1)).alias("rows"))
@@ -303,7 +304,7 @@ def jaccard_components(docs: DataFrame, percent: int = 90, size: int = 3, id_col
     member = inside.join(total, "component").select(F.col("component").alias("cluster"), "node", F.col("least").alias("_id"), "blocks", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int").alias("block"))
     member = materialize(member, "members")
     texts = docs.select(F.col(id_col).alias("_tid"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("_text"))
-    whole = member.join(texts, F.col("_id").eqNullSafe(F.col("_tid"))).drop("_tid")
+    whole = texts.join(member.hint("shuffle_hash"), F.col("_id").eqNullSafe(F.col("_tid"))).drop("_tid")
     found = components(links(whole, size, t))
 
     merged = classes.join(found.withColumnRenamed("component", "_c"), "node", "left").withColumn("_c", F.coalesce("_c", "node"))

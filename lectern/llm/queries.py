@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lectern.llm import exact_dedup, fingerprints, html_text, jaccard_join, mixing, secret_scan, sentencepieces, toxicity, warc
+from lectern.llm import exact_dedup, fingerprints, html_text, jaccard_join, mixing, secret_scan, sentencepieces, substring_dedup, toxicity, warc
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -17,6 +17,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op4_secret_scan": secret_scan.op4_secret_scan,
         "op5_jaccard_join": jaccard_join.op5_jaccard_join,
         "op6_sentencepiece": sentencepieces.op6_sentencepiece,
+        "op7_substring_dedup": substring_dedup.op7_substring_dedup,
         "op8_toxicity": toxicity.op8_toxicity,
         "op9_html_text": html_text.op9_html_text,
         "op10_mixing": mixing.op10_mixing,

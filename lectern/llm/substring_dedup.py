@@ -24,7 +24,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lectern.llm.common import attach_groups, materialize
+from lectern.llm.common import arrow_batches, attach_groups, materialize
 
 K, WINDOW = 8, 12
 #: Words of a passage, of a chain worth aligning, and the share of its words that must agree.
@@ -35,7 +35,7 @@ GAP = 0.1
 MARGIN, LOOK, AGAIN = 64, 5, 3
 #: Pieces that are this many words apart are joined.
 TOUCH = 3
-TABLE = 300_000
+TABLE = 150_000
 
 _U = np.uint64
 _A, _B = _U(0x9E3779B97F4A7C15), _U(0xC2B2AE3D27D4EB4F)
@@ -284,6 +284,12 @@ def chained(anchors: DataFrame) -> DataFrame:
     return dealt.mapInArrow(run, "node long, lead long, segments array<int>")
 
 
+def _rows(batch: pa.RecordBatch, at_once: int = 50) -> Iterator[tuple]:
+    """A batch's rows as Python values, a few at a time: rows may hold the words of long passages."""
+    for start in range(0, batch.num_rows, at_once):
+        yield from zip(*(c.to_pylist() for c in batch.slice(start, at_once).columns), strict=True)
+
+
 def _slices(requests: DataFrame, docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """requests(chain, side, node, _id, low, high, segments) with the words there: their hashes and places in code points."""
     texts = docs.select(F.col(id_col).alias("_tid"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("_text"))
@@ -293,8 +299,8 @@ def _slices(requests: DataFrame, docs: DataFrame, id_col: str, text_col: str) ->
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words_of, last, node, words, starts, ends = Words(), None, None, None, None, None
         for batch in batches:
-            for part in range(0, batch.num_rows, 500):
-                piece = batch.slice(part, 500)
+            for part in range(0, batch.num_rows, 50):
+                piece = batch.slice(part, 50)
                 chain, side, want, low, high, segments = (piece.column(i).to_pylist() for i in range(6))
                 rows = []
                 for r, text in enumerate(piece.column(6)):
@@ -325,7 +331,7 @@ def _pieces(slices: DataFrame) -> DataFrame:
         mine = None
         for batch in batches:
             out = []
-            for row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            for row in _rows(batch):
                 if row[1] == 0:
                     if mine is None or mine[0] != row[0]:
                         mine = row
@@ -361,7 +367,7 @@ def _joined(pieces: DataFrame, min_words: int) -> DataFrame:
         held, upto = [], -1
         for batch in batches:
             out = []
-            for p in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            for p in _rows(batch, 1000):
                 if held and (p[0] != held[0][0] or p[2] > upto + TOUCH):
                     out.append(row(held))
                     held = []
@@ -398,7 +404,8 @@ def repeated_passages(docs: DataFrame, min_words: int = MIN_WORDS, id_col: str =
     ends = lambda k: (F.col("segments")[0 + k] - MARGIN, F.expr(f"segments[{size} - 3 + {k}] + segments[{size} - 1] + {MARGIN}"))
     sides = [chains.select("chain", F.lit(k).alias("side"), F.col(who).alias("node"), ends(k)[0].alias("low"), ends(k)[1].alias("high"), F.col("segments") if k == 0 else F.lit(None).cast("array<int>").alias("segments")) for k, who in enumerate(("node", "lead"))]
     requests = materialize(sides[0].unionByName(sides[1]).join(classes.select("node", F.col("least").alias("_id")), "node"), "requests")
-    passages = materialize(_joined(_pieces(_slices(requests, docs, id_col, text_col)), min_words), "passages")
+    with arrow_batches(docs.sparkSession, 500):
+        passages = materialize(_joined(_pieces(_slices(requests, docs, id_col, text_col)), min_words), "passages")  # rows are whole texts and passages
 
     source = classes.select(F.col("node").alias("lead"), F.col("least").alias("source_id"))
     own = passages.join(source, "lead").join(classes.select("node", "least", "rows"), "node").select(

@@ -1,43 +1,19 @@
-"""What the operators of this subpackage share: the shared work folder and skew-safe attachment of group values."""
+"""What the operators of this subpackage share: the work folder, skew-safe attachment of group values, small Arrow batches."""
 
 from __future__ import annotations
 
 import contextlib
-import tempfile
-import uuid
 from collections.abc import Iterator
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: A group counts as hot when it holds at least one row in this many; so there are at most this many hot groups.
-HOT_SHARE = 1000
-
-
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or a temporary one in local mode only."""
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        if not spark.sparkContext.master.startswith("local["):
-            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
-        base = "file://" + tempfile.mkdtemp(prefix="lectern-")
-        spark.conf.set("spark.checkpoint.dir", base)
-    return base.rstrip("/")
+from lectern.plans.workspace import materialize, new_path, shared_dir
 
+__all__ = ["arrow_batches", "attach_groups", "free_name", "materialize", "new_path", "shared_dir"]
 
-def new_path(spark: SparkSession, name: str) -> str:
-    """A fresh path in the shared folder, deleted when the driver's JVM ends."""
-    path = f"{shared_dir(spark)}/lectern-{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
-    jpath = spark._jvm.org.apache.hadoop.fs.Path(path)
-    jpath.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(jpath)
-    return path
-
-
-def materialize(df: DataFrame, name: str) -> DataFrame:
-    """Write df as Parquet to the shared folder and read it back: cuts lineage and survives lost executors."""
-    path = new_path(df.sparkSession, name)
-    df.write.option("compression", "zstd").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+#: A group counts as hot when it holds at least one row in this many; so there are at most this many hot groups.
+HOT_SHARE = 1000
 
 
 @contextlib.contextmanager

@@ -7,8 +7,8 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from lectern.llm import components as C
 from lectern.llm import jaccard_join as J
+from lectern.operators import graph as C
 
 
 def shingle_set(text, size=3):

@@ -23,6 +23,8 @@ from pyspark.sql import functions as F
 WORD = re.compile(r"\w+")
 #: predicted is 1 from this score on.
 CUT = 0.3
+#: Rows in a batch that goes back to the JVM: they carry their texts.
+ROWS_BACK = 500
 
 
 @dataclass(frozen=True)
@@ -325,9 +327,11 @@ def score(docs: DataFrame, model: Model, text_col: str = "text", out_col: str =
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = Scorer(shared.value)
-        for batch in batches:
-            scores = scorer.scores(t.as_py() or "" for t in batch.column(at))
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(scores, pa.float64())], names=[*batch.schema.names, out_col])
+        for whole in batches:
+            for start in range(0, whole.num_rows, ROWS_BACK):
+                batch = whole.slice(start, ROWS_BACK)
+                scores = scorer.scores(t.as_py() or "" for t in batch.column(at))
+                yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(scores, pa.float64())], names=[*batch.schema.names, out_col])
 
     from pyspark.sql.types import DoubleType, StructField, StructType
 

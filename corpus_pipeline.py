@@ -52,7 +52,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Ids of each document's pieces, with their number and digests."""
-    return sentencepieces.piece_codes(docs, sentencepieces.default_model()).select("doc_id", "n_tokens", "ids", "ids_sha256", "decoded_sha256")
+    return sentencepieces.piece_codes(docs, sentencepieces.default_model(), keep_text=False).select("doc_id", "n_tokens", "ids", "ids_sha256", "decoded_sha256")
 
 
 STAGES = [

@@ -33,7 +33,7 @@ from lectern.operators.graph import components
 #: Shingles that one task's index holds, about.
 BLOCK = 1 << 21
 #: Words kept in a task's hash table.
-TABLE = 300_000
+TABLE = 150_000
 #: Weight of DivideSkip's rule for the number of long lists.
 MU = 0.0085
 #: Segments beyond the least number, so that empty segments need signatures only in rare sets.

@@ -19,7 +19,9 @@ from pyspark.sql import functions as F
 
 MARK = "▁"
 #: Entries of a task's table, and the longest word it keeps (code points).
-TABLE_ENTRIES, TABLE_WORD = 300_000, 64
+TABLE_ENTRIES, TABLE_WORD = 150_000, 64
+#: Rows in a batch that goes back to the JVM: they may carry ids and texts.
+ROWS_BACK = 500
 
 
 def marked_words(text: str) -> list[str]:
@@ -85,8 +87,9 @@ class PieceCoder:
         return self.library.decode(np.frombuffer(ids, "<u4").tolist())
 
 
-def piece_codes(docs: DataFrame, model: bytes, id_col: str = "doc_id", text_col: str = "text", keep_ids: bool = True) -> DataFrame:
-    """Per row of docs: id_col, n_tokens, ids_sha256, decoded_sha256, and with keep_ids the ids (array<int>) and decoded text.
+def piece_codes(docs: DataFrame, model: bytes, id_col: str = "doc_id", text_col: str = "text", keep_ids: bool = True, keep_text: bool = True) -> DataFrame:
+    """Per row of docs: id_col, n_tokens, ids_sha256, decoded_sha256, with keep_ids the ids (array<int>), with
+    keep_text the decoded text.
 
     Null texts count as empty: begin and end ids only, decoded to the empty text. Repeated rows give repeated rows; an empty
     table gives an empty one; null ids stay null; other columns are ignored. Whole texts of any length are encoded.
@@ -96,21 +99,24 @@ def piece_codes(docs: DataFrame, model: bytes, id_col: str = "doc_id", text_col:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = PieceCoder(model)
-        for batch in batches:
-            rows = {"n_tokens": [], "ids_sha256": [], "decoded_sha256": []} | ({"ids": [], "decoded": []} if keep_ids else {})
-            for text in batch.column(1):
-                ids = coder.encode(text.as_py() or "")
-                decoded = coder.decode(ids)
-                rows["n_tokens"].append(len(ids) // 4)
-                rows["ids_sha256"].append(hashlib.sha256(ids).hexdigest())
-                rows["decoded_sha256"].append(hashlib.sha256(decoded.encode()).hexdigest())
-                if keep_ids:
-                    rows["ids"].append(np.frombuffer(ids, "<i4"))
-                    rows["decoded"].append(decoded)
-            kinds = {"n_tokens": pa.int64(), "ids_sha256": pa.string(), "decoded_sha256": pa.string(), "ids": pa.list_(pa.int32()), "decoded": pa.string()}
-            yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(v, kinds[k]) for k, v in rows.items())], names=["_id", *rows])
-
-    schema = f"_id {source.schema['_id'].dataType.simpleString()}, n_tokens long, ids_sha256 string, decoded_sha256 string" + ", ids array<int>, decoded string" * keep_ids
+        kinds = {"n_tokens": pa.int64(), "ids_sha256": pa.string(), "decoded_sha256": pa.string()} | ({"ids": pa.list_(pa.int32())} if keep_ids else {}) | ({"decoded": pa.string()} if keep_text else {})
+        for whole in batches:
+            for start in range(0, whole.num_rows, ROWS_BACK):
+                batch = whole.slice(start, ROWS_BACK)
+                rows: dict[str, list] = {k: [] for k in kinds}
+                for text in batch.column(1):
+                    ids = coder.encode(text.as_py() or "")
+                    decoded = coder.decode(ids)
+                    rows["n_tokens"].append(len(ids) // 4)
+                    rows["ids_sha256"].append(hashlib.sha256(ids).hexdigest())
+                    rows["decoded_sha256"].append(hashlib.sha256(decoded.encode()).hexdigest())
+                    if keep_ids:
+                        rows["ids"].append(np.frombuffer(ids, "<i4"))
+                    if keep_text:
+                        rows["decoded"].append(decoded)
+                yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(v, kinds[k]) for k, v in rows.items())], names=["_id", *rows])
+
+    schema = f"_id {source.schema['_id'].dataType.simpleString()}, n_tokens long, ids_sha256 string, decoded_sha256 string" + ", ids array<int>" * keep_ids + ", decoded string" * keep_text
     return source.mapInArrow(run, schema).withColumnRenamed("_id", id_col)
 
 
@@ -122,4 +128,4 @@ def default_model() -> bytes:
 
 
 def op6_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return piece_codes(spark.read.parquet(f"{sf_dir}/documents.parquet"), default_model(), keep_ids=False)
+    return piece_codes(spark.read.parquet(f"{sf_dir}/documents.parquet"), default_model(), keep_ids=False, keep_text=False)

@@ -10,13 +10,16 @@ language by language, the thresholds above which a document is rejected. The lan
 
 from __future__ import annotations
 
+import pickle
 import re
 import zlib
+from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -40,7 +43,7 @@ class Plan:
     batch: int = 32
     rate: float = 0.01
     embedding_rate: float = 0.001
-    cached_words: int = 150_000  # in a task's table of word vectors
+    cached_words: int = 80_000  # in a task's table of word vectors
     seed: int = 7
 
 
@@ -69,18 +72,22 @@ def slots_of(word: str, n: int) -> tuple[int, int, int]:
 
 
 class Words:
-    """A bounded table from words to rows; starts anew when full."""
+    """A table from words to rows, and each row's three slots."""
 
     def __init__(self, plan: Plan):
-        self.plan, self.rows, self.slots = plan, {}, []
+        self.plan, self.rows, self.flat = plan, {}, array("i")
 
     def numbers(self, words: list[str]) -> np.ndarray:
         rows, n = self.rows, self.plan.slots
         for w in set(words).difference(rows):
             rows[w] = len(rows)
-            self.slots.append(slots_of(w, n))
+            self.flat.extend(slots_of(w, n))
         return np.fromiter(map(rows.__getitem__, words), np.int32, len(words))
 
+    def slots(self, start: int = 0) -> np.ndarray:
+        """Slots of the rows from start on."""
+        return np.array(self.flat[3 * start :], np.int32).reshape(-1, 3)
+
 
 def forward(model: Model, vectors: np.ndarray, starts: np.ndarray, want_at: bool = False) -> tuple[np.ndarray, list[np.ndarray]]:
     """Pooled filter values of each text, (texts, filters of all sizes), and where the maxima were.
@@ -137,7 +144,7 @@ def train(plan: Plan, texts: list[str], y: np.ndarray, langs: list[str | None])
     y = np.asarray(y, np.float32)
     table = Words(plan)
     numbers = [table.numbers(words_of(t)) for t in texts]
-    slots = np.array(table.slots or [(0, 0, 0)])
+    slots = table.slots() if table.rows else np.zeros((1, 3), np.int32)
     rng = np.random.default_rng(plan.seed)
     part = np.empty(len(y), int)
     for label in (0, 1):
@@ -247,7 +254,7 @@ def _logits(model: Model, numbers: list[np.ndarray], slots: np.ndarray) -> np.nd
 class Scorer:
     """Scores texts; keeps the vectors of the words met so far, as far as the table's bound goes."""
 
-    AT_ONCE = 200_000  # words
+    AT_ONCE = 50_000  # words
 
     def __init__(self, model: Model):
         self.model = model
@@ -255,8 +262,8 @@ class Scorer:
 
     def _scores(self, texts: list[np.ndarray]) -> np.ndarray:
         model = self.model
-        if fresh := self.table.slots[len(self.vectors) :]:
-            self.vectors = np.concatenate([self.vectors, model.embeddings[np.array(fresh)].sum(1)])
+        if len(self.table.rows) > len(self.vectors):
+            self.vectors = np.concatenate([self.vectors, model.embeddings[self.table.slots(len(self.vectors))].sum(1)])
         flat, starts = _laid_out(texts, max(model.plan.sizes) - 1)
         table = np.concatenate([self.vectors, np.zeros((1, model.plan.width), np.float32)])  # the last row is the zero vector
         pooled, _ = forward(model, table[flat], starts)
@@ -322,11 +329,11 @@ def score(docs: DataFrame, model: Model, text_col: str = "text", out_col: str =
     Rows, repeated ones too, keep their other columns; an empty table stays empty.
     """
     cast = docs.drop(out_col)
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    shared = docs.sparkSession.sparkContext.broadcast(cloudpickle.dumps(model))  # broadcasts alone would need the package on executors
     at = cast.columns.index(text_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        scorer = Scorer(shared.value)
+        scorer = Scorer(pickle.loads(shared.value))
         for whole in batches:
             for start in range(0, whole.num_rows, ROWS_BACK):
                 batch = whole.slice(start, ROWS_BACK)

@@ -317,3 +317,17 @@ def jaccard_components(docs: DataFrame, percent: int = 90, size: int = 3, id_col
 
 def op5_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_components(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+
+
+ORACLE = r"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda w: w <> '') AS w FROM documents),
+s AS (SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 3 THEN [array_to_string(w, ' ')] ELSE list_distinct(list_transform(range(1, len(w) - 1), lambda i: concat(w[i], ' ', w[i + 1], ' ', w[i + 2]))) END AS g FROM d),
+n AS (SELECT doc_id, len(g) AS n FROM s),
+e AS (SELECT doc_id, unnest(g) AS g FROM s),
+p AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS c FROM e a JOIN e b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY 1, 2),
+l AS (SELECT x, y FROM p JOIN n nx ON nx.doc_id = x JOIN n ny ON ny.doc_id = y WHERE 100 * c >= 90 * (nx.n + ny.n - c)),
+u AS (SELECT x AS a, y AS b FROM l UNION SELECT y, x FROM l),
+t(a, b) AS (SELECT doc_id, doc_id FROM n UNION SELECT t.a, u.b FROM t JOIN u ON t.b = u.a)
+SELECT n.doc_id, CAST(n.n AS BIGINT) AS n_shingles, min(t.b) AS component_id FROM n JOIN t ON t.a = n.doc_id GROUP BY n.doc_id, n.n
+"""

@@ -25,4 +25,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_warc": warc.ORACLE, "op3_exact_dedup": exact_dedup.ORACLE}
+    return {"op1_warc": warc.ORACLE, "op3_exact_dedup": exact_dedup.ORACLE, "op4_secret_scan": secret_scan.ORACLE, "op5_jaccard_join": jaccard_join.ORACLE}

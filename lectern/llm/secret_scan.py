@@ -133,3 +133,38 @@ def secret_scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = secret_scan(spark.read.parquet(f"{sf_dir}/documents.parquet"))
     return out.select("doc_id", "n_assign", "n_access", "n_hex", F.sha2("base", 256).alias("base_sha256"), "spans")
+
+
+def _sql_spans(name: str, pattern: str, group: int = 0, where: str = "true") -> str:
+    """A CTE with a row for each match: doc_id, s, e, m (the group's length)."""
+    p = "'" + pattern.replace("'", "''") + "'"
+    before = "coalesce(list_sum(list_transform({}, lambda x: length(x))), 0)"
+    start = f"{before.format('c[1:i]')} + {before.format('h[1:i - 1]')}"
+    return f"""{name}_0 AS (SELECT doc_id, regexp_extract_all(t, {p}) AS h, regexp_extract_all(t, {p}, {group}) AS v, string_split_regex(t, {p}) AS c FROM d WHERE {where}),
+{name} AS (SELECT doc_id, CAST(x.s AS BIGINT) AS s, CAST(x.s + x.n AS BIGINT) AS e, x.m FROM (
+  SELECT doc_id, unnest(list_transform(range(1, len(h) + 1), lambda i: {{'s': {start}, 'n': length(h[i]), 'm': length(v[i])}})) AS x FROM {name}_0))"""
+
+
+_ID = "(contains(t, 'AKIA') OR contains(t, 'ASIA'))"
+_NAMES = "[" + ", ".join(f"'{k}'" for k in KINDS) + "]"
+ORACLE = f"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
+{_sql_spans("assign", ASSIGN, 2)},
+{_sql_spans("access", ACCESS, 0, "contains(t, 'AKIA')")},
+{_sql_spans("hex", HEX)},
+{_sql_spans("session", SESSION, 0, "contains(t, 'ASIA')")},
+{_sql_spans("run", "[A-Za-z0-9+/_=.-]+", 0, _ID)},
+{_sql_spans("endpoint", ENDPOINT, 0, _ID)},
+bare AS (SELECT r.* FROM run r JOIN d USING (doc_id) WHERE r.m = 40 AND regexp_full_match(substr(d.t, CAST(r.s + 1 AS BIGINT), 40), '[A-Za-z0-9+/]{{40}}')),
+base AS (SELECT doc_id, 0 AS k, s, e FROM assign WHERE m >= {LEAST_ASSIGN} UNION ALL SELECT doc_id, 1, s, e FROM access WHERE m >= {LEAST_ACCESS} UNION ALL SELECT doc_id, 2, s, e FROM hex),
+weak AS (SELECT doc_id, 3 AS k, s, e FROM access WHERE m >= {WEAK_ACCESS} AND m < {LEAST_ACCESS} UNION ALL SELECT doc_id, 3, s, e FROM session
+  UNION ALL SELECT doc_id, 4, s, e FROM assign WHERE m >= {WEAK_ASSIGN} AND m < {LEAST_ASSIGN} UNION ALL SELECT doc_id, 5, s, e FROM bare UNION ALL SELECT doc_id, 6, s, e FROM endpoint),
+part AS (SELECT * FROM base UNION ALL SELECT * FROM weak),
+seen AS (SELECT w.doc_id, w.k, w.s, w.e, bool_or(p.k IN (1, 3)) AS ids, bool_or(p.k IN (0, 2, 4, 5)) AS secrets, bool_or(p.k <= 2 AND p.s < w.e AND p.e > w.s) AS inside
+  FROM weak w JOIN part p ON p.doc_id = w.doc_id AND p.s <= w.e + {SCOPE} AND p.e >= w.s - {SCOPE} AND NOT (p.k = w.k AND p.s = w.s) GROUP BY ALL),
+every AS (SELECT doc_id, k, s, e FROM base UNION ALL SELECT doc_id, k, s, e FROM seen WHERE NOT inside AND CASE k WHEN 3 THEN secrets WHEN 6 THEN ids AND secrets ELSE ids END),
+listed AS (SELECT doc_id, count(*) FILTER (k = 0) AS n_assign, count(*) FILTER (k = 1) AS n_access, count(*) FILTER (k = 2) AS n_hex,
+  string_agg(concat({_NAMES}[k + 1], ':', CAST(s AS VARCHAR), ':', CAST(e AS VARCHAR)), ',' ORDER BY s, k) FILTER (k <= 2) AS b,
+  string_agg(concat({_NAMES}[k + 1], ':', CAST(s AS VARCHAR), ':', CAST(e AS VARCHAR)), ',' ORDER BY s, k) AS a FROM every GROUP BY doc_id)
+SELECT d.doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex, sha256(coalesce(b, '')) AS base_sha256, coalesce(a, '') AS spans FROM d LEFT JOIN listed USING (doc_id)
+"""

@@ -77,3 +77,16 @@ def test_empty_table_repeated_rows_and_null_ids(spark):
     assert S.secret_scan(spark.createDataFrame([], schema)).collect() == []
     rows = S.secret_scan(spark.createDataFrame([(1, TEXTS[6]), (1, TEXTS[6]), (None, TEXTS[6])], schema)).collect()
     assert len(rows) == 3 and {r.spans for r in rows} == {brute(TEXTS[6])[2]}
+
+
+def test_sql_equals_brute_force():
+    import hashlib
+
+    import duckdb
+
+    con = duckdb.connect()
+    con.execute("CREATE TABLE documents (doc_id BIGINT, text VARCHAR)")
+    con.executemany("INSERT INTO documents VALUES (?, ?)", [(i, t) for i, t in enumerate(TEXTS[:-1])])
+    for doc, a, b, c, digest, spans in con.sql(S.ORACLE).fetchall():
+        counts, base, every = brute(TEXTS[doc])
+        assert ((a, b, c), digest, spans) == (counts, hashlib.sha256(base.encode()).hexdigest(), every)

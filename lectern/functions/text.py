@@ -324,6 +324,7 @@ def split_volume(v: Column, year: Column, designation: str = r"(?i)^[^\p{L}\p{N}
 
 def imprint_parts(other: Column) -> Column:
     """struct(place, publisher, container) from the labelled parts of `other`: a state after the first comma is the place's."""
+    # fixed value: abbreviated states
     state = r"(?i)^(?:[A-Z]\.?\s?[A-Z]\.?|D\.?\s?C\.?|Mass|Conn|Calif?|Ill|Pa|Va|Md|Mich|Minn|Wis|Ky|Tenn|Ore|Wash|Ont|Que|N\.?\s?[JYCHMD]|Vt|Ind|Iowa|Kan|Mo|Neb|Ohio|Okla|Tex|Utah|Colo)\.?$"
     imprint = F.btrim(F.regexp_extract(F.coalesce(other, F.lit("")), r"Imprint: ([^|]+)", 1))
     bits = F.filter(F.transform(F.split(imprint, ","), lambda b: F.btrim(b)), lambda b: b != "")

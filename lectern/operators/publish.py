@@ -46,11 +46,58 @@ def bibliography_parts(r: Mapping[str, Column], where: Column, also: Column | No
     return labelled([*parts, *([("", F.array_join(also, " | "))] if also is not None else [])])
 
 
+#: Fixed value: how a transcriber notes a letter after an entry's number.
+NUMBER_SUFFIX = r'(?i)printed (?:as|entry number is)(?: entry)? "?\d+([a-c])'
+
+
+def numbered_place(source: str, number: Column, page: Column, note: Column | None = None) -> Column:
+    """'Source no. 12a, p. 3': a bibliography that numbers its entries; the suffix is in the note."""
+    suffix = F.regexp_extract(F.coalesce(note, F.lit("")), NUMBER_SUFFIX, 1) if note is not None else F.lit("")
+    return F.concat(F.lit(f"{source} no. "), number.cast("string"), suffix, F.lit(", p. "), page.cast("string"))
+
+
+def paged_place(source: str, page: Column, part: Column | None = None) -> Column:
+    """'Source, part p. 3'; '?' for an unknown page."""
+    middle = F.when(F.coalesce(part, F.lit("")) != "", F.concat(F.lit(", "), part)).otherwise("") if part is not None else F.lit("")
+    return F.concat(F.lit(source), middle, F.lit(" p. "), F.coalesce(page.cast("string"), F.lit("?")))
+
+
+def identified_place(source: str, identifier: Column, shelf: Column | None = None) -> Column:
+    """'Source id (call number)'."""
+    tail = F.when(F.coalesce(shelf, F.lit("")) != "", F.concat(F.lit(" ("), shelf, F.lit(")"))).otherwise("") if shelf is not None else F.lit("")
+    return F.concat(F.lit(f"{source} "), identifier.cast("string"), tail)
+
+
+def cross_reference(place: Column, year: Column, annotation: Column | None = None) -> Column:
+    """'Also in place (as year): annotation', for a duplicate found in a later source."""
+    tail = F.when(F.coalesce(annotation, F.lit("")) != "", F.concat(F.lit(": "), annotation)).otherwise("") if annotation is not None else F.lit("")
+    return F.concat(F.lit("Also in "), place, F.lit(" (as "), year, F.lit(")"), tail)
+
+
+#: A volume's parts by the first PDF page, with what to take off for the printed page.
+PRINTED_PARTS = ((537, 536, "Swedish list"), (509, 508, "Pagès supplement"), (0, 20, ""))
+
+
+def printed_page(pdf_page: Column) -> Column:
+    """struct(page, part) of a PDF page."""
+    out = None
+    for first, less, part in reversed(PRINTED_PARTS):
+        one = F.struct((pdf_page - less).alias("page"), F.lit(part).alias("part"))
+        out = one if out is None else F.when(pdf_page >= first, one).otherwise(out)
+    return out
+
+
+def edition_and_volume(edition: Column, volume: Column) -> Column:
+    """'2nd ed., vol. 3': bare numbers are told what they are."""
+    said = lambda c, word: F.when(F.btrim(F.coalesce(c, F.lit(""))) == "", None).when(X.is_named(c), F.btrim(c)).otherwise(F.concat(F.lit(f"{word} "), F.btrim(c)))
+    return F.concat_ws(", ", said(edition, "ed."), said(volume, "vol."))
+
+
 def parsed(other: Column, longest: int = 22) -> Column:
-    """array<struct(label, value)> of labelled parts; a part whose label would have longest characters or more has none."""
+    """array<struct(label, value)> of labelled parts; a part whose label would have longest characters or more, or none, is Info."""
     at = lambda p: F.instr(p, ": ")
     has = lambda p: (at(p) > 1) & (at(p) - 1 < longest)
-    return F.transform(F.split(F.coalesce(other, F.lit("")), r" \| "), lambda p: F.struct(F.when(has(p), F.substring_index(p, ": ", 1)).otherwise("").alias("label"), F.when(has(p), F.substring(p, at(p) + 2, F.length(p))).otherwise(p).alias("value")))
+    return F.transform(F.split(F.coalesce(other, F.lit("")), r" \| "), lambda p: F.struct(F.when(has(p), F.substring_index(p, ": ", 1)).otherwise("Info").alias("label"), F.when(has(p), F.substring(p, at(p) + 2, F.length(p))).otherwise(p).alias("value")))
 
 
 def strip_annotations(other: Column) -> Column:

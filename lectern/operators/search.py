@@ -10,7 +10,7 @@ import functools
 import re
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lectern.functions import text as X
@@ -150,12 +150,16 @@ def _boundary(c: Column, w: str) -> Column:
     return ((at == 1) | ~before.rlike("[a-z0-9]")) & ~after.rlike("[a-z0-9]")
 
 
+def _sort_key(name: str) -> Column:
+    """A column as it is sorted: blank authors after all others, titles folded."""
+    return {"author": F.when(F.col("fa") == "", "￿").otherwise(F.col("fa")), "title": F.col("ft")}.get(name, F.col(name))
+
+
 def ordering(r: Request) -> list[Column]:
     """By the column asked for, nulls last either way; else by relevance where words were typed; else by id."""
     if r.sort:
-        down, name = r.sort.startswith("-"), r.sort.lstrip("-")
-        key = {"author": F.when(F.col("fa") == "", "￿").otherwise(F.col("fa")), "title": F.col("ft")}.get(name, F.col(name))
-        return [key.desc_nulls_last() if down else key.asc_nulls_last(), F.desc("id") if down else F.asc("id")]
+        key = _sort_key(r.sort.lstrip("-"))
+        return [key.desc_nulls_last(), F.desc("id")] if r.sort.startswith("-") else [key.asc_nulls_last(), F.asc("id")]
     if any(not t.negated and t.field not in ("source", "other", "type") for t in r.terms):
         return [F.desc("rel"), F.coalesce("year_num", F.lit(9999)), F.asc("id")]
     return [F.asc("id")]
@@ -173,18 +177,22 @@ def page(view: DataFrame, r: Request) -> DataFrame:
 
 
 def page_of(view: DataFrame, r: Request, entry: int) -> DataFrame:
-    """(id, position, page) of an entry within the ordered answer: how many rows come before it, not a numbering of all."""
+    """(id, position, page) of an entry within the ordered answer: a count of the rows that come before it, not a sort."""
     answer = search(view, r)
-    columns = ordering(r)
-    own = answer.filter(F.col("id") == entry)
-    keys = {"rel": "rel", "year": "year_num", "id": "id"}
-    if r.sort or len(columns) == 1:
-        ranked = answer.select("id", F.row_number().over(Window.orderBy(*columns)).alias("position"))
-        return ranked.filter(F.col("id") == entry).select("id", "position", F.floor((F.col("position") - 1) / (r.size or 2**31 - 1)).alias("page"))
-    mine = own.select(*(F.col(v).alias(f"_{k}") for k, v in keys.items()))
-    y, my = F.coalesce("year_num", F.lit(9999)), F.coalesce("_year", F.lit(9999))
-    before = (F.col("rel") > F.col("_rel")) | ((F.col("rel") == F.col("_rel")) & ((y < my) | ((y == my) & (F.col("id") <= F.col("_id")))))
-    counted = answer.join(F.broadcast(mine), before).groupBy(F.col("_id").alias("id")).agg(F.count(F.lit(1)).alias("position"))
+    if r.sort:
+        down = r.sort.startswith("-")
+        answer = answer.withColumn("_k", _sort_key(r.sort.lstrip("-")))
+        mine = answer.filter(F.col("id") == entry).select(F.col("_k").alias("_mk"), F.col("id").alias("_id"))
+        k, mk = F.col("_k"), F.col("_mk")
+        same = k.eqNullSafe(mk) & ((F.col("id") >= F.col("_id")) if down else (F.col("id") <= F.col("_id")))
+        before = (k.isNotNull() & mk.isNull()) | ((k > mk) if down else (k < mk)) | same
+    else:
+        ranked = len(ordering(r)) > 1
+        answer = answer.withColumns({"_r": F.col("rel") if ranked else F.lit(0.0), "_y": F.coalesce("year_num", F.lit(9999)) if ranked else F.lit(0)})
+        mine = answer.filter(F.col("id") == entry).select(F.col("_r").alias("_mr"), F.col("_y").alias("_my"), F.col("id").alias("_id"))
+        first = F.struct((-F.col("_r")).alias("a"), F.col("_y").alias("b"), F.col("id").alias("c"))
+        before = first <= F.struct((-F.col("_mr")).alias("a"), F.col("_my").alias("b"), F.col("_id").alias("c"))
+    counted = answer.join(F.broadcast(mine), F.coalesce(before, F.lit(False))).groupBy(F.col("_id").alias("id")).agg(F.count(F.lit(1)).alias("position"))
     return counted.withColumn("page", F.floor((F.col("position") - 1) / (r.size or 2**31 - 1)))
 
 

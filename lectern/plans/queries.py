@@ -466,6 +466,24 @@ def markdown_entries(spark, sf_dir):
     return rows.select("id", sinks.markdown_entry().alias("line"))
 
 
+@query("SELECT id, concat(regexp_replace(concat_ws(' ', nullif(author, ''), concat(title, CASE WHEN regexp_matches(title, '[.?!]$') THEN '' ELSE '.' END), nullif(edition, ''), concat('Paris, ', source, ' & Co.'), year), '\\s+', ' ', 'g'), '.') AS cited, concat_ws(', ', CASE WHEN edition = '3' THEN 'ed. 3' ELSE nullif(edition, '') END, nullif(volume, '')) AS edvol FROM cat", cat=True)
+def citations(spark, sf_dir):
+    return catalog(spark, sf_dir).select("id", sinks.citation().alias("cited"), publish.edition_and_volume(F.col("edition"), F.col("volume")).alias("edvol"))
+
+
+@query("SELECT id, concat('Also in Bibliography no. ', CAST(id AS VARCHAR), CASE WHEN id % 2 = 0 THEN 'b' ELSE '' END, ', p. ', CAST(id % 300 AS VARCHAR), ' (as ', year, ')') AS xref, CASE WHEN id % 600 >= 537 THEN id % 600 - 536 WHEN id % 600 >= 509 THEN id % 600 - 508 ELSE id % 600 - 20 END AS printed FROM cat", cat=True)
+def cross_references(spark, sf_dir):
+    i = F.col("id")
+    note = F.when(i % 2 == 0, F.concat(F.lit("printed as "), i.cast("string"), F.lit("b"))).otherwise("")
+    place = publish.numbered_place("Bibliography", i, i % 300, note)
+    return catalog(spark, sf_dir).select("id", publish.cross_reference(place, F.col("year")).alias("xref"), publish.printed_page(i % 600)["page"].alias("printed"))
+
+
+@query("SELECT id, concat('https://archive.org/search?query=', replace(url_encode(concat('title:(t x)', CASE WHEN author <> '' THEN concat(' AND creator:(', split_part(author, ',', 1), ')') ELSE '' END)), '+', '%20')) AS url FROM cat", cat=True)
+def search_urls(spark, sf_dir):
+    return catalog(spark, sf_dir).withColumn("title", F.lit("t x; rest")).select("id", F.replace(F.replace(sinks.archive_search_url(), F.lit("("), F.lit("%28")), F.lit(")"), F.lit("%29")).alias("url"))
+
+
 # --- markup and JSON ------------------------------------------------------------------------------------------------------
 
 

@@ -141,3 +141,9 @@ def preferred(values: Column, language: str) -> Column:
 def books(spark: SparkSession, path: str) -> DataFrame:
     """The published table, as written by sinks.write_books."""
     return spark.read.parquet(path)
+
+
+def same_files(spark: SparkSession, left: str, right: str) -> DataFrame:
+    """(name, same): whether files of one name hold the same bytes in two folders, by SHA-256."""
+    digests = lambda path, name: spark.read.format("binaryFile").load(path).select(F.substring_index("path", "/", -1).alias("name"), F.sha2("content", 256).alias(name))
+    return digests(left, "a").join(digests(right, "b"), "name", "full").select("name", F.col("a").eqNullSafe(F.col("b")).alias("same"))

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lectern.functions import text as X
-from lectern.operators.publish import BOOKS, parsed
+from lectern.operators.publish import BOOKS
 
 CSV_COLUMNS = ["id", "author", "title", "year", "edition", "volume", "type", "language", "access", "links", "links_access", "links_checked", "other", "source"]
 
@@ -108,9 +108,18 @@ def coins() -> Column:
 
 
 def citation() -> Column:
-    """Author, title, year and imprint in a line."""
-    made = F.get(F.filter(parsed(F.col("other")), lambda p: p["label"] == "Imprint"), F.lit(0))["value"]
-    return F.concat_ws(" ", *(F.when(F.coalesce(c, F.lit("")) != "", F.concat(F.regexp_replace(c, r"\.$", ""), F.lit("."))) for c in (F.col("author"), F.col("title"), made, F.coalesce(F.nullif(_blank("year"), F.lit("")), F.lit("n.d.")))))
+    """Author, title, edition, imprint and year in a line; the title gets a full stop unless it ends a sentence itself."""
+    title = F.concat("title", F.when(F.col("title").rlike("[.?!]$"), "").otherwise("."))
+    made = F.btrim(F.regexp_extract(_blank("other"), r"Imprint: ([^|]+)", 1))
+    parts = F.concat_ws(" ", *(F.nullif(c, F.lit("")) for c in (_blank("author"), title, _blank("edition"), made, _blank("year"))))
+    return F.concat(F.regexp_replace(parts, r"\s+", " "), F.lit("."))
+
+
+def archive_search_url() -> Column:
+    """Where to look for an entry by hand: its title up to the first mark, and its author's surname."""
+    creator = F.when(_blank("author") != "", F.concat(F.lit(" AND creator:("), F.substring_index("author", ",", 1), F.lit(")"))).otherwise("")
+    asked = F.concat(F.lit("title:("), F.split("title", "[.;:]", 2)[0], F.lit(")"), creator)
+    return F.concat(F.lit("https://archive.org/search?query="), _component(asked))
 
 
 def markdown_entry() -> Column:

@@ -97,7 +97,7 @@ def test_parts(spark):
     b = {"type": F.lit("article"), "container": F.lit("Journal"), "place": F.lit(""), "publisher": F.lit("P"), "extent": F.lit(""), "section": F.lit("I"), "annotation": F.lit("good"), "note": F.lit(None)}
     assert value(spark, publish.bibliography_parts(b, F.lit("Borton 12"), F.array(F.lit("Also in X (3)")))) == "Type: article | In: Journal | Imprint: P | Section: I | Borton 12 | Annotation: good | Also in X (3)"
     other = F.lit("Imprint: A | plain | A very long label indeed it is: v")
-    assert [tuple(p) for p in value(spark, publish.parsed(other))] == [("Imprint", "A"), ("", "plain"), ("", "A very long label indeed it is: v")]
+    assert [tuple(p) for p in value(spark, publish.parsed(other))] == [("Imprint", "A"), ("Info", "plain"), ("Info", "A very long label indeed it is: v")]
     assert value(spark, publish.strip_annotations(F.lit("Imprint: A | Annotation: good book | Also in Dower (p. 3): his words | Note: n"))) == "Imprint: A| Also in Dower (p. 3)| Note: n"
     assert value(spark, publish.year_number(F.lit(None), years(1700, 1900, 1890))) == 1890
     assert value(spark, publish.year_number(F.lit(None), years(1700, 1750))) == 1700
@@ -105,6 +105,16 @@ def test_parts(spark):
     assert value(spark, publish.fullness(F.lit("a"), F.lit(""), F.lit(None), F.lit(3))) == 2
 
 
+def test_places(spark):
+    assert value(spark, publish.numbered_place("B", F.lit(159), F.lit(20), F.lit('printed as "159a"'))) == "B no. 159a, p. 20"
+    assert value(spark, publish.paged_place("W", F.lit(3), F.lit("Swedish list"))) == "W, Swedish list p. 3"
+    assert value(spark, publish.paged_place("D", F.lit(None))) == "D p. ?"
+    assert value(spark, publish.identified_place("N", F.lit("000123"), F.lit("DS/1"))) == "N 000123 (DS/1)"
+    assert value(spark, publish.cross_reference(F.lit("D p. 3"), F.lit("1900"), F.lit("good"))) == "Also in D p. 3 (as 1900): good"
+    assert tuple(value(spark, publish.printed_page(F.lit(510)))) == (2, "Pagès supplement")
+    assert value(spark, publish.edition_and_volume(F.lit("2"), F.lit("Bd. 1"))) == "ed. 2, Bd. 1"
+
+
 def test_overrides_and_publication(spark):
     rows = spark.createDataFrame([("k", "old", "x"), ("m", "stays", "y")], "rowkey string, title string, author string")
     fixes = spark.createDataFrame([("k", "new", None, True)], "rowkey string, title string, author string, has_author boolean")
@@ -126,7 +136,7 @@ def test_sinks(spark, tmp_path):
     assert one.select(sinks.bibtex_key(F.col("author"), F.col("title"), F.col("year_num"))).first()[0] == "satow1874"
     assert "booktitle = {J}" in one.select(sinks.bibtex_entry(F.lit("k"))).first()[0]
     assert "rft.genre=bookitem" in one.select(sinks.coins()).first()[0] and "rft.btitle=" not in one.select(sinks.coins()).first()[0].replace("rft.atitle", "")
-    assert one.select(sinks.citation()).first()[0] == 'Satow, E. A "title". London, Murray & Co. 1874.'
+    assert one.select(sinks.citation()).first()[0] == 'Satow, E. A "title". 2nd London, Murray & Co 1874.'
     assert one.select(sinks.markdown_entry()).first()[0] == '**Satow, E.** *A "title"*. 1874, 2nd, 1 v., chapter, English. London, Murray & Co. read at IA, checked by hand: <https://archive.org/details/a> [UC; no. 7]'
     sinks.write_markdown(books, f"{tmp_path}/md")
     text = [r.value for r in spark.read.text(f"{tmp_path}/md").collect()]

@@ -65,9 +65,9 @@ def fold(c: Column) -> Column:
     functions.udfs.fold_exact covers all of Unicode; the two agree on Latin text."""
     one, to, several = _fold_tables()
     there = "[" + "".join(a for a, _ in several) + "]"
-    wide = c
-    for a, b in several:
-        wide = F.replace(wide, F.lit(a), F.lit(b))
+    table = F.create_map(*(F.lit(x) for pair in several for x in pair))
+    # letter by letter, so the expression stays small; few texts have any
+    wide = F.array_join(F.transform(F.split(c, ""), lambda x: F.coalesce(table[x], x)), "")
     spread = F.when(c.rlike(there), wide).otherwise(c)
     return F.regexp_replace(F.translate(spread, one, to), r"[̀-ͯ᪰-᫿᷀-᷿⃐-⃰︠-︯]", "")
 

@@ -14,8 +14,18 @@ from lectern.llm import jaccard_join, mixing, sentencepieces, toxicity
 from lectern.llm.common import free_name, materialize
 
 
+#: Rows that a stage hands to Python at once; they carry whole texts, and the JVM keeps what its largest batch took.
+AT_ONCE = 1_000
+
+
+def _in_small_batches(spark: SparkSession) -> None:
+    """Stages are lazy, so this holds for the session from here on."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", AT_ONCE)
+
+
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop documents whose score reaches the threshold of their language; the model learns from labelled rows of docs."""
+    _in_small_batches(spark)
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
     model = toxicity.fit(docs, labels)
     name = free_name(docs, "_score")
@@ -38,6 +48,7 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
     A hash of the text tells apart rows that repeat an id; a null id is the smallest.
     """
+    _in_small_batches(spark)
     row = free_name(docs, "_row")
     of_row = F.struct(F.col("doc_id").alias("id"), F.xxhash64(F.coalesce(F.col("text"), F.lit(""))).alias("h"))
     found = jaccard_join.jaccard_components(docs.select(of_row.alias(row), "text"), id_col=row)
@@ -52,6 +63,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Ids of each document's pieces, with their number and digests."""
+    _in_small_batches(spark)
     return sentencepieces.piece_codes(docs, sentencepieces.default_model(), keep_text=False).select("doc_id", "n_tokens", "ids", "ids_sha256", "decoded_sha256")
 
 

@@ -8,7 +8,7 @@
 3. Chains. Neighbouring anchors on one diagonal merge into segments; the segments of each pair of classes are chained in order
    of both texts with a cost for the gaps (GAP for each word skipped in either), by a Fenwick tree of best prefixes.
 4. Alignment. Words of both sides are fetched, gaps between segments aligned by edit distance, and the ends extended while
-   they agree. Pieces of one text that touch are joined, whoever they repeat; what has MIN_WORDS words is a passage.
+   they agree. A chain that agrees too little is split at its gaps. Pieces of one text that touch are joined, whoever they repeat; what has MIN_WORDS words is a passage.
 """
 
 from __future__ import annotations
@@ -240,17 +240,35 @@ def extension(a: np.ndarray, b: np.ndarray) -> tuple[int, int, int]:
             return i, j, agree
 
 
-def align(chain: list[tuple[int, int, int]], a: np.ndarray, b: np.ndarray) -> tuple[int, int, int, int, int]:
-    """(start, end in a, start, end in b, agreeing words) of a chain, whose places count from the starts of a and b."""
-    agree, i, j = 0, chain[0][0], chain[0][1]
-    for x, y, n in chain:
-        agree += edit_matches(a[i:x], b[j:y])
-        agree += int((a[x : x + n] == b[y : y + n]).sum())
-        i, j = x + n, y + n
-    start, other = chain[0][0], chain[0][1]
-    after, beyond, more = extension(a[i:], b[j:])
-    ahead, before, also = extension(a[:start][::-1], b[:other][::-1])
-    return start - ahead, i + after, other - before, j + beyond, agree + more + also
+def aligned(chain: list[tuple[int, int, int]], a: np.ndarray, b: np.ndarray) -> Iterator[tuple[int, int, int, int, int]]:
+    """(start, end in a, start, end in b, agreeing words) of a chain, whose places count from the starts of a and b.
+
+    Where too few words agree the chain is split at the gap with the most words that do not, and each part is aligned again, so
+    that what a gap bridges does not take the passages beside it along. Ends are extended up to the neighbouring parts, unless
+    the extension itself agrees too little.
+    """
+    inner = [(edit_matches(a[p[0] + p[2] : q[0]], b[p[1] + p[2] : q[1]]), max(q[0] - p[0] - p[2], q[1] - p[1] - p[2])) for p, q in zip(chain, chain[1:])]
+    odd = np.array([words - same for same, words in inner], np.int64)
+    own = np.cumsum([0] + [int((a[x : x + n] == b[y : y + n]).sum()) for x, y, n in chain])
+    within = np.cumsum([0] + [same for same, _ in inner])
+    parts = [(0, len(chain))]
+    while parts:
+        low, high = parts.pop()
+        start, other, _ = chain[low]
+        i, j = chain[high - 1][0] + chain[high - 1][2], chain[high - 1][1] + chain[high - 1][2]
+        agree = int(own[high] - own[low] + within[high - 1] - within[low])
+        left = (chain[low - 1][0] + chain[low - 1][2], chain[low - 1][1] + chain[low - 1][2]) if low else (0, 0)
+        right = chain[high][:2] if high < len(chain) else (len(a), len(b))
+        after = extension(a[i : right[0]], b[j : right[1]])
+        ahead = extension(a[left[0] : start][::-1], b[left[1] : other][::-1])
+        none = (0, 0, 0)
+        tries = [(start - h[0], i + t[0], other - h[1], j + t[1], agree + h[2] + t[2]) for h, t in ((ahead, after), (none, after), (ahead, none), (none, none))]
+        found = next((x for x in tries if x[4] >= IDENTITY * max(x[1] - x[0], x[3] - x[2])), None)
+        if found:
+            yield found
+        elif high - low > 1:
+            cut = low + 1 + int(odd[low : high - 1].argmax())
+            parts += [(cut, high), (low, cut)]
 
 
 def chained(anchors: DataFrame) -> DataFrame:
@@ -343,11 +361,9 @@ def _pieces(slices: DataFrame) -> DataFrame:
                 mine = None
                 a, b = np.frombuffer(wa, _U), np.frombuffer(wb, _U)
                 chain = [(flat[i] - low, flat[i + 1] - other, flat[i + 2]) for i in range(0, len(flat), 3)]
-                i, j, x, y, agree = align(chain, a, b)
-                if agree < IDENTITY * max(j - i, y - x):
-                    continue
                 starts, ends, s2, e2 = (np.frombuffer(v, "<i4") for v in (sa, ea, sb, eb))
-                out.append((node, lead, low + i, low + j, int(starts[i]), int(ends[j - 1]), int(s2[x]), int(e2[y - 1]), agree))
+                for i, j, x, y, agree in aligned(chain, a, b):
+                    out.append((node, lead, low + i, low + j, int(starts[i]), int(ends[j - 1]), int(s2[x]), int(e2[y - 1]), agree))
             yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in out], pa.int64()) for k in range(len(names))], names=names)
 
     return dealt.mapInArrow(run, ", ".join(f"`{n}` long" for n in names))

@@ -102,6 +102,27 @@ def test_defined_cases(spark):
     assert {r.doc_id for r in rows} <= {None, 5, 6} and any(r.doc_id is None and r.source_id == 5 for r in rows)
 
 
+def spans(texts, rows, body):
+    """Documents in which a listed passage covers all of body."""
+    return [i for i, t in texts.items() if any(r.start <= t.index(body) and t.index(body) + len(body) <= r.end for r in rows if r.doc_id == i)]
+
+
+def test_passages_around_another_middle_are_both_found(spark):
+    r = random.Random(3)
+    pairs, texts = [], {}
+    for middle in (30, 45, 60, 90, 120):  # half to twice the passage, in both documents or inserted in one
+        for one in (True, False):
+            head, foot = words(r, 60), words(r, 60)
+            pairs.append((2 * len(pairs), " ".join(head), " ".join(foot)))
+            for side in (0, 1):
+                own = [] if one and side else words(r, middle)
+                texts[pairs[-1][0] + side] = " ".join([*words(r, 20), *head, *own, *foot, *words(r, 20)])
+    rows = S.repeated_passages(spark.createDataFrame(list(texts.items()), "doc_id long, text string")).collect()
+    for first, head, foot in pairs:
+        mine = {i: texts[i] for i in (first, first + 1)}
+        assert len(spans(mine, rows, head)) == len(spans(mine, rows, foot)) == 1
+
+
 @settings(max_examples=150, deadline=None)
 @given(st.lists(st.tuples(st.integers(0, 60), st.integers(0, 60), st.integers(8, 20)), min_size=1, max_size=6, unique=True))
 def test_best_chain_is_best_of_all_orders(segments):

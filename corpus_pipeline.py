@@ -14,6 +14,8 @@ from lectern.llm import jaccard_join, mixing, sentencepieces, toxicity
 from lectern.llm.common import free_name, materialize
 
 
+#: Near copies share this percentage of their shingles of so many words.
+NEAR, NEAR_WORDS = 80, 5
 #: Rows that a stage hands to Python at once; they carry whole texts, and the JVM keeps what its largest batch took.
 AT_ONCE = 1_000
 
@@ -51,7 +53,7 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     _in_small_batches(spark)
     row = free_name(docs, "_row")
     of_row = F.struct(F.col("doc_id").alias("id"), F.xxhash64(F.coalesce(F.col("text"), F.lit(""))).alias("h"))
-    found = jaccard_join.jaccard_components(docs.select(of_row.alias(row), "text"), id_col=row)
+    found = jaccard_join.jaccard_components(docs.select(of_row.alias(row), "text"), percent=NEAR, size=NEAR_WORDS, id_col=row)
     dropped = materialize(found.filter(F.col(row) != F.col("component_id")).select(row), "near-copies")
     return docs.withColumn(row, of_row).join(dropped, row, "left_anti").select(*docs.columns)
 

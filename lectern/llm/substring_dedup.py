@@ -26,10 +26,10 @@ from pyspark.sql import functions as F
 
 from lectern.llm.common import arrow_batches, attach_groups, materialize
 
-K, WINDOW = 8, 12
-#: Words of a passage, of a chain worth aligning, and the share of its words that must agree.
-MIN_WORDS, MIN_CHAIN, IDENTITY = 50, 16, 0.75
-#: Cost of a skipped word. A segment is worth a third of its words, so one of K words bridges gaps of some 13 on either side.
+K, WINDOW = 5, 4
+#: Words of a passage, and the share of its words that must agree.
+MIN_WORDS, IDENTITY = 50, 0.75
+#: Cost of a skipped word. A segment is worth a third of its words, so one of K words bridges gaps of some 8 on either side.
 GAP = 0.1
 #: Words around a chain that an extension may reach; it may pass over LOOK words where AGAIN words after them agree.
 MARGIN, LOOK, AGAIN = 64, 5, 3
@@ -285,7 +285,7 @@ def chained(anchors: DataFrame) -> DataFrame:
             first = np.flatnonzero(new)
             last = np.append(first[1:], len(node))
             upto = len(first) if final else len(first) - 1
-            rows = [(int(node[s]), int(lead[s]), [x for seg in chain for x in seg]) for s, e in zip(first[:upto], last[:upto], strict=True) for chain in chains_of(segments_of(*np.unique(np.stack([a[s:e], b[s:e]]), axis=1))) if chain[-1][0] + chain[-1][2] - chain[0][0] >= MIN_CHAIN]
+            rows = [(int(node[s]), int(lead[s]), [x for seg in chain for x in seg]) for s, e in zip(first[:upto], last[:upto], strict=True) for chain in chains_of(segments_of(*np.unique(np.stack([a[s:e], b[s:e]]), axis=1)))]
             cut = len(node) if final else first[-1]
             batch = pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.int64()), pa.array([r[2] for r in rows], pa.list_(pa.int32()))], names=["node", "lead", "segments"])
             return batch, [x[cut:] for x in (node, lead, a, b)]
@@ -308,8 +308,17 @@ def _rows(batch: pa.RecordBatch, at_once: int = 50) -> Iterator[tuple]:
         yield from zip(*(c.to_pylist() for c in batch.slice(start, at_once).columns), strict=True)
 
 
+def _packed(x: np.ndarray) -> bytes:
+    """Small numbers as their lowest bytes, then the next ones: the high bytes, all 0, compress to nothing."""
+    return np.ascontiguousarray(x.astype("<i4").view(np.uint8).reshape(-1, 4).T).tobytes()
+
+
+def _unpacked(data: bytes) -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(4, -1).T).view("<i4").ravel()
+
+
 def _slices(requests: DataFrame, docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """requests(chain, side, node, _id, low, high, segments) with the words there: their hashes and places in code points."""
+    """requests(chain, side, node, _id, low, high, segments) with the words there: 32 bits of their hashes, and places in code points as steps and lengths."""
     texts = docs.select(F.col(id_col).alias("_tid"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("_text"))
     found = texts.join(requests.hint("shuffle_hash"), F.col("_id").eqNullSafe(F.col("_tid"))).select("chain", "side", "node", "low", "high", "segments", "_text")
     kinds = {"chain": pa.int64(), "side": pa.int32(), "node": pa.int64(), "low": pa.int32(), "segments": pa.list_(pa.int32()), "words": pa.binary(), "starts": pa.binary(), "ends": pa.binary()}
@@ -333,7 +342,7 @@ def _slices(requests: DataFrame, docs: DataFrame, id_col: str, text_col: str) ->
                         starts, ends = spans[:, 0].astype("<i4"), spans[:, 1].astype("<i4")
                     if node == want[r]:  # not another row that only repeats the id
                         lo, hi = max(0, low[r]), min(len(words), high[r])
-                        rows.append((chain[r], side[r], want[r], lo, segments[r], words[lo:hi].tobytes(), starts[lo:hi].tobytes(), ends[lo:hi].tobytes()))
+                        rows.append((chain[r], side[r], want[r], lo, segments[r], words[lo:hi].astype("<u4").tobytes(), _packed(np.diff(starts[lo:hi], prepend=0)), _packed(ends[lo:hi] - starts[lo:hi])))
                 yield pa.RecordBatch.from_arrays([pa.array([x[i] for x in rows], k) for i, k in enumerate(kinds.values())], names=list(kinds))
 
     return found.mapInArrow(run, "chain long, side int, node long, low int, segments array<int>, words binary, starts binary, ends binary")
@@ -359,9 +368,10 @@ def _pieces(slices: DataFrame) -> DataFrame:
                 _, _, node, low, flat, wa, sa, ea = mine
                 _, _, lead, other, _, wb, sb, eb = row
                 mine = None
-                a, b = np.frombuffer(wa, _U), np.frombuffer(wb, _U)
+                a, b = np.frombuffer(wa, "<u4"), np.frombuffer(wb, "<u4")
                 chain = [(flat[i] - low, flat[i + 1] - other, flat[i + 2]) for i in range(0, len(flat), 3)]
-                starts, ends, s2, e2 = (np.frombuffer(v, "<i4") for v in (sa, ea, sb, eb))
+                starts, s2 = np.cumsum(_unpacked(sa)), np.cumsum(_unpacked(sb))
+                ends, e2 = starts + _unpacked(ea), s2 + _unpacked(eb)
                 for i, j, x, y, agree in aligned(chain, a, b):
                     out.append((node, lead, low + i, low + j, int(starts[i]), int(ends[j - 1]), int(s2[x]), int(e2[y - 1]), agree))
             yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in out], pa.int64()) for k in range(len(names))], names=names)

@@ -123,6 +123,20 @@ def test_passages_around_another_middle_are_both_found(spark):
         assert len(spans(mine, rows, head)) == len(spans(mine, rows, foot)) == 1
 
 
+def test_passages_with_a_word_in_ten_or_eight_changed_are_found(spark):
+    r = random.Random(5)
+    texts, bodies = {}, []
+    for k in range(20):
+        passage = words(r, 60)
+        other = [f"x{k}" if i % (10 if k % 2 else 8) == 3 else w for i, w in enumerate(passage)]
+        bodies.append((" ".join(passage), " ".join(other)))
+        for side, body in enumerate(bodies[-1]):
+            texts[2 * k + side] = " ".join([*words(r, 20), body, *words(r, 20)])
+    rows = S.repeated_passages(spark.createDataFrame(list(texts.items()), "doc_id long, text string")).collect()
+    most = lambda i, body: max((min(r.end, texts[i].index(body) + len(body)) - max(r.start, texts[i].index(body)) for r in rows if r.doc_id == i), default=0)
+    assert all(max(most(2 * k, a) / len(a), most(2 * k + 1, b) / len(b)) > 0.8 for k, (a, b) in enumerate(bodies))
+
+
 @settings(max_examples=150, deadline=None)
 @given(st.lists(st.tuples(st.integers(0, 60), st.integers(0, 60), st.integers(8, 20)), min_size=1, max_size=6, unique=True))
 def test_best_chain_is_best_of_all_orders(segments):

@@ -2,7 +2,8 @@
 
 1. Seeds. Documents with the same words form a class, and the search runs between classes. A class's seeds are the minimizers
    of its k-word runs (the least hash of each WINDOW runs in turn), so any equal stretch of K + WINDOW - 1 words has one in
-   common. A further occurrence of a run in one text counts as another seed, its number in the hash.
+   common. A further occurrence of a run in one text counts as another seed, its number in the hash, and as the run's own too, so
+   that it meets the leader's first occurrence where the leader has fewer.
 2. Anchors. Of the classes that share a seed the first, in the order of class hashes, leads; each of the others is joined to it
    alone, so a passage in a thousand documents makes a thousand anchors a seed, not a million.
 3. Chains. Neighbouring anchors on one diagonal merge into segments; the segments of each pair of classes are chained in order
@@ -15,7 +16,6 @@ from __future__ import annotations
 
 import bisect
 import hashlib
-import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -39,7 +39,6 @@ TABLE = 150_000
 
 _U = np.uint64
 _A, _B = _U(0x9E3779B97F4A7C15), _U(0xC2B2AE3D27D4EB4F)
-_WORD = re.compile(rb"[^\x20\x09-\x0D]+")
 
 
 def mixed(x: np.ndarray) -> np.ndarray:
@@ -63,12 +62,22 @@ class Words:
         return np.fromiter(map(self.table.__getitem__, words), _U, len(words))
 
 
+def spans_of(text: bytes) -> np.ndarray:
+    """(start, end) of each word, in bytes."""
+    data = np.frombuffer(text, np.uint8)
+    inside = np.zeros(len(data) + 2, np.int8)
+    inside[1:-1] = (data != 0x20) & ((data < 0x09) | (data > 0x0D))
+    edges = np.diff(inside)
+    return np.stack([np.flatnonzero(edges == 1), np.flatnonzero(edges == -1)], 1)
+
+
 def class_of(words: np.ndarray) -> int:
     return int.from_bytes(hashlib.blake2b(words.tobytes(), digest_size=8).digest(), "big", signed=True)
 
 
 def seeds_of(words: np.ndarray, k: int = K, window: int = WINDOW) -> tuple[np.ndarray, np.ndarray]:
-    """(seed hashes, word positions) of the minimizers, in order of position."""
+    """(seed hashes, word positions) of the minimizers. Further occurrences of a run have a seed with their number, to meet those of
+    the same number, and one without, to meet the first; of occurrences that overlap only one has the latter."""
     n = len(words) - k + 1
     if n < 1:
         return np.empty(0, _U), np.empty(0, np.int32)
@@ -85,7 +94,15 @@ def seeds_of(words: np.ndarray, k: int = K, window: int = WINDOW) -> tuple[np.nd
         first = np.maximum.accumulate(np.where(same, 0, np.arange(len(at))))
         number = np.empty(len(at), _U)
         number[order] = (np.arange(len(at)) - first).astype(_U)
-        seeds = np.where(number > 0, mixed(seeds + number * _B), seeds)
+        numbered = np.where(number > 0, mixed(seeds + number * _B), seeds)
+        last, more = {}, []
+        for i in np.flatnonzero(np.isin(seeds, seeds[number > 0])):
+            if number[i] == 0:
+                last[seeds[i]] = at[i]
+            elif at[i] - last[seeds[i]] >= k:
+                last[seeds[i]] = at[i]
+                more.append(i)
+        seeds, at = np.concatenate([numbered, seeds[more]]), np.concatenate([at, at[more]])
     return seeds, at.astype(np.int32)
 
 
@@ -221,6 +238,10 @@ def edit_matches(a: np.ndarray, b: np.ndarray) -> int:
     return head + tail - row[-1][1]
 
 
+#: Words passed over in either text, nearest first.
+_STEPS = [s for away in range(1, 2 * LOOK + 1) for s in sorted(((x, away - x) for x in range(max(0, away - LOOK), min(away, LOOK) + 1)), key=lambda s: abs(s[0] - s[1]))]
+
+
 def extension(a: np.ndarray, b: np.ndarray) -> tuple[int, int, int]:
     """(words of a, words of b, agreeing ones) by which equal starts of a and b go on. Where they part, the nearest place
     within LOOK words of each from which AGAIN words are equal takes up the thread; if there is none, they have ended."""
@@ -230,14 +251,11 @@ def extension(a: np.ndarray, b: np.ndarray) -> tuple[int, int, int]:
         same = a[i : i + n] == b[j : j + n]
         run = n if same.all() else int(same.argmin())
         i, j, agree = i + run, j + run, agree + run
-        for away in range(1, 2 * LOOK + 1):
-            steps = [(x, away - x) for x in range(max(0, away - LOOK), min(away, LOOK) + 1)]
-            found = next(((x, y) for x, y in sorted(steps, key=lambda s: abs(s[0] - s[1])) if min(len(a) - i - x, len(b) - j - y) >= AGAIN and (a[i + x : i + x + AGAIN] == b[j + y : j + y + AGAIN]).all()), None)
-            if found:
-                i, j = i + found[0], j + found[1]
-                break
-        else:
+        x, y = a[i : i + LOOK + AGAIN].tolist(), b[j : j + LOOK + AGAIN].tolist()
+        found = next(((u, v) for u, v in _STEPS if u + AGAIN <= len(x) and v + AGAIN <= len(y) and x[u] == y[v] and x[u : u + AGAIN] == y[v : v + AGAIN]), None)
+        if not found:
             return i, j, agree
+        i, j = i + found[0], j + found[1]
 
 
 def aligned(chain: list[tuple[int, int, int]], a: np.ndarray, b: np.ndarray) -> Iterator[tuple[int, int, int, int, int]]:
@@ -285,7 +303,8 @@ def chained(anchors: DataFrame) -> DataFrame:
             first = np.flatnonzero(new)
             last = np.append(first[1:], len(node))
             upto = len(first) if final else len(first) - 1
-            rows = [(int(node[s]), int(lead[s]), [x for seg in chain for x in seg]) for s, e in zip(first[:upto], last[:upto], strict=True) for chain in chains_of(segments_of(*np.unique(np.stack([a[s:e], b[s:e]]), axis=1)))]
+            found = lambda s, e: [[(int(a[s]), int(b[s]), K)]] if e - s == 1 else chains_of(segments_of(*np.unique(np.stack([a[s:e], b[s:e]]), axis=1)))
+            rows = [(int(node[s]), int(lead[s]), [x for seg in chain for x in seg]) for s, e in zip(first[:upto], last[:upto], strict=True) for chain in found(s, e)]
             cut = len(node) if final else first[-1]
             batch = pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.int64()), pa.array([r[2] for r in rows], pa.list_(pa.int32()))], names=["node", "lead", "segments"])
             return batch, [x[cut:] for x in (node, lead, a, b)]
@@ -335,7 +354,7 @@ def _slices(requests: DataFrame, docs: DataFrame, id_col: str, text_col: str) ->
                     if data != last:
                         last, words = data, words_of.of(data)
                         node = class_of(words)
-                        spans = np.array([m.span() for m in _WORD.finditer(data)], np.int64).reshape(-1, 2)
+                        spans = spans_of(data)
                         if not data.isascii():  # bytes to code points
                             points = np.cumsum((np.frombuffer(data, np.uint8) & 0xC0) != 0x80)
                             spans = np.stack([points[spans[:, 0]] - 1, points[spans[:, 1] - 1]], 1)
@@ -411,16 +430,20 @@ def repeated_passages(docs: DataFrame, min_words: int = MIN_WORDS, id_col: str =
     """A row for each passage of a document that repeats another's: id_col, start, end (code points), n_words, source_id,
     source_start, source_end (code points), identity (share of words that agree), group_size.
 
-    Of all that hold a passage one is its source and is not listed for it; removing what is listed leaves each passage once.
+    Of all that hold a passage one is its source and is not listed for it; removing what is listed leaves each passage in its
+    source only. Each copy within the other documents is listed; what the source itself holds several times stays there.
     Documents with the same words, A-Z in either case and white space aside, are one class: the smallest id stands for it, and
     each of the others is a single passage, whole, of min_words words at least; group_size is the class's rows. Null texts and
     those of fewer words have no passage. Null ids come last; rows that
     repeat the smallest id of a class all stand for it. An empty table gives an
     empty result; other columns are ignored.
     """
-    rows = materialize(seeded(docs, id_col, text_col), "seeded")
+    with arrow_batches(docs.sparkSession, 500):
+        rows = materialize(seeded(docs, id_col, text_col), "seeded")
     classes = materialize(rows.groupBy("node").agg(F.min("_id").alias("least"), F.first("n").alias("n"), F.min_by("chars", "_id").alias("least_chars"), F.count(F.lit(1)).alias("rows")), "classes")
-    seeds = rows.filter("size(seeds) > 0").select("node", F.explode(F.arrays_zip("seeds", "places")).alias("s")).select("node", F.col("s.seeds").alias("seed"), F.col("s.places").alias("a"))
+    seeds = rows.filter("size(seeds) > 0").select("node", F.explode(F.arrays_zip("seeds", "places")).alias("s")).select("node", F.col("s.seeds").alias("seed"), F.col("s.places").alias("a")).filter("seed IS NOT NULL AND node IS NOT NULL")
+    # dealt by seed once: the aggregate and both sides of its join read one shuffle
+    seeds = seeds.repartition(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), "seed")
     leads = seeds.groupBy("seed").agg(F.min(F.struct("node", "a")).alias("l"), F.max("node").alias("high")).filter("l.node < high").select("seed", F.col("l.node").alias("lead"), F.col("l.a").alias("b"))
     # hash joins that build the smaller side, at every size
     anchors = seeds.join(leads.hint("shuffle_hash"), "seed").filter("node <> lead").select("node", "lead", F.col("a").cast("long").alias("a"), F.col("b").cast("long").alias("b"))

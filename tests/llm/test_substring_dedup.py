@@ -137,6 +137,25 @@ def test_passages_with_a_word_in_ten_or_eight_changed_are_found(spark):
     assert all(max(most(2 * k, a) / len(a), most(2 * k + 1, b) / len(b)) > 0.8 for k, (a, b) in enumerate(bodies))
 
 
+def test_each_copy_within_a_document_is_found(spark):
+    r = random.Random(8)
+    texts, bodies = {}, []
+    for k in range(12):  # the passage once in one document, three times in the other, either of which may lead
+        bodies.append(" ".join(words(r, 60)))
+        texts[2 * k] = " ".join([*words(r, 20), bodies[k], *words(r, 20)])
+        texts[2 * k + 1] = " ".join(x for _ in range(3) for x in [*words(r, 20), bodies[k]])
+    texts[100], texts[101] = " ".join(["again"] * 3000), " ".join(["again"] * 100)  # one word: places are bounded
+    assert len(S.seeds_of(S.Words().of(texts[100].encode()))[0]) < 3000 * (1 + 1 / S.K) + 1
+    rows = S.repeated_passages(spark.createDataFrame(list(texts.items()), "doc_id long, text string")).collect()
+    for k, body in enumerate(bodies):
+        mine = [x for x in rows if x.doc_id in (2 * k, 2 * k + 1)]
+        if any(x.doc_id == 2 * k for x in mine):
+            continue  # the document with three copies leads
+        at = [i for i in range(len(texts[2 * k + 1])) if texts[2 * k + 1].startswith(body, i)]
+        assert len(at) == 3 and all(any(x.start <= i and i + len(body) <= x.end for x in mine) for i in at)
+    assert sum(not any(x.doc_id == 2 * k for x in rows) for k in range(12)) > 2
+
+
 @settings(max_examples=150, deadline=None)
 @given(st.lists(st.tuples(st.integers(0, 60), st.integers(0, 60), st.integers(8, 20)), min_size=1, max_size=6, unique=True))
 def test_best_chain_is_best_of_all_orders(segments):

@@ -21,12 +21,15 @@ from pyspark.sql import functions as F
 SPACE = re.compile(r"[ \t\n\r\f]+")
 _TAG = re.compile(r"<(/?)([a-zA-Z][^ \t\n\r\f/>]*)((?>[^>\"'=]+|=[ \t\n\r\f]*\"[^\"]*\"|=[ \t\n\r\f]*'[^']*'|[\"'=])*+)>")
 _ATTRIBUTE = re.compile(r"([^ \t\n\r\f/>\"'=]+)(?:[ \t\n\r\f]*=[ \t\n\r\f]*(?:\"([^\"]*)\"|'([^']*)'|([^ \t\n\r\f>\"']+)))?")
-_RULE = re.compile(r"([^{}]+)\{([^{}]*)\}")
+#: Media queries that hold on a screen of any size.
+_SCREEN = frozenset(("", "all", "screen", "only all", "only screen", "not print"))
 
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title xmp iframe noembed noframes".split())
 #: Never shown, with all that they hold. Scripts are taken to run, so noscript is not shown.
 UNSEEN = frozenset("head script style title template noscript iframe noembed noframes datalist audio video canvas object meta link base param source track area map".split())
+#: May stand in the head; what else comes there ends it.
+IN_HEAD = frozenset("html head base basefont bgsound link meta title script style noscript template noframes".split())
 #: Blocks that end an open paragraph.
 BLOCK = frozenset("address article aside blockquote body center dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr html li listing main menu nav ol optgroup p plaintext pre search section summary table ul xmp legend option caption".split())
 #: With a blank line before and after.
@@ -55,6 +58,32 @@ def attributes_of(node: Node) -> dict[str, str]:
     return found
 
 
+def on_screen(media: str) -> bool:
+    return any(SPACE.sub(" ", one).strip().lower() in _SCREEN for one in media.split(","))
+
+
+def rules_of(sheet: str) -> Iterator[tuple[str, str]]:
+    """(selectors, declarations) of the rules that hold on a screen of any size; rules inside rules are left out."""
+    sheet = re.sub(r"/\*.*?\*/", "", sheet, flags=re.S)
+    open_, start = [], 0  # of each block: its selectors or None for an at-rule, where its body starts, whether it holds
+    for m in re.finditer(r"[{};]", sheet):
+        holds = not open_ or open_[-1][2]
+        if m[0] == "{":
+            before = sheet[start : m.start()].strip()
+            if before.startswith("@"):
+                name, _, rest = before[1:].replace("(", " (", 1).partition(" ")
+                name, *more = SPACE.split(name.lower(), maxsplit=1)
+                rest = " ".join([*more, rest])
+                open_.append((None, m.end(), holds and (on_screen(rest) if name == "media" else name in ("supports", "layer"))))
+            else:
+                open_.append((before, m.end(), holds))
+        elif m[0] == "}" and open_:
+            selectors, body, holds = open_.pop()
+            if holds and selectors and all(x[0] is None for x in open_):
+                yield selectors, sheet[body : m.start()]
+        start = m.end()
+
+
 class Tree:
     """Builds the tree of a document; root is a node without a tag, sheets the texts of its style elements."""
 
@@ -111,7 +140,8 @@ class Tree:
         end = m.start() if m else len(s)
         inner = s[at:end]
         if name == "style":
-            self.sheets.append(inner)
+            if on_screen(attributes_of(self.open[-1]).get("media", "")):
+                self.sheets.append(inner)
         if name in ("textarea", "xmp"):
             self.text(inner[1:] if inner[:1] == "\n" else inner, entities=name == "textarea")
         if self.open[-1].tag == name:
@@ -157,6 +187,8 @@ class Tree:
     def text(self, data: str, entities: bool = True) -> None:
         if entities and "&" in data:
             data = _html.unescape(data)
+        if self.open[-1].tag == "head" and data.strip(" \t\n\r\f"):
+            self._drop(len(self.open) - 1)
         if self.open[-1].tag in TABLE_PART and not data.strip(" \t\n\r\f"):
             return
         self._append(data)
@@ -164,6 +196,8 @@ class Tree:
     def start(self, name: str, attributes: str) -> None:
         if name in ("html", "body") and self._within((name,), frozenset()):
             return
+        if self.open[-1].tag == "head" and name not in IN_HEAD:
+            self._drop(len(self.open) - 1)
         if name in BLOCK and name not in ("html", "body", "option", "optgroup", "caption", "legend"):
             if self._within(("head",), frozenset()):
                 self._close(("head",), frozenset())
@@ -250,7 +284,7 @@ class Visibility:
         for sheet in sheets:
             if "none" not in sheet and "hidden" not in sheet and "collapse" not in sheet:
                 continue
-            for selectors, body in _RULE.findall(re.sub(r"/\*.*?\*/", "", sheet, flags=re.S)):
+            for selectors, body in rules_of(sheet):
                 found = self._declared(body)
                 if found != (False, None):
                     for one in selectors.split(","):

@@ -106,3 +106,19 @@ def test_query_cases(spark):
     got = sorted(((r.page_id, r.text, r.n_chars) for r in H.extract(rows).collect()), key=repr)
     assert got == [(1, "", 0), (2, "", 0), (2, "b", 1), (2, "b", 1), (None, "a", 1)]
     assert H.extract(rows.limit(0)).collect() == []
+
+
+@pytest.mark.parametrize(
+    ("source", "shown"),
+    [
+        ("<style>@media print{.n{display:none}}</style><p class=n>x", "x"),
+        ("<style>@media screen and (max-width:600px){.n{display:none}} @media(max-width:9px){p{visibility:hidden}}</style><p class=n>x", "x"),
+        ("<style media=print>.n{display:none}</style><p class=n>x", "x"),
+        ("<style>@import 'a'; @media print, screen{.n{display:none} .m{color:red}} .k{display:none}</style><p class=n>no<p class=k>no<p class=m>x", "x"),
+        ("<head><title>no</title>plain <b>bold</b><p>x", "plain bold\n\nx"),
+        ("<head><title>no</title>\n<a href=y>link</a> <span>more</span>", "link more"),
+        ("<head>\n<meta charset=utf-8><script>no</script><link rel=x>\n<style>i{display:none}</style><i>no</i>x", "x"),
+    ],
+)
+def test_visible_text_is_kept(source, shown):
+    assert H.render(source) == shown

@@ -62,14 +62,21 @@ def share_out(budget: int, capacity: Mapping, weight: Mapping) -> dict:
 
 
 def leaf_budgets(totals: Mapping[tuple, int], budget: int, weights: Mapping[tuple, float], max_epochs: float) -> dict[tuple, int]:
-    """Each leaf's tokens. totals: tokens by leaf path; weights: by path of any depth, among siblings; 1 where not given."""
+    """Each leaf's tokens. totals: tokens by leaf path; weights: by path of any depth, among siblings; 1 where not given.
+
+    A node takes what its leaves can, but for those under a weight of 0, which take nothing: so no budget is given to a node that
+    cannot place it.
+    """
     capacity: dict[tuple, int] = {}
     children: dict[tuple, set] = {}
     for path, tokens in totals.items():
-        for d in range(len(path) + 1):
-            capacity[path[:d]] = capacity.get(path[:d], 0) + int(tokens * max_epochs)
+        able = int(tokens * max_epochs)
+        for d in range(len(path), -1, -1):
+            capacity[path[:d]] = capacity.get(path[:d], 0) + able
             if d:
                 children.setdefault(path[: d - 1], set()).add(path[:d])
+                if float(weights.get(path[:d], 1.0)) <= 0:
+                    able = 0
     out: dict[tuple, int] = {}
     stack = [((), min(budget, capacity.get((), 0)))]
     while stack:

@@ -6,13 +6,15 @@ its left neighbours only; local maxima of the labels start new phrases (of two t
 is a hash of its symbols. So an equal substring is parsed alike wherever it stands, but for a bounded stretch at its ends, and
 shares its interior phrase names at every level regardless of offset.
 
-The fingerprint is the bottom-k sketch of a text's distinct phrase names, on the levels whose phrases are long enough to tell
-texts apart; the likeness of two fingerprints estimates the Jaccard coefficient of the phrase sets.
+The fingerprint is the bottom-k sketch of a text's distinct phrase names from the level on whose phrases are long enough to tell
+texts apart, and of its root, the phrase that is the whole text, on whatever level that stands; the rule is the same for texts of
+every length. The likeness of two fingerprints estimates the Jaccard coefficient of the phrase sets.
 """
 
 from __future__ import annotations
 
 import hashlib
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -22,8 +24,8 @@ from pyspark.sql import functions as F
 
 #: Hash values in a fingerprint.
 SKETCH = 64
-#: The lowest level taken (phrases of about 6 code points) where it has at least ENOUGH phrases; else the levels below too.
-FIRST_LEVEL, ENOUGH = 2, 16
+#: The lowest level taken: phrases of about 6 code points.
+FIRST_LEVEL = 2
 #: Code points parsed at once.
 CHUNK = 400_000
 
@@ -130,20 +132,13 @@ def fingerprints(texts: list[str], size: int = SKETCH) -> list[np.ndarray]:
     if not which:
         return out
     own = np.arange(len(which), dtype=_U)
-    kept, low, need, over = [], [], np.ones(len(which), bool), np.zeros(len(which), bool)
+    kept, over = [], np.zeros(len(which), bool)
     for level, (names, starts) in enumerate(phrase_levels([texts[i] for i in which]), 1):
         length = np.diff(np.append(starts, len(names)))
         key = (np.repeat(own, length) << _U(32)) | (mixed(names + _U(level)) >> _U(32))
-        live = np.repeat(~over, length)
-        over |= length == 1
-        if level < FIRST_LEVEL:
-            low.append((key[live], np.where(live[starts], length, 0)))
-        else:
-            kept.append(key[live])
-            if level == FIRST_LEVEL:
-                need = length < ENOUGH
-    # texts with few phrases take the levels below too
-    kept += [key[np.repeat(need, length)] for key, length in low]
+        root = (length == 1) & ~over
+        kept.append(key[np.repeat(~over if level >= FIRST_LEVEL else root, length)])
+        over |= root
     key = np.unique(np.concatenate(kept))
     text = (key >> _U(32)).astype(np.int64)
     at = np.searchsorted(text, np.arange(len(which) + 1))
@@ -176,36 +171,46 @@ def edited(text: str, following: str) -> str:
 
 def in_descending_order(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """(_id, _text, _extra), dealt into partitions of neighbouring ids and sorted in each: ids descending, nulls last, repeated
-    ids by their text. A partition's last rows have _extra = 1: copies of the rows that follow its own, in the partition of
-    the next smaller ids, or after the last one in the first.
+    ids by a hash of their text. A partition's last rows have _extra = 1: copies of the first row of the partition that follows,
+    after the last one of the first.
 
-    Only the quantiles and each partition's largest id go to the driver, so as many values as there are partitions.
+    Only the quantiles and each partition's first row, by id and hash, go to the driver, so as many values as there are
+    partitions. An id that holds several quantiles has its rows dealt over as many partitions, by ranges of the hash.
     """
     spark = docs.sparkSession
     n = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    rows = docs.select(F.col(id_col).cast("long").alias("_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("_text"))
     # nulls last in descending order: as the smallest number
-    rows = docs.select(F.col(id_col).cast("long").alias("_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("_text")).withColumn("_place", F.coalesce("_id", F.lit(-(2**63))))
-    places = rows.select("_place")
+    rows = rows.withColumns({"_place": F.coalesce("_id", F.lit(-(2**63))), "_hash": F.xxhash64("_text")})
     shares = [i / n for i in range(1, n)]
-    bounds = sorted(set(places.agg(F.percentile_approx("_place", shares, max(10_000, 20 * n))).first()[0] or [])) if shares else []
-    step = max(1, int(len(bounds) ** 0.5))
-    groups = [bounds[i : i + step] for i in range(0, len(bounds), step)]
-    numbers = lambda xs: "array(" + ", ".join(f"{x}L" if x > -(2**63) else "(-9223372036854775807L - 1L)" for x in xs) + ")"
+    quantiles = (rows.agg(F.percentile_approx("_place", shares, max(10_000, 20 * n))).first()[0] or []) if shares else []
+    times = Counter(quantiles)
+    bounds = sorted(times)
+    split = [times[b] if times[b] > 1 else 0 for b in bounds] + [0]
+    first = [i + sum(split[:i]) for i in range(len(split))]
     if bounds:
+        step = max(1, int(len(bounds) ** 0.5))
+        groups = [bounds[i : i + step] for i in range(0, len(bounds), step)]
+        numbers = lambda xs: "array(" + ", ".join(f"{x}L" if x > -(2**63) else "(-9223372036854775807L - 1L)" for x in xs) + ")"
         heads, tails = numbers([g[-1] for g in groups]), "array(" + ", ".join(map(numbers, groups)) + ")"
         coarse = f"size(filter({heads}, x -> x < _place))"
-        bucket = f"{coarse} * {step} + coalesce(size(filter(get({tails}, {coarse}), x -> x < _place)), 0)"
+        rows = rows.withColumn("_at", F.expr(f"{coarse} * {step} + coalesce(size(filter(get({tails}, {coarse}), x -> x < _place)), 0)"))
+        part = F.expr(f"int(get({numbers(split)}, _at))")
+        down = F.least(part - 1, F.floor((F.col("_hash") / F.lit(2.0**64) + 0.5) * part).cast("int"))  # smaller hashes come first
+        several = (part > 0) & (F.col("_place") == F.expr(f"get({numbers(bounds)}, _at)"))
+        rows = rows.withColumn("_bucket", F.expr(f"int(get({numbers(first)}, _at))") + F.when(several, part - down).otherwise(0)).drop("_at")
     else:
-        bucket = "0"
-    largest = {r["b"]: r["m"] for r in places.select(F.expr(bucket).alias("b"), "_place").groupBy("b").agg(F.max("_place").alias("m")).collect()}
-    order = sorted(largest, reverse=True)
-    before = {largest[b]: order[i - 1] for i, b in enumerate(order)}  # the last partition goes on with the first
-    heads = spark.createDataFrame([(place, to) for place, to in before.items()], "_place long, _to int")
-    own = rows.withColumn("_bucket", F.expr(bucket)).join(F.broadcast(heads), "_place", "left")  # a row per partition
+        rows = rows.withColumn("_bucket", F.lit(0))
+    leads = rows.groupBy("_bucket").agg(F.min(F.struct((-1 - F.col("_place")).alias("p"), "_hash")).alias("f")).collect()  # -1 - x turns the order round
+    leads = {r["_bucket"]: (-1 - r["f"]["p"], r["f"]["_hash"]) for r in leads}
+    order = sorted(leads, reverse=True)
+    # the last partition goes on with the first
+    heads = spark.createDataFrame([(*leads[b], order[i - 1]) for i, b in enumerate(order)], "_place long, _hash long, _to int")
+    own = rows.join(F.broadcast(heads), ["_place", "_hash"], "left")  # a row per partition
     at = F.expr("CASE WHEN _to IS NULL THEN array(struct(_bucket AS b, 0 AS x)) ELSE array(struct(_bucket AS b, 0 AS x), struct(_to AS b, 1 AS x)) END")
-    own = own.withColumn("_at", F.explode(at)).select("_id", "_text", "_place", F.col("_at.b").alias("_bucket"), F.col("_at.x").alias("_extra"))
-    dealt = own.repartitionById(max(n, len(bounds) + 1), F.col("_bucket").cast("int"))
-    return dealt.sortWithinPartitions("_extra", F.desc("_place"), F.xxhash64("_text"), "_text").select("_id", "_text", "_extra")
+    own = own.withColumn("_at", F.explode(at)).select("_id", "_text", "_place", "_hash", F.col("_at.b").alias("_bucket"), F.col("_at.x").alias("_extra"))
+    dealt = own.repartitionById(len(split) + sum(split), "_bucket")
+    return dealt.sortWithinPartitions("_extra", F.desc("_place"), "_hash", "_text").select("_id", "_text", "_extra")
 
 
 def fingerprint_with_edits(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -1,10 +1,14 @@
 """The query against a driver-side brute force, and the parse's local consistency."""
 
 import hashlib
+import itertools
 import random
 
 import numpy as np
 import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from lectern.llm import fingerprints as P
 
@@ -14,14 +18,67 @@ def words(seed, n):
     return " ".join("".join(r.choice("abcdefghijklmnop") for _ in range(r.randint(2, 9))) for _ in range(n))
 
 
+def parsed(text):
+    """The sketch by a plain parse, symbol by symbol, with Python's integers: what the module's text says."""
+    wide, mask = 2**64, 2**64 - 1
+    low = lambda a, b: ((a ^ b) & -(a ^ b)).bit_length() - 1
+
+    def mix(x):
+        x = ((x ^ (x >> 30)) * 0xBF58476D1CE4E5B9) & mask
+        x = ((x ^ (x >> 27)) * 0x94D049BB133111EB) & mask
+        return x ^ (x >> 31)
+
+    power, powers = 1, []
+    for _ in range(256):
+        power = power * 0xD1342543DE82EF95 % wide
+        powers.append(power)
+    symbols, names, level = [ord(c) for c in text], set(), 0
+    while symbols:
+        level += 1
+        runs = [(x, len(list(group))) for x, group in itertools.groupby(symbols)]
+        symbols = [x if n == 1 else mix((x + n * 0x9E3779B97F4A7C15) % wide) for x, n in runs]
+        labels = symbols
+        for _ in range(3):
+            labels = [symbols[0] & 1, *(2 * low(a, b) + (b >> low(a, b) & 1) if a != b else b & 1 for a, b in itertools.pairwise(labels))]
+        cuts = [0] + [i for i in range(2, len(labels)) if labels[i] > labels[i - 1] and (i + 1 == len(labels) or labels[i] > labels[i + 1])]
+        phrases = [symbols[a:b] for a, b in itertools.pairwise([*cuts, len(symbols)])]
+        symbols = [mix((sum(x * powers[j & 255] for j, x in enumerate(p)) + len(p) * 0x9E3779B97F4A7C15) % wide) for p in phrases]
+        if level >= P.FIRST_LEVEL or len(symbols) == 1:
+            names |= {mix((x + level) % wide) >> 32 for x in symbols}
+        if len(symbols) == 1:
+            break
+    return sorted(names)[: P.SKETCH]
+
+
+def alike(a, b):
+    least = sorted({*a, *b})[: P.SKETCH]
+    return sum(x in a and x in b for x in least) / len(least) if least else 1.0
+
+
+@settings(max_examples=150, deadline=None)
+@given(st.text(alphabet="ab c😀é", max_size=120))
+def test_parse_equals_a_plain_one(text):
+    assert P.fingerprints([text])[0].tolist() == parsed(text)
+
+
+def test_likeness_is_smooth_in_length():
+    """Four characters more at the end cost a text of any length about as much as one a little longer or shorter."""
+    mean = []
+    for n in range(40, 200, 4):
+        near = [P.likeness(*P.fingerprints([t[:n], t[:n] + "abcd"])) for t in (words(s, 60) for s in range(30))]
+        mean.append(sum(near) / len(near))
+    assert all(abs(a - b) < 0.1 for a, b in itertools.pairwise(mean)) and mean[0] < mean[-1] and min(mean) > 0.25
+
+
 def brute(rows):
     order = sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0), reverse=True)
     out = {}
     for i, (doc_id, text) in enumerate(order):
         text, following = text or "", order[(i + 1) % len(order)][1] or ""
         changed = text[: len(text) - len(text) // 2] + following[: len(text) // 2]
-        a, b, c = (P.fingerprints([t])[0] for t in (text, changed, following))
-        out[doc_id] = (len(text), hashlib.sha256(changed.encode()).hexdigest(), P.written(a), P.written(b), P.likeness(a, b), P.likeness(a, c))
+        a, b, c = map(parsed, (text, changed, following))
+        of = lambda sketch: "".join(f"{x:08x}" for x in sketch)
+        out[doc_id] = (len(text), hashlib.sha256(changed.encode()).hexdigest(), of(a), of(b), alike(a, b), alike(a, c))
     return out
 
 
@@ -40,6 +97,28 @@ def test_repeated_ids_give_a_row_each(spark):
     assert sorted(r.n_chars for r in P.fingerprint_with_edits(docs).collect()) == [3, 3, 3, 5]
 
 
+def test_rows_of_one_id_are_dealt_over_partitions(spark):
+    rows = [(None, words(i, 4)) for i in range(400)] + [(i, words(i, 3)) for i in range(200)] + [(77, f"again {i}") for i in range(300)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    spark.conf.set("spark.sql.shuffle.partitions", 20)
+    try:
+        dealt = [[r for r in part if not r._extra] for part in P.in_descending_order(docs, "doc_id", "text").rdd.glom().collect()]
+        found = P.fingerprint_with_edits(docs).collect()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", 4)
+    assert sum(map(len, dealt)) == len(rows) and max(map(len, dealt)) < 0.15 * len(rows)
+    hashes = {r.text: r.h for r in docs.withColumn("h", F.xxhash64("text")).collect()}
+    order = sorted(rows, key=lambda r: (-r[0] if r[0] is not None else 10**9, hashes[r[1]], r[1]))
+    follows = {r: order[(i + 1) % len(order)][1] for i, r in enumerate(order)}
+    got = {}
+    for r in found:
+        got.setdefault(r.doc_id, set()).add(r.edited_sha256)
+    want = {}
+    for doc_id, text in rows:
+        want.setdefault(doc_id, set()).add(hashlib.sha256(P.edited(text, follows[doc_id, text]).encode()).hexdigest())
+    assert got == want
+
+
 def test_shared_substring_shares_interior_phrases_at_every_offset():
     shared = words(5, 400)
     base = [set(x.tolist()) for x, _ in P.phrase_levels([shared])]

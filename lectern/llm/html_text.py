@@ -40,8 +40,11 @@ CELL = frozenset(("td", "th"))
 #: Where the search for an open element ends.
 LIMITS = frozenset("table td th caption html template button object marquee".split())
 LISTS = frozenset("ul ol menu dir".split())
-#: Columns are padded to the width of their widest cell, up to this; longer cells shift what follows on their line.
-WIDEST = 60
+#: Lines of a table's cell are wrapped at spaces beyond this width, as a browser does; a longer word widens its column.
+CELL_WIDTH = 60
+#: Inputs that are buttons, with their value on them, and those that draw no text; all others show their value, or a placeholder.
+PRESSED = frozenset(("submit", "button", "reset"))
+UNDRAWN = frozenset("hidden checkbox radio password file image color range".split())
 
 
 class Node:
@@ -276,59 +279,137 @@ class Tree:
             self._drop(i)
 
 
+_COMPOUND = re.compile(r"(\*|[a-zA-Z][\w-]*)?((?:[.#][\w-]+)*)")
+#: What a rule or a style declares: (display is none, it is !important), (visibility, it is !important); None where it does not.
+Declared = tuple[tuple[bool, bool] | None, tuple[str, bool] | None]
+
+
 class Visibility:
-    """Whether an element is shown: its tag, its attributes, its style, and simple rules of the document's sheets."""
+    """Whether an element is shown: its tag, its attributes, its style, and the rules of the document's sheets.
+
+    Selectors of tags, classes and ids, joined by descent or >, are known; rules with others are passed by. The parts of all
+    selectors are numbered; of each open element a bit set tells up to which parts it ends a match, so that an element is
+    matched against its parent's and its ancestors' bits, in time in proportion to the parts that name its tag, class or id.
+    """
 
     def __init__(self, sheets: list[str]):
-        self.rules: dict[str, tuple[bool, str | None]] = {}
+        self.parts: dict[str, list[int]] = {}  # by a tag, .class or #id that the part needs
+        self.needs: list[tuple[str, frozenset[str], str | None]] = []  # (tag, classes, id) of each part
+        self.joins: list[str] = []  # before each part: "" at a selector's start, " " or ">"
+        self.rules: dict[int, tuple[tuple[int, ...], Declared]] = {}  # by last part: weight and what is declared
         for sheet in sheets:
-            if "none" not in sheet and "hidden" not in sheet and "collapse" not in sheet:
+            if "display" not in sheet and "visibility" not in sheet:
                 continue
             for selectors, body in rules_of(sheet):
                 found = self._declared(body)
-                if found != (False, None):
+                if found != (None, None):
                     for one in selectors.split(","):
-                        if re.fullmatch(r"[a-zA-Z0-9]*(?:[.#][\w-]+)?", one.strip()) and one.strip():
-                            self.rules[one.strip()] = found
+                        self._add(one.strip(), found)
+
+    def _add(self, selector: str, found: Declared) -> None:
+        steps, join = [], ""
+        for token in re.sub(r"[ \t\n\r\f]*>[ \t\n\r\f]*", " > ", selector).split():
+            if token == ">":
+                if not steps or join == ">":
+                    return
+                join = ">"
+                continue
+            m = _COMPOUND.fullmatch(token)
+            if not m:
+                return
+            names = re.findall(r"[.#][\w-]+", m[2])
+            ids = {n[1:] for n in names if n[0] == "#"}
+            if len(ids) > 1:
+                return
+            steps.append((join or (" " if steps else ""), "" if m[1] in (None, "*") else m[1].lower(), frozenset(n[1:] for n in names if n[0] == "."), next(iter(ids), None)))
+            join = ""
+        if not steps or join:
+            return
+        for join, tag, classes, own_id in steps:
+            number = len(self.needs)
+            self.needs.append((tag, classes, own_id))
+            self.joins.append(join)
+            self.parts.setdefault(f"#{own_id}" if own_id else f".{min(classes)}" if classes else tag or "*", []).append(number)
+        weight = (sum(s[3] is not None for s in steps), sum(len(s[2]) for s in steps), sum(s[1] != "" for s in steps), number)
+        self.rules[number] = (weight, found)
 
     @staticmethod
-    def _declared(style: str) -> tuple[bool, str | None]:
-        """(display is none, visibility)."""
-        none, visibility = False, None
+    def _declared(style: str) -> Declared:
+        none = visibility = None
         for part in style.lower().split(";"):
             name, _, value = part.partition(":")
+            first = "!important" in value
             value = value.replace("!important", "").strip()
-            if name.strip() == "display":
-                none = value == "none"
-            elif name.strip() == "visibility":
-                visibility = value
+            if name.strip() == "display" and value and not (none and none[1] and not first):
+                none = (value == "none", first)
+            elif name.strip() == "visibility" and value in ("visible", "hidden", "collapse") and not (visibility and visibility[1] and not first):
+                visibility = (value, first)
         return none, visibility
 
-    def of(self, node: Node, inherited: bool) -> tuple[bool, bool]:
-        """(not laid out at all, text is visible)."""
+    def _matched(self, tag: str, found: dict[str, str], parent: int, above: int) -> int:
+        """The parts of selectors of which the element ends a match, as bits."""
+        classes = set(SPACE.split(found.get("class", "")))
+        own_id, bits = found.get("id"), 0
+        for name in [tag, "*", *(f".{c}" for c in classes), f"#{own_id}"]:
+            for i in self.parts.get(name, ()):
+                want, needed, want_id = self.needs[i]
+                if (not want or want == tag) and needed <= classes and want_id in (None, own_id):
+                    join = self.joins[i]
+                    if not join or (above if join == " " else parent) >> (i - 1) & 1:
+                        bits |= 1 << i
+        return bits
+
+    def of(self, node: Node, inherited: bool, parent: int = 0, above: int = 0) -> tuple[bool, bool, int]:
+        """(not laid out at all, text is visible, the parts of selectors matched); parent: those of its parent, above: of all
+        elements that it is in."""
         tag = node.tag
         if tag in UNSEEN:
-            return True, False
+            return True, False, 0
         visible, raw = inherited, node.attributes
         if not raw and not self.rules:
-            return tag == "dialog", visible
+            return tag == "dialog", visible, 0
         found = attributes_of(node) if raw else {}
-        if "hidden" in found or tag == "dialog" and "open" not in found or tag == "input" and found.get("type", "").lower() not in ("submit", "button", "reset"):
-            return True, False
-        none = False
+        if "hidden" in found or tag == "input" and found.get("type", "").strip().lower() in UNDRAWN:
+            return True, False, 0
+        none, bits = tag == "dialog" and "open" not in found, 0
+        declared: list[tuple[tuple, Declared]] = []
         if self.rules:
-            names = [tag] + [f"{t}.{c}" for c in SPACE.split(found.get("class", "")) if c for t in ("", tag)] + [f"{t}#{found['id']}" for t in ("", tag) if found.get("id")]
-            for name in names:
-                if name in self.rules:
-                    hides, value = self.rules[name]
-                    none = none or hides
-                    visible = value == "visible" if value in ("visible", "hidden", "collapse") else visible
+            bits = self._matched(tag, found, parent, above)
+            declared = [self.rules[i] for i in _ones(bits) if i in self.rules]
         if "style" in found:
-            hides, value = self._declared(found["style"])
-            if "display" in found["style"].lower():
-                none = hides
-            visible = value == "visible" if value in ("visible", "hidden", "collapse") else visible
-        return none, visible
+            declared.append(((1 << 30,), self._declared(found["style"])))
+        displays = [(d[0][1], weight, d[0][0]) for weight, d in declared if d[0]]
+        shown = [(d[1][1], weight, d[1][0]) for weight, d in declared if d[1]]
+        if displays:
+            none = max(displays)[2]
+        if shown:
+            visible = max(shown)[2] == "visible"
+        return none, visible, bits
+
+
+def _ones(bits: int) -> Iterator[int]:
+    while bits:
+        low = bits & -bits
+        yield low.bit_length() - 1
+        bits ^= low
+
+
+def wrapped(line: str, width: int) -> Iterator[str]:
+    """The line cut at spaces into lines of width at most, but for longer words; later ones keep the line's indent."""
+    indent = len(line) - len(line.lstrip(" "))
+    at = indent
+    while len(line) - at > width - indent:
+        cut = line.rfind(" ", at, at + width - indent + 1)
+        if cut <= at:
+            cut = line.find(" ", at)
+        if cut < 0:
+            break
+        yield line[:indent] + line[at:cut].rstrip(" ")
+        at = cut
+        while at < len(line) and line[at] == " ":
+            at += 1
+    if at < len(line) or not line:
+        yield line[:indent] + line[at:]
 
 
 class Lines:
@@ -445,6 +526,7 @@ class Grid:
             self.row()
         while self.column in self.taken:
             self.column += 1
+        lines = [part for line in lines for part in (wrapped(line, CELL_WIDTH) if len(line) > CELL_WIDTH else [line])]
         self.rows[-1].append((self.column, columns, lines))
         for c in range(self.column, self.column + columns):
             if rows > 1:
@@ -456,16 +538,24 @@ class Grid:
         for row in self.rows:
             for column, columns, lines in row:
                 if columns == 1 and lines:
-                    width[column] = max(width.get(column, 0), min(WIDEST, max(map(len, lines))))
+                    width[column] = max(width.get(column, 0), max(map(len, lines)))
+        # where each column starts: columns that hold nothing of their own take no room
+        starts, upto = {}, 0
+        for column in sorted({*width, *(c for row in self.rows for c, _, _ in row)}):
+            starts[column] = upto
+            upto += width[column] + 2 if column in width else 0
         out = []
         for row in self.rows:
-            for k in range(max((len(lines) for _, _, lines in row), default=0)):
-                line = ""
-                for column, _, lines in row:
-                    before = sum(w + 2 for c, w in width.items() if c < column)
-                    if k < len(lines) and lines[k]:
-                        line = (line + "  " if line else "").ljust(before) + lines[k]
-                out.append(line.rstrip())
+            pending = [cell for cell in row if cell[2]]
+            for k in range(max((len(lines) for _, _, lines in pending), default=0)):
+                parts, length = [], 0
+                pending = [cell for cell in pending if k < len(cell[2])]
+                for column, _, lines in pending:
+                    if lines[k]:
+                        pad = max(starts[column] - length, 2 if parts else 0)
+                        parts += [" " * pad, lines[k]]
+                        length += pad + len(lines[k])
+                out.append("".join(parts).rstrip())
         return out
 
 
@@ -476,10 +566,10 @@ def render(source: str | None) -> str:
     tree = Tree(source)
     rules = Visibility(tree.sheets)
     contexts, grids, lists = [Lines()], [], []
-    # (node, leaving, visible, white space kept)
-    stack: list[tuple] = [(tree.root, False, True, False)]
+    # (node, leaving, visible, white space kept, selectors' parts matched by its parent, by all elements that it is in)
+    stack: list[tuple] = [(tree.root, False, True, False, 0, 0)]
     while stack:
-        node, leaving, visible, kept = stack.pop()
+        node, leaving, visible, kept, parent, above = stack.pop()
         out = contexts[-1]
         if isinstance(node, str):
             if visible:
@@ -508,7 +598,7 @@ def render(source: str | None) -> str:
             elif tag in BLOCK or tag == "tr":
                 out.block(int(tag in MARGIN))
             continue
-        none, visible = rules.of(node, visible)
+        none, visible, matched = rules.of(node, visible, parent, above)
         if none:
             continue
         if tag == "br":
@@ -516,7 +606,11 @@ def render(source: str | None) -> str:
             continue
         if tag == "input":
             if visible:
-                out.text(attributes_of(node).get("value", ""), False)
+                found = attributes_of(node)
+                value = found.get("value", "")
+                if not value and found.get("type", "").strip().lower() not in PRESSED:
+                    value = found.get("placeholder", "")
+                out.text(f" {value} " if value else "", False)  # a box of its own
             continue
         if tag in CELL and grids:
             contexts.append(Lines())
@@ -556,8 +650,8 @@ def render(source: str | None) -> str:
             children = [x for c in chosen for x in (*c.children, " ")]
         if tag in CELL and not grids:
             tag = "div"
-        stack.append((node, True, visible, kept))
-        stack += [(c, False, visible, kept) for c in reversed(children)]
+        stack.append((node, True, visible, kept, 0, 0))
+        stack += [(c, False, visible, kept, matched, above | matched) for c in reversed(children)]
     return "\n".join(contexts[0].done()).strip("\n").replace("\x1f", " ")
 
 

@@ -32,7 +32,7 @@ CASES = {
     "<head><title>no</title></head><body>x": "x",
     "<details><summary>s</summary>no</details><details open><summary>s</summary>yes</details>": "s\ns\nyes",
     "<select><option>a<option selected>b<option>c</select>": "b",
-    "<input type=submit value=Go><input type=hidden value=no><input value=no><textarea>\n t</textarea>": "Go t",
+    "<input type=submit value=Go><input type=hidden value=no><input value=typed><input type=checkbox value=no><input placeholder=hint>x<textarea>\n t</textarea>": "Go typed hint x t",
     "1 < 2 <> 3 </ 4 > x": "1 < 2 <> 3 x",
     "<p title='a>b' class=\"x>y\">q</p": "q",
     "<a href=x>one<a href=y>two</a>": "onetwo",
@@ -49,6 +49,49 @@ def test_layout(source):
     assert H.render(source) == CASES[source]
 
 
+SHEETS = {
+    "div.x p{display:none}": "<div class=x><b><p>no</b></div><p>yes",
+    "div > p{display:none}": "<div><p>no</p><section><p>yes</section></div>",
+    "ul.a > li b{display:none}": "<ul class='b a'><li><i><b>no</b></i>yes</ul><li><b>more</b>",
+    "p{display:none} p.on{display:block}": "<p>no<p class=on>yes",
+    "p.on{display:block} p{display:none !important}": "<p>no<p class=on>no</p>yes",
+    "#k .c.d{visibility:hidden} .c.d.e{visibility:visible}": "<div id=k><p class='d c'>no<p class='e d c'>no</p><p class=c>yes</div>",
+    "a:hover, b::after, i[x], q + u, s{display:none}": "<a>yes</a><s>no</s>",
+    "div p, em{display:none} .w p{display:block}": "<div class=w><p>yes</p></div><div><p>no</div><em>no</em>",
+    "*{visibility:hidden} p{visibility:visible}": "<div>no<p>yes</p></div>",
+}
+
+
+@pytest.mark.parametrize("sheet", SHEETS)
+def test_selectors(sheet):
+    shown = H.render(f"<style>{sheet}</style>{SHEETS[sheet]}")
+    assert "no" not in shown and "yes" in shown
+
+
+def test_long_cells_stay_aligned():
+    long = " ".join(f"word{i}" for i in range(30))
+    lines = H.render(f"<table><tr><td>{long}<td>b<tr><td>c<td>d</table>").split("\n")
+    assert max(map(len, lines)) <= H.CELL_WIDTH + 3 and lines[0].index(" b") == lines[-1].index(" d")
+    assert " ".join(" ".join(lines[:-1]).split()).replace(" b", "", 1) == long
+    whole = "x" * 200
+    lines = H.render(f"<table><tr><td>{whole}<td>b<tr><td>c<td>d</table>").split("\n")
+    assert lines[0].index("  b") == lines[1].index("  d") == 200
+    assert list(H.wrapped("  a " + "b" * 9 + " c d", 6)) == ["  a", "  bbbbbbbbb", "  c d"]
+
+
+def test_wide_tables_take_time_in_proportion():
+    import time
+
+    began = time.time()
+    text = H.render("<table>" + ("<tr>" + "<td>x" * 20_000) * 3 + "</table>")
+    assert text.split("\n")[0] == "  ".join("x" * 20_000) and time.time() - began < 10
+
+
+def test_many_rules_and_depth():
+    sheet = "".join(f".a{i} p.b{i}{{display:none}}" for i in range(2000))
+    assert H.render(f"<style>{sheet}</style>" + "<div class=a7>" * 3000 + "<p class=b7>no<p class=b8>yes") == "yes"
+
+
 def random_document(seed):
     """A document, and its visible words in order; tables have one row each so that reading order is plain."""
     r, shown, n = random.Random(seed), [], [0]

@@ -1,22 +1,32 @@
 """N-gram Jaccard join by T-occurrence search (DivideSkip), over all documents and whole texts.
 
-Documents whose shingle sets are equal form a class; the join runs between classes.
+Documents whose shingle sets are equal form a class; the join runs between classes. Rows are numbered, and a class goes by the
+number of its first row, so that no two classes are taken for one; classes are formed by a 128-bit digest of the set.
 
 1. Signing. Sets of size n that are similar enough differ in few elements, at most d (see Threshold.most_apart). Dealt by hash
    range into more than d segments, two such sets have a segment in common, whole and not empty. Each document signs its
    segments, for the one or two bands of sizes in which a partner's smaller set may be. This bound is exact: no link is lost.
-2. Clusters are the connected components of classes that share a signature; no pair leaves its cluster. Clusters that hold more
-   than BLOCK shingles are dealt into blocks, and each pair of blocks is searched by a task of its own, so memory is bounded.
+   Equal signatures are combined in each piece of rows before they are dealt, so one that very many documents share costs one
+   row a piece. Dealt and sorted by signature, each run of equal ones has a first row, its leader, which then is joined back
+   to the other rows of the pieces.
+2. Clusters: any two classes that share a signature are in one. A leader's cluster are the classes that share a signature that
+   it leads, whichever; the clusters of one component may be taken together. The latter is less work for a group of near
+   copies, which have many leaders in common, the former for chains of chance neighbours; each component is taken the way that
+   moves fewer shingles. Clusters that hold more than BLOCK shingles are dealt into blocks, and each pair of blocks is searched
+   by a task of its own, so memory is bounded.
 3. Searching. In each cluster an inverted index lists the documents of each shingle. A query needs T common shingles at least;
-   the L longest of its lists are set aside, the others merged and counted, and the documents that the short lists bring to
-   T - L occurrences are probed for in the long lists by binary search. The counts are exact intersection sizes.
-   Documents that are in the query's component already are left out of its lists: links inside a component change nothing.
+   the L longest of its lists are set aside, the others merged with a heap that skips what cannot reach T - L occurrences, and
+   the documents that do reach it are probed for in the long lists by binary search. The counts are exact intersection sizes.
+   Documents that are in the query's component already are left out of its lists: links inside a component change nothing. So
+   a query is first compared with the document that the one before it was linked with.
 4. Components of the links found.
 """
 
 from __future__ import annotations
 
+import bisect
 import hashlib
+import heapq
 import math
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -24,20 +34,23 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import xxhash
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lectern.llm.common import attach_groups, materialize
 from lectern.operators.graph import components
 
-#: Shingles that one task's index holds, about.
-BLOCK = 1 << 21
+#: Shingles of a block; one task's index holds two blocks at most, about.
+BLOCK = 1 << 18
 #: Words kept in a task's hash table.
 TABLE = 150_000
 #: Weight of DivideSkip's rule for the number of long lists.
 MU = 0.0085
-#: Segments beyond the least number, so that empty segments need signatures only in rare sets.
-SPARE = 2
+#: Each size band goes up to so many times its start.
+RATIO = 1.25
+#: Rows signed at once.
+PIECE = 1000
 
 _U = np.uint64
 _A, _B, _C = _U(0x9E3779B97F4A7C15), _U(0xC2B2AE3D27D4EB4F), _U(0x165667B19E3779F9)
@@ -74,16 +87,22 @@ class Threshold:
         """From this size on linked sets need not be equal."""
         return next(n for n in range(1, 10_000) if self.most_apart(n))
 
-    def bands(self, n: int) -> list[tuple[int, int]]:
-        """(number, segments) of each size band in which the smaller set of a linked pair may be, if the larger has n elements."""
+    def bands(self, n: int) -> list[tuple[int, int, int]]:
+        """(number, segments, spare ones) of each size band in which the smaller set of a linked pair may be, if the larger has
+        n elements. One segment more than the elements apart would do; the spare ones make up for empty segments, of which few
+        sets have more."""
         low, out = self.first_size(), []
         if n < low:
             return out
-        number = max(0, int(math.log(max(self.smallest(n), low) / low) / math.log(1.2)) - 1)
-        while (start := math.ceil(low * 1.2**number)) <= n:
-            end = math.ceil(low * 1.2 ** (number + 1)) - 1  # bands hold sizes start to end
+        number = max(0, int(math.log(max(self.smallest(n), low) / low) / math.log(RATIO)) - 1)
+        while (start := math.ceil(low * RATIO**number)) <= n:
+            end = math.ceil(low * RATIO ** (number + 1)) - 1  # bands hold sizes start to end
             if end >= max(self.smallest(n), low) and end >= start:
-                out.append((number, self.most_apart(end) + 1 + SPARE))
+                apart, spare = self.most_apart(end), 1
+                for _ in range(6):
+                    empty = (apart + 1 + spare) * math.exp(-start / (apart + 1 + spare))
+                    spare = min(math.ceil(1 + empty + 3 * math.sqrt(empty)), 2 + apart // 4)
+                out.append((number, apart + 1 + spare, spare))
             number += 1
         return out
 
@@ -113,48 +132,110 @@ class Shingles:
 
 
 def signatures(tokens: np.ndarray, t: Threshold) -> np.ndarray:
-    """One value for each segment of the set, in each band it belongs to. tokens: sorted, distinct."""
+    """One value for each segment of the set, in each band it belongs to. tokens: sorted, distinct.
+
+    Two linked sets have more than `spare` segments in common. Where a set has more empty ones than that, all common ones may be
+    empty; then these sign too, but for the last `spare` of them: the first common one is among the rest, in either set.
+    """
     out = []
-    for number, segments in t.bands(len(tokens)):
+    for number, segments, spare in t.bands(len(tokens)):
         segment = ((tokens >> _U(32)) * _U(segments)) >> _U(32)
         starts = np.flatnonzero(np.concatenate([[True], segment[1:] != segment[:-1]]))
         sums = np.add.reduceat(mixed(tokens), starts)
         out.append(mixed(sums + segment[starts] * _B + np.array([number + 1], _U) * _C))
-        empty = np.setdiff1d(np.arange(segments, dtype=_U), segment[starts])
-        if len(empty) > SPARE:  # all whole common segments might be empty ones
+        if segments - len(starts) > spare:
+            empty = np.setdiff1d(np.arange(segments, dtype=_U), segment[starts])[:-spare]
             out.append(mixed(_A + empty * _B + np.array([number + 1], _U) * _C))
     return np.concatenate(out) if out else np.empty(0, _U)
 
 
+def key_of(tokens: np.ndarray) -> bytes | None:
+    """A digest of the set; None for the empty one."""
+    return hashlib.blake2b(tokens.tobytes(), digest_size=16).digest() if len(tokens) else None
+
+
+def _lists(owner: np.ndarray, values: np.ndarray, n: int, kind: pa.DataType = pa.int64()) -> pa.ListArray:
+    """The values of each of n owners; owner: ascending."""
+    return pa.ListArray.from_arrays(pa.array(np.searchsorted(owner, np.arange(n + 1)), pa.int32()), pa.array(values, kind))
+
+
+def combined(sigs: list[np.ndarray], first: int) -> list[pa.ListArray]:
+    """Of rows first, first + 1, ..: the signatures that no row before in the list has, whether rows after have them; and the
+    other signatures, with the rows that have them first."""
+    n = len(sigs)
+    owner = np.repeat(np.arange(n), [len(x) for x in sigs])
+    values = np.concatenate([*sigs, np.empty(0, _U)])
+    order = np.argsort(values, kind="stable")
+    values, owner = values[order].view(np.int64), owner[order]
+    new = np.ones(len(values), bool)
+    new[1:] = values[1:] != values[:-1]
+    followed = new & ~np.append(new[1:], True)[: len(new)]
+    leader = owner[np.maximum.accumulate(np.where(new, np.arange(len(values)), 0))]
+    out = []
+    for mask, kept in ((new, (values, followed)), (~new, (values, first + leader))):
+        by = np.flatnonzero(mask)
+        by = by[np.argsort(owner[by], kind="stable")]
+        out += [_lists(owner[by], x[by], n, pa.bool_() if x.dtype == bool else pa.int64()) for x in kept]
+    return out
+
+
 def signed(docs: DataFrame, id_col: str, text_col: str, size: int, t: Threshold) -> DataFrame:
-    """(_id, n, key, node, sigs) of each row: key is a digest of the set, node its first 64 bits; key is null for empty sets.
-    Of rows that a task meets with one key only the first carries signatures."""
+    """(_id, row, n, key, sigs, followed, more, firsts) of each row: row is its number, key a digest of its set, null for empty
+    sets; the lists are those of `combined`, for each piece. Of rows that a task meets with one key only the first signs."""
     source = docs.select(F.col(id_col).alias("_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("_text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shingles, seen = Shingles(size), set()
+        shingles, seen, row = Shingles(size), set(), TaskContext.get().partitionId() << 33
         for batch in batches:
-            for part in range(0, batch.num_rows, 1000):
-                piece = batch.slice(part, 1000)
-                counts, keys, nodes, sigs, offsets = [], [], [], [], [0]
+            for part in range(0, batch.num_rows, PIECE):
+                piece = batch.slice(part, PIECE)
+                counts, keys, sigs = [], [], []
                 for text in piece.column(1):
                     tokens = shingles.of(text.as_buffer().to_pybytes() if text.is_valid else b"")
-                    key = hashlib.blake2b(tokens.tobytes(), digest_size=16).digest() if len(tokens) else None
+                    key = key_of(tokens)
                     counts.append(len(tokens))
                     keys.append(key)
-                    nodes.append(int.from_bytes(key[:8], "big", signed=True) if key else None)
-                    own = np.empty(0, _U)
-                    if key and key not in seen:
+                    sigs.append(signatures(tokens, t) if key and key not in seen else np.empty(0, _U))
+                    if key:
                         if len(seen) > TABLE:
                             seen.clear()
                         seen.add(key)
-                        own = signatures(tokens, t)
-                    sigs.append(own)
-                    offsets.append(offsets[-1] + len(own))
-                values = pa.array(np.concatenate(sigs).view(np.int64)) if sigs else pa.array([], pa.int64())
-                yield pa.RecordBatch.from_arrays([piece.column(0), pa.array(counts, pa.int64()), pa.array(keys, pa.binary()), pa.array(nodes, pa.int64()), pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), values)], names=["_id", "n", "key", "node", "sigs"])
+                yield pa.RecordBatch.from_arrays([piece.column(0), pa.array(range(row, row + len(piece)), pa.int64()), pa.array(counts, pa.int64()), pa.array(keys, pa.binary()), *combined(sigs, row)], names=["_id", "row", "n", "key", "sigs", "followed", "more", "firsts"])
+                row += len(piece)
 
-    return source.mapInArrow(run, f"_id {source.schema['_id'].dataType.simpleString()}, n long, key binary, node long, sigs array<long>")
+    return source.mapInArrow(run, f"_id {source.schema['_id'].dataType.simpleString()}, row long, n long, key binary, sigs array<long>, followed array<boolean>, more array<long>, firsts array<long>")
+
+
+def candidates(rows: DataFrame) -> DataFrame:
+    """(row, leader) of each row that shares a signature with a row of a smaller number; the least one leads."""
+    signs = rows.filter("size(sigs) > 0").select("row", F.explode(F.arrays_zip("sigs", "followed")).alias("s")).select(F.col("s.sigs").alias("sig"), (F.col("row") * 2 + F.col("s.followed").cast("long")).alias("code"))
+    tasks = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = signs.repartition(tasks, "sig").sortWithinPartitions("sig", "code")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last = None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            sig, code = (batch.column(i).to_numpy(zero_copy_only=False) for i in (0, 1))
+            row, followed = code >> 1, (code & 1).astype(bool)
+            if last is not None:  # a run may go on from the batch before
+                sig, row, followed = np.append(last[0], sig), np.append(last[1], row), np.append(False, followed)
+            start = np.maximum.accumulate(np.where(np.concatenate([[True], sig[1:] != sig[:-1]]), np.arange(len(sig)), 0))
+            low = row[start]
+            last = (sig[-1:], low[-1:])
+            pairs = np.unique(np.stack([row, low])[:, row != low], axis=1)
+            none = pa.nulls(len(pairs[0]), pa.int64())
+            yield pa.RecordBatch.from_arrays([none, pa.array(pairs[0]), pa.array(pairs[1])], names=["sig", "row", "leader"])
+            if followed.any():
+                yield pa.RecordBatch.from_arrays([pa.array(x[followed]) for x in (sig, row, low)], names=["sig", "row", "leader"])
+
+    led = materialize(dealt.mapInArrow(run, "sig long, row long, leader long"), "led")
+    # the other rows of a piece, under the number of its first one, so that a signature's rows are spread as pieces are
+    others = rows.filter("size(more) > 0").select("row", F.explode(F.arrays_zip("more", "firsts")).alias("s")).select("row", F.col("s.more").alias("sig"), F.col("s.firsts").alias("first"))
+    heads = led.filter("sig IS NOT NULL").select("sig", F.col("row").alias("first"), "leader")
+    far = others.join(heads, ["sig", "first"]).select("row", "leader")
+    return led.filter("sig IS NULL").select("row", "leader").unionByName(far).distinct()
 
 
 class Forest:
@@ -175,6 +256,28 @@ class Forest:
         return True
 
 
+def merge_skip(lists: list[list[int]], need: int) -> Iterator[tuple[int, int]]:
+    """(item, in how many lists) of the items that occur in `need` of the sorted lists at least, by a heap of the lists' heads.
+    Where the least item is in too few of them, need - 1 heads are taken off in all, and their lists skip to the least one left."""
+    heap = [(one[0], k, 0) for k, one in enumerate(lists) if one]
+    heapq.heapify(heap)
+    while len(heap) >= need:
+        item, popped = heap[0][0], []
+        while heap and heap[0][0] == item:
+            popped.append(heapq.heappop(heap))
+        if len(popped) >= need:
+            yield item, len(popped)
+            least = item + 1
+        else:
+            while len(popped) < need - 1:
+                popped.append(heapq.heappop(heap))
+            least = heap[0][0]  # need - 1 lists at most hold anything before it
+        for _, k, at in popped:
+            at = bisect.bisect_left(lists[k], least, at)
+            if at < len(lists[k]):
+                heapq.heappush(heap, (lists[k][at], k, at))
+
+
 def divide_skip(lists: list[np.ndarray], need: int) -> tuple[np.ndarray, np.ndarray]:
     """Items that occur in `need` of the sorted lists at least, and in how many."""
     none = np.empty(0, np.int64)
@@ -184,13 +287,9 @@ def divide_skip(lists: list[np.ndarray], need: int) -> tuple[np.ndarray, np.ndar
     longest = len(lists[-1])
     aside = min(need - 1, int(need / (MU * math.log2(max(longest, 2)) + 1)))
     short, long = lists[: len(lists) - aside], lists[len(lists) - aside :]
-    merged = np.concatenate(short)
-    merged.sort(kind="stable")  # merges the sorted runs, as a heap would one by one
-    first = np.flatnonzero(np.concatenate([[True], merged[1:] != merged[:-1]])) if len(merged) else none
-    items, counts = merged[first], np.diff(np.append(first, len(merged)))
+    found = list(merge_skip([one.tolist() for one in short], need - aside))
+    items, counts = (np.array([x[k] for x in found], np.int64) for k in (0, 1))
     left = aside
-    keep = counts + left >= need
-    items, counts = items[keep], counts[keep]
     for one in long:
         if not len(items):
             break
@@ -216,7 +315,7 @@ def links_within(sets: list[np.ndarray], blocks: list[int], t: Threshold, across
     shared = ends - starts > 1  # shingles of one document link nothing
     tokens, starts, ends = tokens[starts[shared]], starts[shared], ends[shared]
     sizes, block = n[order], np.array(blocks)[order]
-    forest = Forest(len(order))
+    forest, partner = Forest(len(order)), None
     for q in range(1, len(order)):
         size = int(sizes[q])
         low = int(np.searchsorted(sizes, t.smallest(size)))  # partners are low..q-1: not larger, and large enough
@@ -224,6 +323,12 @@ def links_within(sets: list[np.ndarray], blocks: list[int], t: Threshold, across
             continue
         need = t.overlap(size, int(sizes[low]))
         own = sets[order[q]]
+        if partner is not None and partner >= low and not (across and block[partner] == block[q]):
+            # members of one group follow one another; once linked, all of the group are out of the lists
+            other = sets[order[partner]]
+            common = int((other[np.minimum(np.searchsorted(other, own), len(other) - 1)] == own).sum())
+            if t.linked(common, size, len(other)) and forest.join(q, partner):
+                yield int(order[q]), int(order[partner])
         at = np.searchsorted(tokens, own)
         at = at[(at < len(tokens)) & (tokens[np.minimum(at, len(tokens) - 1)] == own)] if len(tokens) else at[:0]
         if len(at) < need:
@@ -241,13 +346,14 @@ def links_within(sets: list[np.ndarray], blocks: list[int], t: Threshold, across
         items, counts = divide_skip(lists, need)
         for y, common in zip(items[::-1].tolist(), counts[::-1].tolist(), strict=True):
             if t.linked(common, size, int(sizes[y])) and forest.join(q, y):
+                partner = y
                 yield int(order[q]), int(order[y])
 
 
 def links(members: DataFrame, size: int, t: Threshold) -> DataFrame:
-    """Links (a, b) between classes. members(cluster, block, blocks, node, _text): one row or more for each node."""
+    """Links (a, b) between classes. members(cluster, block, blocks, node, key, _text): one row or more for each node."""
     pairs = members.withColumn("other", F.explode(F.expr("sequence(0, blocks - 1)")))
-    pairs = pairs.select("cluster", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "node", "_text")
+    pairs = pairs.select("cluster", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "node", "key", "_text")
     tasks = int(members.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     dealt = pairs.repartition(tasks, "cluster", "i", "j").sortWithinPartitions("cluster", "i", "j", "node")
 
@@ -260,17 +366,16 @@ def links(members: DataFrame, size: int, t: Threshold) -> DataFrame:
 
         group, nodes, blocks, sets = None, [], [], []
         for batch in batches:
-            c, i, j, b, v = (batch.column(k).to_pylist() for k in range(5))
-            for row, text in enumerate(batch.column(5)):
+            c, i, j, b, v, keys = (batch.column(k).to_pylist() for k in range(6))
+            for row, text in enumerate(batch.column(6)):
                 key = (c[row], i[row], j[row])
                 if key != group:
                     if group:
                         yield flush(group, nodes, blocks, sets)
                     group, nodes, blocks, sets = key, [], [], []
                 tokens = shingles.of(text.as_buffer().to_pybytes())
-                key_now = int.from_bytes(hashlib.blake2b(tokens.tobytes(), digest_size=16).digest()[:8], "big", signed=True) if len(tokens) else None
                 # rows that only repeat the id of a member, and further rows of a class, are passed by
-                if key_now == v[row] and (not nodes or nodes[-1] != v[row]):
+                if key_of(tokens) == keys[row] and (not nodes or nodes[-1] != v[row]):
                     nodes.append(v[row])
                     blocks.append(b[row])
                     sets.append(tokens)
@@ -286,32 +391,44 @@ def jaccard_components(docs: DataFrame, percent: int = 90, size: int = 3, id_col
     Words are runs of anything but ASCII white space, A-Z in lower case; a set has the distinct shingles of `size` words, or the
     whole sequence if there are fewer. Rows without words, null texts included, link with nothing; their component is their own
     id. Rows with equal sets are linked; repeated rows share a component. Null ids come last: a component has a null id only if
-    all its rows have. An empty table gives an empty result; other columns are ignored.
+    all its rows have. An empty table gives an empty result; other columns are ignored. Texts of any length are taken whole: a
+    task holds one set, and in the search the sets of two blocks of `block` shingles, or of two larger documents.
     Sets are compared by 64-bit shingle hashes.
     """
     t = Threshold(percent)
     rows = materialize(signed(docs, id_col, text_col, size, t), "signed")
-    signs = rows.filter("size(sigs) > 0").select("node", F.explode("sigs").alias("sig"))
-    several = signs.groupBy("sig").agg(F.min("node").alias("low"), F.max("node").alias("high")).filter("low < high").select("sig", "low")
-    # hash joins that build the smaller side, at every size: neither 8-byte signatures nor texts are sorted, and plans do not change as tables grow
-    near = signs.join(several.hint("shuffle_hash"), "sig").filter("node <> low").select(F.col("node").alias("a"), F.col("low").alias("b"))
-    clusters = materialize(components(near), "clusters")
-
-    classes = rows.filter("key IS NOT NULL").groupBy("key").agg(F.first("node").alias("node"), F.min("_id").alias("least"), F.first("n").alias("n"), F.count(F.lit(1)).alias("rows"))
+    classes = rows.filter("key IS NOT NULL").groupBy("key").agg(F.min("row").alias("node"), F.min("_id").alias("least"), F.first("n").alias("n"), F.count(F.lit(1)).alias("rows"))
     classes = materialize(classes, "classes")
-    inside = clusters.join(classes, "node")
-    total = inside.groupBy("component").agg(F.sum("n").alias("total")).select("component", F.ceil(F.col("total") / block).cast("int").alias("blocks"))
-    member = inside.join(total, "component").select(F.col("component").alias("cluster"), "node", F.col("least").alias("_id"), "blocks", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int").alias("block"))
+    # rows of one class that have signed in several tasks are one node
+    signers = rows.filter("size(sigs) > 0 OR size(more) > 0").select("key", F.col("row").alias("_row"))
+    same = materialize(signers.join(classes.filter("rows > 1").select("key", "node"), "key").filter("_row <> node").select("_row", "node"), "signers")
+    pairs = candidates(rows)
+    for end in ("row", "leader"):
+        pairs = pairs.join(same, F.col(end) == F.col("_row"), "left").withColumn(end, F.coalesce("node", end)).drop("_row", "node")
+    pairs = materialize(pairs.filter("row <> leader").distinct(), "pairs")
+    component = materialize(components(pairs.select(F.col("row").alias("a"), F.col("leader").alias("b"))), "component")
+    star = pairs.unionByName(pairs.select(F.col("leader").alias("row"), "leader").distinct())
+    stars = star.select(F.col("leader").alias("cluster"), F.col("row").alias("node")).join(classes, "node")
+    wholes = component.withColumnRenamed("component", "cluster").join(classes, "node")
+    blocks = F.ceil(F.col("total") / block).cast("int")
+    sized = lambda df: df.groupBy("cluster").agg(F.sum("n").alias("total")).select("cluster", blocks.alias("blocks"), (F.col("total") * blocks).alias("cost"))
+    star_sizes = sized(stars).join(component.withColumnRenamed("node", "cluster"), "cluster")
+    whole_sizes = sized(wholes).join(star_sizes.groupBy(F.col("component").alias("cluster")).agg(F.sum("cost").alias("star_cost")), "cluster")
+    plans = materialize(whole_sizes.select("cluster", "blocks", (F.col("cost") <= F.col("star_cost")).alias("whole")), "plans")
+    apart = star_sizes.select("cluster", "blocks", "component").join(plans.filter("NOT whole").select(F.col("cluster").alias("component")), "component", "left_semi")
+    member = stars.join(apart, "cluster").drop("component").unionByName(wholes.join(plans.filter("whole").drop("whole"), "cluster"))
+    member = member.select("cluster", "node", "key", F.col("least").alias("_id"), "blocks", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int").alias("block"))
     member = materialize(member, "members")
     texts = docs.select(F.col(id_col).alias("_tid"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("_text"))
-    whole = texts.join(member.hint("shuffle_hash"), F.col("_id").eqNullSafe(F.col("_tid"))).drop("_tid")
+    # a merge join at every size: it can spill, and the plan does not change as tables grow
+    whole = texts.join(member.hint("merge"), F.col("_id").eqNullSafe(F.col("_tid"))).drop("_tid")
     found = components(links(whole, size, t))
 
     merged = classes.join(found.withColumnRenamed("component", "_c"), "node", "left").withColumn("_c", F.coalesce("_c", "node"))
     merged = materialize(merged.select("key", "_c", "least", "rows"), "merged")
     label = merged.groupBy("_c").agg(F.min("least").alias("component_id"))
     named = materialize(merged.join(label, "_c").select("key", "component_id", "rows"), "named")
-    out = attach_groups(rows.select("_id", "n", "key"), named, "key", "rows", F.xxhash64("_id"))
+    out = attach_groups(rows.select("_id", "row", "n", "key"), named, "key", "rows", F.col("row"))
     return out.select(F.col("_id").alias(id_col), F.col("n").alias("n_shingles"), F.when(F.col("key").isNull(), F.col("_id")).otherwise(F.col("component_id")).alias("component_id"))
 
 

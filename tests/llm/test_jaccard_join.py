@@ -19,8 +19,8 @@ def shingle_set(text, size=3):
     return {tuple(words[i : i + size]) for i in range(len(words) - size + 1)}
 
 
-def brute(rows, percent=90):
-    sets = [shingle_set(t) for _, t in rows]
+def brute(rows, percent=90, size=3):
+    sets = [shingle_set(t, size) for _, t in rows]
     parent = list(range(len(rows)))
 
     def find(x):
@@ -68,6 +68,14 @@ def corpus(seed, n):
     return out
 
 
+@pytest.mark.parametrize("seed", [5, 6])
+def test_components_at_four_fifths_on_five_words(spark, seed):
+    rows = [*corpus(seed, 200), (100_000, None), (100_001, "one two"), (100_002, "ONE two")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = sorted(((r.doc_id, r.n_shingles, r.component_id) for r in J.jaccard_components(docs, 80, 5, block=3000).collect()), key=repr)
+    assert got == brute(rows, 80, 5)
+
+
 @pytest.mark.parametrize(("seed", "block"), [(1, J.BLOCK), (2, 400)])
 def test_components_equal_all_pairs(spark, seed, block):
     rows = [*corpus(seed, 160), (100_000, None), (100_001, ""), (None, "no id " * 5), (None, None), (100_002, "Repeated ROW"), (100_002, "repeated row"), (100_003, "word " * 30_000)]
@@ -81,9 +89,9 @@ def test_empty_table(spark):
 
 
 @settings(max_examples=150, deadline=None)
-@given(st.integers(1, 400), st.integers(0, 30), st.integers(0, 30), st.integers(0, 10**6))
-def test_linked_sets_share_a_signature(common, only_a, only_b, seed):
-    t = J.Threshold(90)
+@given(st.integers(1, 400), st.integers(0, 30), st.integers(0, 30), st.integers(0, 10**6), st.sampled_from([90, 80, 50]))
+def test_linked_sets_share_a_signature(common, only_a, only_b, seed, percent):
+    t = J.Threshold(percent)
     rng = np.random.default_rng(seed)
     pool = np.unique(rng.integers(0, 2**64, common + only_a + only_b, dtype=np.uint64))
     rng.shuffle(pool)
@@ -101,6 +109,35 @@ def test_divide_skip_counts(lists, need):
     assert dict(zip(items.tolist(), counts.tolist(), strict=True)) == want
 
 
+def test_combined_signatures_keep_all():
+    r = np.random.default_rng(4)
+    sigs = [np.unique(r.integers(0, 40, r.integers(0, 6))).astype(np.uint64) for _ in range(30)]
+    own, followed, more, firsts = (x.to_pylist() for x in J.combined(sigs, 1000))
+    first = {}
+    for i, x in enumerate(sigs):
+        assert sorted(own[i]) == sorted(v for v in x.tolist() if v not in first)
+        assert sorted(zip(more[i], firsts[i], strict=True)) == sorted((v, 1000 + first[v]) for v in x.tolist() if v in first)
+        for v in x.tolist():
+            first.setdefault(v, i)
+    count = {v: sum(v in x for x in sigs) for v in first}
+    assert all(f == (count[v] > 1) for x, y in zip(own, followed, strict=True) for v, f in zip(x, y, strict=True))
+    assert [x.to_pylist() for x in J.combined([], 0)] == [[], [], [], []]
+
+
+def test_candidates_share_a_leader(spark):
+    """Rows of one signature have one leader, in whatever pieces and tasks they are."""
+    r = np.random.default_rng(2)
+    sigs = [np.unique(r.integers(0, 60, r.integers(0, 5))).astype(np.uint64) for _ in range(200)]
+    rows = []
+    for at in range(0, 200, 40):
+        lists = [x.to_pylist() for x in J.combined(sigs[at : at + 40], at)]
+        rows += [(at + i, *(x[i] for x in lists)) for i in range(40)]
+    table = spark.createDataFrame(rows, "row long, sigs array<long>, followed array<boolean>, more array<long>, firsts array<long>")
+    got = {(x.row, x.leader) for x in J.candidates(table).collect()}
+    holders = {v: [i for i, x in enumerate(sigs) if v in x] for v in range(60)}
+    assert got == {(i, h[0]) for h in holders.values() for i in h[1:]}
+
+
 def test_components_of_chains_stars_and_loops(spark):
     edges = [(i, i + 1) for i in range(50)] + [(100, i) for i in range(101, 140)] + [(7, 7), (200, 201), (201, 200)]
     got = {r.node: r.component for r in C.components(spark.createDataFrame(edges, "a long, b long")).collect()}

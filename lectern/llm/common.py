@@ -1,16 +1,19 @@
-"""What the operators of this subpackage share: the work folder, skew-safe attachment of group values, small Arrow batches."""
+"""What the operators of this subpackage share: the work folder, skew-safe attachment of group values, skew-safe sharing of
+values between rows, small Arrow batches."""
 
 from __future__ import annotations
 
 import contextlib
 from collections.abc import Iterator
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lectern.plans.workspace import materialize, new_path, shared_dir
 
-__all__ = ["arrow_batches", "attach_groups", "free_name", "materialize", "new_path", "shared_dir"]
+__all__ = ["arrow_batches", "attach_groups", "combined", "discard", "free_name", "materialize", "new_path", "shared_dir"]
 
 #: A group counts as hot when it holds at least one row in this many; so there are at most this many hot groups.
 HOT_SHARE = 1000
@@ -28,6 +31,46 @@ def arrow_batches(spark: SparkSession, rows: int) -> Iterator[None]:
         spark.conf.set(name, before)
 
 
+def discard(table: DataFrame) -> None:
+    """Delete a materialized table whose results have been materialized in their turn; shuffle files that nothing refers to any
+    more go with the next collection of the driver's garbage, which is asked for."""
+    spark = table.sparkSession
+    for folder in {name.rsplit("/", 1)[0] for name in table.inputFiles()}:
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    spark._jvm.System.gc()
+
+
+def _lists(owner: np.ndarray, values: np.ndarray, n: int) -> pa.ListArray:
+    """The values of each of n owners; owner: ascending."""
+    return pa.ListArray.from_arrays(pa.array(np.searchsorted(owner, np.arange(n + 1)), pa.int32()), pa.array(values))
+
+
+def combined(values: list[np.ndarray], first: int, *others: list[np.ndarray]) -> list[pa.ListArray]:
+    """Each of rows first, first + 1, .. has some 64-bit values, and others in step with them. Of each row: the values that stand
+    nowhere before, whether they come again after, and their others; then its values that do stand before, the rows that have
+    them first, and their others.
+
+    So a value that very many rows share costs one entry a piece of rows, under which the rest are found again.
+    """
+    n = len(values)
+    owner = np.repeat(np.arange(n), [len(x) for x in values])
+    flat = np.concatenate([*values, np.empty(0, np.uint64)])
+    order = np.argsort(flat, kind="stable")
+    flat, owner = flat[order].view(np.int64), owner[order]
+    rest = [np.concatenate(x)[order] if x else np.empty(0, np.int32) for x in others]
+    new = np.ones(len(flat), bool)
+    new[1:] = flat[1:] != flat[:-1]
+    followed = new & ~np.append(new[1:], True)[: len(new)]
+    leader = owner[np.maximum.accumulate(np.where(new, np.arange(len(flat)), 0))]
+    out = []
+    for mask, kept in ((new, (flat, followed, *rest)), (~new, (flat, first + leader, *rest))):
+        by = np.flatnonzero(mask)
+        by = by[np.argsort(owner[by], kind="stable")]
+        out += [_lists(owner[by], x[by], n) for x in kept]
+    return out
+
+
 def free_name(df: DataFrame, stem: str) -> str:
     """A column name that df does not have yet."""
     taken = {c.lower() for c in df.columns}

@@ -38,7 +38,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lectern.llm.common import attach_groups, materialize
+from lectern.llm.common import attach_groups, combined, discard, materialize
 from lectern.operators.graph import components
 
 #: Shingles of a block; one task's index holds two blocks at most, about.
@@ -49,8 +49,8 @@ TABLE = 150_000
 MU = 0.0085
 #: Each size band goes up to so many times its start.
 RATIO = 1.25
-#: Rows signed at once.
-PIECE = 1000
+#: Rows signed at once, or as many as have so many signatures.
+PIECE, PIECE_SIGNATURES = 1000, 1 << 20
 
 _U = np.uint64
 _A, _B, _C = _U(0x9E3779B97F4A7C15), _U(0xC2B2AE3D27D4EB4F), _U(0x165667B19E3779F9)
@@ -154,31 +154,6 @@ def key_of(tokens: np.ndarray) -> bytes | None:
     return hashlib.blake2b(tokens.tobytes(), digest_size=16).digest() if len(tokens) else None
 
 
-def _lists(owner: np.ndarray, values: np.ndarray, n: int, kind: pa.DataType = pa.int64()) -> pa.ListArray:
-    """The values of each of n owners; owner: ascending."""
-    return pa.ListArray.from_arrays(pa.array(np.searchsorted(owner, np.arange(n + 1)), pa.int32()), pa.array(values, kind))
-
-
-def combined(sigs: list[np.ndarray], first: int) -> list[pa.ListArray]:
-    """Of rows first, first + 1, ..: the signatures that no row before in the list has, whether rows after have them; and the
-    other signatures, with the rows that have them first."""
-    n = len(sigs)
-    owner = np.repeat(np.arange(n), [len(x) for x in sigs])
-    values = np.concatenate([*sigs, np.empty(0, _U)])
-    order = np.argsort(values, kind="stable")
-    values, owner = values[order].view(np.int64), owner[order]
-    new = np.ones(len(values), bool)
-    new[1:] = values[1:] != values[:-1]
-    followed = new & ~np.append(new[1:], True)[: len(new)]
-    leader = owner[np.maximum.accumulate(np.where(new, np.arange(len(values)), 0))]
-    out = []
-    for mask, kept in ((new, (values, followed)), (~new, (values, first + leader))):
-        by = np.flatnonzero(mask)
-        by = by[np.argsort(owner[by], kind="stable")]
-        out += [_lists(owner[by], x[by], n, pa.bool_() if x.dtype == bool else pa.int64()) for x in kept]
-    return out
-
-
 def signed(docs: DataFrame, id_col: str, text_col: str, size: int, t: Threshold) -> DataFrame:
     """(_id, row, n, key, sigs, followed, more, firsts) of each row: row is its number, key a digest of its set, null for empty
     sets; the lists are those of `combined`, for each piece. Of rows that a task meets with one key only the first signs."""
@@ -187,21 +162,22 @@ def signed(docs: DataFrame, id_col: str, text_col: str, size: int, t: Threshold)
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingles, seen, row = Shingles(size), set(), TaskContext.get().partitionId() << 33
         for batch in batches:
-            for part in range(0, batch.num_rows, PIECE):
-                piece = batch.slice(part, PIECE)
-                counts, keys, sigs = [], [], []
-                for text in piece.column(1):
-                    tokens = shingles.of(text.as_buffer().to_pybytes() if text.is_valid else b"")
-                    key = key_of(tokens)
-                    counts.append(len(tokens))
-                    keys.append(key)
-                    sigs.append(signatures(tokens, t) if key and key not in seen else np.empty(0, _U))
-                    if key:
-                        if len(seen) > TABLE:
-                            seen.clear()
-                        seen.add(key)
-                yield pa.RecordBatch.from_arrays([piece.column(0), pa.array(range(row, row + len(piece)), pa.int64()), pa.array(counts, pa.int64()), pa.array(keys, pa.binary()), *combined(sigs, row)], names=["_id", "row", "n", "key", "sigs", "followed", "more", "firsts"])
-                row += len(piece)
+            counts, keys, sigs, held, at = [], [], [], 0, 0
+            for i, text in enumerate(batch.column(1), 1):
+                tokens = shingles.of(text.as_buffer().to_pybytes() if text.is_valid else b"")
+                key = key_of(tokens)
+                counts.append(len(tokens))
+                keys.append(key)
+                sigs.append(signatures(tokens, t) if key and key not in seen else np.empty(0, _U))
+                held += len(sigs[-1])
+                if key:
+                    if len(seen) > TABLE:
+                        seen.clear()
+                    seen.add(key)
+                if i - at == PIECE or held >= PIECE_SIGNATURES or i == batch.num_rows:
+                    yield pa.RecordBatch.from_arrays([batch.column(0)[at:i], pa.array(range(row, row + i - at), pa.int64()), pa.array(counts, pa.int64()), pa.array(keys, pa.binary()), *combined(sigs, row)], names=["_id", "row", "n", "key", "sigs", "followed", "more", "firsts"])
+                    row += i - at
+                    counts, keys, sigs, held, at = [], [], [], 0, i
 
     return source.mapInArrow(run, f"_id {source.schema['_id'].dataType.simpleString()}, row long, n long, key binary, sigs array<long>, followed array<boolean>, more array<long>, firsts array<long>")
 
@@ -396,16 +372,18 @@ def jaccard_components(docs: DataFrame, percent: int = 90, size: int = 3, id_col
     Sets are compared by 64-bit shingle hashes.
     """
     t = Threshold(percent)
-    rows = materialize(signed(docs, id_col, text_col, size, t), "signed")
+    signs = materialize(signed(docs, id_col, text_col, size, t), "signed")
+    rows = materialize(signs.select("_id", "row", "n", "key", F.expr("size(sigs) > 0 OR size(more) > 0").alias("signer")), "rows")
     classes = rows.filter("key IS NOT NULL").groupBy("key").agg(F.min("row").alias("node"), F.min("_id").alias("least"), F.first("n").alias("n"), F.count(F.lit(1)).alias("rows"))
     classes = materialize(classes, "classes")
     # rows of one class that have signed in several tasks are one node
-    signers = rows.filter("size(sigs) > 0 OR size(more) > 0").select("key", F.col("row").alias("_row"))
+    signers = rows.filter("signer").select("key", F.col("row").alias("_row"))
     same = materialize(signers.join(classes.filter("rows > 1").select("key", "node"), "key").filter("_row <> node").select("_row", "node"), "signers")
-    pairs = candidates(rows)
+    pairs = candidates(signs)
     for end in ("row", "leader"):
         pairs = pairs.join(same, F.col(end) == F.col("_row"), "left").withColumn(end, F.coalesce("node", end)).drop("_row", "node")
     pairs = materialize(pairs.filter("row <> leader").distinct(), "pairs")
+    discard(signs)
     component = materialize(components(pairs.select(F.col("row").alias("a"), F.col("leader").alias("b"))), "component")
     star = pairs.unionByName(pairs.select(F.col("leader").alias("row"), "leader").distinct())
     stars = star.select(F.col("leader").alias("cluster"), F.col("row").alias("node")).join(classes, "node")

@@ -1,15 +1,19 @@
 """Substring dedup by collinear chaining: fuzzy passages that repeat across documents.
 
-1. Seeds. Documents with the same words form a class, and the search runs between classes. A class's seeds are the minimizers
-   of its k-word runs (the least hash of each WINDOW runs in turn), so any equal stretch of K + WINDOW - 1 words has one in
-   common. A further occurrence of a run in one text counts as another seed, its number in the hash, and as the run's own too, so
-   that it meets the leader's first occurrence where the leader has fewer.
-2. Anchors. Of the classes that share a seed the first, in the order of class hashes, leads; each of the others is joined to it
-   alone, so a passage in a thousand documents makes a thousand anchors a seed, not a million.
+1. Seeds. Documents with the same words form a class, by a 128-bit digest, and the search runs between classes; a class goes by
+   the number of its first row. A class's seeds are the minimizers of its k-word runs (the least hash of each WINDOW runs in
+   turn), so any equal stretch of K + WINDOW - 1 words has one in common. A further occurrence of a run in one text counts as
+   another seed, its number in the hash, and as the run's own too, so that it meets the leader's first occurrence where the
+   leader has fewer.
+2. Anchors. Of the rows that share a seed the first leads; each of the others is joined to it alone, so a passage in a thousand
+   documents makes a thousand anchors a seed, not a million. Equal seeds are combined in each piece of rows before they are
+   dealt, so one that very many rows share costs one entry a piece.
 3. Chains. Neighbouring anchors on one diagonal merge into segments; the segments of each pair of classes are chained in order
    of both texts with a cost for the gaps (GAP for each word skipped in either), by a Fenwick tree of best prefixes.
-4. Alignment. Words of both sides are fetched, gaps between segments aligned by edit distance, and the ends extended while
-   they agree. A chain that agrees too little is split at its gaps. Pieces of one text that touch are joined, whoever they repeat; what has MIN_WORDS words is a passage.
+4. Alignment. Words of both sides are fetched, gaps between segments aligned by edit distance, and the ends extended until the
+   texts part; an end that comes to the last word fetched is taken again with WIDER times as many. A chain that agrees too
+   little is split at its gaps. Pieces of one text that touch are joined, whoever they repeat; what has MIN_WORDS words is a
+   passage.
 """
 
 from __future__ import annotations
@@ -21,21 +25,27 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lectern.llm.common import arrow_batches, attach_groups, materialize
+from lectern.llm.common import arrow_batches, attach_groups, combined, discard, materialize
 
 K, WINDOW = 5, 4
 #: Words of a passage, and the share of its words that must agree.
 MIN_WORDS, IDENTITY = 50, 0.75
 #: Cost of a skipped word. A segment is worth a third of its words, so one of K words bridges gaps of some 8 on either side.
 GAP = 0.1
-#: Words around a chain that an extension may reach; it may pass over LOOK words where AGAIN words after them agree.
-MARGIN, LOOK, AGAIN = 64, 5, 3
-#: Pieces that are this many words apart are joined.
-TOUCH = 3
+#: Words fetched around a chain at first, and by how much more where an extension uses them up.
+MARGIN, WIDER = 24, 16
+#: An extension may pass over LOOK words where AGAIN words after them agree.
+LOOK, AGAIN = 5, 3
+#: Pieces of one text that are this many words apart are joined: all that repeat one text, and those of LEAST words at least
+#: whoever they repeat, so that no passage is made up of odd ends from here and there.
+TOUCH, LEAST = 3, 16
 TABLE = 150_000
+#: Rows whose seeds are combined, or as many as have so many seeds; stretches fetched from a text at once.
+PIECE, PIECE_SEEDS, AT_ONCE = 1000, 1 << 19, 500
 
 _U = np.uint64
 _A, _B = _U(0x9E3779B97F4A7C15), _U(0xC2B2AE3D27D4EB4F)
@@ -71,8 +81,8 @@ def spans_of(text: bytes) -> np.ndarray:
     return np.stack([np.flatnonzero(edges == 1), np.flatnonzero(edges == -1)], 1)
 
 
-def class_of(words: np.ndarray) -> int:
-    return int.from_bytes(hashlib.blake2b(words.tobytes(), digest_size=8).digest(), "big", signed=True)
+def key_of(words: np.ndarray) -> bytes:
+    return hashlib.blake2b(words.tobytes(), digest_size=16).digest()
 
 
 def seeds_of(words: np.ndarray, k: int = K, window: int = WINDOW) -> tuple[np.ndarray, np.ndarray]:
@@ -107,37 +117,67 @@ def seeds_of(words: np.ndarray, k: int = K, window: int = WINDOW) -> tuple[np.nd
 
 
 def seeded(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(_id, node, n, chars, seeds, places) of each row; node is the class, n its words. Of rows that a task meets with one class only
-    the first carries seeds."""
+    """(_id, row, key, n, chars, seeds, followed, places, more, firsts, more_places) of each row: row is its number, key that of
+    its class, n its words; the lists are those of `combined`, for each piece. Of rows that a task meets with one key only the
+    first carries seeds."""
     source = docs.select(F.col(id_col).alias("_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("_text"))
+    names = ["_id", "row", "key", "n", "chars", "seeds", "followed", "places", "more", "firsts", "more_places"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words_of, seen = Words(), set()
+        words_of, seen, row = Words(), set(), TaskContext.get().partitionId() << 33
         for batch in batches:
-            for part in range(0, batch.num_rows, 1000):
-                piece = batch.slice(part, 1000)
-                nodes, counts, chars, seeds, places, offsets = [], [], [], [np.empty(0, _U)], [np.empty(0, np.int32)], [0]
-                for text in piece.column(1):
-                    data = text.as_buffer().to_pybytes()
-                    words = words_of.of(data)
-                    node = class_of(words)
-                    nodes.append(node)
-                    chars.append(len(data.decode()))
-                    counts.append(len(words))
-                    if node not in seen:
-                        if len(seen) > TABLE:
-                            seen.clear()
-                        seen.add(node)
-                        s, p = seeds_of(words)
-                        seeds.append(s)
-                        places.append(p)
-                    else:
-                        s = ()
-                    offsets.append(offsets[-1] + len(s))
-                at = pa.array(offsets, pa.int32())
-                yield pa.RecordBatch.from_arrays([piece.column(0), pa.array(nodes, pa.int64()), pa.array(counts, pa.int64()), pa.array(chars, pa.int64()), pa.ListArray.from_arrays(at, pa.array(np.concatenate(seeds).view(np.int64))), pa.ListArray.from_arrays(at, pa.array(np.concatenate(places)))], names=["_id", "node", "n", "chars", "seeds", "places"])
+            keys, counts, chars, seeds, places, held, at = [], [], [], [], [], 0, 0
+            for i, text in enumerate(batch.column(1), 1):
+                data = text.as_buffer().to_pybytes()
+                words = words_of.of(data)
+                key = key_of(words)
+                s, p = seeds_of(words) if key not in seen else (np.empty(0, _U), np.empty(0, np.int32))
+                if len(seen) > TABLE:
+                    seen.clear()
+                seen.add(key)
+                for one, value in ((keys, key), (counts, len(words)), (chars, len(data.decode())), (seeds, s), (places, p)):
+                    one.append(value)
+                held += len(s)
+                if i - at == PIECE or held >= PIECE_SEEDS or i == batch.num_rows:
+                    yield pa.RecordBatch.from_arrays([batch.column(0)[at:i], pa.array(range(row, row + i - at), pa.int64()), pa.array(keys, pa.binary()), pa.array(counts, pa.int64()), pa.array(chars, pa.int64()), *combined(seeds, row, places)], names=names)
+                    row += i - at
+                    keys, counts, chars, seeds, places, held, at = [], [], [], [], [], 0, i
+
+    return source.mapInArrow(run, f"_id {source.schema['_id'].dataType.simpleString()}, row long, key binary, n long, chars long, seeds array<long>, followed array<boolean>, places array<int>, more array<long>, firsts array<long>, more_places array<int>")
+
+
+def anchors_of(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(anchors, the table behind them): anchors(node, lead, a, b) of each seed that a row shares with a first row, the lead, at
+    words a and b."""
+    seeds = rows.filter("size(seeds) > 0").select("row", F.explode(F.arrays_zip("seeds", "followed", "places")).alias("s"))
+    seeds = seeds.select(F.col("s.seeds").alias("seed"), (F.col("row") * 2 + F.col("s.followed").cast("long")).alias("code"), F.col("s.places").alias("a"))
+    tasks = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = seeds.repartition(tasks, "seed").sortWithinPartitions("seed", "code")  # a seed comes once from each row
 
-    return source.mapInArrow(run, f"_id {source.schema['_id'].dataType.simpleString()}, node long, n long, chars long, seeds array<long>, places array<int>")
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last = None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            seed, code, a = (batch.column(i).to_numpy(zero_copy_only=False) for i in range(3))
+            row, followed = code >> 1, (code & 1).astype(bool)
+            if last is not None:  # a run may go on from the batch before
+                seed, row, a, followed = np.append(last[0], seed), np.append(last[1], row), np.append(last[2], a), np.append(False, followed)
+            start = np.maximum.accumulate(np.where(np.concatenate([[True], seed[1:] != seed[:-1]]), np.arange(len(seed)), 0))
+            lead, b = row[start], a[start]
+            last = (seed[-1:], lead[-1:], b[-1:])
+            far = row != lead
+            for mask, names in ((far, pa.nulls(int(far.sum()), pa.int64())), (followed, pa.array(seed[followed]))):
+                if mask.any():
+                    yield pa.RecordBatch.from_arrays([names, *(pa.array(x[mask]) for x in (row, lead, a, b))], names=["seed", "node", "lead", "a", "b"])
+
+    led = materialize(dealt.mapInArrow(run, "seed long, node long, lead long, a int, b int"), "led")
+    others = rows.filter("size(more) > 0").select("row", F.explode(F.arrays_zip("more", "firsts", "more_places")).alias("s"))
+    others = others.select(F.col("row").alias("node"), F.col("s.more").alias("seed"), F.col("s.firsts").alias("first"), F.col("s.more_places").alias("a"))
+    heads = led.filter("seed IS NOT NULL").select("seed", F.col("node").alias("first"), "lead", "b")
+    rest = others.join(heads, ["seed", "first"]).filter("node <> lead")
+    both = led.filter("seed IS NULL").select("node", "lead", "a", "b").unionByName(rest.select("node", "lead", "a", "b"))
+    return both.select("node", "lead", F.col("a").cast("long").alias("a"), F.col("b").cast("long").alias("b")), led
 
 
 def segments_of(a: np.ndarray, b: np.ndarray, k: int = K) -> list[tuple[int, int, int]]:
@@ -214,7 +254,12 @@ def chains_of(segments: list[tuple[int, int, int]], gap: float = GAP) -> list[li
 
 
 def edit_matches(a: np.ndarray, b: np.ndarray) -> int:
-    """Words that agree in an alignment of a and b of least edit distance; equal ends are taken off first."""
+    """Words that agree in an alignment of a and b of least edit distance, the most of all such; equal ends are taken off first.
+
+    An edit costs 1 and a replaced word a little more, so that of alignments of least distance one with most agreeing words is
+    cheapest. Rows of the table are computed at once, within a band about the diagonal; a result that fits into its band is
+    the least one of all, else the band is doubled.
+    """
     n = min(len(a), len(b))
     if not n:
         return 0
@@ -225,17 +270,33 @@ def edit_matches(a: np.ndarray, b: np.ndarray) -> int:
     if n:
         same = (a[len(a) - n :] == b[len(b) - n :])[::-1]
         tail = n if same.all() else int(same.argmin())
-    a, b = a[head : len(a) - tail].tolist(), b[head : len(b) - tail].tolist()
-    if not a or not b:
+    a, b = a[head : len(a) - tail], b[head : len(b) - tail]
+    if not len(a) or not len(b):
         return head + tail
-    row = [(j, 0) for j in range(len(b) + 1)]  # (distance, -matches)
-    for i, x in enumerate(a, 1):
-        diagonal, row[0] = row[0], (i, 0)
-        for j, y in enumerate(b, 1):
-            over = row[j]
-            row[j] = min((diagonal[0], diagonal[1] - 1) if x == y else (diagonal[0] + 1, diagonal[1]), (over[0] + 1, over[1]), (row[j - 1][0] + 1, row[j - 1][1]))
-            diagonal = over
-    return head + tail - row[-1][1]
+    if len(a) > len(b):
+        a, b = b, a
+    edit = 2 * (len(a) + 1)  # more than all replacements' extra costs
+    far, band = edit * (len(a) + len(b) + 1), max(8, 2 * (len(b) - len(a)))
+    while True:
+        low, row = 0, np.arange(min(len(b), band) + 1, dtype=np.int64) * edit  # costs of b[:low + k] against a[:i]
+        for i in range(1, len(a) + 1):
+            start, end = max(0, i - band), min(len(b), i + band)
+            up = np.full(end - start + 1, far)  # from the row before: a word of a left out, or a pair
+            kept = row[start - low :]
+            up[: len(kept)] = kept[: len(up)] + edit
+            pair = row[max(0, start - 1 - low) :]
+            to = 1 if start - 1 < low else 0
+            pair = pair[: len(up) - to]
+            words = b[start + to - 1 : start + to - 1 + len(pair)]
+            np.minimum(up[to : to + len(pair)], pair + np.where(words == a[i - 1], 0, edit + 1), out=up[to : to + len(pair)])
+            steps = np.arange(len(up), dtype=np.int64) * edit
+            row, low = np.minimum.accumulate(up - steps) + steps, start
+        cost = int(row[len(b) - low]) if len(b) - low < len(row) else far
+        if cost // edit <= band or band >= len(b):
+            break
+        band *= 2
+    distance, replaced = divmod(cost, edit)
+    return head + tail + (len(a) + len(b) - distance - replaced) // 2
 
 
 #: Words passed over in either text, nearest first.
@@ -258,8 +319,9 @@ def extension(a: np.ndarray, b: np.ndarray) -> tuple[int, int, int]:
         i, j = i + found[0], j + found[1]
 
 
-def aligned(chain: list[tuple[int, int, int]], a: np.ndarray, b: np.ndarray) -> Iterator[tuple[int, int, int, int, int]]:
-    """(start, end in a, start, end in b, agreeing words) of a chain, whose places count from the starts of a and b.
+def aligned(chain: list[tuple[int, int, int]], a: np.ndarray, b: np.ndarray, more: tuple[bool, bool, bool, bool] = (False,) * 4) -> list[tuple[int, int, int, int, int]] | None:
+    """(start, end in a, start, end in b, agreeing words) of a chain, whose places count from the starts of a and b; None if
+    an extension comes to an end where more words are to be had: before a, before b, after a, after b.
 
     Where too few words agree the chain is split at the gap with the most words that do not, and each part is aligned again, so
     that what a gap bridges does not take the passages beside it along. Ends are extended up to the neighbouring parts, unless
@@ -269,7 +331,7 @@ def aligned(chain: list[tuple[int, int, int]], a: np.ndarray, b: np.ndarray) ->
     odd = np.array([words - same for same, words in inner], np.int64)
     own = np.cumsum([0] + [int((a[x : x + n] == b[y : y + n]).sum()) for x, y, n in chain])
     within = np.cumsum([0] + [same for same, _ in inner])
-    parts = [(0, len(chain))]
+    parts, out, ahead_of = [(0, len(chain))], [], LOOK + AGAIN
     while parts:
         low, high = parts.pop()
         start, other, _ = chain[low]
@@ -279,14 +341,19 @@ def aligned(chain: list[tuple[int, int, int]], a: np.ndarray, b: np.ndarray) ->
         right = chain[high][:2] if high < len(chain) else (len(a), len(b))
         after = extension(a[i : right[0]], b[j : right[1]])
         ahead = extension(a[left[0] : start][::-1], b[left[1] : other][::-1])
+        if not low and (more[0] and start - ahead[0] < ahead_of or more[1] and other - ahead[1] < ahead_of):
+            return None
+        if high == len(chain) and (more[2] and i + after[0] + ahead_of > len(a) or more[3] and j + after[1] + ahead_of > len(b)):
+            return None
         none = (0, 0, 0)
         tries = [(start - h[0], i + t[0], other - h[1], j + t[1], agree + h[2] + t[2]) for h, t in ((ahead, after), (none, after), (ahead, none), (none, none))]
         found = next((x for x in tries if x[4] >= IDENTITY * max(x[1] - x[0], x[3] - x[2])), None)
         if found:
-            yield found
+            out.append(found)
         elif high - low > 1:
             cut = low + 1 + int(odd[low : high - 1].argmax())
             parts += [(cut, high), (low, cut)]
+    return out
 
 
 def chained(anchors: DataFrame) -> DataFrame:
@@ -327,53 +394,59 @@ def _rows(batch: pa.RecordBatch, at_once: int = 50) -> Iterator[tuple]:
         yield from zip(*(c.to_pylist() for c in batch.slice(start, at_once).columns), strict=True)
 
 
-def _packed(x: np.ndarray) -> bytes:
-    """Small numbers as their lowest bytes, then the next ones: the high bytes, all 0, compress to nothing."""
-    return np.ascontiguousarray(x.astype("<i4").view(np.uint8).reshape(-1, 4).T).tobytes()
-
+def _by_text(wants: DataFrame, classes: DataFrame, docs: DataFrame, id_col: str, text_col: str, hint: str | None) -> DataFrame:
+    """(key, wants, _text): each text once for each AT_ONCE of the stretches that wants(node, want) asks of it, about, so that one
+    that very many ask of is spread over tasks."""
+    times = wants.groupBy("node").agg(F.count(F.lit(1)).alias("c"))
+    dealt = wants.join(times, "node").withColumn("part", F.pmod(F.xxhash64("want"), F.ceil(F.col("c") / AT_ONCE)))
+    lists = dealt.groupBy("node", "part").agg(F.collect_list("want").alias("wants"))
+    named = lists.join(classes.select("node", "key", F.col("least").alias("_id")), "node").select("_id", "key", "wants")
+    texts = docs.select(F.col(id_col).alias("_tid"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("_text"))
+    return texts.join(named.hint(hint) if hint else named, F.col("_id").eqNullSafe(F.col("_tid"))).select("key", "wants", "_text")
 
-def _unpacked(data: bytes) -> np.ndarray:
-    return np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(4, -1).T).view("<i4").ravel()
 
+def _texts_of(batch: pa.RecordBatch, words_of: Words) -> Iterator[tuple[bytes, np.ndarray, list]]:
+    """(text, its words, what is wanted of it) of the rows that are of the class wanted, and do not only repeat an id."""
+    for i in range(batch.num_rows):
+        data = batch.column(2)[i].as_buffer().to_pybytes()
+        words = words_of.of(data)
+        if key_of(words) == batch.column(0)[i].as_py():
+            yield data, words, batch.column(1)[i].as_py()
 
-def _slices(requests: DataFrame, docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """requests(chain, side, node, _id, low, high, segments) with the words there: 32 bits of their hashes, and places in code points as steps and lengths."""
-    texts = docs.select(F.col(id_col).alias("_tid"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("_text"))
-    found = texts.join(requests.hint("shuffle_hash"), F.col("_id").eqNullSafe(F.col("_tid"))).select("chain", "side", "node", "low", "high", "segments", "_text")
-    kinds = {"chain": pa.int64(), "side": pa.int32(), "node": pa.int64(), "low": pa.int32(), "segments": pa.list_(pa.int32()), "words": pa.binary(), "starts": pa.binary(), "ends": pa.binary()}
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words_of, last, node, words, starts, ends = Words(), None, None, None, None, None
+def _pieces(chains: DataFrame, classes: DataFrame, docs: DataFrame, id_col: str, text_col: str, margin: int, hint: str | None) -> DataFrame:
+    """Aligned pieces (chain, node, lead, from, to, lead_from, lead_to, agree) of chains(chain, node, lead, segments), with margin
+    words on either side; those that need more have null places."""
+    size = "size(segments)"
+    sides = [
+        chains.select(F.col(who).alias("node"), F.struct("chain", F.lit(k).alias("side"), F.col(who).alias("node"), (F.col("segments")[k] - margin).alias("low"), F.expr(f"segments[{size} - 3 + {k}] + segments[{size} - 1] + {margin}").alias("high"), (F.col("segments") if k == 0 else F.lit(None).cast("array<int>")).alias("segments")).alias("want"))
+        for k, who in enumerate(("node", "lead"))
+    ]
+    kinds = {"chain": pa.int64(), "side": pa.int32(), "node": pa.int64(), "low": pa.int32(), "left": pa.int32(), "segments": pa.list_(pa.int32()), "words": pa.binary()}
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words_of, out, held = Words(), [], 0
+        written = lambda rows: pa.RecordBatch.from_arrays([pa.array([x[i] for x in rows], k) for i, k in enumerate(kinds.values())], names=list(kinds))
         for batch in batches:
-            for part in range(0, batch.num_rows, 50):
-                piece = batch.slice(part, 50)
-                chain, side, want, low, high, segments = (piece.column(i).to_pylist() for i in range(6))
-                rows = []
-                for r, text in enumerate(piece.column(6)):
-                    data = text.as_buffer().to_pybytes()
-                    if data != last:
-                        last, words = data, words_of.of(data)
-                        node = class_of(words)
-                        spans = spans_of(data)
-                        if not data.isascii():  # bytes to code points
-                            points = np.cumsum((np.frombuffer(data, np.uint8) & 0xC0) != 0x80)
-                            spans = np.stack([points[spans[:, 0]] - 1, points[spans[:, 1] - 1]], 1)
-                        starts, ends = spans[:, 0].astype("<i4"), spans[:, 1].astype("<i4")
-                    if node == want[r]:  # not another row that only repeats the id
-                        lo, hi = max(0, low[r]), min(len(words), high[r])
-                        rows.append((chain[r], side[r], want[r], lo, segments[r], words[lo:hi].astype("<u4").tobytes(), _packed(np.diff(starts[lo:hi], prepend=0)), _packed(ends[lo:hi] - starts[lo:hi])))
-                yield pa.RecordBatch.from_arrays([pa.array([x[i] for x in rows], k) for i, k in enumerate(kinds.values())], names=list(kinds))
-
-    return found.mapInArrow(run, "chain long, side int, node long, low int, segments array<int>, words binary, starts binary, ends binary")
-
-
-def _pieces(slices: DataFrame) -> DataFrame:
-    """Aligned pieces: (node, lead, from, to: words; start, end, lead_start, lead_end: code points; agree)."""
-    tasks = int(slices.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+            for _, words, wants in _texts_of(batch, words_of):
+                words = words.astype("<u4")
+                for w in wants:
+                    low, high = max(0, w["low"]), min(len(words), w["high"])
+                    out.append((w["chain"], w["side"], w["node"], low, len(words) - high, w["segments"], words[low:high].tobytes()))
+                    held += high - low
+                    if held > 1 << 19 or len(out) > 5000:
+                        yield written(out)
+                        out, held = [], 0
+        if out:
+            yield written(out)
+
+    found = _by_text(sides[0].unionByName(sides[1]), classes, docs, id_col, text_col, hint)
+    slices = found.mapInArrow(cut, "chain long, side int, node long, low int, left int, segments array<int>, words binary")
+    tasks = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     dealt = slices.repartition(tasks, "chain").sortWithinPartitions("chain", "side")
-    names = ["node", "lead", "from", "to", "start", "end", "lead_start", "lead_end", "agree"]
+    names = ["chain", "node", "lead", "from", "to", "lead_from", "lead_to", "agree"]
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def align(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         mine = None
         for batch in batches:
             out = []
@@ -384,46 +457,74 @@ def _pieces(slices: DataFrame) -> DataFrame:
                     continue
                 if mine is None or mine[0] != row[0]:
                     continue
-                _, _, node, low, flat, wa, sa, ea = mine
-                _, _, lead, other, _, wb, sb, eb = row
+                number, _, node, low, left, flat, wa = mine
+                _, _, lead, other, right, _, wb = row
                 mine = None
-                a, b = np.frombuffer(wa, "<u4"), np.frombuffer(wb, "<u4")
                 chain = [(flat[i] - low, flat[i + 1] - other, flat[i + 2]) for i in range(0, len(flat), 3)]
-                starts, s2 = np.cumsum(_unpacked(sa)), np.cumsum(_unpacked(sb))
-                ends, e2 = starts + _unpacked(ea), s2 + _unpacked(eb)
-                for i, j, x, y, agree in aligned(chain, a, b):
-                    out.append((node, lead, low + i, low + j, int(starts[i]), int(ends[j - 1]), int(s2[x]), int(e2[y - 1]), agree))
+                pieces = aligned(chain, np.frombuffer(wa, "<u4"), np.frombuffer(wb, "<u4"), (low > 0, other > 0, left > 0, right > 0))
+                if pieces is None:
+                    out.append((number, node, lead, None, None, None, None, None))
+                else:
+                    out += [(number, node, lead, low + i, low + j, other + x, other + y, agree) for i, j, x, y, agree in pieces]
             yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in out], pa.int64()) for k in range(len(names))], names=names)
 
-    return dealt.mapInArrow(run, ", ".join(f"`{n}` long" for n in names))
+    return dealt.mapInArrow(align, ", ".join(f"`{n}` long" for n in names))
 
 
-def _joined(pieces: DataFrame, min_words: int) -> DataFrame:
-    """Pieces of each class that overlap or touch, as one, from min_words on, with the longest piece's source."""
-    tasks = int(pieces.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    dealt = pieces.repartition(tasks, "node").sortWithinPartitions("node", "from", "to", "lead", "lead_start")
-    names = ["node", "start", "end", "n_words", "lead", "lead_start", "lead_end", "agree", "piece_words"]
+def _places(passages: DataFrame, classes: DataFrame, docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """(passage, side, start, end) in code points of both sides of passages(passage, node, from, to, lead, lead_from, lead_to)."""
+    sides = [passages.select(F.col(who).alias("node"), F.struct("passage", F.lit(k).alias("side"), F.col(low).alias("low"), F.col(high).alias("high")).alias("want")) for k, (who, low, high) in enumerate((("node", "from", "to"), ("lead", "lead_from", "lead_to")))]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def row(run_):
-            best = max(run_, key=lambda p: p[3] - p[2])
-            return (run_[0][0], min(p[4] for p in run_), max(p[5] for p in run_), max(p[3] for p in run_) - run_[0][2], best[1], best[6], best[7], best[8], best[3] - best[2])
-
-        held, upto = [], -1
+        words_of = Words()
         for batch in batches:
             out = []
-            for p in _rows(batch, 1000):
-                if held and (p[0] != held[0][0] or p[2] > upto + TOUCH):
-                    out.append(row(held))
-                    held = []
-                upto = max(upto, p[3]) if held else p[3]
-                held.append(p)
-            out = [r for r in out if r[3] >= min_words]
-            yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in out], pa.int64()) for k in range(len(names))], names=names)
-        if held and (last := row(held))[3] >= min_words:
-            yield pa.RecordBatch.from_arrays([pa.array([v], pa.int64()) for v in last], names=names)
+            for data, _, wants in _texts_of(batch, words_of):
+                spans = spans_of(data)
+                if not data.isascii():  # bytes to code points
+                    points = np.cumsum((np.frombuffer(data, np.uint8) & 0xC0) != 0x80)
+                    spans = np.stack([points[spans[:, 0]] - 1, points[spans[:, 1] - 1]], 1)
+                out += [(w["passage"], w["side"], int(spans[w["low"], 0]), int(spans[w["high"] - 1, 1])) for w in wants]
+            yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in out], pa.int64()) for k in range(4)], names=["passage", "side", "start", "end"])
+
+    found = _by_text(sides[0].unionByName(sides[1]), classes, docs, id_col, text_col, None)
+    # rows that repeat id and text answer alike
+    return found.mapInArrow(run, "passage long, side long, start long, end long").distinct()
+
+
+def _joined(pieces: DataFrame, min_words: int) -> DataFrame:
+    """Pieces of each class that overlap or touch, as one, from min_words on, with the longest piece's source: first those with
+    one lead, then what of these has LEAST words, whatever its lead."""
+    tasks = int(pieces.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = pieces.select("node", "from", "to", "lead", "lead_from", "lead_to", "agree").repartition(tasks, "node")
+    names = ["node", "from", "to", "lead", "lead_from", "lead_to", "agree", "piece_words"]
+
+    def run_with(same: tuple[int, ...], least: int):
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            first = best = None
+            upto = -1
+            for batch in batches:
+                out = []
+                for p in _rows(batch, 1000):
+                    if first and (any(p[k] != first[k] for k in same) or p[1] > upto + TOUCH):
+                        out.append((*first[:2], upto, *best[3:]))
+                        first = None
+                    if first is None:
+                        first, best, upto = p, p, p[2]
+                    else:
+                        upto = max(upto, p[2])
+                        best = p if p[7] > best[7] else best
+                out = [r for r in out if r[2] - r[1] >= least]
+                yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in out], pa.int64()) for k in range(len(names))], names=names)
+            if first and upto - first[1] >= least:
+                yield pa.RecordBatch.from_arrays([pa.array([v], pa.int64()) for v in (*first[:2], upto, *best[3:])], names=names)
 
-    return dealt.mapInArrow(run, ", ".join(f"`{n}` long" for n in names))
+        return run
+
+    kinds = ", ".join(f"`{n}` long" for n in names)
+    one = dealt.withColumn("piece_words", F.col("to") - F.col("from")).sortWithinPartitions("node", "lead", "from", "to", "lead_from").mapInArrow(run_with((0, 3), min(LEAST, min_words)), kinds)
+    # the rows of a class stay in its partition
+    return one.sortWithinPartitions("node", "from", "to", "lead", "lead_from").mapInArrow(run_with((0,), min_words), kinds)
 
 
 def repeated_passages(docs: DataFrame, min_words: int = MIN_WORDS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -436,32 +537,47 @@ def repeated_passages(docs: DataFrame, min_words: int = MIN_WORDS, id_col: str =
     each of the others is a single passage, whole, of min_words words at least; group_size is the class's rows. Null texts and
     those of fewer words have no passage. Null ids come last; rows that
     repeat the smallest id of a class all stand for it. An empty table gives an
-    empty result; other columns are ignored.
+    empty result; other columns are ignored. Texts of any length are taken whole: a task holds one text and the stretches asked of
+    it, then one pair of stretches.
     """
-    with arrow_batches(docs.sparkSession, 500):
-        rows = materialize(seeded(docs, id_col, text_col), "seeded")
-    classes = materialize(rows.groupBy("node").agg(F.min("_id").alias("least"), F.first("n").alias("n"), F.min_by("chars", "_id").alias("least_chars"), F.count(F.lit(1)).alias("rows")), "classes")
-    seeds = rows.filter("size(seeds) > 0").select("node", F.explode(F.arrays_zip("seeds", "places")).alias("s")).select("node", F.col("s.seeds").alias("seed"), F.col("s.places").alias("a")).filter("seed IS NOT NULL AND node IS NOT NULL")
-    # dealt by seed once: the aggregate and both sides of its join read one shuffle
-    seeds = seeds.repartition(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), "seed")
-    leads = seeds.groupBy("seed").agg(F.min(F.struct("node", "a")).alias("l"), F.max("node").alias("high")).filter("l.node < high").select("seed", F.col("l.node").alias("lead"), F.col("l.a").alias("b"))
-    # hash joins that build the smaller side, at every size
-    anchors = seeds.join(leads.hint("shuffle_hash"), "seed").filter("node <> lead").select("node", "lead", F.col("a").cast("long").alias("a"), F.col("b").cast("long").alias("b"))
-    chains = materialize(chained(anchors).withColumn("chain", F.monotonically_increasing_id()), "chains")
-
-    size = "size(segments)"
-    ends = lambda k: (F.col("segments")[0 + k] - MARGIN, F.expr(f"segments[{size} - 3 + {k}] + segments[{size} - 1] + {MARGIN}"))
-    sides = [chains.select("chain", F.lit(k).alias("side"), F.col(who).alias("node"), ends(k)[0].alias("low"), ends(k)[1].alias("high"), F.col("segments") if k == 0 else F.lit(None).cast("array<int>").alias("segments")) for k, who in enumerate(("node", "lead"))]
-    requests = materialize(sides[0].unionByName(sides[1]).join(classes.select("node", F.col("least").alias("_id")), "node"), "requests")
-    with arrow_batches(docs.sparkSession, 500):
-        passages = materialize(_joined(_pieces(_slices(requests, docs, id_col, text_col)), min_words), "passages")  # rows are whole texts and passages
-
+    spark = docs.sparkSession
+    with arrow_batches(spark, 500):
+        seeds = materialize(seeded(docs, id_col, text_col), "seeded")
+    rows = materialize(seeds.select("_id", "row", "key", "n", "chars", F.expr("size(seeds) > 0 OR size(more) > 0").alias("carries")), "rows")
+    classes = rows.groupBy("key").agg(F.min("row").alias("node"), F.min("_id").alias("least"), F.first("n").alias("n"), F.min_by("chars", "_id").alias("least_chars"), F.count(F.lit(1)).alias("rows"))
+    classes = materialize(classes, "classes")
+    # rows of one class that carry seeds in several tasks are one node
+    same = materialize(rows.filter("carries").select("key", F.col("row").alias("_row")).join(classes.filter("rows > 1").select("key", F.col("node").alias("_node")), "key").filter("_row <> _node").select("_row", "_node"), "carriers")
+    anchors, led = anchors_of(seeds)
+    chains = materialize(chained(anchors), "chains")
+    discard(seeds)
+    discard(led)
+    for end in ("node", "lead"):
+        chains = chains.join(same, F.col(end) == F.col("_row"), "left").withColumn(end, F.coalesce("_node", end)).drop("_row", "_node")
+    chains = materialize(chains.filter("node <> lead").distinct().withColumn("chain", F.monotonically_increasing_id()), "chains")
+
+    found, margin, hint = None, MARGIN, "merge"  # the first time words of very many texts are fetched: by a join that can spill
+    while True:
+        with arrow_batches(spark, 500):
+            pieces = materialize(_pieces(chains, classes, docs, id_col, text_col, margin, hint), "pieces")
+        done = pieces.filter("agree IS NOT NULL")
+        found = done if found is None else found.unionByName(done)
+        longer = pieces.filter("agree IS NULL").select("chain").distinct()
+        if longer.isEmpty():
+            break
+        chains = materialize(chains.join(longer, "chain", "left_semi"), "longer")
+        margin, hint = margin * WIDER, None
+    passages = materialize(_joined(found, min_words).withColumn("passage", F.monotonically_increasing_id()), "passages")
+    with arrow_batches(spark, 500):
+        places = materialize(_places(passages, classes, docs, id_col, text_col), "places")
+
+    at = [places.filter(F.col("side") == k).select("passage", F.col("start").alias(f"{who}start"), F.col("end").alias(f"{who}end")) for k, who in enumerate(("", "source_"))]
     source = classes.select(F.col("node").alias("lead"), F.col("least").alias("source_id"))
-    own = passages.join(source, "lead").join(classes.select("node", "least", "rows"), "node").select(
-        F.col("least").alias("_id"), "start", "end", "n_words", "source_id", F.col("lead_start").alias("source_start"), F.col("lead_end").alias("source_end"), F.round(F.col("agree") / F.greatest("piece_words", "agree"), 4).alias("identity"), F.col("rows").alias("group_size")
+    own = passages.join(at[0], "passage").join(at[1], "passage").join(source, "lead").join(classes.select("node", "least", "rows"), "node").select(
+        F.col("least").alias("_id"), "start", "end", (F.col("to") - F.col("from")).alias("n_words"), "source_id", "source_start", "source_end", F.round(F.col("agree") / F.greatest("piece_words", "agree"), 4).alias("identity"), F.col("rows").alias("group_size")
     )
     several = classes.filter(f"rows > 1 AND n >= {min_words}")
-    member = attach_groups(rows.select("_id", "node", "n", "chars"), materialize(several.drop("n"), "several"), "node", "rows", F.xxhash64("_id"), "inner")
+    member = attach_groups(rows.select("_id", "row", "key", "n", "chars"), materialize(several.drop("n"), "several"), "key", "rows", F.col("row"), "inner")
     copies = member.filter(~F.col("_id").eqNullSafe(F.col("least"))).select("_id", F.lit(0).cast("long").alias("start"), F.col("chars").alias("end"), F.col("n").alias("n_words"), F.col("least").alias("source_id"), F.lit(0).cast("long").alias("source_start"), F.col("least_chars").alias("source_end"), F.lit(1.0).alias("identity"), F.col("rows").alias("group_size"))
     return own.unionByName(copies).withColumnRenamed("_id", id_col)
 

@@ -8,6 +8,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from lectern.llm import jaccard_join as J
+from lectern.llm.common import combined
 from lectern.operators import graph as C
 
 
@@ -112,7 +113,7 @@ def test_divide_skip_counts(lists, need):
 def test_combined_signatures_keep_all():
     r = np.random.default_rng(4)
     sigs = [np.unique(r.integers(0, 40, r.integers(0, 6))).astype(np.uint64) for _ in range(30)]
-    own, followed, more, firsts = (x.to_pylist() for x in J.combined(sigs, 1000))
+    own, followed, more, firsts = (x.to_pylist() for x in combined(sigs, 1000))
     first = {}
     for i, x in enumerate(sigs):
         assert sorted(own[i]) == sorted(v for v in x.tolist() if v not in first)
@@ -121,7 +122,7 @@ def test_combined_signatures_keep_all():
             first.setdefault(v, i)
     count = {v: sum(v in x for x in sigs) for v in first}
     assert all(f == (count[v] > 1) for x, y in zip(own, followed, strict=True) for v, f in zip(x, y, strict=True))
-    assert [x.to_pylist() for x in J.combined([], 0)] == [[], [], [], []]
+    assert [x.to_pylist() for x in combined([], 0)] == [[], [], [], []]
 
 
 def test_candidates_share_a_leader(spark):
@@ -130,7 +131,7 @@ def test_candidates_share_a_leader(spark):
     sigs = [np.unique(r.integers(0, 60, r.integers(0, 5))).astype(np.uint64) for _ in range(200)]
     rows = []
     for at in range(0, 200, 40):
-        lists = [x.to_pylist() for x in J.combined(sigs[at : at + 40], at)]
+        lists = [x.to_pylist() for x in combined(sigs[at : at + 40], at)]
         rows += [(at + i, *(x[i] for x in lists)) for i in range(40)]
     table = spark.createDataFrame(rows, "row long, sigs array<long>, followed array<boolean>, more array<long>, firsts array<long>")
     got = {(x.row, x.leader) for x in J.candidates(table).collect()}

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from lectern.plans.workspace import materialize, new_path, shared_dir
 
-__all__ = ["arrow_batches", "attach_groups", "combined", "discard", "free_name", "materialize", "new_path", "shared_dir"]
+__all__ = ["arrow_batches", "attach_groups", "combined", "discard", "free_name", "materialize", "mixed", "new_path", "shared_dir", "word_hashes"]
 
 #: A group counts as hot when it holds at least one row in this many; so there are at most this many hot groups.
 HOT_SHARE = 1000
@@ -31,6 +31,37 @@ def arrow_batches(spark: SparkSession, rows: int) -> Iterator[None]:
         spark.conf.set(name, before)
 
 
+_U = np.uint64
+_SPACE = np.zeros(256, bool)
+_SPACE[[0x20, *range(0x09, 0x0E)]] = True
+#: The lowest n bytes, by n.
+_LOWEST = np.array([(1 << 8 * n) - 1 for n in range(9)], _U)
+
+
+def mixed(x: np.ndarray) -> np.ndarray:
+    """A bijection that spreads 64-bit values."""
+    x = (x ^ (x >> _U(30))) * _U(0xBF58476D1CE4E5B9)
+    x = (x ^ (x >> _U(27))) * _U(0x94D049BB133111EB)
+    return x ^ (x >> _U(31))
+
+
+def word_hashes(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """(64-bit hashes of the words of all texts in turn, where each text's words start, and the end). Words are runs of anything
+    but ASCII white space; A-Z count as lower case. Eight bytes of all words are taken at once."""
+    raw = b"\n" + b"\n".join(texts).lower() + b"\n" + bytes(8)
+    space = _SPACE[np.frombuffer(raw, np.uint8, len(raw) - 8)]
+    starts = np.flatnonzero(space[:-1] & ~space[1:]) + 1
+    length = np.flatnonzero(~space[:-1] & space[1:]) + 1 - starts
+    eight = np.ndarray((len(raw) - 7,), "<u8", raw, strides=(1,))
+    out = mixed((eight[starts] & _LOWEST[np.minimum(length, 8)]) + length.astype(_U) * _U(0x9E3779B97F4A7C15))
+    rest, at = np.flatnonzero(length > 8), 8
+    while len(rest):
+        left = length[rest] - at
+        out[rest] = mixed(out[rest] * _U(0xC2B2AE3D27D4EB4F) + (eight[starts[rest] + at] & _LOWEST[np.minimum(left, 8)]))
+        rest, at = rest[left > 8], at + 8
+    return out, np.searchsorted(starts, np.cumsum([1, *(len(t) + 1 for t in texts)]))
+
+
 def discard(table: DataFrame) -> None:
     """Delete a materialized table whose results have been materialized in their turn; shuffle files that nothing refers to any
     more go with the next collection of the driver's garbage, which is asked for."""

@@ -33,17 +33,16 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lectern.llm.common import attach_groups, combined, discard, materialize
+from lectern.llm.common import attach_groups, combined, discard, materialize, mixed, word_hashes
 from lectern.operators.graph import components
 
 #: Shingles of a block; one task's index holds two blocks at most, about.
 BLOCK = 1 << 18
-#: Words kept in a task's hash table.
+#: Classes that a task keeps in mind.
 TABLE = 150_000
 #: Weight of DivideSkip's rule for the number of long lists.
 MU = 0.0085
@@ -56,12 +55,6 @@ _U = np.uint64
 _A, _B, _C = _U(0x9E3779B97F4A7C15), _U(0xC2B2AE3D27D4EB4F), _U(0x165667B19E3779F9)
 
 
-def mixed(x: np.ndarray) -> np.ndarray:
-    x = (x ^ (x >> _U(30))) * _U(0xBF58476D1CE4E5B9)
-    x = (x ^ (x >> _U(27))) * _U(0x94D049BB133111EB)
-    return x ^ (x >> _U(31))
-
-
 @dataclass(frozen=True)
 class Threshold:
     """Linked from percent / 100 on: 100 * intersection >= percent * union."""
@@ -107,28 +100,37 @@ class Threshold:
         return out
 
 
-class Shingles:
-    """The shingle set of a text: distinct 64-bit hashes of each `size` words in turn, sorted. A-Z count as lower case."""
-
-    def __init__(self, size: int = 3):
-        self.size, self.table = size, {}
-
-    def of(self, text: bytes) -> np.ndarray:
-        words = text.lower().split()  # of bytes: ASCII letters and ASCII white space only
-        if not words:
-            return np.empty(0, _U)
-        table = self.table
-        if len(table) > TABLE:
-            table.clear()
-        for w in set(words).difference(table):
-            table[w] = xxhash.xxh3_64_intdigest(w)
-        h = np.fromiter(map(table.__getitem__, words), _U, len(words))
-        size = min(self.size, len(h))
-        n = len(h) - size + 1
-        out = np.full(n, _U(size))  # a shorter sequence is no shingle of full size
-        for i in range(size):
-            out = mixed(out * _A + h[i : n + i])
-        return np.unique(out)
+def shingles_of(texts: list[bytes], size: int) -> list[np.ndarray]:
+    """The shingle set of each text: distinct 64-bit hashes of each `size` words in turn, sorted. A-Z count as lower case."""
+    words, at = word_hashes(texts)
+    ends = at[1:] - at[:-1]
+    n = len(words) - size + 1
+    every = np.full(max(n, 0), _U(size))
+    for i in range(size):
+        every = mixed(every * _A + words[i : n + i])
+    out = []
+    for start, length in zip(at[:-1].tolist(), ends.tolist(), strict=True):
+        if length >= size:
+            one = np.sort(every[start : start + length - size + 1])
+            same = one[1:] == one[:-1]
+            out.append(one[np.concatenate([[True], ~same])] if same.any() else one)
+        else:  # the whole sequence, which is no shingle of full size
+            one = np.full(min(length, 1), _U(length))
+            for i in range(length):
+                one = mixed(one * _A + words[start + i])
+            out.append(one)
+    return out
+
+
+def texts_with_shingles(texts: pa.Array, size: int, most: int = 1 << 21) -> Iterator[np.ndarray]:
+    """The shingle set of each text, not null, for so many bytes of texts at once."""
+    held, total = [], 0
+    for i, text in enumerate(texts):
+        held.append(text.as_buffer().to_pybytes())
+        total += len(held[-1])
+        if total >= most or i == len(texts) - 1:
+            yield from shingles_of(held, size)
+            held, total = [], 0
 
 
 def signatures(tokens: np.ndarray, t: Threshold) -> np.ndarray:
@@ -160,11 +162,10 @@ def signed(docs: DataFrame, id_col: str, text_col: str, size: int, t: Threshold)
     source = docs.select(F.col(id_col).alias("_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("_text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shingles, seen, row = Shingles(size), set(), TaskContext.get().partitionId() << 33
+        seen, row = set(), TaskContext.get().partitionId() << 33
         for batch in batches:
             counts, keys, sigs, held, at = [], [], [], 0, 0
-            for i, text in enumerate(batch.column(1), 1):
-                tokens = shingles.of(text.as_buffer().to_pybytes() if text.is_valid else b"")
+            for i, tokens in enumerate(texts_with_shingles(batch.column(1), size), 1):
                 key = key_of(tokens)
                 counts.append(len(tokens))
                 keys.append(key)
@@ -186,26 +187,31 @@ def candidates(rows: DataFrame) -> DataFrame:
     """(row, leader) of each row that shares a signature with a row of a smaller number; the least one leads."""
     signs = rows.filter("size(sigs) > 0").select("row", F.explode(F.arrays_zip("sigs", "followed")).alias("s")).select(F.col("s.sigs").alias("sig"), (F.col("row") * 2 + F.col("s.followed").cast("long")).alias("code"))
     tasks = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    dealt = signs.repartition(tasks, "sig").sortWithinPartitions("sig", "code")
+    dealt = signs.repartition(tasks, "sig").sortWithinPartitions("sig")  # by one number: a radix sort
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last = None
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            sig, code = (batch.column(i).to_numpy(zero_copy_only=False) for i in (0, 1))
+        def led_by_least(sig, code):
             row, followed = code >> 1, (code & 1).astype(bool)
-            if last is not None:  # a run may go on from the batch before
-                sig, row, followed = np.append(last[0], sig), np.append(last[1], row), np.append(False, followed)
-            start = np.maximum.accumulate(np.where(np.concatenate([[True], sig[1:] != sig[:-1]]), np.arange(len(sig)), 0))
-            low = row[start]
-            last = (sig[-1:], low[-1:])
+            start = np.flatnonzero(np.concatenate([[True], sig[1:] != sig[:-1]]))
+            low = np.repeat(np.minimum.reduceat(row, start), np.diff(np.append(start, len(sig))))
             pairs = np.unique(np.stack([row, low])[:, row != low], axis=1)
-            none = pa.nulls(len(pairs[0]), pa.int64())
-            yield pa.RecordBatch.from_arrays([none, pa.array(pairs[0]), pa.array(pairs[1])], names=["sig", "row", "leader"])
+            yield pa.RecordBatch.from_arrays([pa.nulls(len(pairs[0]), pa.int64()), pa.array(pairs[0]), pa.array(pairs[1])], names=["sig", "row", "leader"])
             if followed.any():
                 yield pa.RecordBatch.from_arrays([pa.array(x[followed]) for x in (sig, row, low)], names=["sig", "row", "leader"])
 
+        held = None
+        for batch in batches:
+            now = [batch.column(i).to_numpy(zero_copy_only=False) for i in (0, 1)]
+            held = [np.concatenate(x) for x in zip(held, now, strict=True)] if held else now
+            if not len(held[0]):
+                continue
+            cut = int(np.searchsorted(held[0], held[0][-1]))  # the last run may go on in the next batch: a row for each piece at most
+            if cut:
+                yield from led_by_least(*(x[:cut] for x in held))
+                held = [x[cut:] for x in held]
+        if held and len(held[0]):
+            yield from led_by_least(*held)
+
     led = materialize(dealt.mapInArrow(run, "sig long, row long, leader long"), "led")
     # the other rows of a piece, under the number of its first one, so that a signature's rows are spread as pieces are
     others = rows.filter("size(more) > 0").select("row", F.explode(F.arrays_zip("more", "firsts")).alias("s")).select("row", F.col("s.more").alias("sig"), F.col("s.firsts").alias("first"))
@@ -334,8 +340,6 @@ def links(members: DataFrame, size: int, t: Threshold) -> DataFrame:
     dealt = pairs.repartition(tasks, "cluster", "i", "j").sortWithinPartitions("cluster", "i", "j", "node")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shingles = Shingles(size)
-
         def flush(group, nodes, blocks, sets) -> pa.RecordBatch:
             found = [(nodes[a], nodes[b]) for a, b in links_within(sets, blocks, t, group[1] != group[2])] if len(sets) > 1 else []
             return pa.RecordBatch.from_arrays([pa.array([x[k] for x in found], pa.int64()) for k in (0, 1)], names=["a", "b"])
@@ -343,13 +347,12 @@ def links(members: DataFrame, size: int, t: Threshold) -> DataFrame:
         group, nodes, blocks, sets = None, [], [], []
         for batch in batches:
             c, i, j, b, v, keys = (batch.column(k).to_pylist() for k in range(6))
-            for row, text in enumerate(batch.column(6)):
+            for row, tokens in enumerate(texts_with_shingles(batch.column(6), size)):
                 key = (c[row], i[row], j[row])
                 if key != group:
                     if group:
                         yield flush(group, nodes, blocks, sets)
                     group, nodes, blocks, sets = key, [], [], []
-                tokens = shingles.of(text.as_buffer().to_pybytes())
                 # rows that only repeat the id of a member, and further rows of a class, are passed by
                 if key_of(tokens) == keys[row] and (not nodes or nodes[-1] != v[row]):
                     nodes.append(v[row])

@@ -24,12 +24,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lectern.llm.common import arrow_batches, attach_groups, combined, discard, materialize
+from lectern.llm.common import arrow_batches, attach_groups, combined, discard, materialize, mixed, word_hashes
 
 K, WINDOW = 5, 4
 #: Words of a passage, and the share of its words that must agree.
@@ -43,6 +42,7 @@ LOOK, AGAIN = 5, 3
 #: Pieces of one text that are this many words apart are joined: all that repeat one text, and those of LEAST words at least
 #: whoever they repeat, so that no passage is made up of odd ends from here and there.
 TOUCH, LEAST = 3, 16
+#: Classes that a task keeps in mind.
 TABLE = 150_000
 #: Rows whose seeds are combined, or as many as have so many seeds; stretches fetched from a text at once.
 PIECE, PIECE_SEEDS, AT_ONCE = 1000, 1 << 19, 500
@@ -51,25 +51,9 @@ _U = np.uint64
 _A, _B = _U(0x9E3779B97F4A7C15), _U(0xC2B2AE3D27D4EB4F)
 
 
-def mixed(x: np.ndarray) -> np.ndarray:
-    x = (x ^ (x >> _U(30))) * _U(0xBF58476D1CE4E5B9)
-    x = (x ^ (x >> _U(27))) * _U(0x94D049BB133111EB)
-    return x ^ (x >> _U(31))
-
-
-class Words:
+def words_of(text: bytes) -> np.ndarray:
     """64-bit hashes of a text's words: runs of anything but ASCII white space, A-Z in lower case."""
-
-    def __init__(self):
-        self.table: dict[bytes, int] = {}
-
-    def of(self, text: bytes) -> np.ndarray:
-        words = text.lower().split()
-        if len(self.table) > TABLE:
-            self.table.clear()
-        for w in set(words).difference(self.table):
-            self.table[w] = xxhash.xxh3_64_intdigest(w)
-        return np.fromiter(map(self.table.__getitem__, words), _U, len(words))
+    return word_hashes([text])[0]
 
 
 def spans_of(text: bytes) -> np.ndarray:
@@ -96,7 +80,12 @@ def seeds_of(words: np.ndarray, k: int = K, window: int = WINDOW) -> tuple[np.nd
         runs = runs * _A + words[i : n + i]
     runs = mixed(runs)
     width = min(window, n)
-    at = np.unique(np.lib.stride_tricks.sliding_window_view(runs, width).argmin(1) + np.arange(n - width + 1))
+    m = n - width + 1
+    least, at = runs[:m].copy(), np.arange(m)
+    for i in range(1, width):
+        less = runs[i : i + m] < least
+        least[less], at[less] = runs[i : i + m][less], np.flatnonzero(less) + i
+    at = at[np.concatenate([[True], at[1:] != at[:-1]])]  # the first least place never goes back
     seeds = runs[at]
     order = np.argsort(seeds, kind="stable")
     same = np.concatenate([[False], seeds[order][1:] == seeds[order][:-1]])
@@ -116,6 +105,18 @@ def seeds_of(words: np.ndarray, k: int = K, window: int = WINDOW) -> tuple[np.nd
     return seeds, at.astype(np.int32)
 
 
+def texts_with_words(texts: pa.Array, size: int = 1 << 21) -> Iterator[tuple[bytes, np.ndarray]]:
+    """Each text, not null, with its words, hashed for so many bytes of texts at once."""
+    held, total = [], 0
+    for i, text in enumerate(texts):
+        held.append(text.as_buffer().to_pybytes())
+        total += len(held[-1])
+        if total >= size or i == len(texts) - 1:
+            words, at = word_hashes(held)
+            yield from ((data, words[at[k] : at[k + 1]]) for k, data in enumerate(held))
+            held, total = [], 0
+
+
 def seeded(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """(_id, row, key, n, chars, seeds, followed, places, more, firsts, more_places) of each row: row is its number, key that of
     its class, n its words; the lists are those of `combined`, for each piece. Of rows that a task meets with one key only the
@@ -124,12 +125,10 @@ def seeded(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     names = ["_id", "row", "key", "n", "chars", "seeds", "followed", "places", "more", "firsts", "more_places"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words_of, seen, row = Words(), set(), TaskContext.get().partitionId() << 33
+        seen, row = set(), TaskContext.get().partitionId() << 33
         for batch in batches:
             keys, counts, chars, seeds, places, held, at = [], [], [], [], [], 0, 0
-            for i, text in enumerate(batch.column(1), 1):
-                data = text.as_buffer().to_pybytes()
-                words = words_of.of(data)
+            for i, (data, words) in enumerate(texts_with_words(batch.column(1)), 1):
                 key = key_of(words)
                 s, p = seeds_of(words) if key not in seen else (np.empty(0, _U), np.empty(0, np.int32))
                 if len(seen) > TABLE:
@@ -152,24 +151,31 @@ def anchors_of(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
     seeds = rows.filter("size(seeds) > 0").select("row", F.explode(F.arrays_zip("seeds", "followed", "places")).alias("s"))
     seeds = seeds.select(F.col("s.seeds").alias("seed"), (F.col("row") * 2 + F.col("s.followed").cast("long")).alias("code"), F.col("s.places").alias("a"))
     tasks = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    dealt = seeds.repartition(tasks, "seed").sortWithinPartitions("seed", "code")  # a seed comes once from each row
+    dealt = seeds.repartition(tasks, "seed").sortWithinPartitions("seed")  # by one number: a radix sort
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last = None
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            seed, code, a = (batch.column(i).to_numpy(zero_copy_only=False) for i in range(3))
+        def anchored(seed, code, a):
             row, followed = code >> 1, (code & 1).astype(bool)
-            if last is not None:  # a run may go on from the batch before
-                seed, row, a, followed = np.append(last[0], seed), np.append(last[1], row), np.append(last[2], a), np.append(False, followed)
-            start = np.maximum.accumulate(np.where(np.concatenate([[True], seed[1:] != seed[:-1]]), np.arange(len(seed)), 0))
-            lead, b = row[start], a[start]
-            last = (seed[-1:], lead[-1:], b[-1:])
-            far = row != lead
-            for mask, names in ((far, pa.nulls(int(far.sum()), pa.int64())), (followed, pa.array(seed[followed]))):
+            start = np.flatnonzero(np.concatenate([[True], seed[1:] != seed[:-1]]))
+            length = np.diff(np.append(start, len(seed)))
+            lead = np.repeat(np.minimum.reduceat(row, start), length)
+            b = np.repeat(a[row == lead], length)  # a seed comes once from each row
+            for mask, names in ((row != lead, None), (followed, seed)):
                 if mask.any():
-                    yield pa.RecordBatch.from_arrays([names, *(pa.array(x[mask]) for x in (row, lead, a, b))], names=["seed", "node", "lead", "a", "b"])
+                    yield pa.RecordBatch.from_arrays([pa.nulls(int(mask.sum()), pa.int64()) if names is None else pa.array(names[mask]), *(pa.array(x[mask]) for x in (row, lead, a, b))], names=["seed", "node", "lead", "a", "b"])
+
+        held = None
+        for batch in batches:
+            now = [batch.column(i).to_numpy(zero_copy_only=False) for i in range(3)]
+            held = [np.concatenate(x) for x in zip(held, now, strict=True)] if held else now
+            if not len(held[0]):
+                continue
+            cut = int(np.searchsorted(held[0], held[0][-1]))  # the last run may go on in the next batch: a row for each piece at most
+            if cut:
+                yield from anchored(*(x[:cut] for x in held))
+                held = [x[cut:] for x in held]
+        if held and len(held[0]):
+            yield from anchored(*held)
 
     led = materialize(dealt.mapInArrow(run, "seed long, node long, lead long, a int, b int"), "led")
     others = rows.filter("size(more) > 0").select("row", F.explode(F.arrays_zip("more", "firsts", "more_places")).alias("s"))
@@ -359,25 +365,30 @@ def aligned(chain: list[tuple[int, int, int]], a: np.ndarray, b: np.ndarray, mor
 def chained(anchors: DataFrame) -> DataFrame:
     """(node, lead, segments) of each chain; anchors(node, lead, a, b)."""
     tasks = int(anchors.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    dealt = anchors.repartition(tasks, "node", "lead").sortWithinPartitions("node", "lead")
+    # by one number, which a radix sort can do; pairs that share it are told apart below
+    dealt = anchors.withColumn("pair", F.xxhash64("node", "lead")).repartition(tasks, "pair").sortWithinPartitions("pair")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[np.ndarray] | None = None
 
-        def flush(node, lead, a, b, final):
-            """Chains of all pairs, but of the last one, which may go on, unless final; and that one's anchors."""
-            new = np.concatenate([[True], (node[1:] != node[:-1]) | (lead[1:] != lead[:-1])])
-            first = np.flatnonzero(new)
-            last = np.append(first[1:], len(node))
-            upto = len(first) if final else len(first) - 1
-            found = lambda s, e: [[(int(a[s]), int(b[s]), K)]] if e - s == 1 else chains_of(segments_of(*np.unique(np.stack([a[s:e], b[s:e]]), axis=1)))
-            rows = [(int(node[s]), int(lead[s]), [x for seg in chain for x in seg]) for s, e in zip(first[:upto], last[:upto], strict=True) for chain in found(s, e)]
-            cut = len(node) if final else first[-1]
-            batch = pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.int64()), pa.array([r[2] for r in rows], pa.list_(pa.int32()))], names=["node", "lead", "segments"])
-            return batch, [x[cut:] for x in (node, lead, a, b)]
+        def flush(node, lead, a, b, pair, final):
+            """Chains of all pairs, but of the last ones of one number, which may go on, unless final; and their anchors."""
+            rest = len(node) if final else int(np.searchsorted(pair, pair[-1]))
+            later = [x[rest:] for x in (node, lead, a, b, pair)]
+            order = np.lexsort((lead[:rest], node[:rest], pair[:rest]))
+            node, lead, a, b = (x[:rest][order] for x in (node, lead, a, b))
+            first = np.flatnonzero(np.concatenate([[True], (node[1:] != node[:-1]) | (lead[1:] != lead[:-1])])) if rest else np.empty(0, int)
+            last = np.append(first[1:], rest)
+            found = lambda s, e: chains_of(segments_of(*np.unique(np.stack([a[s:e], b[s:e]]), axis=1)))
+            several = [(int(node[s]), int(lead[s]), [x for seg in chain for x in seg]) for s, e in zip(first, last, strict=False) if e - s > 1 for chain in found(s, e)]
+            one = first[last[: len(first)] - first == 1]  # a single anchor is a chain
+            flat = np.concatenate([np.stack([a[one], b[one], np.full(len(one), K)], 1).ravel(), np.array([x for r in several for x in r[2]], np.int64)]).astype(np.int32)
+            offsets = np.cumsum([0, *[3] * len(one), *(len(r[2]) for r in several)])
+            batch = pa.RecordBatch.from_arrays([pa.array(np.concatenate([x[one], np.array([r[k] for r in several], np.int64)])) for k, x in enumerate((node, lead))] + [pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(flat))], names=["node", "lead", "segments"])
+            return batch, later
 
         for batch in batches:
-            now = [batch.column(i).to_numpy(zero_copy_only=False) for i in range(4)]
+            now = [batch.column(i).to_numpy(zero_copy_only=False) for i in range(5)]
             held = [np.concatenate(x) for x in zip(held, now, strict=True)] if held else now
             if len(held[0]):
                 out, held = flush(*held, False)
@@ -405,13 +416,29 @@ def _by_text(wants: DataFrame, classes: DataFrame, docs: DataFrame, id_col: str,
     return texts.join(named.hint(hint) if hint else named, F.col("_id").eqNullSafe(F.col("_tid"))).select("key", "wants", "_text")
 
 
-def _texts_of(batch: pa.RecordBatch, words_of: Words) -> Iterator[tuple[bytes, np.ndarray, list]]:
-    """(text, its words, what is wanted of it) of the rows that are of the class wanted, and do not only repeat an id."""
-    for i in range(batch.num_rows):
-        data = batch.column(2)[i].as_buffer().to_pybytes()
-        words = words_of.of(data)
+def _texts_of(batch: pa.RecordBatch, places: bool = False) -> Iterator[tuple]:
+    """(words, what is wanted of them) of the rows that are of the class wanted, and do not only repeat an id; with places, the
+    text instead of its words."""
+    for i, (data, words) in enumerate(texts_with_words(batch.column(2))):
         if key_of(words) == batch.column(0)[i].as_py():
-            yield data, words, batch.column(1)[i].as_py()
+            yield data if places else words, batch.column(1)[i].values
+
+
+def _joined_batches(run, rows: int = 5000, size: int = 4 << 20):
+    """run, with its batches put together up to so many rows or bytes: a text gives a few rows each time."""
+
+    def wide(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, n, nbytes = [], 0, 0
+        for batch in run(batches):
+            held.append(batch)
+            n, nbytes = n + batch.num_rows, nbytes + batch.nbytes
+            if n >= rows or nbytes >= size:
+                yield from pa.Table.from_batches(held).combine_chunks().to_batches()
+                held, n, nbytes = [], 0, 0
+        if held:
+            yield from pa.Table.from_batches(held).combine_chunks().to_batches()
+
+    return wide
 
 
 def _pieces(chains: DataFrame, classes: DataFrame, docs: DataFrame, id_col: str, text_col: str, margin: int, hint: str | None) -> DataFrame:
@@ -422,69 +449,130 @@ def _pieces(chains: DataFrame, classes: DataFrame, docs: DataFrame, id_col: str,
         chains.select(F.col(who).alias("node"), F.struct("chain", F.lit(k).alias("side"), F.col(who).alias("node"), (F.col("segments")[k] - margin).alias("low"), F.expr(f"segments[{size} - 3 + {k}] + segments[{size} - 1] + {margin}").alias("high"), (F.col("segments") if k == 0 else F.lit(None).cast("array<int>")).alias("segments")).alias("want"))
         for k, who in enumerate(("node", "lead"))
     ]
-    kinds = {"chain": pa.int64(), "side": pa.int32(), "node": pa.int64(), "low": pa.int32(), "left": pa.int32(), "segments": pa.list_(pa.int32()), "words": pa.binary()}
+    names = ["chain", "side", "node", "low", "left", "segments", "words"]
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words_of, out, held = Words(), [], 0
-        written = lambda rows: pa.RecordBatch.from_arrays([pa.array([x[i] for x in rows], k) for i, k in enumerate(kinds.values())], names=list(kinds))
         for batch in batches:
-            for _, words, wants in _texts_of(batch, words_of):
+            for words, wants in _texts_of(batch):
                 words = words.astype("<u4")
-                for w in wants:
-                    low, high = max(0, w["low"]), min(len(words), w["high"])
-                    out.append((w["chain"], w["side"], w["node"], low, len(words) - high, w["segments"], words[low:high].tobytes()))
-                    held += high - low
-                    if held > 1 << 19 or len(out) > 5000:
-                        yield written(out)
-                        out, held = [], 0
-        if out:
-            yield written(out)
+                chain, side, node, low, high, segments = wants.flatten()
+                low, high = np.maximum(low.to_numpy(), 0), np.minimum(high.to_numpy(), len(words))
+                for at in range(0, len(low), step := max(1, (1 << 19) // max(1, int((high - low).max())))):
+                    x, y = low[at : at + step], high[at : at + step]
+                    ends = np.cumsum(y - x)
+                    flat = words[np.arange(ends[-1]) + np.repeat(x - ends + y - x, y - x)]
+                    cells = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(x), [None, pa.py_buffer(np.append(0, ends * 4)), pa.py_buffer(flat)])
+                    yield pa.RecordBatch.from_arrays([*(c[at : at + step] for c in (chain, side, node)), pa.array(x), pa.array((len(words) - y).astype(np.int32)), segments[at : at + step], cells.cast(pa.binary())], names=names)
 
     found = _by_text(sides[0].unionByName(sides[1]), classes, docs, id_col, text_col, hint)
-    slices = found.mapInArrow(cut, "chain long, side int, node long, low int, left int, segments array<int>, words binary")
+    slices = found.mapInArrow(_joined_batches(cut), "chain long, side int, node long, low int, left int, segments array<int>, words binary")
     tasks = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    dealt = slices.repartition(tasks, "chain").sortWithinPartitions("chain", "side")
+    dealt = slices.repartition(tasks, "chain").sortWithinPartitions("chain")
     names = ["chain", "node", "lead", "from", "to", "lead_from", "lead_to", "agree"]
 
     def align(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        mine = None
+        held = None
         for batch in batches:
-            out = []
-            for row in _rows(batch):
-                if row[1] == 0:
-                    if mine is None or mine[0] != row[0]:
-                        mine = row
-                    continue
-                if mine is None or mine[0] != row[0]:
-                    continue
-                number, _, node, low, left, flat, wa = mine
-                _, _, lead, other, right, _, wb = row
-                mine = None
-                chain = [(flat[i] - low, flat[i + 1] - other, flat[i + 2]) for i in range(0, len(flat), 3)]
-                pieces = aligned(chain, np.frombuffer(wa, "<u4"), np.frombuffer(wb, "<u4"), (low > 0, other > 0, left > 0, right > 0))
-                if pieces is None:
-                    out.append((number, node, lead, None, None, None, None, None))
-                else:
-                    out += [(number, node, lead, low + i, low + j, other + x, other + y, agree) for i, j, x, y, agree in pieces]
-            yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in out], pa.int64()) for k in range(len(names))], names=names)
+            table = pa.Table.from_batches([batch] if held is None else [held, batch]).combine_chunks()
+            if not table.num_rows:
+                continue
+            whole = table.to_batches()[0]
+            # a chain's rows may go on in the next batch
+            cut = int(np.searchsorted(whole.column(0).to_numpy(), whole.column(0)[-1].as_py()))
+            held = whole.slice(cut)
+            if cut:
+                yield _aligned_rows(whole.slice(0, cut), names)
+        if held is not None:
+            yield _aligned_rows(held, names)
 
     return dealt.mapInArrow(align, ", ".join(f"`{n}` long" for n in names))
 
 
+def _ends(a: np.ndarray, at: np.ndarray, a_end: np.ndarray, b: np.ndarray, to: np.ndarray, b_end: np.ndarray, step: int) -> tuple[np.ndarray, np.ndarray]:
+    """Of many pairs of stretches: the equal words from at and to on, and whether that is all that `extension` would find, with
+    all the words that it would look at at hand. step: 1 forwards, -1 backwards; the ends are the first places not to be had."""
+    n, look = len(at), LOOK + AGAIN
+    width = MARGIN - look
+    steps = np.arange(width + look) * step
+    x, y = at[:, None] + steps, to[:, None] + steps
+    there_a, there_b = (x - a_end[:, None]) * step < 0, (y - b_end[:, None]) * step < 0
+    words_a = np.where(there_a, a[np.clip(x, 0, len(a) - 1)].astype(np.int64), -1)
+    words_b = np.where(there_b, b[np.clip(y, 0, len(b) - 1)].astype(np.int64), -2)
+    same = words_a == words_b
+    run = np.where(same.all(1), same.shape[1], same.argmin(1))
+    plain = run <= width
+    rows, after = np.arange(n)[:, None], np.minimum(run, width)[:, None] + np.arange(look)
+    words_a, words_b = words_a[rows, after], words_b[rows, after]
+    for u, v in _STEPS:
+        plain &= ~(words_a[:, u : u + AGAIN] == words_b[:, v : v + AGAIN]).all(1)
+    return run, plain
+
+
+def _aligned_rows(batch: pa.RecordBatch, names: list[str]) -> pa.RecordBatch:
+    """The pieces of the chains whose slices the batch has, sorted by chain; see _pieces. Chains of one segment whose ends part
+    at once, most of all, are done together."""
+    chain, side = (batch.column(k).to_numpy() for k in (0, 1))
+    order = np.lexsort((side, chain))
+    chain, side = chain[order], side[order]
+    # rows that repeat id and text answer twice: the first of each side
+    first = np.concatenate([[True], (chain[1:] != chain[:-1]) | (side[1:] != side[:-1])])[: len(chain)]
+    order, chain, side = order[first], chain[first], side[first]
+    pair = np.flatnonzero((chain[:-1] == chain[1:]) & (side[:-1] == 0) & (side[1:] == 1)) if len(chain) else np.empty(0, int)
+    mine, other = order[pair], order[pair + 1]
+    node, low, left = (batch.column(k).to_numpy() for k in (2, 3, 4))
+    data = batch.column(6)
+    offsets = np.frombuffer(data.buffers()[1], np.int32)[data.offset : data.offset + len(data) + 1] // 4
+    words = np.frombuffer(data.buffers()[2], "<u4") if offsets[-1] else np.empty(0, "<u4")
+    lists = batch.column(5)
+    starts = lists.offsets.to_numpy()
+    flat = lists.values.to_numpy(zero_copy_only=False)
+    single = starts[mine + 1] - starts[mine] == 3
+    out: list[tuple] = []
+    done = np.zeros(len(mine), bool)
+    quick = np.flatnonzero(single)
+    if len(quick):
+        i, j = mine[quick], other[quick]
+        at, to, n = (flat[starts[i] + k] for k in range(3))
+        at, to = offsets[i] + at - low[i], offsets[j] + to - low[j]
+        after, plain = _ends(words, at + n, offsets[i + 1], words, to + n, offsets[j + 1], 1)
+        ahead, plain_too = _ends(words, at - 1, offsets[i] - 1, words, to - 1, offsets[j] - 1, -1)
+        look = LOOK + AGAIN
+        # where words that would be looked at were not fetched, more are needed
+        short = ((left[i] > 0) & (at + n + after + look > offsets[i + 1])) | ((left[j] > 0) & (to + n + after + look > offsets[j + 1]))
+        short |= ((low[i] > 0) & (at - ahead - offsets[i] < look)) | ((low[j] > 0) & (to - ahead - offsets[j] < look))
+        plain &= plain_too & ~short
+        k = np.flatnonzero(plain)
+        done[quick[k]] = True
+        i, j, at, to, n, after, ahead = (x[k] for x in (i, j, at, to, n, after, ahead))
+        place, place_too = at - offsets[i] + low[i], to - offsets[j] + low[j]
+        columns = [chain[pair[quick[k]]], node[i], node[j], place - ahead, place + n + after, place_too - ahead, place_too + n + after, n + after + ahead]
+    else:
+        columns = [np.empty(0, np.int64)] * len(names)
+    for q in np.flatnonzero(~done):
+        i, j = int(mine[q]), int(other[q])
+        own = flat[starts[i] : starts[i + 1]].tolist()
+        x, y = int(low[i]), int(low[j])
+        segments = [(own[k] - x, own[k + 1] - y, own[k + 2]) for k in range(0, len(own), 3)]
+        pieces = aligned(segments, words[offsets[i] : offsets[i + 1]], words[offsets[j] : offsets[j + 1]], (x > 0, y > 0, bool(left[i] > 0), bool(left[j] > 0)))
+        head = (int(chain[pair[q]]), int(node[i]), int(node[j]))
+        out += [(*head, None, None, None, None, None)] if pieces is None else [(*head, x + p[0], x + p[1], y + p[2], y + p[3], p[4]) for p in pieces]
+    arrays = [pa.concat_arrays([pa.array(c.astype(np.int64)), pa.array([r[k] for r in out], pa.int64())]) for k, c in enumerate(columns)]
+    return pa.RecordBatch.from_arrays(arrays, names=names)
+
+
 def _places(passages: DataFrame, classes: DataFrame, docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """(passage, side, start, end) in code points of both sides of passages(passage, node, from, to, lead, lead_from, lead_to)."""
     sides = [passages.select(F.col(who).alias("node"), F.struct("passage", F.lit(k).alias("side"), F.col(low).alias("low"), F.col(high).alias("high")).alias("want")) for k, (who, low, high) in enumerate((("node", "from", "to"), ("lead", "lead_from", "lead_to")))]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words_of = Words()
         for batch in batches:
             out = []
-            for data, _, wants in _texts_of(batch, words_of):
+            for data, wants in _texts_of(batch, places=True):
                 spans = spans_of(data)
                 if not data.isascii():  # bytes to code points
                     points = np.cumsum((np.frombuffer(data, np.uint8) & 0xC0) != 0x80)
                     spans = np.stack([points[spans[:, 0]] - 1, points[spans[:, 1] - 1]], 1)
-                out += [(w["passage"], w["side"], int(spans[w["low"], 0]), int(spans[w["high"] - 1, 1])) for w in wants]
+                out += [(w["passage"], w["side"], int(spans[w["low"], 0]), int(spans[w["high"] - 1, 1])) for w in wants.to_pylist()]
             yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in out], pa.int64()) for k in range(4)], names=["passage", "side", "start", "end"])
 
     found = _by_text(sides[0].unionByName(sides[1]), classes, docs, id_col, text_col, None)

@@ -10,6 +10,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from lectern.llm import substring_dedup as S
+from lectern.llm.common import word_hashes
 
 
 def words(r, n):
@@ -145,7 +146,7 @@ def test_each_copy_within_a_document_is_found(spark):
         texts[2 * k] = " ".join([*words(r, 20), bodies[k], *words(r, 20)])
         texts[2 * k + 1] = " ".join(x for _ in range(3) for x in [*words(r, 20), bodies[k]])
     texts[100], texts[101] = " ".join(["again"] * 3000), " ".join(["again"] * 100)  # one word: places are bounded
-    assert len(S.seeds_of(S.Words().of(texts[100].encode()))[0]) < 3000 * (1 + 1 / S.K) + 1
+    assert len(S.seeds_of(S.words_of(texts[100].encode()))[0]) < 3000 * (1 + 1 / S.K) + 1
     rows = S.repeated_passages(spark.createDataFrame(list(texts.items()), "doc_id long, text string")).collect()
     for k, body in enumerate(bodies):
         mine = [x for x in rows if x.doc_id in (2 * k, 2 * k + 1)]
@@ -190,6 +191,52 @@ def test_edit_matches(a, b):
     assert table[len(a), len(b)] >= max(len(a), len(b)) - got
 
 
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.text(alphabet="abAB é\t\n\x0b\x00\x1f\xa0😀", max_size=60).map(str.encode), max_size=5))
+def test_word_hashes_are_of_words(texts):
+    got, at = word_hashes(texts)
+    assert len(at) == len(texts) + 1
+    of = {}
+    for i, text in enumerate(texts):
+        words = text.lower().split()
+        assert at[i + 1] - at[i] == len(words) and np.array_equal(got[at[i] : at[i + 1]], S.words_of(text))
+        for word, value in zip(words, got[at[i] : at[i + 1]].tolist(), strict=True):
+            assert of.setdefault(word, value) == value
+    assert len(set(of.values())) == len(of)
+
+
+def test_chains_done_together_equal_those_done_one_by_one():
+    import pyarrow as pa
+
+    r = np.random.default_rng(8)
+    rows, want = [], []
+    for chain in range(600):
+        shared = r.integers(10, 2**31, 45)
+        a, b, at = [], [], []
+        for one in (a, b):  # equal words on both sides of a seed of five, of which some are changed in either
+            x, before = shared.copy(), r.integers(0, 4, r.integers(0, 30))
+            places = r.integers(0, 45, r.integers(0, 50))
+            x[places[(places < 20) | (places >= 25)]] = r.integers(0, 4)
+            one += [*before.tolist(), *x.tolist(), *r.integers(0, 4, r.integers(0, 30)).tolist()]
+            at.append(len(before) + 20)
+        a, b = np.array(a, "<u4"), np.array(b, "<u4")
+        low, high = (int(v) for v in r.integers(0, 30, 2))
+        cuts = [(max(0, p - low), min(len(x), p + 5 + high)) for x, p in zip((a, b), at, strict=True)]
+        for k, (x, p, (lo, hi)) in enumerate(zip((a, b), at, cuts, strict=True)):
+            rows.append((chain, k, 100 + k, lo, len(x) - hi, [at[0], at[1], 5] if k == 0 else None, x[lo:hi].tobytes()))
+        found = S.aligned([(at[0] - cuts[0][0], at[1] - cuts[1][0], 5)], a[slice(*cuts[0])], b[slice(*cuts[1])], (cuts[0][0] > 0, cuts[1][0] > 0, cuts[0][1] < len(a), cuts[1][1] < len(b)))
+        want += [(chain, 100, 101, None, None, None, None, None)] if found is None else [(chain, 100, 101, cuts[0][0] + i, cuts[0][0] + j, cuts[1][0] + x, cuts[1][0] + y, same) for i, j, x, y, same in found]
+    kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int32(), pa.int32(), pa.list_(pa.int32()), pa.binary()]
+    order = r.permutation(len(rows))  # sorted by chain only, in whatever order the sides come
+    rows = sorted((rows[i] for i in order), key=lambda x: x[0])
+    batch = pa.RecordBatch.from_arrays([pa.array([x[k] for x in rows], t) for k, t in enumerate(kinds)], names=list("abcdefg"))
+    names = ["chain", "node", "lead", "from", "to", "lead_from", "lead_to", "agree"]
+    got = S._aligned_rows(batch, names).to_pylist()
+    assert len(want) > 200 and sorted((tuple(x[n] for n in names) for x in got), key=repr) == sorted(want, key=repr)
+    again = S._aligned_rows(pa.RecordBatch.from_arrays([c.take(pa.array(np.repeat(np.arange(len(rows)), 2))) for c in batch.columns], names=list("abcdefg")), names)
+    assert again.num_rows == len(got) and S._aligned_rows(batch.slice(0, 0), names).num_rows == 0
+
+
 def test_long_alignments():
     import time
 

@@ -185,7 +185,8 @@ def signed(docs: DataFrame, id_col: str, text_col: str, size: int, t: Threshold)
 
 def candidates(rows: DataFrame) -> DataFrame:
     """(row, leader) of each row that shares a signature with a row of a smaller number; the least one leads."""
-    signs = rows.filter("size(sigs) > 0").select("row", F.explode(F.arrays_zip("sigs", "followed")).alias("s")).select(F.col("s.sigs").alias("sig"), (F.col("row") * 2 + F.col("s.followed").cast("long")).alias("code"))
+    signs = rows.filter("size(sigs) > 0").select("row", "followed", F.posexplode("sigs").alias("i", "sig"))
+    signs = signs.select("sig", (F.col("row") * 2 + F.get("followed", F.col("i")).cast("long")).alias("code"))
     tasks = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     dealt = signs.repartition(tasks, "sig").sortWithinPartitions("sig")  # by one number: a radix sort
 
@@ -214,7 +215,7 @@ def candidates(rows: DataFrame) -> DataFrame:
 
     led = materialize(dealt.mapInArrow(run, "sig long, row long, leader long"), "led")
     # the other rows of a piece, under the number of its first one, so that a signature's rows are spread as pieces are
-    others = rows.filter("size(more) > 0").select("row", F.explode(F.arrays_zip("more", "firsts")).alias("s")).select("row", F.col("s.more").alias("sig"), F.col("s.firsts").alias("first"))
+    others = rows.filter("size(more) > 0").select("row", "firsts", F.posexplode("more").alias("i", "sig")).select("row", "sig", F.get("firsts", F.col("i")).alias("first"))
     heads = led.filter("sig IS NOT NULL").select("sig", F.col("row").alias("first"), "leader")
     far = others.join(heads, ["sig", "first"]).select("row", "leader")
     return led.filter("sig IS NULL").select("row", "leader").unionByName(far).distinct()

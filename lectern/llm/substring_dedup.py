@@ -148,8 +148,8 @@ def seeded(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 def anchors_of(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(anchors, the table behind them): anchors(node, lead, a, b) of each seed that a row shares with a first row, the lead, at
     words a and b."""
-    seeds = rows.filter("size(seeds) > 0").select("row", F.explode(F.arrays_zip("seeds", "followed", "places")).alias("s"))
-    seeds = seeds.select(F.col("s.seeds").alias("seed"), (F.col("row") * 2 + F.col("s.followed").cast("long")).alias("code"), F.col("s.places").alias("a"))
+    seeds = rows.filter("size(seeds) > 0").select("row", "followed", "places", F.posexplode("seeds").alias("i", "seed"))
+    seeds = seeds.select("seed", (F.col("row") * 2 + F.get("followed", F.col("i")).cast("long")).alias("code"), F.get("places", F.col("i")).alias("a"))
     tasks = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     dealt = seeds.repartition(tasks, "seed").sortWithinPartitions("seed")  # by one number: a radix sort
 
@@ -178,8 +178,8 @@ def anchors_of(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
             yield from anchored(*held)
 
     led = materialize(dealt.mapInArrow(run, "seed long, node long, lead long, a int, b int"), "led")
-    others = rows.filter("size(more) > 0").select("row", F.explode(F.arrays_zip("more", "firsts", "more_places")).alias("s"))
-    others = others.select(F.col("row").alias("node"), F.col("s.more").alias("seed"), F.col("s.firsts").alias("first"), F.col("s.more_places").alias("a"))
+    others = rows.filter("size(more) > 0").select(F.col("row").alias("node"), "firsts", "more_places", F.posexplode("more").alias("i", "seed"))
+    others = others.select("node", "seed", F.get("firsts", F.col("i")).alias("first"), F.get("more_places", F.col("i")).alias("a"))
     heads = led.filter("seed IS NOT NULL").select("seed", F.col("node").alias("first"), "lead", "b")
     rest = others.join(heads, ["seed", "first"]).filter("node <> lead")
     both = led.filter("seed IS NULL").select("node", "lead", "a", "b").unionByName(rest.select("node", "lead", "a", "b"))
@@ -408,8 +408,8 @@ def _rows(batch: pa.RecordBatch, at_once: int = 50) -> Iterator[tuple]:
 def _by_text(wants: DataFrame, classes: DataFrame, docs: DataFrame, id_col: str, text_col: str, hint: str | None) -> DataFrame:
     """(key, wants, _text): each text once for each AT_ONCE of the stretches that wants(node, want) asks of it, about, so that one
     that very many ask of is spread over tasks."""
-    times = wants.groupBy("node").agg(F.count(F.lit(1)).alias("c"))
-    dealt = wants.join(times, "node").withColumn("part", F.pmod(F.xxhash64("want"), F.ceil(F.col("c") / AT_ONCE)))
+    often = wants.groupBy("node").agg(F.count(F.lit(1)).alias("c")).filter(F.col("c") > AT_ONCE)
+    dealt = wants.join(often, "node", "left").withColumn("part", F.when(F.col("c").isNotNull(), F.pmod(F.xxhash64("want.chain"), F.ceil(F.col("c") / AT_ONCE))).otherwise(0))
     lists = dealt.groupBy("node", "part").agg(F.collect_list("want").alias("wants"))
     named = lists.join(classes.select("node", "key", F.col("least").alias("_id")), "node").select("_id", "key", "wants")
     texts = docs.select(F.col(id_col).alias("_tid"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("_text"))
@@ -562,7 +562,7 @@ def _aligned_rows(batch: pa.RecordBatch, names: list[str]) -> pa.RecordBatch:
 
 def _places(passages: DataFrame, classes: DataFrame, docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """(passage, side, start, end) in code points of both sides of passages(passage, node, from, to, lead, lead_from, lead_to)."""
-    sides = [passages.select(F.col(who).alias("node"), F.struct("passage", F.lit(k).alias("side"), F.col(low).alias("low"), F.col(high).alias("high")).alias("want")) for k, (who, low, high) in enumerate((("node", "from", "to"), ("lead", "lead_from", "lead_to")))]
+    sides = [passages.select(F.col(who).alias("node"), F.struct(F.col("passage").alias("chain"), F.lit(k).alias("side"), F.col(low).alias("low"), F.col(high).alias("high")).alias("want")) for k, (who, low, high) in enumerate((("node", "from", "to"), ("lead", "lead_from", "lead_to")))]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -572,7 +572,7 @@ def _places(passages: DataFrame, classes: DataFrame, docs: DataFrame, id_col: st
                 if not data.isascii():  # bytes to code points
                     points = np.cumsum((np.frombuffer(data, np.uint8) & 0xC0) != 0x80)
                     spans = np.stack([points[spans[:, 0]] - 1, points[spans[:, 1] - 1]], 1)
-                out += [(w["passage"], w["side"], int(spans[w["low"], 0]), int(spans[w["high"] - 1, 1])) for w in wants.to_pylist()]
+                out += [(w["chain"], w["side"], int(spans[w["low"], 0]), int(spans[w["high"] - 1, 1])) for w in wants.to_pylist()]
             yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in out], pa.int64()) for k in range(4)], names=["passage", "side", "start", "end"])
 
     found = _by_text(sides[0].unionByName(sides[1]), classes, docs, id_col, text_col, None)

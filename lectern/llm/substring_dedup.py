@@ -408,7 +408,7 @@ def _rows(batch: pa.RecordBatch, at_once: int = 50) -> Iterator[tuple]:
 def _by_text(wants: DataFrame, classes: DataFrame, docs: DataFrame, id_col: str, text_col: str, hint: str | None) -> DataFrame:
     """(key, wants, _text): each text once for each AT_ONCE of the stretches that wants(node, want) asks of it, about, so that one
     that very many ask of is spread over tasks."""
-    often = wants.groupBy("node").agg(F.count(F.lit(1)).alias("c")).filter(F.col("c") > AT_ONCE)
+    often = materialize(wants.groupBy("node").agg(F.count(F.lit(1)).alias("c")).filter(F.col("c") > AT_ONCE), "often")  # few: the planner sees how few
     dealt = wants.join(often, "node", "left").withColumn("part", F.when(F.col("c").isNotNull(), F.pmod(F.xxhash64("want.chain"), F.ceil(F.col("c") / AT_ONCE))).otherwise(0))
     lists = dealt.groupBy("node", "part").agg(F.collect_list("want").alias("wants"))
     named = lists.join(classes.select("node", "key", F.col("least").alias("_id")), "node").select("_id", "key", "wants")

@@ -58,7 +58,7 @@ def _fold_tables() -> tuple[str, str, tuple[tuple[str, str], ...]]:
     return "".join(one), "".join(to), tuple(several)
 
 
-def fold(c: Column) -> Column:
+def fold(c: Column, marks: str = r"[̀-ͯ᪰-᫿᷀-᷿⃐-⃰︠-︯]") -> Column:
     """Without diacritics: NFKD, combining marks dropped. A translate() table built from the Unicode data; the few characters
     that expand (ligatures, fractions) are replaced first, where the text has any.
 
@@ -69,7 +69,7 @@ def fold(c: Column) -> Column:
     # letter by letter, so the expression stays small; few texts have any
     wide = F.array_join(F.transform(F.split(c, ""), lambda x: F.coalesce(table[x], x)), "")
     spread = F.when(c.rlike(there), wide).otherwise(c)
-    return F.regexp_replace(F.translate(spread, one, to), r"[̀-ͯ᪰-᫿᷀-᷿⃐-⃰︠-︯]", "")
+    return F.regexp_replace(F.translate(spread, one, to), marks, "")
 
 
 def norm(c: Column) -> Column:
@@ -79,7 +79,7 @@ def norm(c: Column) -> Column:
 
 def search_fold(c: Column) -> Column:
     """For searching: decomposed, marks U+0300 to U+036F dropped, lower case; punctuation stays."""
-    return F.lower(fold(c))
+    return F.lower(fold(c, r"[\u0300-\u036f]"))
 
 
 def row_key(author: Column, title: Column, year: Column) -> Column:
@@ -332,3 +332,40 @@ def imprint_parts(other: Column) -> Column:
     taken = F.when((n > 1) & F.get(bits, F.lit(1)).rlike(state), 2).when(n > 1, 1).when((n == 1) & F.get(bits, F.lit(0)).rlike(state), 1).otherwise(0)
     rest = F.slice(bits, taken + 1, F.greatest(n, F.lit(1)))
     return F.struct(F.array_join(F.slice(bits, F.lit(1), taken), ", ").alias("place"), F.array_join(rest, ", ").alias("publisher"), F.btrim(F.regexp_extract(F.coalesce(other, F.lit("")), r"In: ([^|]+)", 1)).alias("container"))
+
+
+#: The year before each era's first, and numerals.
+ERAS = {"明治": 1867, "大正": 1911, "昭和": 1925, "慶応": 1864, "元治": 1863, "文久": 1860, "万延": 1859, "安政": 1853}
+NUMERALS = {"元": 1, "一": 1, "二": 2, "三": 3, "四": 4, "五": 5, "六": 6, "七": 7, "八": 8, "九": 9, "十": 10}
+ERA_DATE = f"({'|'.join(ERAS)})" + r"\s*([0-9]+|元|[一二三四五六七八九十]+)"
+
+
+def _looked_up(table: dict[str, int], c: Column, default: int) -> Column:
+    return F.coalesce(F.create_map(*(F.lit(x) for pair in table.items() for x in pair))[c], F.lit(default))
+
+
+def numeral(c: Column) -> Column:
+    """Arabic digits, or numerals of tens and ones, as a number; 0 for what is neither."""
+    before, after = F.substring_index(c, "十", 1), F.substring_index(c, "十", -1)
+    tens = F.when(before == "", 1).otherwise(_looked_up(NUMERALS, before, 1))
+    return F.when(c.rlike("^[0-9]+$"), c.try_cast("int")).when(c.contains("十"), tens * 10 + _looked_up(NUMERALS, after, 0)).otherwise(_looked_up(NUMERALS, c, 0))
+
+
+def _era_years(c: Column) -> Column:
+    """The Gregorian year of each era date of a text; null for one whose number is none."""
+    eras, numbers = (F.regexp_extract_all(c, F.lit(ERA_DATE), F.lit(k)) for k in (1, 2))
+    return F.zip_with(eras, numbers, lambda era, n: F.when(numeral(n) > 0, _looked_up(ERAS, era, 0) + numeral(n)))
+
+
+def to_western(c: Column) -> Column:
+    """Era dates as Gregorian years; the rest stays. The text between the dates is joined with their years."""
+    text, dated = F.coalesce(c, F.lit("")), ERA_DATE + r"\s*年?"
+    printed = F.regexp_extract_all(text, F.lit(dated), F.lit(0))
+    years = F.zip_with(_era_years(text), printed, lambda year, whole: F.coalesce(year.cast("string"), whole))
+    return F.array_join(F.zip_with(F.split(text, dated, -1), F.concat(years, F.array(F.lit(""))), lambda between, year: F.concat(between, year)), "")
+
+
+def western_year(*values: Column) -> Column:
+    """The first Gregorian year in any of the values, else the first era date's."""
+    era = lambda c: F.get(F.filter(_era_years(F.coalesce(c, F.lit(""))), lambda y: y.isNotNull()), F.lit(0))
+    return F.coalesce(*(first_year(c) for c in values), *map(era, values))

@@ -6,7 +6,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lectern.functions import text as X
-from lectern.operators.linkage import TOLERANCE
+from lectern.functions.agreement import titles_agree
+from lectern.operators.linkage import TOLERANCE, kind_of
 
 _NONE = "array<string>"
 
@@ -35,6 +36,21 @@ def attach_by_identifier(rows: DataFrame, records: DataFrame, id_col: str = "id"
     return records.join(own, "identifier").groupBy(*records.columns).agg(F.min("row").alias("row"))
 
 
+def verified_by_identifier(rows: DataFrame, records: DataFrame, id_col: str = "id") -> DataFrame:
+    """(identifier, row, agrees) of each record(identifier, r_title, r_author) whose copy a row links to: whether the two describe
+    one work. Parts of works are held to the strict rule. rows: id_col, author, title, type, links."""
+    found = attach_by_identifier(rows, records.select("identifier", "r_title", "r_author"), id_col)
+    named = found.join(rows.select(F.col(id_col).alias("row"), "author", "title", "type"), "row")
+    agrees = titles_agree(F.col("title"), F.col("author"), F.col("r_title"), F.col("r_author"), F.coalesce(kind_of(F.col("type")) == "part", F.lit(False)))
+    return named.select("identifier", "row", agrees.alias("agrees"))
+
+
+def without_false_links(rows: DataFrame, records: DataFrame, id_col: str = "id") -> DataFrame:
+    """rows without the archive links whose record describes another work."""
+    wrong = verified_by_identifier(rows, records, id_col).filter(~F.col("agrees"))
+    return remove_links(rows, wrong.select(F.col("row").alias(id_col), F.concat(F.lit("https://archive.org/details/"), "identifier").alias("url")), id_col)
+
+
 def containing(rows: DataFrame, records: DataFrame, part: str = "identifier", id_col: str = "id") -> DataFrame:
     """As attach_by_identifier, by substring: an identifier that starts another one matches it too. records must be small."""
     own = rows.select(F.col(id_col).alias("row"), F.array_join(F.coalesce("links", no_strings()), "\n").alias("_all"))

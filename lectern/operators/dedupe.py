@@ -4,12 +4,22 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
+from lectern.operators.graph import components
 from lectern.plans.workspace import materialize
 
 
+def _free(df: DataFrame, stem: str) -> str:
+    """A column name that df does not have."""
+    while stem in df.columns:
+        stem += "_"
+    return stem
+
+
 def _wins(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
     return df.withColumn("_n", F.row_number().over(Window.partitionBy(*keys).orderBy(*order))).filter("_n = 1").drop("_n")
 
@@ -54,9 +64,41 @@ def numbered(df: DataFrame, *order: str, start: int = 1, name: str = "id") -> Da
 
 
 def suffixed(df: DataFrame, key: str, order: str, name: str = "key") -> DataFrame:
-    """Keys made distinct: the first of each stays, later ones get 2, 3, ... in order."""
-    n = F.row_number().over(Window.partitionBy(key).orderBy(order))
-    return df.withColumn("_n", n).withColumn(name, F.when(F.col("_n") == 1, F.col(key)).otherwise(F.concat(key, F.col("_n").cast("string")))).drop("_n")
+    """Keys made distinct, in order: each row has its key, or if that is taken its key with the first of 2, 3, ... that is free.
+
+    A key with a number can only be another row's where some key is another one and a number. Keys of which that may be so are
+    worked off one by one, each family by itself; all others by their rank.
+    """
+    rank, by_hand, node = _free(df, "_rank"), _free(df, "_family"), _free(df, "_node")
+    count = df.groupBy(F.col(key).alias("_k")).agg(F.count(F.lit(1)).alias("_c"))
+    parts = F.transform(F.sequence(F.lit(1), F.least(F.lit(9), F.length(F.regexp_extract("_k", "([0-9]*)$", 1)))), lambda d: F.struct(F.substring("_k", F.lit(1), F.length("_k") - d).alias("stem"), F.right("_k", d).try_cast("long").alias("n")))
+    ended = materialize(count, "keys").filter(F.col("_k").rlike("[0-9]$")).select("_k", "_c", F.explode(parts).alias("p"))
+    total = count.select(F.col("_k").alias("_stem"), F.col("_c").alias("_total"))
+    # a family's keys may reach each other in several steps
+    met = ended.join(total, F.col("p.stem") == F.col("_stem")).withColumn("_others", F.sum("_c").over(Window.partitionBy("_stem")))
+    clash = met.filter(F.col("p.n").between(1, F.col("_total") + F.col("_others"))).select(F.col("_stem").alias("a"), F.col("_k").alias("b"))
+    family = materialize(components(clash), "families").select(F.col("node").alias(node), F.col("component").alias(by_hand))
+    marked = df.join(family, F.col(key) == F.col(node), "left").drop(node)
+    ranked = marked.withColumn(rank, F.row_number().over(Window.partitionBy(key).orderBy(order)))
+    plain = ranked.filter(F.col(by_hand).isNull()).withColumn(name, F.when(F.col(rank) == 1, F.col(key)).otherwise(F.concat(key, F.col(rank).cast("string"))))
+
+    def probed(pdf: pd.DataFrame) -> pd.DataFrame:
+        taken, nth, out = set(), {}, []
+        for base in pdf.sort_values(order)[key]:
+            made, n = base, 2
+            if made in taken:
+                n = nth.get(base, 2)
+                while (made := f"{base}{n}") in taken:
+                    n += 1
+                nth[base] = n + 1
+            taken.add(made)
+            out.append(made)
+        return pdf.sort_values(order).assign(**{name: out})
+
+    columns = [*(c for c in df.columns if c != name), name]
+    schema = StructType([*(f for f in df.schema.fields if f.name != name), StructField(name, StringType())])
+    again = marked.filter(F.col(by_hand).isNotNull()).groupBy(by_hand).applyInPandas(lambda pdf: probed(pdf)[columns], schema)
+    return plain.select(*columns).unionByName(again)
 
 
 def gaps(df: DataFrame, group: str, number: str) -> DataFrame:

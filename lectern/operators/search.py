@@ -1,6 +1,6 @@
 """Searching the catalogue: a small query language, type rule, facets, relevance, ordering, paging, facet counts.
 
-A catalogue has id, author, title, year_num, edition, volume, links (array, null: never searched for), other, source, type,
+A catalogue has id, author, title, year, year_num, edition, volume, links (array, null: never searched for), other, source, type,
 access, language. All conditions are column expressions, so filters reach the scan and nothing leaves the JVM.
 """
 
@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from lectern.functions import text as X
 from lectern.functions.udfs import plain
+from lectern.operators.dedupe import numbered
 
 FIELDS = {"author": "fa", "title": "ft", "other": "fo", "source": "fs"}
 
@@ -61,13 +62,20 @@ def phrase_of(q: str) -> str:
     return " ".join(re.sub(r"[\"']", " ", out).split())
 
 
+#: Between the fields of fall, so that no phrase goes from one field into the next.
+BORDER = " \u0001 "
+
+
 def with_search_columns(books: DataFrame) -> DataFrame:
-    """books with folded columns fa, ft, fo, fs, fall and the number of links; written once, read by every search."""
-    blank = lambda c: F.coalesce(F.col(c), F.lit(""))
-    names = {"fa": "author", "ft": "title", "fo": "other", "fs": "source"}
-    folded = books.withColumns({k: X.search_fold(blank(c)) for k, c in names.items()})
-    every = X.search_fold(F.concat_ws(" ", *(blank(c) for c in ("author", "title", "other", "source", "edition", "volume"))))
-    return folded.withColumns({"fall": every, "nlinks": F.when(F.col("links").isNull(), 0).otherwise(F.size("links"))})
+    """books with folded columns fa, ft, fs, fo, fall and the number of links; written once, read by every search.
+
+    fo is all that a line says besides author and title: other, edition, volume, year, source and language; fall has author,
+    title and fo, with a border between them."""
+    blank = lambda c: F.coalesce(F.col(c).cast("string"), F.lit(""))
+    folded = books.withColumns({k: X.search_fold(blank(c)) for k, c in {"fa": "author", "ft": "title", "fs": "source"}.items()})
+    rest = F.concat_ws(" ", *(blank(c) for c in ("other", "edition", "volume", "year", "source", "language")))
+    folded = folded.withColumn("fo", X.search_fold(rest))
+    return folded.withColumns({"fall": F.concat_ws(BORDER, "fa", "ft", "fo"), "nlinks": F.when(F.col("links").isNull(), 0).otherwise(F.size("links"))})
 
 
 def _all(conditions) -> Column:
@@ -115,7 +123,7 @@ def condition(r: Request) -> Column:
 
 def relevance(r: Request) -> Column:
     """How well an entry answers: the phrase in the title first, then its words there, on word boundaries and close together,
-    then the author, then the rest."""
+    then the author, then the rest. The weights are fixed values."""
     words = [t.text for t in r.terms if not t.negated and t.field not in ("source", "other", "type")]
     phrase = phrase_of(r.q)
     t, a, o = F.col("ft"), F.col("fa"), F.col("fo")
@@ -170,10 +178,21 @@ def search(view: DataFrame, r: Request) -> DataFrame:
     return view.filter(condition(r)).withColumn("rel", relevance(r))
 
 
+#: Rows that a page and all before it may have to be taken as a top-k, which goes through the driver.
+TOP = 20_000
+
+
 def page(view: DataFrame, r: Request) -> DataFrame:
-    """One page of the answer, in order: a top-k, not a sort of all."""
-    found = search(view, r).orderBy(*ordering(r))
-    return found if r.size is None else found.offset(r.page * r.size).limit(r.size)
+    """One page of the answer, in order, the last one where there are not so many. Early pages are a top-k, not a sort of all;
+    later ones are cut out of the numbered answer, so that no more than a page goes to one place."""
+    found = search(view, r)
+    if r.size is None:
+        return found.orderBy(*ordering(r))
+    at = min(r.page, max(0, -(-found.count() // r.size) - 1)) if r.page > 0 else 0
+    if (at + 1) * r.size <= TOP:
+        return found.orderBy(*ordering(r)).offset(at * r.size).limit(r.size)
+    placed = numbered(found, *ordering(r), name="_place")
+    return placed.filter(F.col("_place").between(at * r.size + 1, (at + 1) * r.size)).orderBy("_place").drop("_place")
 
 
 def page_of(view: DataFrame, r: Request, entry: int) -> DataFrame:
@@ -213,6 +232,17 @@ def facet_labels(counts: DataFrame, show: str, kind: str) -> DataFrame:
     return counts.groupBy("language").agg(shown.alias("shown"), total.alias("total")).select("language", label.alias("label"))
 
 
+def labels_of(counts: DataFrame, r: Request) -> DataFrame:
+    """(language, label) as a request shows them: counts for its Show and Type; the bare language once words, years or a host
+    narrow the answer, as there are no counts for that. Several types, or types taken out, count as all."""
+    own = [t for t in r.terms if t.field == "type"]
+    wanted = [t.text for t in own if not t.negated and t.text not in ("all", "any")]
+    if re.sub(r"(^|\s)-?type:\S+", "", r.q).strip() or r.y1 or r.y2 or r.host:
+        return counts.select("language", F.col("language").alias("label")).distinct()
+    every = any(t.negated or t.text in ("all", "any") for t in own) or len(wanted) > 1
+    return facet_labels(counts, r.show, "" if every else wanted[0] if wanted else "book")
+
+
 def highlighted(c: Column, terms: list[Term]) -> Column:
     """A text with <mark> around each word whose folded form has one of the terms of two letters or more."""
     wanted = [t.text for t in terms if not t.negated and len(t.text) > 1]

@@ -54,12 +54,13 @@ def catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def build(existing: DataFrame, sources: list[tuple[str, DataFrame]], copies: DataFrame | None = None, excluded: DataFrame | None = None, fixes: DataFrame | None = None) -> DataFrame:
+def build(existing: DataFrame, sources: list[tuple[str, DataFrame]], copies: DataFrame | None = None, excluded: DataFrame | None = None, fixes: DataFrame | None = None, languages: DataFrame | None = None) -> DataFrame:
     """The published table from linked sources, in their order: each source's records are linked to what is there, what is new
     is appended, copies are attached by key, ids are given, and then rows that are not to be published go.
 
     existing and each source: (author, title, year, year_num, edition, volume, links, other, source, type, ord), ord within each;
-    copies: (rowkey, url); excluded: (rowkey); fixes: (rowkey, title).
+    copies: (rowkey, url); excluded: (rowkey); fixes: (rowkey, title); languages: (rowkey, language), as checked by hand.
+    The language is that checked by hand, else guessed from the title as the source has it; titles are corrected after that.
     """
     columns = ["author", "title", "year", "year_num", "edition", "volume", "links", "other", "source", "type"]
     rows = existing.select(F.lit(0).alias("seq"), "ord", *columns)
@@ -76,9 +77,12 @@ def build(existing: DataFrame, sources: list[tuple[str, DataFrame]], copies: Dat
     keyed = rows.withColumn("rowkey", X.row_key(F.col("author"), F.col("title"), F.col("year")))
     if copies is not None:
         keyed = attach.attach_by_key(keyed, copies)
-    if fixes is not None:
-        keyed = publish.overridden(keyed, fixes, "rowkey", ["title"])
     plain = keyed.withColumn("other", publish.strip_annotations(F.col("other")))
     named = plain.withColumn("language", language.guess(F.col("title"), F.col("other"))["language"])
+    if languages is not None:
+        checked = languages.filter("language <> ''").groupBy("rowkey").agg(F.max("language").alias("_checked"))
+        named = named.join(checked, "rowkey", "left").withColumn("language", F.coalesce("_checked", "language")).drop("_checked")
+    if fixes is not None:
+        named = publish.overridden(named, fixes, "rowkey", ["title"])
     shown = named.withColumn("title", publish.display_title(F.col("title"), F.col("language")))
     return publish.published(publish.with_ids(shown, "seq", "ord"), excluded)

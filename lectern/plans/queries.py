@@ -107,8 +107,9 @@ def volumes(spark, sf_dir):
 
 # --- searching ------------------------------------------------------------------------------------------------------------
 
-_VIEW = f"""+ v AS (SELECT *, {FOLD.format('author')} AS fa, {FOLD.format('title')} AS ft, {FOLD.format('other')} AS fo, {FOLD.format('source')} AS fs,
-  {FOLD.format("concat_ws(' ', author, title, other, source, edition, volume)")} AS fall, coalesce(len(links), 0) AS nlinks FROM cat)"""
+_VIEW = f"""+ u AS (SELECT *, {FOLD.format('author')} AS fa, {FOLD.format('title')} AS ft, {FOLD.format('source')} AS fs,
+  {FOLD.format("concat(other, ' ', edition, ' ', volume, ' ', year, ' ', source, ' ', language)")} AS fo, coalesce(len(links), 0) AS nlinks FROM cat),
+v AS (SELECT *, concat(fa, ' ', chr(1), ' ', ft, ' ', chr(1), ' ', fo) AS fall FROM u)"""
 
 
 @query(_VIEW + " SELECT id FROM v WHERE type = 'book' AND nlinks > 0 AND contains(fall, 'en') AND NOT contains(ft, 'sch') AND contains(fs, 'src1')", cat=True)
@@ -116,6 +117,33 @@ def search_terms(spark, sf_dir):
     return search.search(view(spark, sf_dir), search.Request("én -title:sch source:SRC1")).select("id")
 
 
+@query(_VIEW + " SELECT id FROM v WHERE contains(fall, '1880')", cat=True)
+def search_year(spark, sf_dir):
+    return search.search(view(spark, sf_dir), search.Request("1880 type:all", show="all")).select("id")
+
+
+@query(_VIEW + " SELECT id FROM v WHERE type = 'book' AND contains(fall, 'french') AND contains(fo, '1900')", cat=True)
+def search_language(spark, sf_dir):
+    return search.search(view(spark, sf_dir), search.Request("french other:1900", show="all")).select("id")
+
+
+@query(_VIEW + " SELECT id FROM v WHERE contains(fo, '2nd ed') AND NOT contains(fo, '2 v.')", cat=True)
+def search_edition(spark, sf_dir):
+    return search.search(view(spark, sf_dir), search.Request('type:all other:"2nd ed" -other:"2 v."', show="all")).select("id")
+
+
+@query(_VIEW + " SELECT id, contains(fall, ', en the') AS over_the_border, contains(fo, ' src1 english') AS within FROM v WHERE contains(fall, ' src1 english') OR contains(fall, ', en the')", cat=True)
+def search_borders(spark, sf_dir):
+    found = lambda q: search.search(view(spark, sf_dir), search.Request(q, show="all"))
+    both = found('"SRC1 English" type:all').select("id", F.lit(False).alias("over_the_border"), F.lit(True).alias("within"))
+    return both.unionByName(found('", en the" type:all').select("id", F.lit(True).alias("over_the_border"), F.lit(False).alias("within")))
+
+
+@query(_VIEW + ", n AS (SELECT id, row_number() OVER (ORDER BY ft, id) - 1 AS i, count(*) OVER () AS c FROM v WHERE type = 'book') SELECT id FROM n WHERE i // 40 = (c - 1) // 40", cat=True)
+def last_page(spark, sf_dir):
+    return search.page(view(spark, sf_dir), search.Request(show="all", sort="title", page=10**6, size=40)).select("id")
+
+
 @query(_VIEW + " SELECT id, type FROM v WHERE (type LIKE 'art%' OR type LIKE 'per%') AND NOT type LIKE 'arti%'", cat=True)
 def type_rule(spark, sf_dir):
     return search.search(view(spark, sf_dir), search.Request("type:art type:per -type:arti", show="all")).select("id", "type")
@@ -175,10 +203,15 @@ def facet_cube(spark, sf_dir):
     return search.facet_counts(view(spark, sf_dir))
 
 
-@query(_CUBE + " SELECT language, concat(language, ' (', CAST(coalesce(max(CASE WHEN \"show\" = 'open' AND type = 'book' THEN n END), 0) AS VARCHAR), '/', CAST(max(CASE WHEN \"show\" = 'all' AND type = '' THEN n END) AS VARCHAR), ')') AS label FROM c GROUP BY language", cat=True)
+_LABEL = "concat(language, ' (', format('{:,}', coalesce(max(CASE WHEN \"show\" = 'open' AND type = 'book' THEN n END), 0)), '/', format('{:,}', max(CASE WHEN \"show\" = 'all' AND type = '' THEN n END)), ')')"
+_TOTAL = "concat(language, ' (', format('{:,}', max(CASE WHEN \"show\" = 'all' AND type = '' THEN n END)), ')')"
+
+
+@query(_CUBE + f" SELECT language, {_LABEL} AS label, {_TOTAL} AS every, language AS narrowed FROM c GROUP BY language", cat=True)
 def facet_labels(spark, sf_dir):
-    shown = search.facet_labels(search.facet_counts(view(spark, sf_dir)), "open", "book")
-    return shown.select("language", F.replace("label", F.lit(","), F.lit("")).alias("label"))
+    counts = search.facet_counts(view(spark, sf_dir))
+    label = lambda name, **asked: search.labels_of(counts, search.Request(**asked)).withColumnRenamed("label", name)
+    return label("label", show="open").join(label("every", q="type:all", show="all"), "language").join(label("narrowed", q="the", show="all"), "language")
 
 
 @query("SELECT source, count(*) AS n FROM cat GROUP BY source", cat=True)
@@ -239,9 +272,11 @@ def page_continuity(spark, sf_dir):
     return dedupe.continuity(table(spark, sf_dir, "orders"), "o_custkey", "o_orderkey")
 
 
-@query("SELECT s AS l_suppkey FROM range(1, 200) t(s) WHERE s NOT IN (SELECT l_suppkey FROM lineitem)")
+@query("SELECT unnest(range(lo, hi + 1)) AS o_orderkey FROM (SELECT min(o_orderkey) AS lo, max(o_orderkey) + 5 AS hi FROM orders) EXCEPT SELECT o_orderkey FROM orders WHERE o_orderstatus <> 'P'")
 def missing_numbers(spark, sf_dir):
-    return dedupe.missing_numbers(table(spark, sf_dir, "lineitem"), "l_suppkey", 1, 199)
+    rows = table(spark, sf_dir, "orders")
+    low, high = rows.agg(F.min("o_orderkey"), F.max("o_orderkey")).first()
+    return dedupe.missing_numbers(rows.filter("o_orderstatus <> 'P'"), "o_orderkey", low or 0, (high if high is not None else -6) + 5)
 
 
 @query("SELECT id, value, coalesce(lag(value) OVER (PARTITION BY language ORDER BY id) <> value, true) AS is_new FROM (SELECT id, language, CASE WHEN regexp_matches(upper(strip_accents(substr(regexp_replace(CASE WHEN author <> '' THEN author ELSE title END, '^[*\\[\"''( ]+', ''), 1, 1))), '^[A-Z]$') THEN upper(strip_accents(substr(regexp_replace(CASE WHEN author <> '' THEN author ELSE title END, '^[*\\[\"''( ]+', ''), 1, 1))) ELSE '#' END AS value FROM cat)", cat=True)
@@ -309,11 +344,20 @@ def usable_links(spark, sf_dir):
     return attach.usable(both.select(item), known)
 
 
-@query("SELECT id, id AS row FROM cat WHERE id % 3 = 2", cat=True)
+@query("SELECT l.doc_id AS rid, min(c.id) AS row FROM labels l JOIN (SELECT id, unnest(links) AS url FROM cat) c ON c.url = concat('https://archive.org/details/item', CAST(l.doc_id + 1 AS VARCHAR)) GROUP BY l.doc_id", cat=True)
 def attach_by_identifier(spark, sf_dir):
-    rows = catalog(spark, sf_dir)
-    records = rows.select("id", F.concat(F.lit("item"), F.col("id").cast("string")).alias("identifier")).withColumnRenamed("id", "rid")
-    return attach.attach_by_identifier(rows, records).select(F.col("rid").alias("id"), "row")
+    labels = table(spark, sf_dir, "labels")
+    records = labels.select(F.col("doc_id").alias("rid"), F.concat(F.lit("item"), (F.col("doc_id") + 1).cast("string")).alias("identifier")).distinct()
+    return attach.attach_by_identifier(catalog(spark, sf_dir), records).select("rid", "row")
+
+
+@query("SELECT id, CASE WHEN id % 2 = 0 THEN array_to_string(list_filter(links, lambda u: NOT contains(u, 'archive.org')), ' ') ELSE array_to_string(links, ' ') END AS links FROM cat", cat=True)
+def verified_links(spark, sf_dir):
+    """Records of every second row describe another work."""
+    rows = catalog(spark, sf_dir).withColumn("title", F.concat(F.lit("Notes on Kyoto gardens; "), "title"))
+    told = F.when(F.col("id") % 2 == 0, "Railways of Tokyo; reports").otherwise(F.col("title"))
+    records = rows.select(F.concat(F.lit("item"), F.col("id").cast("string")).alias("identifier"), told.alias("r_title"), F.when(F.col("id") % 2 == 0, "Roe, R.").otherwise(F.col("author")).alias("r_author"))
+    return attach.without_false_links(rows, records).select("id", F.array_join("links", " ").alias("links"))
 
 
 @query("SELECT id, CASE WHEN links IS NULL THEN NULL WHEN id % 2 = 0 THEN array_to_string(list_filter(links, lambda u: NOT contains(u, 'archive.org')), ' ') ELSE array_to_string(links, ' ') END AS links FROM cat", cat=True)
@@ -362,13 +406,30 @@ def split_editions(spark, sf_dir):
 # --- scores ---------------------------------------------------------------------------------------------------------------
 
 
-@query("+ s AS (SELECT id, author, year_num, year_num + id % 7 AS hy, id % 2 = 0 AS named FROM cat) SELECT id, CASE WHEN named AND contains(author, ',') THEN 1 ELSE 0 END + CASE WHEN year_num IS NULL THEN 0 WHEN id % 7 <= 3 THEN 1 ELSE -1 END AS points FROM s WHERE id % 5 <> 1 AND id % 5 <> 0", cat=True)
+_GALLICA = "[" + ", ".join(f"'{w}'" for w in sorted(set(scoring.STOP["gallica"].split()))) + "]"
+
+
+@query(f"""+ s AS (SELECT id, author, year_num, list_filter(string_split({NORM.format(MAIN.format('title'))}, ' '), lambda w: length(w) >= 3 AND NOT list_contains({_GALLICA}, w)) AS mine,
+  string_split({NORM.format('title')}, ' ') AS theirs, id % 3 AS k FROM cat),
+t AS (SELECT *, len(mine) AS n, CASE WHEN k = 0 THEN len(mine) WHEN k = 1 THEN len(list_filter(mine, lambda w: list_contains(theirs[1:2], w))) ELSE 0 END AS covered FROM s)
+SELECT id, n, covered FROM t""", cat=True)
+def title_coverage(spark, sf_dir):
+    rows = catalog(spark, sf_dir)
+    mine = scoring.title_words(F.col("title"), scoring.RULES["gallica"].stop)
+    words = F.split(X.norm(F.col("title")), " ")
+    theirs = F.when(F.col("id") % 3 == 0, words).when(F.col("id") % 3 == 1, F.slice(words, 1, 2)).otherwise(F.array().cast("array<string>"))
+    return rows.select("id", F.size(mine).cast("long").alias("n"), F.size(F.filter(mine, lambda w: F.array_contains(theirs, w))).cast("long").alias("covered"))
+
+
+@query()
 def point_scores(spark, sf_dir):
-    rows = catalog(spark, sf_dir).filter("id % 5 <> 1 AND id % 5 <> 0")
+    """Every row scored against a hit with its own title, the start of it, or another; tests compare it with a plain rendering."""
+    rows, i = catalog(spark, sf_dir), F.col("id")
     years = F.array_compact(F.array("year_num"))
-    creator = F.when(F.col("id") % 2 == 0, F.col("source")).otherwise("nobody")
-    got = scoring.points(scoring.RULES["gallica"], F.lit("xyzzy plugh"), F.col("author"), years, F.lit("other words"), creator, (F.col("year_num") + F.col("id") % 7).cast("int"), F.lit("text"))
-    return rows.select("id", got["points"].alias("points"))
+    title = F.when(i % 3 == 0, F.col("title")).when(i % 3 == 1, F.substring_index("title", " ", 2)).otherwise("other words")
+    creator = F.when(i % 2 == 0, F.col("source")).otherwise("nobody")
+    got = scoring.points(scoring.RULES["gallica"], F.col("title"), F.col("author"), years, title, creator, (F.col("year_num") + i % 7).cast("int"), F.lit("text"))
+    return rows.select("id", got["points"].alias("points"), got["reasons"].alias("reasons"))
 
 
 @query("""WITH t AS (SELECT event_id AS id, event_id % 8 AS n, (event_id % 11) / 10.0::DOUBLE AS r, (event_id % 7) / 6.0::DOUBLE AS c, CASE event_id % 3 WHEN 0 THEN NULL WHEN 1 THEN true ELSE false END AS auth FROM events)
@@ -381,10 +442,44 @@ def acceptance_tiers(spark, sf_dir):
     return table(spark, sf_dir, "events").select(i.alias("id"), got.alias("tier"))
 
 
-@query()
+def _sql_list(words) -> str:
+    return "[" + ", ".join(f"'{w}'" for w in words) + "]"
+
+
+def _guess_sql() -> str:
+    """The votes in SQL, over v(id, title)."""
+    table, names = language.unambiguous(language.default_markers()), sorted({*language.MARKERS, *language.LETTERS})
+    made = []
+    for name in names:
+        own = f"list_filter(w, lambda x: list_contains({_sql_list(table.get(name, ['-']))}, x))"
+        letters = f"regexp_matches(title, '{language.LETTERS[name]}')" if name in language.LETTERS else "false"
+        made.append(f"SELECT id, '{name}' AS language, len(list_distinct({own})) AS n, {letters} AS letters, len({own}) AS hits, len(w) AS words FROM w")
+    decided = ", ".join(f"CASE WHEN len(list_filter(w, lambda x: list_contains({_sql_list(words.split())}, x))) > 0 THEN '{name}' END" for name, words in language.DECISIVE.items())
+    return f"""w AS (SELECT id, title, list_filter(regexp_extract_all(lower(title), '[\\p{{L}}\\p{{M}}]+'), lambda x: NOT list_contains({_sql_list(language.IGNORED)}, x)) AS w FROM v),
+e AS ({' UNION ALL '.join(made)}),
+s AS (SELECT id, language, n, n + CASE WHEN letters THEN 1.5::DOUBLE ELSE 0 END + CASE WHEN n > 0 AND hits / words >= 0.3 THEN 0.5 ELSE 0 END AS score FROM e WHERE n > 0 OR letters),
+r AS (SELECT *, row_number() OVER (PARTITION BY id ORDER BY score DESC, language) AS i FROM s),
+b AS (SELECT x.id, x.language, x.n, x.score, coalesce(y.score, 0) AS second FROM r x LEFT JOIN r y ON x.id = y.id AND y.i = 2 WHERE x.i = 1),
+d AS (SELECT id, list_filter([{decided}], lambda x: x IS NOT NULL) AS d FROM w),
+g AS (SELECT w.id, CASE WHEN regexp_matches(title, '[\\x{{3040}}-\\x{{30ff}}\\x{{4e00}}-\\x{{9fff}}]') THEN {{'l': '', 'c': 0.9::DOUBLE}} WHEN regexp_matches(title, '[\\x{{0400}}-\\x{{04ff}}]') THEN {{'l': 'Russian', 'c': 0.95::DOUBLE}}
+  WHEN len(w.w) = 0 THEN {{'l': 'English', 'c': 0.3::DOUBLE}} WHEN len(d.d) = 1 THEN {{'l': d.d[1], 'c': 0.85::DOUBLE}} WHEN b.id IS NULL THEN {{'l': 'English', 'c': 0.85::DOUBLE}} WHEN b.score < 2 THEN {{'l': 'English', 'c': 0.5::DOUBLE}}
+  ELSE {{'l': b.language, 'c': round(least(0.95::DOUBLE, 0.6::DOUBLE + (b.score - b.second) / 4 + 0.05::DOUBLE * least(b.n, 4)), 2)}} END AS g FROM w JOIN d USING (id) LEFT JOIN b USING (id))
+SELECT id, g.l AS guessed, g.c AS confidence FROM g"""
+
+
+@query(f"WITH v AS (SELECT doc_id AS id, coalesce(text, '') AS title FROM documents), {_guess_sql()}")
 def language_guess(spark, sf_dir):
-    got = language.guess(F.col("title"), F.lit(""))
-    return catalog(spark, sf_dir).select("id", got["language"].alias("guessed"), got["confidence"].alias("confidence"))
+    """Of whole texts, which have more markers than titles."""
+    got = language.guess(F.coalesce("text", F.lit("")), F.lit(""))
+    return table(spark, sf_dir, "documents").select(F.col("doc_id").alias("id"), got.alias("g")).select("id", F.col("g.language").alias("guessed"), F.col("g.confidence").alias("confidence"))
+
+
+@query(f"+ v AS (SELECT id, CASE id % 4 WHEN 0 THEN concat('Die Geschichte ', title) WHEN 1 THEN concat('Viajes por ', title) WHEN 2 THEN concat('Kunst und Leben ', title) ELSE title END AS title FROM cat), {_guess_sql()}", cat=True)
+def language_of_titles(spark, sf_dir):
+    i = F.col("id")
+    title = F.concat(F.when(i % 4 == 0, "Die Geschichte ").when(i % 4 == 1, "Viajes por ").when(i % 4 == 2, "Kunst und Leben ").otherwise(""), F.col("title"))
+    rows = catalog(spark, sf_dir).select("id", language.guess(title, F.lit("")).alias("g"))
+    return rows.select("id", F.col("g.language").alias("guessed"), F.col("g.confidence").alias("confidence"))
 
 
 @query()
@@ -400,10 +495,13 @@ def display_titles(spark, sf_dir):
     return catalog(spark, sf_dir).select("id", publish.display_title(F.col("title"), F.col("language")).alias("shown"))
 
 
-@query("SELECT c_custkey, concat(CAST(1867 + c_custkey % 45 AS VARCHAR), '.8') AS western FROM customer WHERE c_custkey % 45 > 0")
+@query("""SELECT c_custkey, concat(CASE c_custkey % 3 WHEN 0 THEN CAST(1868 + c_custkey % 45 AS VARCHAR) WHEN 1 THEN CAST(1912 + c_custkey % 15 AS VARCHAR) ELSE CAST(1925 + 10 * (2 + c_custkey % 4) + 3 AS VARCHAR) END, '.8; ', c_name) AS western FROM customer""")
 def era_dates(spark, sf_dir):
-    rows = table(spark, sf_dir, "customer").filter("c_custkey % 45 > 0")
-    return rows.select("c_custkey", U.to_western_dates(F.concat(F.lit("明治"), (F.col("c_custkey") % 45).cast("string"), F.lit(".8"))).alias("western"))
+    i = F.col("c_custkey")
+    kanji = F.array(*map(F.lit, "元 二 三 四 五 六 七 八 九 十 十一 十二 十三 十四 十五".split()))
+    tens = F.array(*map(F.lit, "二 三 四 五".split()))
+    printed = F.when(i % 3 == 0, F.concat(F.lit("明治"), (i % 45 + 1).cast("string"))).when(i % 3 == 1, F.concat(F.lit("大正 "), F.get(kanji, (i % 15).cast("int")), F.lit("年"))).otherwise(F.concat(F.lit("昭和"), F.get(tens, (i % 4).cast("int")), F.lit("十三 年")))
+    return table(spark, sf_dir, "customer").select("c_custkey", X.to_western(F.concat(printed, F.lit(".8; "), "c_name")).alias("western"))
 
 
 # --- publishing -----------------------------------------------------------------------------------------------------------

@@ -3,8 +3,10 @@
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from lectern.functions import udfs as U
+from lectern.functions.agreement import same_title
 from lectern.operators import attach as A
 from lectern.operators import dedupe as D
 from lectern.operators import graph
@@ -18,9 +20,23 @@ def plain_main(t):
     return (m[1] if m else t).strip(" .,;:")
 
 
-def plain_merge(existing, new, c):
+def plain_surname(a):
+    words = U.key(a.split(",")[0]).split() if "," in a else []
+    return words[-1] if 0 < len(words) <= 3 else ""
+
+
+def all_pairs(spark, rows):
+    """Whether two titles are the same, by title and strictness."""
+    keys = sorted({(U.key(plain_main(r[2])), U.key(r[2])) for r in rows})
+    one = spark.createDataFrame(keys, "a string, fa string")
+    pairs = one.crossJoin(one.toDF("b", "fb")).crossJoin(spark.createDataFrame([(True,), (False,)], "strict boolean"))
+    found = pairs.withColumn("same", same_title(*map(F.col, ("a", "b", "fa", "fb", "strict"))))
+    return {(r.a, r.b, r.fa, r.fb, r.strict): r.same for r in found.collect()}
+
+
+def plain_merge(existing, new, c, same_titles):
     """Records one by one, against everything that is live."""
-    make = lambda r: dict(ord=r[0], sur=U.heading_surname(r[1]), tk=U.key(plain_main(r[2])), full=U.key(r[2]), year=r[3], kind=r[4])
+    make = lambda r: dict(ord=r[0], sur=plain_surname(r[1]), tk=U.key(plain_main(r[2])), full=U.key(r[2]), year=r[3], kind=r[4])
     live, out = [make(r) for r in existing], {}
     everyone = [make(r) for r in [*existing, *new]]
     first = {}
@@ -37,7 +53,7 @@ def plain_merge(existing, new, c):
             if known and abs(r["year"] - it["year"]) > 3 or not known and r["tk"] != it["tk"]:
                 continue
             a, b = set(r["tk"].split()), set(it["tk"].split())
-            if len(a & b) * 2 < min(len(a), len(b)) or not U.same_title(r["tk"], it["tk"], r["full"], it["full"], strict or r["kind"] == "part"):
+            if len(a & b) * 2 < min(len(a), len(b)) or not same_titles[r["tk"], it["tk"], r["full"], it["full"], strict or r["kind"] == "part"]:
                 continue
             d = abs(r["year"] - it["year"]) if known else 99
             if best is None or (d, it["ord"]) < best[0]:
@@ -86,7 +102,7 @@ def test_merge_equals_sequential(spark, seed):
     existing, new = corpus(seed)
     schema = "ord long, author string, title string, year int, kind string"
     got = L.merge(spark.createDataFrame(existing, schema), spark.createDataFrame(new, schema).repartition(seed + 1), L.CASCADES["borton"])
-    assert {r.ord: (r.match, r.stage) for r in got.collect()} == plain_merge(existing, new, L.CASCADES["borton"])
+    assert {r.ord: (r.match, r.stage) for r in got.collect()} == plain_merge(existing, new, L.CASCADES["borton"], all_pairs(spark, existing + new))
 
 
 def test_years_and_kinds(spark):
@@ -109,6 +125,16 @@ def test_attach_lost_and_identifiers(spark):
     assert {r.id: len(r.links) for r in A.remove_links(books, wrong).collect()} == {1: 1, 2: 1}
 
 
+def test_identified_links_are_verified(spark):
+    url = "https://archive.org/details/"
+    books = spark.createDataFrame([(1, "Griffis, W. E.", "The Mikado's Empire", "book", [url + "a"]), (2, "Doe, J.", "Gardens of Kyoto", "book", [url + "b", url + "c"])], "id long, author string, title string, type string, links array<string>")
+    records = spark.createDataFrame([("a", "Mikado's empire: history of Japan", "Griffis, William"), ("b", "Railways of Tokyo", "Roe, R."), ("z", "None", "")], "identifier string, r_title string, r_author string")
+    got = {r.identifier: (r.row, r.agrees) for r in A.verified_by_identifier(books, records).collect()}
+    assert got == {"a": (1, True), "b": (2, False)}
+    left = A.without_false_links(books, records)
+    assert {r.id: r.links for r in left.collect()} == {1: [url + "a"], 2: [url + "c"]} and left.columns == books.columns
+
+
 def test_links_order_and_fallback(spark):
     df = spark.createDataFrame([(["https://archive.org/details/r", "https://archive.org/details/o", "https://x.org", "https://archive.org/details/h"], {"r": "restricted", "o": "open"}, {"https://archive.org/details/h": "borrow"})], "links array<string>, acc map<string,string>, chk map<string,string>")
     got = df.select(A.ordered_links(df.links, df.acc, df.chk).alias("o")).first().o
@@ -126,6 +152,18 @@ def test_numbering_tools(spark):
     assert {(r.k, r.at) for r in D.last_wins(log, ["k"], "at").collect()} == {("a", 3), ("b", 2)}
     keys = spark.createDataFrame([("k", 2), ("k", 1), ("j", 3)], "key string, id int")
     assert {r.id: r.key for r in D.suffixed(keys, "key", "id").collect()} == {1: "k", 2: "k2", 3: "j"}
+    r = random.Random(2)
+    many = [(i, r.choice(["k", "k2", "k22", "k3", "j", "j1", "m9", "m"]), "x") for i in range(120)]
+    used, want = set(), {}
+    for i, base, _ in many:
+        key, n = base, 2
+        while key in used:
+            key, n = f"{base}{n}", n + 1
+        used.add(key)
+        want[i] = key
+    table = spark.createDataFrame(many, "id long, key string, _n string").repartition(5)
+    assert {r.id: r.made for r in D.suffixed(table, "key", "id", "made").collect()} == want
+    assert D.suffixed(table, "key", "id", "made").columns == ["id", "key", "_n", "made"]
     edges = spark.createDataFrame([(3, 2), (2, 1), (5, 4), (7, 7)], "a long, b long")
     assert {r.node: r.component for r in graph.components(edges).collect()} == {1: 1, 2: 1, 3: 1, 4: 4, 5: 4}
 

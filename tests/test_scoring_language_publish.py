@@ -157,3 +157,49 @@ def test_build_links_appends_and_publishes(spark):
     assert rows["A Diplomat in Japan"].source == "UC; Borton" and rows["A Diplomat in Japan"].other == "Imprint: L"
     assert rows["Grammar of the Japanese Written Language"].links == ["https://gallica.bnf.fr/1"]
     assert sorted(r.id for r in rows.values()) == [1, 2, 3]
+
+
+def test_points_of_every_row(spark):
+    """The registered scores beside a plain rendering of the rules."""
+    import os
+    import re
+
+    import pytest as _pytest
+
+    from lectern.functions import udfs as U
+    from lectern.plans import queries as Q
+
+    sf = "/root/testdata/sf0.001"
+    if not os.path.isdir(sf):
+        _pytest.skip("the driver's tables are not here")
+    rules = scoring.RULES["gallica"]
+    rows = {r.id: r for r in Q.catalog(spark, sf).collect()}
+    got = {r.id: r.points for r in Q.point_scores(spark, sf).collect()}
+    assert got.keys() == rows.keys()
+    for i, r in rows.items():
+        m = re.match(r"(.{12,}?)[;:]\s", r.title) or re.match(r"(.{20,}?)\.\s", r.title)
+        mine = [w for w in U.key((m[1] if m else r.title).strip(" .,;:")).split() if len(w) >= 3 and w not in rules.stop]
+        told = r.title if i % 3 == 0 else " ".join(r.title.split(" ")[:2]) if i % 3 == 1 else "other words"
+        theirs = U.key(told).split()
+        if not mine:
+            assert got[i] == 0
+            continue
+        share = sum(w in theirs for w in mine) / len(mine)
+        want = 2 if share == 1 else int(share >= 0.75)
+        heads = [n.split(",")[0] if "," in n else n.split()[-1] if n.split() else "" for n in re.split(";| and ", r.author)]
+        pool = U.key(f"{r.source if i % 2 == 0 else 'nobody'} {told}").split()
+        want += int(any(U.key(h).split()[-1:] and U.key(h).split()[-1] in pool for h in heads))
+        if r.year_num is not None:
+            want += 1 if i % 7 <= 3 else -1
+        assert got[i] == want, (i, r)
+
+
+def test_languages_checked_by_hand_win_and_guesses_come_before_corrections(spark):
+    from lectern.plans.catalogue import build
+
+    schema = "ord long, author string, title string, year string, year_num int, edition string, volume string, links array<string>, other string, source string, type string"
+    old = spark.createDataFrame([(0, "A, B", "Viajes por Japon", "1900", 1900, "", "", None, "", "UC", "book"), (1, "C, D", "Kunst und Leben", "1901", 1901, "", "", None, "", "UC", "book")], schema)
+    fixes = spark.createDataFrame([("a b|viajes por japon|1900", "Travels in Japan")], "rowkey string, title string")
+    hand = spark.createDataFrame([("c d|kunst und leben|1901", "Dutch"), ("a b|viajes por japon|1900", "")], "rowkey string, language string")
+    got = {r.title: r.language for r in build(old, [], fixes=fixes, languages=hand).collect()}
+    assert got == {"Travels in Japan": "Spanish", "Kunst und Leben": "Dutch"}

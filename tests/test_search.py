@@ -11,7 +11,8 @@ BOOKS = [
     (4, "X", "Japan article", 1880, "", "", [], "", "BO", "article", "", "English"),
     (5, "Y", "The Japan of japanese Japan", 1910, "", "", ["https://archive.org/details/b"], "", "UC", "periodical", "open", ""),
 ]
-SCHEMA = "id long, author string, title string, year_num int, edition string, volume string, links array<string>, other string, source string, type string, access string, language string"
+BOOKS = [(*b[:3], str(b[3] or "n.d."), *b[3:]) for b in BOOKS]
+SCHEMA = "id long, author string, title string, year string, year_num int, edition string, volume string, links array<string>, other string, source string, type string, access string, language string"
 
 
 @pytest.fixture(scope="module")
@@ -46,6 +47,13 @@ def test_parse():
         (S.Request(lang="French", show="all"), {3}),
         (S.Request(show="borrow"), {2}),
         (S.Request("japan", field="source", show="all"), set()),
+        (S.Request("1899", show="all"), {2}),
+        (S.Request("french", show="all"), {3}),
+        (S.Request("other:1874"), {1}),
+        (S.Request("other:english type:all", show="all"), {1, 2, 4}),
+        (S.Request("other:uc", show="all"), {1, 2}),
+        (S.Request('"e. japan"', show="all"), set()),
+        (S.Request('"1874 uc"', show="all"), {1}),
     ],
 )
 def test_conditions(view, request_, want):
@@ -100,6 +108,23 @@ def test_orders_pages_and_positions(view):
         assert [S.page_of(view, r, i).first().position for i in order] == [1, 2, 3, 4, 5]
 
 
+def test_pages_beyond_the_last(view, monkeypatch):
+    r = S.Request("type:all", show="all", size=2, page=99)
+    assert ids(S.page(view, r)) == [5] and ids(S.page(view, S.Request("nothing", size=2, page=3))) == []
+    monkeypatch.setattr(S, "TOP", 1)  # by numbers instead
+    order = ids(S.page(view, S.Request("japan type:all", show="all", size=None)))
+    got = [ids(S.page(view, S.Request("japan type:all", show="all", size=2, page=k))) for k in range(3)]
+    assert got == [order[:2], order[2:4], order[4:]] and ids(S.page(view, r)) == [5]
+
+
+def test_labels_of_requests(view):
+    counts = S.facet_counts(view).cache()
+    label = lambda **kw: {r.language: r.label for r in S.labels_of(counts, S.Request(**kw)).collect()}["English"]
+    assert label(show="all") == "English (2/3)" and label(q="type:all", show="all") == "English (3)"
+    assert label(q="type:article", show="all") == "English (1/3)" and label(q="-type:book") == "English (2/3)"
+    assert label(q="japan") == label(y1=1900) == label(host="IA") == "English" and label(lang="French", show="open") == "English (1/3)"
+
+
 def test_facets(view):
     counts = {(r.language, r.show, r.type): r.n for r in S.facet_counts(view).collect()}
     assert counts["English", "all", ""] == 3 and counts["English", "ia", "book"] == 2 and counts["English", "open", ""] == 1

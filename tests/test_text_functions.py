@@ -5,6 +5,7 @@ import unicodedata
 import pytest
 from pyspark.sql import functions as F
 
+from lectern.functions import agreement as A
 from lectern.functions import text as X
 from lectern.functions import udfs as U
 
@@ -114,21 +115,46 @@ def test_similarity_keeps_the_defaults():
     assert U.ratio("z" + long, long) < 0.1  # popular characters are junk from 200 on
 
 
-def test_same_title():
-    same = lambda a, b, strict=False: U.same_title(U.key(a), U.key(b), U.key(a), U.key(b), strict)
-    assert same("Japanese architecture of today", "Japanese architecture of today and tomorrow")
-    assert same("Die Architektur Japans", "Die Architeckur Japans")
-    assert not same("Criminal code of Japan", "Civil code of Japan")
-    assert not same("Report 1899", "Report 1900")
-    assert not same("", "x")
-    assert not same("Japanese architecture of today", "Japanese architecture of today and tomorrow", strict=True)
-
-
-def test_titles_agree():
-    assert U.titles_agree("The Mikado's Empire", "Griffis, W. E.", "Mikado's empire: history of Japan", "Griffis, William Elliot", False)
-    assert not U.titles_agree("Japan and Korea: questions and answers", "Doe, J.", "Japan and Korea, map of missions", "Roe, R.", True)
-    assert not U.titles_agree("Annual report 3", "A, B", "Annual report 4", "A, B", False)
-    assert not U.titles_agree("", "", "x", "", False)
+def answers(spark, rows, schema, column):
+    return [r[0] for r in spark.createDataFrame([(i, *r) for i, r in enumerate(rows)], "i int, " + schema).orderBy("i").select(column).collect()]
+
+
+def test_same_title(spark):
+    cases = [
+        ("Japanese architecture of today", "Japanese architecture of today and tomorrow", False, True),
+        ("Die Architektur Japans", "Die Architeckur Japans", False, True),
+        ("Criminal code of Japan", "Civil code of Japan", False, False),
+        ("Report 1899", "Report 1900", False, False),
+        ("Report 1899 of 1900", "Report 1900 of 1899", True, False),
+        ("", "x", False, False),
+        (None, "x", False, False),
+        ("equal", "equal", True, True),
+        ("Japanese architecture of today", "Japanese architecture of today and tomorrow", True, False),
+        ("On the art of a garden in old Kyoto", "On the art of a gardens in old Kyoto", True, True),
+        ("A history of it", "A history of us", False, False),
+    ]
+    a, b = X.norm(F.col("a")), X.norm(F.col("b"))
+    got = answers(spark, [c[:3] for c in cases], "a string, b string, strict boolean", A.same_title(a, b, a, b, F.col("strict")))
+    assert got == [c[3] for c in cases]
+    fit = A.spelled_alike(F.col("a"), F.col("b"))
+    assert answers(spark, [("a b", "a b"), ("a color", "a colour"), ("my color", "at colour"), ("of color", "ox colour"), ("red house", "blue house")], "a string, b string", fit) == [True, True, False, True, False]
+
+
+def test_titles_agree(spark):
+    cases = [
+        ("The Mikado's Empire", "Griffis, W. E.", "Mikado's empire: history of Japan", "Griffis, William Elliot", False, True),
+        ("Japan and Korea: questions and answers", "Doe, J.", "Japan and Korea, map of missions", "Roe, R.", True, False),
+        ("Annual report 3", "A, B", "Annual report 4", "A, B", False, False),
+        ("", "", "x", "", False, False),
+        (None, None, "x", None, False, False),
+        ("Gardens of Kyoto", "Doe, J.", "Gardens of Kyoto", "Roe, R.", True, False),
+        ("Stone gardens of Kyoto", "Doe, J.", "Stone gardens of Kyoto", "Roe, R.", False, True),
+        ("Gardens of Kyoto", "Doe, J.", "Gardens of Kyoto", "", True, True),
+        ("Old stone gardens of Kyoto, translated by X", "Doe, J.", "Old stone gardens of Kyotoo", "Roe, R.", True, True),
+    ]
+    column = A.titles_agree(*map(F.col, ("t1", "a1", "t2", "a2", "strict")))
+    got = answers(spark, [c[:5] for c in cases], "t1 string, a1 string, t2 string, a2 string, strict boolean", column)
+    assert got == [c[5] for c in cases]
 
 
 @pytest.mark.parametrize(("given", "want"), [("the history of old japan", "The History of Old Japan"), ("notes: the end", "Notes: The End"), ("O'Brien and the KBS", "O'Brien and the KBS"), ("japan's (new) art-life", "Japan's (New) Art-Life"), ("", "")])
@@ -139,12 +165,17 @@ def test_title_case(given, want):
 def test_capitals_eras_templates():
     assert U.capitals_to_title("THE MCCOY REPORT OF GHQ: A STORY", {"ghq": "GHQ"}) == "The McCoy Report of GHQ: A Story"
     assert U.capitals_to_title("Already Mixed") == "Already Mixed"
-    assert U.to_western("大正6年, 昭和12.8, 明治元") == "1917, 1937.8, 1868"
-    assert U.kanji_number("二十三") == 23 and U.kanji_number("十") == 10 and U.kanji_number("x") == 0
-    assert U.western_year("大正6", "1930") == 1930 and U.western_year(None, "昭和二年") == 1927 and U.western_year("") is None
     assert U.decode_template("caf{g0nae} {x1} {zz}", {"x1": "★"}) == unicodedata.normalize("NFC", "café") + " ★ {zz}"
 
 
+def test_eras(spark):
+    texts = [("大正6年, 昭和12.8, 明治元", "1917, 1937.8, 1868"), ("no date", "no date"), ("明治二十三年", "1890"), (None, ""), ("昭和 十年と大正一年", "1935と1912"), ("明治0", "明治0")]
+    assert answers(spark, [t[:1] for t in texts], "c string", X.to_western(F.col("c"))) == [t[1] for t in texts]
+    assert answers(spark, [("二十三",), ("十",), ("x",), ("17",), ("九",)], "c string", X.numeral(F.col("c"))) == [23, 10, 0, 17, 9]
+    years = answers(spark, [("大正6", "1930"), (None, "昭和二年"), ("", ""), ("x 1899", "1900")], "a string, b string", X.western_year(F.col("a"), F.col("b")))
+    assert years == [1930, 1927, None, 1899]
+
+
 def test_coverage_and_scores():
     assert U.coverage(["japan", "historical"], ["japanese", "history"]) == 0.5
     assert U.coverage([], ["a"]) == 0.0

@@ -23,14 +23,24 @@ RESPONSIBLE = r"(?i)[.,;]\s+(?:ed\.|tr\.|trans\.|translated|edited|comp\.|compil
 SUBTITLE = r"(?is)^(.{8,}?)(?:[:;]|\.\s|,\s(?=(?:with|being|an?|or|the)\b))(.*)"
 
 
+def _best(word: str, pool: list[str]) -> float:
+    """The word's ratio to the most similar one of the pool; those whose lengths allow no better one are passed by."""
+    best = 0.0
+    for other in pool:
+        both = len(word) + len(other)
+        if both and 2 * min(len(word), len(other)) / both > best:
+            best = max(best, ratio(word, other))
+    return best
+
+
 @F.pandas_udf(ArrayType(DoubleType()))
 def best_ratios(words: pd.Series, pools: pd.Series) -> pd.Series:
     """For each word its ratio to the most similar one of the pool; nothing where either is null."""
-    rows = ([] if own is None or pool is None else [max((ratio(w, o) for o in pool), default=0.0) for w in own] for own, pool in zip(words, pools, strict=True))
+    rows = ([] if own is None or pool is None else [_best(w, list(pool)) for w in own] for own, pool in zip(words, pools, strict=True))
     return pd.Series(list(rows), dtype=object)
 
 
-def _words(normed: Column) -> Column:
+def words_in(normed: Column) -> Column:
     return F.filter(F.split(normed, " "), lambda w: w != "")
 
 
@@ -40,7 +50,7 @@ def _every(words: Column, ratios: Column, condition) -> Column:
 
 def spelled_alike(a: Column, b: Column) -> Column:
     """Whether the words that only one of two normalised titles has are spellings of one another, rather than other words."""
-    only_a, only_b = F.array_except(_words(a), _words(b)), F.array_except(_words(b), _words(a))
+    only_a, only_b = F.array_except(words_in(a), words_in(b)), F.array_except(words_in(b), words_in(a))
     fit_a, fit_b = best_ratios(only_a, only_b), best_ratios(only_b, only_a)
     long_fit = lambda w, fit: (F.length(w) <= 2) | (fit >= 0.75)
     short_fit = ~F.exists(only_b, lambda w: F.length(w) <= 2) | _every(only_a, fit_a, lambda w, fit: (F.length(w) > 2) | (fit >= 0.5))
@@ -48,8 +58,9 @@ def spelled_alike(a: Column, b: Column) -> Column:
 
 
 def _alike(a: Column, b: Column, least: Column | float) -> Column:
-    """False where either is null."""
-    return a.isNotNull() & b.isNotNull() & (similarity(a, b) >= least) & F.coalesce(spelled_alike(a, b), F.lit(False))
+    """False where either is null. Words are compared only where the whole strings are alike enough."""
+    near = a.isNotNull() & b.isNotNull() & (similarity(a, b) >= least)
+    return near & F.coalesce(spelled_alike(F.when(near, a), F.when(near, b)), F.lit(False))
 
 
 def same_title(a: Column, b: Column, full_a: Column, full_b: Column, strict: Column) -> Column:
@@ -67,46 +78,18 @@ def same_title(a: Column, b: Column, full_a: Column, full_b: Column, strict: Col
     return F.coalesce(settled, found)
 
 
-def _telling(part: Column) -> Column:
-    """The words of a part of a title that tell it from others."""
-    words = _words(X.norm(part))
+def telling(words: Column) -> Column:
+    """Of the words of a part of a title those that tell it from others."""
     first = F.when((F.size(words) > 1) & F.get(words, F.lit(0)).isin(ARTICLES), 2).otherwise(1)
     return F.filter(F.slice(words, first, F.greatest(F.size(words), F.lit(1))), lambda w: ~w.isin(AGREE_STOP) & ((F.length(w) > 1) | w.rlike("^[0-9]$")))
 
 
 def share(words: Column, pool: Column) -> Column:
-    """The share of words that the pool has, or has with another spelling; 0 without words."""
-    fit = best_ratios(words, F.filter(pool, lambda w: F.length(w) >= 4))
-    there = F.filter(F.zip_with(words, fit, lambda w, x: F.array_contains(pool, w) | ((F.length(w) >= 4) & (x >= 0.8))), lambda holds: holds)
+    """The share of words that the pool has, or has with another spelling; 0 without words. Only words of four letters that the
+    pool does not have are compared with its own of four."""
+    long = lambda w: F.length(w) >= 4
+    missing = F.filter(F.array_except(words, pool), long)
+    fit = best_ratios(missing, F.when(F.size(missing) > 0, F.filter(F.array_distinct(pool), long)))
+    spelled = F.array_compact(F.zip_with(missing, fit, lambda w, x: F.when(x >= 0.8, w)))
+    there = F.filter(F.zip_with(words, F.array_repeat(spelled, F.size(words)), lambda w, others: F.array_contains(pool, w) | F.array_contains(others, w)), lambda holds: holds)
     return F.coalesce(F.size(there) / F.nullif(F.size(words), F.lit(0)), F.lit(0.0))
-
-
-def titles_agree(title_a: Column, author_a: Column, title_b: Column, author_b: Column, strict: Column) -> Column:
-    """Whether two descriptions, as printed, are of one work.
-
-    Most of one title proper must be in the other title, and small numbers must not contradict one another. Then a shared author
-    settles it; or four words in common, in whole titles or in titles proper; else, where both have a subtitle, two fifths of
-    either; else the titles proper with three words, unless strict, or that one of the two has no author to contradict.
-    """
-    sides = []
-    for title, author in ((title_a, author_a), (title_b, author_b)):
-        title, author = F.coalesce(title, F.lit("")), F.coalesce(author, F.lit(""))
-        head = F.split(title, RESPONSIBLE, 2)[0]
-        parts = [F.regexp_extract(head, SUBTITLE, k) for k in (1, 2)]
-        proper, sub = _telling(F.when(parts[0] != "", parts[0]).otherwise(head)), _telling(parts[1])
-        whole = F.concat(proper, sub)
-        small = F.array_distinct(F.filter(whole, lambda w: w.rlike("^0*[0-9]{1,2}$")))
-        sides.append((proper, sub, whole, small, X.surname(author), _words(X.norm(F.concat_ws(" ", author, title)))))
-    (p1, s1, f1, n1, by1, all1), (p2, s2, f2, n2, by2, all2) = sides
-    contradict = (F.size(n1) > 0) & (F.size(n2) > 0) & (F.size(F.array_except(n1, n2)) > 0) & (F.size(F.array_except(n2, n1)) > 0)
-    possible = (F.size(p1) > 0) & (F.size(p2) > 0) & ~contradict & (F.greatest(share(p1, f2), share(p2, f1)) >= 0.8)
-    by_both = (by1 != "") & (by2 != "")
-    one_author = ((by1 != "") & F.array_contains(all2, by1)) | ((by2 != "") & F.array_contains(all1, by2)) | (by_both & (similarity(by1, by2) >= 0.8))
-    shorter = F.size(f1) <= F.size(f2)
-    short, long = F.when(shorter, f1).otherwise(f2), F.when(shorter, f2).otherwise(f1)
-    proper = F.least(share(p1, p2), share(p2, p1)) >= 0.8
-    words = F.least(F.size(p1), F.size(p2))
-    common = ((F.size(short) >= 4) & (share(short, long) >= 0.8)) | (proper & (words >= 4))
-    subtitles = F.greatest(share(s1, s2), share(s2, s1)) >= 0.4
-    rest = F.when((F.size(s1) > 0) & (F.size(s2) > 0), subtitles).otherwise((proper & (words >= 3) & ~strict) | ~by_both)
-    return possible & (one_author | common | rest)

@@ -6,8 +6,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lectern.functions import text as X
-from lectern.functions.agreement import titles_agree
+from lectern.functions import agreement as A
 from lectern.operators.linkage import TOLERANCE, kind_of
+from lectern.plans.workspace import materialize
 
 _NONE = "array<string>"
 
@@ -36,13 +37,64 @@ def attach_by_identifier(rows: DataFrame, records: DataFrame, id_col: str = "id"
     return records.join(own, "identifier").groupBy(*records.columns).agg(F.min("row").alias("row"))
 
 
+def with_titles_agree(pairs: DataFrame, name: str, title_a: str, author_a: str, title_b: str, author_b: str, strict: Column) -> DataFrame:
+    """pairs with a column that tells whether two descriptions, as printed, are of one work.
+
+    Most of one title proper must be in the other title, and small numbers must not contradict one another. Then a shared author
+    settles it; or four words in common, in whole titles or in titles proper; else, where both have a subtitle, two fifths of
+    either; else the titles proper with three words, unless strict, or that one of the two has no author to contradict.
+    Words are written as a table before they are compared, so that no step works them out again.
+    """
+    c = lambda stem, side: F.col(f"_agree_{stem}{side}")
+    sides = {1: (title_a, author_a), 2: (title_b, author_b)}
+
+    def step(df: DataFrame, **made) -> DataFrame:
+        return df.withColumns({f"_agree_{stem}{k}": of(k) for stem, of in made.items() for k in sides})
+
+    df = pairs.withColumn("_agree_strict", strict)
+    df = step(df, title=lambda k: F.coalesce(F.col(sides[k][0]), F.lit("")), author=lambda k: F.coalesce(F.col(sides[k][1]), F.lit("")))
+    df = step(df, head=lambda k: F.split(c("title", k), A.RESPONSIBLE, 2)[0])
+    df = step(df, first=lambda k: F.regexp_extract(c("head", k), A.SUBTITLE, 1), second=lambda k: F.regexp_extract(c("head", k), A.SUBTITLE, 2))
+    df = step(df, proper=lambda k: A.words_in(X.norm(F.when(c("first", k) != "", c("first", k)).otherwise(c("head", k)))), sub=lambda k: A.words_in(X.norm(c("second", k))))
+    df = step(df, p=lambda k: A.telling(c("proper", k)), s=lambda k: A.telling(c("sub", k)), by=lambda k: X.surname(c("author", k)), every=lambda k: A.words_in(X.norm(F.concat_ws(" ", c("author", k), c("title", k)))))
+    df = materialize(df, "words")
+    df = step(df, f=lambda k: F.concat(c("p", k), c("s", k)))
+    df = step(df, small=lambda k: F.array_distinct(F.filter(c("f", k), lambda w: w.rlike("^0*[0-9]{1,2}$"))))
+    only = lambda k: F.size(F.array_except(c("small", k), c("small", 3 - k)))
+    df = step(df, found=lambda k: A.share(c("p", k), c("f", 3 - k)))
+    df = materialize(df, "shares")
+    contradict = (F.size(c("small", 1)) > 0) & (F.size(c("small", 2)) > 0) & (only(1) > 0) & (only(2) > 0)
+    both = (c("by", 1) != "") & (c("by", 2) != "")
+    named = [(c("by", k) != "") & F.array_contains(c("every", 3 - k), c("by", k)) for k in sides]
+    shorter = F.size(c("f", 1)) <= F.size(c("f", 2))
+    df = df.withColumns({
+        "_agree_possible": (F.size(c("p", 1)) > 0) & (F.size(c("p", 2)) > 0) & ~contradict & (F.greatest(c("found", 1), c("found", 2)) >= 0.8),
+        "_agree_both": both,
+        "_agree_named": named[0] | named[1] | (both & (A.similarity(c("by", 1), c("by", 2)) >= 0.8)),
+        "_agree_short": F.when(shorter, c("f", 1)).otherwise(c("f", 2)),
+        "_agree_long": F.when(shorter, c("f", 2)).otherwise(c("f", 1)),
+    })
+    df = materialize(df, "settled")
+    # what is settled is not compared any further
+    open_ = F.col("_agree_possible") & ~F.col("_agree_named")
+    asked = lambda words: F.when(open_, words).otherwise(F.array().cast("array<string>"))
+    df = df.withColumn("_agree_common", (F.size("_agree_short") >= 4) & (A.share(asked(F.col("_agree_short")), F.col("_agree_long")) >= 0.8))
+    df = step(df, own=lambda k: A.share(asked(c("p", k)), c("p", 3 - k)), sub_own=lambda k: A.share(asked(c("s", k)), c("s", 3 - k)))
+    proper = F.least(c("own", 1), c("own", 2)) >= 0.8
+    words = F.least(F.size(c("p", 1)), F.size(c("p", 2)))
+    subtitles = F.greatest(c("sub_own", 1), c("sub_own", 2)) >= 0.4
+    rest = F.when((F.size(c("s", 1)) > 0) & (F.size(c("s", 2)) > 0), subtitles).otherwise((proper & (words >= 3) & ~F.col("_agree_strict")) | ~F.col("_agree_both"))
+    agrees = F.col("_agree_possible") & (F.col("_agree_named") | F.col("_agree_common") | (proper & (words >= 4)) | rest)
+    return df.withColumn(name, agrees).select(*(x for x in pairs.columns if x != name), name)
+
+
 def verified_by_identifier(rows: DataFrame, records: DataFrame, id_col: str = "id") -> DataFrame:
     """(identifier, row, agrees) of each record(identifier, r_title, r_author) whose copy a row links to: whether the two describe
     one work. Parts of works are held to the strict rule. rows: id_col, author, title, type, links."""
     found = attach_by_identifier(rows, records.select("identifier", "r_title", "r_author"), id_col)
     named = found.join(rows.select(F.col(id_col).alias("row"), "author", "title", "type"), "row")
-    agrees = titles_agree(F.col("title"), F.col("author"), F.col("r_title"), F.col("r_author"), F.coalesce(kind_of(F.col("type")) == "part", F.lit(False)))
-    return named.select("identifier", "row", agrees.alias("agrees"))
+    strict = F.coalesce(kind_of(F.col("type")) == "part", F.lit(False))
+    return with_titles_agree(named, "agrees", "title", "author", "r_title", "r_author", strict).select("identifier", "row", "agrees")
 
 
 def without_false_links(rows: DataFrame, records: DataFrame, id_col: str = "id") -> DataFrame:

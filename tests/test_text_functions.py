@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from lectern.functions import agreement as A
 from lectern.functions import text as X
 from lectern.functions import udfs as U
+from lectern.operators import attach
 
 
 def one(spark, column, **values):
@@ -152,9 +153,9 @@ def test_titles_agree(spark):
         ("Gardens of Kyoto", "Doe, J.", "Gardens of Kyoto", "", True, True),
         ("Old stone gardens of Kyoto, translated by X", "Doe, J.", "Old stone gardens of Kyotoo", "Roe, R.", True, True),
     ]
-    column = A.titles_agree(*map(F.col, ("t1", "a1", "t2", "a2", "strict")))
-    got = answers(spark, [c[:5] for c in cases], "t1 string, a1 string, t2 string, a2 string, strict boolean", column)
-    assert got == [c[5] for c in cases]
+    df = spark.createDataFrame([(i, *c[:5]) for i, c in enumerate(cases)], "i int, t1 string, a1 string, t2 string, a2 string, strict boolean")
+    got = attach.with_titles_agree(df, "agrees", "t1", "a1", "t2", "a2", F.col("strict"))
+    assert got.columns == [*df.columns, "agrees"] and [r.agrees for r in got.orderBy("i").collect()] == [c[5] for c in cases]
 
 
 @pytest.mark.parametrize(("given", "want"), [("the history of old japan", "The History of Old Japan"), ("notes: the end", "Notes: The End"), ("O'Brien and the KBS", "O'Brien and the KBS"), ("japan's (new) art-life", "Japan's (New) Art-Life"), ("", "")])

@@ -194,7 +194,8 @@ def in_descending_order(docs: DataFrame, id_col: str, text_col: str) -> DataFram
         numbers = lambda xs: "array(" + ", ".join(f"{x}L" if x > -(2**63) else "(-9223372036854775807L - 1L)" for x in xs) + ")"
         heads, tails = numbers([g[-1] for g in groups]), "array(" + ", ".join(map(numbers, groups)) + ")"
         coarse = f"size(filter({heads}, x -> x < _place))"
-        rows = rows.withColumn("_at", F.expr(f"{coarse} * {step} + coalesce(size(filter(get({tails}, {coarse}), x -> x < _place)), 0)"))
+        # the last group may be shorter than the others
+        rows = rows.withColumn("_at", F.expr(f"least({coarse} * {step} + coalesce(size(filter(get({tails}, {coarse}), x -> x < _place)), 0), {len(bounds)})"))
         part = F.expr(f"int(get({numbers(split)}, _at))")
         down = F.least(part - 1, F.floor((F.col("_hash") / F.lit(2.0**64) + 0.5) * part).cast("int"))  # smaller hashes come first
         several = (part > 0) & (F.col("_place") == F.expr(f"get({numbers(bounds)}, _at)"))

@@ -92,6 +92,19 @@ def test_query_equals_brute_force(spark, n):
     assert got == brute(rows)
 
 
+@pytest.mark.parametrize("n", [2, 3, 8, 24])
+def test_ids_are_dealt_in_order_at_any_number_of_partitions(spark, n):
+    rows = [(i, f"text {i}") for i in range(300)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    spark.conf.set("spark.sql.shuffle.partitions", n)
+    try:
+        dealt = [[r._id for r in part if not r._extra] for part in P.in_descending_order(docs, "doc_id", "text").rdd.glom().collect()]
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", 4)
+    parts = sorted((p for p in dealt if p), reverse=True)
+    assert [i for p in parts for i in p] == list(range(299, -1, -1)) and len(parts) >= n // 2
+
+
 def test_repeated_ids_give_a_row_each(spark):
     docs = spark.createDataFrame([(1, "one"), (1, "two"), (1, "one"), (2, "three")], "doc_id long, text string")
     assert sorted(r.n_chars for r in P.fingerprint_with_edits(docs).collect()) == [3, 3, 3, 5]

@@ -119,6 +119,42 @@ def fullness(*fields: Column) -> Column:
     return sum((said(c) for c in fields[1:]), said(fields[0]))
 
 
+def fuller_description(rows: DataFrame, source: str) -> DataFrame:
+    """rows with another source's record z beside them: whose description says more is the row's, the other becomes a note.
+
+    rows: author, title, year, year_num, edition, volume, other; z: a struct of author, title, year, year_num, edition, volume,
+    place, publisher, pages, series, abstract, all but year_num texts; null z: the row stays. A row that already names source as
+    the origin of its description or of a note keeps its own. The record's fields win, but an empty author or edition and a null
+    year_num do not. Gives rows without z, with fuller: whether the record won.
+    """
+    z = lambda name: F.coalesce(F.col(f"z.{name}"), F.lit(""))
+    other = F.coalesce("other", F.lit(""))
+    printed = F.regexp_extract(other, r"Imprint: ([^|]+)", 1)
+    said = lambda *labels: F.when(F.greatest(*(other.contains(f"{x}: ") for x in (*labels, labels[0]))), 1)
+    own = fullness(F.col("author"), F.col("title"), F.col("year_num"), F.col("edition"), F.col("volume"), printed, F.when(printed.contains(","), 1), said("Extent"), said("Series"), said("Annotation", "Note"))
+    theirs = fullness(*map(z, ("author", "title")), F.col("z.year_num"), *map(z, ("edition", "volume", "publisher", "place", "pages", "series", "abstract")))
+    named = other.contains(f"Also in {source}") | other.contains(f"Description from {source}")
+    joined = lambda sep, *parts: F.concat_ws(sep, *(F.nullif(F.coalesce(p, F.lit("")), F.lit("")) for p in parts))
+    before = joined(". ", F.col("author"), F.col("title"), F.col("edition"), F.col("year"))
+    described = labelled([("Imprint", imprint(z("place"), z("publisher"))), ("Extent", F.when(z("pages") != "", F.concat(z("pages"), F.lit(" p.")))), ("Series", z("series")), ("Note", z("abstract"))])
+    swapped = joined(" | ", described, F.concat(F.lit(f"Description from {source}; entered elsewhere as: "), before), other)
+    line = joined(". ", z("author"), z("title"), joined(", ", z("place"), z("publisher"), z("year")))
+    extent = F.when(z("pages").rlike("^[0-9]+$"), F.concat(F.lit(" ("), z("pages"), F.lit(" p.)"))).otherwise("")
+    noted = joined(" | ", other, F.concat(F.lit(f"Also in {source}: "), line, extent))
+    wins = F.col("z").isNotNull() & (theirs > own) & ~named
+    value = {
+        "author": F.coalesce(F.nullif(z("author"), F.lit("")), "author"),
+        "title": z("title"),
+        "year": z("year"),
+        "year_num": F.coalesce("z.year_num", "year_num"),
+        "edition": F.coalesce(F.nullif(z("edition"), F.lit("")), "edition"),
+    }
+    chosen = {c: F.when(F.col("_wins"), v).otherwise(F.col(c)) for c, v in value.items()}
+    made = F.when(F.col("_wins"), swapped).when(F.col("z").isNotNull(), noted).otherwise(F.col("other"))
+    kept = [c for c in rows.columns if c != "z"]
+    return rows.withColumn("_wins", wins).select(*(made.alias(c) if c == "other" else chosen.get(c, F.col(c)).alias(c) for c in kept), F.col("_wins").alias("fuller"))
+
+
 def overridden(df: DataFrame, fixes: DataFrame, key: str, fields: Sequence[str]) -> DataFrame:
     """df with the fields of fixes where it has a row for the key, null overrides too where fixes has a has_<field> column."""
     renamed = fixes.select(key, *(F.col(f).alias(f"_f_{f}") for f in fields), *(F.col(f"has_{f}").alias(f"_h_{f}") for f in fields if f"has_{f}" in fixes.columns))

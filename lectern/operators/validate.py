@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lectern.operators import dedupe
+from lectern.operators.publish import NUMBER_SUFFIX, printed_page
 
 
 @dataclass(frozen=True)
@@ -29,8 +30,10 @@ class Shape:
     header: bool = False  # the first line of a page is its summary
     skip_field: str | None = None  # records that are stubs
     page_offset: int | None = None  # printed page less PDF page
+    parts: bool = False  # the printed page is that of publish.printed_page
+    counted: bool = False  # the summary tells books and skipped entries too
     year_in_text: bool = False  # the year as printed contains the number
-    numbering: str = ""  # per_page: 1..n on each page; ascending; consecutive over all
+    numbering: str = ""  # per_page: 1..n on each page; ascending; printed: ascending, unique, running on over pages; consecutive over all
 
 
 _ENTRY = ("author", "title", "edition", "place", "publisher", "year", "year_start", "extent")
@@ -40,8 +43,8 @@ SHAPES = {
     "borton": Shape(("pdf_page", "entry_no", "type", "container", *_ENTRY, "section", "annotation", "note"), 1, 222, (1700, 1960), number_field="entry_no", choices={"type": ("book", "article", "chapter", "periodical")}, skip_field="skipped", numbering="consecutive"),
     "dower": Shape(("pdf_page", "printed_page", "entry_no", "type", "author", "title", "container", "edition", "publisher", "year", "year_start", "section", "annotation", "note"), 1, 162, (1850, 1960), number_field="entry_no", header=True, page_offset=251),
     "asj": Shape(("pdf_page", "entry_no", "author", "title", "place", "year", "year_num", "volumes", "kind", "japan", "japan_why", "note"), 5, 34, (1400, 1900), "year_num", "entry_no", {"kind": ("book", "periodical", "manuscript", "map"), "japan": ("true", "false", "uncertain")}, header=True, year_in_text=True, numbering="per_page"),
-    "nachod": Shape(("pdf_page", "entry_no", "author", "title", "place", "publisher", "year", "year_num", "extent", "edition", "series", "language", "section", "note"), 1, 243, (1850, 1930), "year_num", "entry_no", {"skip": ("article", "russian", "out of range")}, header=True, skip_field="skip", numbering="ascending"),
-    "wenckstern": Shape(("pdf_page", "seq", "author", "title", "place", "publisher", "year", "year_num", "extent", "edition", "series", "language", "section", "note"), 21, 558, (1850, 1910), "year_num", "seq", {"skip": ("article", "russian", "out of range")}, header=True, skip_field="skip", numbering="per_page"),
+    "nachod": Shape(("pdf_page", "entry_no", "author", "title", "place", "publisher", "year", "year_num", "extent", "edition", "series", "language", "section", "note"), 1, 243, (1850, 1930), "year_num", "entry_no", {"skip": ("article", "russian", "out of range")}, header=True, skip_field="skip", numbering="printed"),
+    "wenckstern": Shape(("pdf_page", "seq", "author", "title", "place", "publisher", "year", "year_num", "extent", "edition", "series", "language", "section", "note"), 21, 558, (1850, 1910), "year_num", "seq", {"skip": ("article", "russian", "out of range")}, header=True, skip_field="skip", parts=True, counted=True, numbering="per_page"),
 }
 
 
@@ -82,11 +85,14 @@ def record_errors(lines: DataFrame, shape: Shape) -> DataFrame:
 
 
 def entries(lines: DataFrame, shape: Shape, stubs: bool = True) -> DataFrame:
-    """(page, line, number) of the records proper: no summaries, empty marks or bad lines."""
+    """(page, line, label, number, suffixed) of the records proper: no summaries, empty marks or bad lines. suffixed: whether the
+    note tells that the number is printed with a letter."""
     keys = F.json_object_keys("raw")
     kept = lines.filter(keys.isNotNull() & ~F.array_contains(keys, "entries_on_page") & (F.coalesce(_json_field("empty"), F.lit("")) != "true"))
     kept = kept if stubs or not shape.skip_field else kept.filter(_json_field(shape.skip_field).isNull())
-    return kept.select("page", "line", (_json_field(shape.number_field) if shape.number_field else F.lit(None)).alias("label"), F.regexp_extract((_json_field(shape.number_field) if shape.number_field else F.lit("")), r"^(\d+)", 1).try_cast("int").alias("number"))
+    label = _json_field(shape.number_field) if shape.number_field else F.lit(None).cast("string")
+    suffixed = F.regexp_extract(F.coalesce(_json_field("note"), F.lit("")), NUMBER_SUFFIX, 1) != ""
+    return kept.select("page", "line", label.alias("label"), F.regexp_extract(F.coalesce(label, F.lit("")), r"^(\d+)", 1).try_cast("int").alias("number"), suffixed.alias("suffixed"))
 
 
 def header_errors(lines: DataFrame, shape: Shape) -> DataFrame:
@@ -98,6 +104,60 @@ def header_errors(lines: DataFrame, shape: Shape) -> DataFrame:
     return counts.join(heads, "page", "left").select("page", error.alias("error")).filter("error IS NOT NULL")
 
 
+def summary_errors(lines: DataFrame, shape: Shape) -> DataFrame:
+    """(page, error) of summaries whose printed page is not the PDF page's, or which count other books and stubs than there are."""
+    keys = F.json_object_keys("raw")
+    head, stub = F.array_contains(keys, "entries_on_page"), _json_field(shape.skip_field or "skip").isNotNull()
+    said = {n: F.max(F.when(head, _json_field(n).try_cast("int"))).alias(f"_{n}") for n in ("printed_page", "books", "skipped")}
+    counts = [F.count_if(~head & ~stub).alias("_b"), F.count_if(~head & stub).alias("_s"), F.max(head).alias("_head")]
+    found = lines.filter(keys.isNotNull()).groupBy("page").agg(*said.values(), *counts).filter("_head")
+    shown = lambda c: F.coalesce(F.col(c).cast("string"), F.lit("none"))
+    faults = []
+    if shape.parts:
+        due = printed_page(F.col("page"))["page"]
+        faults.append(F.when(~F.col("_printed_page").eqNullSafe(due), F.format_string("printed_page %s, not %d", shown("_printed_page"), due)))
+    if shape.counted:
+        same = F.col("_books").eqNullSafe(F.col("_b")) & F.col("_skipped").eqNullSafe(F.col("_s"))
+        faults.append(F.when(~same, F.format_string("summary says %s books and %s skipped, file has %d and %d", shown("_books"), shown("_skipped"), "_b", "_s")))
+    errors = F.array_compact(F.array(*faults)) if faults else F.array().cast("array<string>")
+    return found.select("page", F.explode(errors).alias("error"))
+
+
+def neighbour_errors(own: DataFrame, page: str = "page", line: str = "line", number: str = "number", suffixed: str | None = None) -> DataFrame:
+    """(page, number, next, error): neighbours in printed order on a page whose numbers do not follow one another. A repeated number
+    is right where some entry of that number has a printed suffix (boolean column suffixed), as 159 and 159a are both 159."""
+    before = F.lag(number).over(Window.partitionBy(page).orderBy(line))
+    rows = own.filter(F.col(number).isNotNull()).withColumn("_before", before)
+    odd = rows.filter(F.col(number) != F.col("_before") + 1)
+    if suffixed is not None:
+        told = own.filter(F.col(suffixed)).select(F.col(number).alias("_n")).distinct()
+        odd = odd.join(told, (odd[number] == F.col("_n")) & (odd[number] == odd["_before"]), "left_anti")
+    error = F.when(F.col(number) == F.col("_before"), "repeated").when(F.col(number) < F.col("_before"), "goes back").otherwise("jumps")
+    return odd.select(page, F.col("_before").alias("number"), F.col(number).alias("next"), error.alias("error"))
+
+
+def border_errors(own: DataFrame, page: str = "page", line: str = "line", number: str = "number", lettered: str | None = None) -> DataFrame:
+    """(page, last, next_first): pages whose successor is there and starts with another number than the one due. A jump is right
+    where an entry of either page has a lettered number (boolean column lettered) that falls inside it: 3606a to 3606k, no 3606.
+    Pages are joined to the next, so no task sees more than one page and its neighbour."""
+    plain = F.col(number).isNotNull() & (~F.col(lettered) if lettered else F.lit(True))
+    letters = F.collect_set(F.when(F.col(lettered), F.col(number))) if lettered else F.array().cast("array<int>")
+    ends = own.groupBy(page).agg(F.min_by(number, F.when(plain, F.col(line))).alias("_first"), F.max_by(number, F.when(plain, F.col(line))).alias("_last"), letters.alias("_letters"))
+    after = ends.select((F.col(page) - 1).alias(page), F.col("_first").alias("next_first"), F.col("_letters").alias("_more"))
+    met = ends.join(after, page).filter(F.col("next_first") != F.col("_last") + 1)
+    filled = F.exists(F.concat("_letters", "_more"), lambda x: (x > F.col("_last")) & (x <= F.col("next_first")))
+    return met.filter(~filled).select(page, F.col("_last").alias("last"), "next_first")
+
+
+def order_errors(own: DataFrame, page: str = "page", line: str = "line", number: str = "number") -> DataFrame:
+    """(page, in_order, distinct_numbers) of pages whose numbers go back somewhere or are repeated."""
+    before = F.lag(number).over(Window.partitionBy(page).orderBy(line))
+    rows = own.filter(F.col(number).isNotNull()).withColumn("_before", before)
+    back = F.coalesce(F.max(F.col(number) < F.col("_before")), F.lit(False))
+    found = rows.groupBy(page).agg((~back).alias("in_order"), (F.countDistinct(number) == F.count(F.lit(1))).alias("distinct_numbers"))
+    return found.filter("NOT in_order OR NOT distinct_numbers")
+
+
 def numbering_errors(lines: DataFrame, shape: Shape) -> DataFrame:
     """(page, error) for numbers that are not as the source numbers its entries."""
     own = entries(lines, shape)
@@ -107,10 +167,19 @@ def numbering_errors(lines: DataFrame, shape: Shape) -> DataFrame:
     if shape.numbering == "ascending":
         before = F.lag("number").over(Window.partitionBy("page").orderBy("line"))
         return own.withColumn("_p", before).filter("number < _p").select("page", F.format_string("%d after %d", "number", "_p").alias("error"))
+    if shape.numbering == "printed":
+        marked = own.withColumn("_lettered", F.coalesce(F.col("label").rlike("[a-z]$"), F.lit(False)))
+        plain = marked.filter("NOT _lettered")
+        faults = F.array_compact(F.array(F.when(~F.col("in_order"), "entry numbers are not in printed order"), F.when(~F.col("distinct_numbers"), "repeated entry numbers")))
+        inside = order_errors(plain).select("page", F.explode(faults).alias("error"))
+        borders = border_errors(marked, lettered="_lettered")
+        return inside.unionByName(borders.select("page", F.format_string("ends at %d, next page starts at %d", "last", "next_first").alias("error")))
     if shape.numbering == "consecutive":
         runs = dedupe.continuity(own.filter("number IS NOT NULL"), "page", "number").filter("NOT follows")
-        inside = dedupe.gaps(own.filter("number IS NOT NULL"), "page", "number")
-        return runs.select("page", F.format_string("ends at %d, next page starts at %d", "last", "next_first").alias("error")).unionByName(inside.select("page", F.format_string("gap between %d and %d", "after", "before").alias("error")))
+        inside = neighbour_errors(own, suffixed="suffixed")
+        told = F.when(F.col("error") == "jumps", F.format_string("gap between %d and %d", "number", "next")).otherwise(F.format_string("%d after %d", "next", "number"))
+        ended = runs.select("page", F.format_string("ends at %d, next page starts at %d", "last", "next_first").alias("error"))
+        return ended.unionByName(inside.select("page", told.alias("error")))
     return own.sparkSession.createDataFrame([], "page int, error string")
 
 
@@ -125,6 +194,8 @@ def check(lines: DataFrame, shape: Shape) -> DataFrame:
     parts = [record_errors(lines, shape).select("page", "line", "error"), numbering_errors(lines, shape).select("page", none.alias("line"), "error")]
     if shape.header:
         parts.append(header_errors(lines, shape).select("page", none.alias("line"), "error"))
+    if shape.parts or shape.counted:
+        parts.append(summary_errors(lines, shape).select("page", none.alias("line"), "error"))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)

@@ -551,11 +551,19 @@ def bibtex_entries(spark, sf_dir):
     return catalog(spark, sf_dir).select("id", sinks.bibtex_entry(F.concat(F.lit("k"), F.col("id").cast("string"))).alias("entry"))
 
 
-@query("""SELECT id, concat('<span class="Z3988" title="ctx_ver=Z39.88-2004&amp;rft_val_fmt=', CASE WHEN type IN ('article', 'chapter') THEN 'info%3Aofi%2Ffmt%3Akev%3Amtx%3Ajournal' ELSE 'info%3Aofi%2Ffmt%3Akev%3Amtx%3Abook' END, '&amp;rft.genre=', CASE type WHEN 'chapter' THEN 'bookitem' WHEN 'article' THEN 'article' ELSE 'book' END,
-CASE WHEN type IN ('article', 'chapter') THEN '&amp;rft.atitle=t' ELSE '&amp;rft.btitle=t&amp;rft.title=t' END, CASE WHEN author <> '' THEN concat('&amp;rft.au=', url_encode(author)) ELSE '' END, '&amp;rft.date=', year, '&amp;rft.pub=', source, '%20%26%20Co.&amp;rft.place=Paris',
+def _enc(v: str) -> str:
+    """An address's component: what url_encode writes, but for the marks that may stand."""
+    out = f"url_encode({v})"
+    for code, char in (("%21", "!"), ("%27", "''"), ("%28", "("), ("%29", ")"), ("%2A", "*")):
+        out = f"replace({out}, '{code}', '{char}')"
+    return out
+
+
+@query(f"""SELECT id, concat('<span class="Z3988" title="ctx_ver=Z39.88-2004&amp;rft_val_fmt=', CASE WHEN type IN ('article', 'chapter') THEN 'info%3Aofi%2Ffmt%3Akev%3Amtx%3Ajournal' ELSE 'info%3Aofi%2Ffmt%3Akev%3Amtx%3Abook' END, '&amp;rft.genre=', CASE type WHEN 'chapter' THEN 'bookitem' WHEN 'article' THEN 'article' ELSE 'book' END,
+CASE WHEN type IN ('article', 'chapter') THEN CASE WHEN title <> '' THEN concat('&amp;rft.atitle=', {_enc('title')}) ELSE '' END WHEN title <> '' THEN concat('&amp;rft.btitle=', {_enc('title')}, '&amp;rft.title=', {_enc('title')}) ELSE '' END, CASE WHEN author <> '' THEN concat('&amp;rft.au=', url_encode(author)) ELSE '' END, '&amp;rft.date=', year, '&amp;rft.pub=', source, '%20%26%20Co.&amp;rft.place=Paris',
 CASE WHEN edition <> '' THEN concat('&amp;rft.edition=', url_encode(edition)) ELSE '' END, CASE WHEN volume <> '' THEN concat('&amp;rft.volume=', url_encode(volume)) ELSE '' END, '&amp;rft.language=', language, CASE WHEN len(links) > 0 THEN concat('&amp;rft_id=', url_encode(links[1])) ELSE '' END, '"></span>') AS span FROM cat""", cat=True)
 def coins_spans(spark, sf_dir):
-    return catalog(spark, sf_dir).withColumn("title", F.lit("t")).select("id", sinks.coins().alias("span"))
+    return catalog(spark, sf_dir).select("id", sinks.coins().alias("span"))
 
 
 @query("SELECT id, concat(CASE WHEN author <> '' THEN concat('**', author, '.** ') ELSE '' END, '*', title, '*. ', concat_ws(', ', year, nullif(edition, ''), nullif(volume, ''), CASE WHEN type <> 'book' THEN type END, language), '. Paris, ', source, ' & Co.. ', CASE WHEN len(links) > 0 THEN concat('view at G: <', links[1], '> view at IA: <', links[2], '> ') ELSE '' END, '[', source, '; no. ', CAST(id AS VARCHAR), ']') AS line FROM cat", cat=True)
@@ -577,9 +585,12 @@ def cross_references(spark, sf_dir):
     return catalog(spark, sf_dir).select("id", publish.cross_reference(place, F.col("year")).alias("xref"), publish.printed_page(i % 600)["page"].alias("printed"))
 
 
-@query("SELECT id, concat('https://archive.org/search?query=', replace(url_encode(concat('title:(t x)', CASE WHEN author <> '' THEN concat(' AND creator:(', split_part(author, ',', 1), ')') ELSE '' END)), '+', '%20')) AS url FROM cat", cat=True)
+_ASKED = "concat('title:(', regexp_extract(title, '(?s)^[^.;:]*'), ')', CASE WHEN author <> '' THEN concat(' AND creator:(', split_part(author, ',', 1), ')') ELSE '' END)"
+
+
+@query(f"SELECT id, concat('https://archive.org/search?query=', {_enc(_ASKED)}) AS url FROM cat", cat=True)
 def search_urls(spark, sf_dir):
-    return catalog(spark, sf_dir).withColumn("title", F.lit("t x; rest")).select("id", F.replace(F.replace(sinks.archive_search_url(), F.lit("("), F.lit("%28")), F.lit(")"), F.lit("%29")).alias("url"))
+    return catalog(spark, sf_dir).select("id", sinks.archive_search_url().alias("url"))
 
 
 # --- markup and JSON ------------------------------------------------------------------------------------------------------
@@ -614,3 +625,6 @@ def entry(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The flagship: a search of the catalogue, best match first, one page."""
     r = search.Request("the -sch title:on", y1=1850, y2=1955, show="ia", size=100)
     return search.page(view(spark, sf_dir), r).select("id", "author", "title", "year", "type", "language", "access", "rel")
+
+
+from lectern.plans import source_queries  # noqa: E402,F401  registers its queries

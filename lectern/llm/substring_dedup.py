@@ -44,6 +44,8 @@ LOOK, AGAIN = 5, 3
 TOUCH, LEAST = 3, 16
 #: Classes that a task keeps in mind.
 TABLE = 150_000
+#: Parts of a task's seeds that are put in order one by one, and seeds that are dealt out together.
+PARTS, DEALT = 32, 1 << 20
 #: Rows whose seeds are combined, or as many as have so many seeds; stretches fetched from a text at once.
 PIECE, PIECE_SEEDS, AT_ONCE = 1000, 1 << 19, 500
 
@@ -117,12 +119,27 @@ def texts_with_words(texts: pa.Array, size: int = 1 << 21) -> Iterator[tuple[byt
             held, total = [], 0
 
 
+def _packed(offsets: np.ndarray, values: np.ndarray) -> pa.Array:
+    """Stretches of a numpy array as binary cells."""
+    ends = np.asarray(offsets, np.int64) * values.itemsize
+    cells = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(ends) - 1, [None, pa.py_buffer(ends), pa.py_buffer(np.ascontiguousarray(values))])
+    return cells.cast(pa.binary())
+
+
+def _unpacked(cells: pa.Array, kind: type) -> tuple[np.ndarray, np.ndarray]:
+    """(offsets, values): the way back from _packed."""
+    ends = np.frombuffer(cells.buffers()[1], np.int32)[cells.offset : cells.offset + len(cells) + 1]
+    data = cells.buffers()[2]
+    flat = np.frombuffer(data, np.uint8)[ends[0] : ends[-1]] if data is not None and ends[-1] > ends[0] else np.empty(0, np.uint8)
+    return (ends - ends[0]) // np.dtype(kind).itemsize, np.frombuffer(flat.tobytes(), kind)
+
+
 def seeded(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(_id, row, key, n, chars, seeds, followed, places, more, firsts, more_places) of each row: row is its number, key that of
-    its class, n its words; the lists are those of `combined`, for each piece. Of rows that a task meets with one key only the
-    first carries seeds."""
+    """(_id, row, key, n, chars, carries, seeds, followed, places, more, firsts, more_places) of each row: row is its number, key
+    that of its class, n its words; the rest are the lists of `combined`, for each piece, the first three of them packed, and
+    whether there are any. Of rows that a task meets with one key only the first carries seeds."""
     source = docs.select(F.col(id_col).alias("_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("_text"))
-    names = ["_id", "row", "key", "n", "chars", "seeds", "followed", "places", "more", "firsts", "more_places"]
+    names = ["_id", "row", "key", "n", "chars", "carries", "seeds", "followed", "places", "more", "firsts", "more_places"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen, row = set(), TaskContext.get().partitionId() << 33
@@ -138,23 +155,61 @@ def seeded(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
                     one.append(value)
                 held += len(s)
                 if i - at == PIECE or held >= PIECE_SEEDS or i == batch.num_rows:
-                    yield pa.RecordBatch.from_arrays([batch.column(0)[at:i], pa.array(range(row, row + i - at), pa.int64()), pa.array(keys, pa.binary()), pa.array(counts, pa.int64()), pa.array(chars, pa.int64()), *combined(seeds, row, places)], names=names)
+                    own = [pa.array(range(row, row + i - at), pa.int64()), pa.array(keys, pa.binary()), pa.array(counts, pa.int64()), pa.array(chars, pa.int64()), pa.array([len(x) > 0 for x in seeds])]
+                    lists = combined(seeds, row, places)
+                    packed = [_packed(x.offsets.to_numpy(), x.values.to_numpy(zero_copy_only=False)) for x in lists[:3]]
+                    yield pa.RecordBatch.from_arrays([batch.column(0)[at:i], *own, *packed, *lists[3:]], names=names)
                     row += i - at
                     keys, counts, chars, seeds, places, held, at = [], [], [], [], [], 0, i
 
-    return source.mapInArrow(run, f"_id {source.schema['_id'].dataType.simpleString()}, row long, key binary, n long, chars long, seeds array<long>, followed array<boolean>, places array<int>, more array<long>, firsts array<long>, more_places array<int>")
+    return source.mapInArrow(run, f"_id {source.schema['_id'].dataType.simpleString()}, row long, key binary, n long, chars long, carries boolean, seeds binary, followed binary, places binary, more array<long>, firsts array<long>, more_places array<int>")
+
+
+def _dealt(rows: DataFrame, parts: int) -> DataFrame:
+    """(part, seeds, codes, places): the seeds of `seeded` rows, packed for each part and so many rows as have DEALT seeds. A code is
+    twice the row's number, and one more where the seed comes again later in its piece."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[tuple[np.ndarray, ...]] = []
+
+        def out() -> pa.RecordBatch:
+            seed, code, place = (np.concatenate(x) for x in zip(*held, strict=True))
+            part = (seed.view(_U) >> _U(32)) % _U(parts)
+            order = np.argsort(part.astype(np.uint16 if parts <= 1 << 16 else np.uint32), kind="stable")
+            part = part[order].astype(np.int32)
+            first = np.flatnonzero(np.concatenate([[True], part[1:] != part[:-1]]))
+            offsets = np.append(first, len(part))
+            held.clear()
+            return pa.RecordBatch.from_arrays([pa.array(part[first]), *(_packed(offsets, x[order]) for x in (seed, code, place))], names=["part", "seeds", "codes", "places"])
+
+        for batch in batches:
+            offsets, seed = _unpacked(batch.column(1), np.int64)
+            row = np.repeat(batch.column(0).to_numpy(), np.diff(offsets))
+            if len(seed):
+                held.append((seed, row * 2 + _unpacked(batch.column(2), np.uint8)[1], _unpacked(batch.column(3), np.int32)[1]))
+            if sum(len(x[0]) for x in held) >= DEALT:
+                yield out()
+        if held:
+            yield out()
+
+    return rows.select("row", "seeds", "followed", "places").mapInArrow(run, "part int, seeds binary, codes binary, places binary")
 
 
 def anchors_of(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(anchors, the table behind them): anchors(node, lead, a, b) of each seed that a row shares with a first row, the lead, at
-    words a and b."""
-    seeds = rows.filter("size(seeds) > 0").select("row", "followed", "places", F.posexplode("seeds").alias("i", "seed"))
-    seeds = seeds.select("seed", (F.col("row") * 2 + F.get("followed", F.col("i")).cast("long")).alias("code"), F.get("places", F.col("i")).alias("a"))
-    tasks = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    dealt = seeds.repartition(tasks, "seed").sortWithinPartitions("seed")  # by one number: a radix sort
+    words a and b.
+
+    Seeds travel packed, many of one part in a cell: the JVM sorts cells by their part, and a task puts the seeds of one part in
+    order at a time. A seed that very many rows have is there once for each piece of rows.
+    """
+    spark = rows.sparkSession
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    dealt = _dealt(rows, tasks * PARTS).repartition(tasks, "part").sortWithinPartitions("part")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def anchored(seed, code, a):
+            order = np.argsort(seed, kind="stable")
+            seed, code, a = seed[order], code[order], a[order]
             row, followed = code >> 1, (code & 1).astype(bool)
             start = np.flatnonzero(np.concatenate([[True], seed[1:] != seed[:-1]]))
             length = np.diff(np.append(start, len(seed)))
@@ -164,20 +219,22 @@ def anchors_of(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
                 if mask.any():
                     yield pa.RecordBatch.from_arrays([pa.nulls(int(mask.sum()), pa.int64()) if names is None else pa.array(names[mask]), *(pa.array(x[mask]) for x in (row, lead, a, b))], names=["seed", "node", "lead", "a", "b"])
 
-        held = None
+        part, held = None, []
         for batch in batches:
-            now = [batch.column(i).to_numpy(zero_copy_only=False) for i in range(3)]
-            held = [np.concatenate(x) for x in zip(held, now, strict=True)] if held else now
-            if not len(held[0]):
-                continue
-            cut = int(np.searchsorted(held[0], held[0][-1]))  # the last run may go on in the next batch: a row for each piece at most
-            if cut:
-                yield from anchored(*(x[:cut] for x in held))
-                held = [x[cut:] for x in held]
-        if held and len(held[0]):
-            yield from anchored(*held)
+            parts = batch.column(0).to_numpy()
+            columns = [_unpacked(batch.column(k), kind) for k, kind in ((1, np.int64), (2, np.int64), (3, np.int32))]
+            first = np.flatnonzero(np.concatenate([[True], parts[1:] != parts[:-1]])) if len(parts) else []
+            for i, j in zip(first, [*first[1:], len(parts)], strict=True):
+                if held and parts[i] != part:
+                    yield from anchored(*(np.concatenate(x) for x in zip(*held, strict=True)))
+                    held = []
+                part = parts[i]
+                held.append([values[offsets[i] : offsets[j]] for offsets, values in columns])
+        if held:
+            yield from anchored(*(np.concatenate(x) for x in zip(*held, strict=True)))
 
-    led = materialize(dealt.mapInArrow(run, "seed long, node long, lead long, a int, b int"), "led")
+    with arrow_batches(spark, 500):
+        led = materialize(dealt.mapInArrow(run, "seed long, node long, lead long, a int, b int"), "led")
     others = rows.filter("size(more) > 0").select(F.col("row").alias("node"), "firsts", "more_places", F.posexplode("more").alias("i", "seed"))
     others = others.select("node", "seed", F.get("firsts", F.col("i")).alias("first"), F.get("more_places", F.col("i")).alias("a"))
     heads = led.filter("seed IS NOT NULL").select("seed", F.col("node").alias("first"), "lead", "b")
@@ -631,7 +688,7 @@ def repeated_passages(docs: DataFrame, min_words: int = MIN_WORDS, id_col: str =
     spark = docs.sparkSession
     with arrow_batches(spark, 500):
         seeds = materialize(seeded(docs, id_col, text_col), "seeded")
-    rows = materialize(seeds.select("_id", "row", "key", "n", "chars", F.expr("size(seeds) > 0 OR size(more) > 0").alias("carries")), "rows")
+    rows = materialize(seeds.select("_id", "row", "key", "n", "chars", "carries"), "rows")
     classes = rows.groupBy("key").agg(F.min("row").alias("node"), F.min("_id").alias("least"), F.first("n").alias("n"), F.min_by("chars", "_id").alias("least_chars"), F.count(F.lit(1)).alias("rows"))
     classes = materialize(classes, "classes")
     # rows of one class that carry seeds in several tasks are one node

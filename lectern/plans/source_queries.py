@@ -188,15 +188,17 @@ def batch_verdicts(spark, sf_dir):
 
 
 @query(
-    """WITH k AS (SELECT concat('u', CAST(o_custkey % 400 AS VARCHAR)) AS u FROM orders WHERE o_orderstatus = 'P'),
-i AS (SELECT c_custkey, unnest([concat('u', CAST(c_custkey % 400 AS VARCHAR)), concat('u', CAST(c_custkey % 371 AS VARCHAR))]) AS u FROM customer)
-SELECT c_custkey FROM customer WHERE c_custkey NOT IN (SELECT c_custkey FROM i WHERE u IN (SELECT u FROM k))"""
+    """WITH k AS (SELECT concat('u', CAST(o_orderkey AS VARCHAR)) AS u FROM orders WHERE o_orderstatus = 'P'),
+n AS (SELECT o_orderkey FROM orders WHERE o_orderstatus <> 'P'),
+i AS (SELECT o_orderkey, unnest([concat('u', CAST(o_orderkey + 1 AS VARCHAR)), concat('u', CAST(o_orderkey * 2 AS VARCHAR))]) AS u FROM n)
+SELECT o_orderkey FROM n WHERE o_orderkey NOT IN (SELECT o_orderkey FROM i WHERE u IN (SELECT u FROM k))"""
 )
 def fresh_items(spark, sf_dir):
-    address = lambda key, n: F.concat(F.lit("u"), (F.col(key) % n).cast("string"))
-    known = table(spark, sf_dir, "orders").filter("o_orderstatus = 'P'").select(F.array(address("o_custkey", 400)).alias("urls"))
-    items = table(spark, sf_dir, "customer").select("c_custkey", F.array(address("c_custkey", 400), address("c_custkey", 371)).alias("urls"))
-    return worklists.fresh(items, known, "c_custkey").select("c_custkey")
+    orders = table(spark, sf_dir, "orders")
+    address = lambda number: F.concat(F.lit("u"), number.cast("string"))
+    known = orders.filter("o_orderstatus = 'P'").select(F.array(address(F.col("o_orderkey"))).alias("urls"))
+    items = orders.filter("o_orderstatus <> 'P'").select("o_orderkey", F.array(address(F.col("o_orderkey") + 1), address(F.col("o_orderkey") * 2)).alias("urls"))
+    return worklists.fresh(items, known, "o_orderkey").select("o_orderkey")
 
 
 @query(

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lectern.llm import exact_dedup, fingerprints, html_text, jaccard_join, mixing, secret_scan, sentencepieces, substring_dedup, toxicity, warc
+from lectern.llm import collocations, exact_dedup, fingerprints, html_text, importance, jaccard_join, mixing, secret_scan, sentencepieces, substring_dedup, toxicity, warc
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -21,8 +21,17 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_toxicity": toxicity.op8_toxicity,
         "op9_html_text": html_text.op9_html_text,
         "op10_mixing": mixing.op10_mixing,
+        "op11_importance": importance.op11_importance,
+        "op13_collocations": collocations.op13_collocations,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_warc": warc.ORACLE, "op3_exact_dedup": exact_dedup.ORACLE, "op4_secret_scan": secret_scan.ORACLE, "op5_jaccard_join": jaccard_join.ORACLE}
+    return {
+        "op1_warc": warc.ORACLE,
+        "op3_exact_dedup": exact_dedup.ORACLE,
+        "op4_secret_scan": secret_scan.ORACLE,
+        "op5_jaccard_join": jaccard_join.ORACLE,
+        "op11_importance": importance.ORACLE,
+        "op13_collocations": collocations.ORACLE,
+    }

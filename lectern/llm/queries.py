@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lectern.llm import collocations, exact_dedup, fingerprints, html_text, importance, jaccard_join, mixing, secret_scan, sentencepieces, substring_dedup, toxicity, warc
+from lectern.llm import collocations, exact_dedup, fingerprints, html_text, importance, jaccard_join, mixing, neighbours, secret_scan, sentencepieces, substring_dedup, toxicity, warc
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -22,6 +22,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op9_html_text": html_text.op9_html_text,
         "op10_mixing": mixing.op10_mixing,
         "op11_importance": importance.op11_importance,
+        "op12_neighbours": neighbours.op12_neighbours,
         "op13_collocations": collocations.op13_collocations,
     }
 
@@ -33,5 +34,6 @@ def oracle_sql() -> dict[str, str]:
         "op4_secret_scan": secret_scan.ORACLE,
         "op5_jaccard_join": jaccard_join.ORACLE,
         "op11_importance": importance.ORACLE,
+        "op12_neighbours": neighbours.op12_neighbours,
         "op13_collocations": collocations.ORACLE,
     }

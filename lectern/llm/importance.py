@@ -50,10 +50,12 @@ def words_of(text: Column) -> Column:
 def buckets_of(words: Column, features: Features) -> Column:
     """The bucket of each feature of a text's words, repeats included: crc32 of its UTF-8 bytes modulo the number of buckets."""
     size = F.size(words)
-    runs = [words] + [
-        F.when(size >= m, F.transform(F.sequence(F.lit(1), size - (m - 1)), lambda i, m=m: F.array_join(F.slice(words, i, m), " "))).otherwise(F.array().cast("array<string>"))
-        for m in range(2, features.most + 1)
-    ]
+
+    def runs_of(m: int) -> Column:
+        starts = F.sequence(F.lit(1), size - (m - 1))
+        return F.when(size >= m, F.transform(starts, lambda i: F.array_join(F.slice(words, i, m), " "))).otherwise(F.array().cast("array<string>"))
+
+    runs = [words, *map(runs_of, range(2, features.most + 1))]
     return F.transform(F.concat(*runs) if len(runs) > 1 else words, lambda w: (F.crc32(w.cast("binary")) % features.buckets).cast("int"))
 
 

@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from lectern.llm.common import arrow_batches, materialize, mixed
 
 #: Bytes of text that are taken together, and keys that a task holds before it hands them on.
-CHUNK, MOST_KEYS = 4 << 20, 4 << 20
+CHUNK, MOST_KEYS = 2 << 20, 3 << 20
 #: The bitmap's bits: 32 for each frequent key, within these powers of two.
 LEAST_BITS, MOST_BITS = 16, 28
 #: Salts of the first ranking, so that no task ranks all candidates of a language.
@@ -129,7 +129,7 @@ def _summed(keys: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarra
     order = np.argsort(key)
     key, count = key[order], count[order]
     new = np.flatnonzero(np.append(True, key[1:] != key[:-1])) if len(key) else np.empty(0, np.int64)
-    return key[new], np.add.reduceat(count, new) if len(new) else count
+    return key[new], np.add.reduceat(count, new, dtype=np.int64) if len(new) else count
 
 
 def _key_rows(max_n: int):
@@ -139,7 +139,7 @@ def _key_rows(max_n: int):
         def rows():
             key, count = _summed(keys, counts)
             for i in range(0, len(key), 1 << 16):
-                yield pa.record_batch([pa.array(key[i : i + (1 << 16)].view(np.int64)), pa.array(count[i : i + (1 << 16)])], ["key", "c"])
+                yield pa.record_batch([pa.array(key[i : i + (1 << 16)].view(np.int64)), pa.array(count[i : i + (1 << 16)].astype(np.int64))], ["key", "c"])
 
         for langs, texts in _chunks(batches):
             all_ = np.sort(np.concatenate([key for _, _, key, _ in Words(texts).runs(_numbers(langs), max_n)]))
@@ -147,7 +147,7 @@ def _key_rows(max_n: int):
                 continue
             new = np.flatnonzero(np.append(True, all_[1:] != all_[:-1]))
             keys.append(all_[new])
-            counts.append(np.diff(np.append(new, len(all_))))
+            counts.append(np.diff(np.append(new, len(all_))).astype(np.int32))
             held += len(new)
             if held > MOST_KEYS:
                 yield from rows()
@@ -195,7 +195,7 @@ def _phrase_rows(max_n: int, bitmap):
 def _bitmap(frequent: DataFrame, bits: int) -> np.ndarray:
     """2^bits bits, of which those of the keys' lowest bits are set: or-ed by places of 64 before they reach the driver."""
     place = F.col("key").bitwiseAND(F.lit((1 << bits) - 1))
-    rows = frequent.groupBy(F.shiftright(place, 6).alias("i")).agg(F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), place.bitwiseAND(F.lit(63)).cast("int"))).alias("b")).toPandas()
+    rows = frequent.groupBy(F.shiftright(place, 6).alias("i")).agg(F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), place.bitwiseAND(F.lit(63)).cast("int"))).alias("b")).toArrow()
     out = np.zeros(1 << (bits - 6), np.int64)
     out[rows["i"].to_numpy()] = rows["b"].to_numpy()
     return out.view(_U)

@@ -8,7 +8,7 @@ count as spellings of one word.
 from __future__ import annotations
 
 import pandas as pd
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DoubleType
 
@@ -33,13 +33,17 @@ def _best(word: str, pool: list[str]) -> float:
     return best
 
 
-@F.pandas_udf(ArrayType(DoubleType()))
-def best_ratios(words: pd.Series, pools: pd.Series) -> pd.Series:
+def _best_ratios(words: pd.Series, pools: pd.Series) -> pd.Series:
     """For each word its ratio to the most similar one of the pool; nothing where either is null."""
     rows = ([] if own is None or pool is None else [_best(w, list(pool)) for w in own] for own, pool in zip(words, pools, strict=True))
     return pd.Series(list(rows), dtype=object)
 
 
+best_ratios = F.pandas_udf(_best_ratios, ArrayType(DoubleType()))
+#: The same where a filter on the answer must not be moved before the columns that it is asked for.
+best_ratios_in_place = F.pandas_udf(_best_ratios, ArrayType(DoubleType())).asNondeterministic()
+
+
 def words_in(normed: Column) -> Column:
     return F.filter(F.split(normed, " "), lambda w: w != "")
 
@@ -92,3 +96,47 @@ def share(words: Column, pool: Column) -> Column:
     spelled = F.array_compact(F.zip_with(missing, fit, lambda w, x: F.when(x >= 0.8, w)))
     there = F.filter(F.zip_with(words, F.array_repeat(spelled, F.size(words)), lambda w, others: F.array_contains(pool, w) | F.array_contains(others, w)), lambda holds: holds)
     return F.coalesce(F.size(there) / F.nullif(F.size(words), F.lit(0)), F.lit(0.0))
+
+
+def with_found_share(df: DataFrame, name: str, words: Column, pool: Column) -> DataFrame:
+    """df with the share of words that a pool of words has, has at greater or smaller length (from five letters), or has with
+    another spelling (from four letters); numbers must be the same. 0 without words.
+
+    Equal words and beginnings are settled by columns, each worked out once; the ratio is asked for what they leave.
+    """
+    c = lambda stem: F.col(f"_found_{stem}")
+    nothing = F.array().cast("array<string>")
+    lettered = lambda w: ~w.rlike("^[0-9]*$") & (F.length(w) >= 4)
+    begun = lambda w: F.exists(c("stems"), lambda p: (F.length(p) >= 5) & (p.startswith(w) | w.startswith(p)))
+    steps = {
+        "words": F.coalesce(words, nothing),
+        "pool": F.coalesce(pool, nothing),
+        "stems": F.filter(F.array_distinct(c("pool")), lettered),
+        "other": F.filter(F.array_except(c("words"), c("pool")), lettered),
+        "grown": F.filter(c("other"), lambda w: (F.length(w) >= 5) & begun(w)),
+        "doubtful": F.array_except(c("other"), c("grown")),
+        "fit": best_ratios_in_place(c("doubtful"), F.when(F.size(c("doubtful")) > 0, c("stems"))),
+        "spelled": F.array_compact(F.zip_with(c("doubtful"), c("fit"), lambda w, x: F.when(x >= 0.84, w))),
+        "known": F.concat(F.array_intersect(c("words"), c("pool")), c("grown"), c("spelled")),
+    }
+    out = df
+    for stem, column in steps.items():
+        out = out.withColumn(f"_found_{stem}", column)
+    there = F.size(F.filter(c("words"), lambda w: F.array_contains(c("known"), w)))
+    out = out.withColumn(name, F.coalesce(there / F.nullif(F.size(c("words")), F.lit(0)), F.lit(0.0)))
+    return out.select(*(x for x in df.columns if x != name), name)
+
+
+def offer_score(main: Column, full: Column, surname: Column, title: Column, creator: Column, ratio_of=similarity) -> Column:
+    """How well an offered copy fits a record. main, full: the record's normalised titles; the best of three likenesses: of the
+    title proper, of the whole title, and of the title proper to the start of the offer's, which counts 0.05 less. The surname
+    among the creator's words adds 0.1, a creator without it takes 0.25. Titles without a letter or digit score 0.
+
+    ratio_of: similarity, or a bound of it, which makes the score a bound.
+    """
+    offered, makers = X.norm(F.coalesce(title, F.lit(""))), words_in(X.norm(F.coalesce(creator, F.lit(""))))
+    start = F.substring(offered, F.lit(1), F.length(main) + 3)
+    likeness = F.greatest(ratio_of(main, offered), ratio_of(full, offered), ratio_of(main, start) - 0.05)
+    told = (F.coalesce(surname, F.lit("")) != "") & (F.coalesce(creator, F.lit("")) != "")
+    by = F.when(~told, 0.0).when(F.array_contains(makers, surname), 0.1).otherwise(-0.25)
+    return F.when((F.coalesce(main, F.lit("")) == "") | (offered == ""), 0.0).otherwise(likeness + by)

@@ -369,3 +369,47 @@ def western_year(*values: Column) -> Column:
     """The first Gregorian year in any of the values, else the first era date's."""
     era = lambda c: F.get(F.filter(_era_years(F.coalesce(c, F.lit(""))), lambda y: y.isNotNull()), F.lit(0))
     return F.coalesce(*(first_year(c) for c in values), *map(era, values))
+
+
+#: What may stand around a word of a title; words that stay small inside a title (the casing UDF has the same).
+AROUND_WORDS = "\"'([{,.;:!?)]}‘’“”"
+SMALL = (
+    "a an the and but or nor for of in into on onto to from by with without at as over under after before between through during "
+    "against about above across along among around per via vs versus is"
+).split()
+
+
+def from_capitals(c: Column, forms: dict[str, str] | None = None) -> Column:
+    """A title printed in capitals in ordinary form; one with a small letter stays as it is. forms: lower-case words with a form of
+    their own, also before 's. Small words are small but at the start, after a colon, or after a mark that stands alone."""
+    own = F.create_map(*(F.lit(x) for pair in forms.items() for x in pair)) if forms else F.lit(None).cast("map<string,string>")
+    small = F.array(*map(F.lit, SMALL))
+    capital = lambda w: F.concat(F.upper(F.left(w, F.lit(1))), F.substring(w, F.lit(2), F.length(w)))
+    within = lambda w: F.when(F.array_contains(small, w), w).otherwise(capital(w))
+    rest_of = lambda w, n: F.substring(w, F.lit(n + 1), F.length(w))
+
+    def split(t: Column) -> Column:
+        bare = F.rtrim(F.regexp_replace(t, r"\s+", " "))
+        word = F.btrim(bare, F.lit(AROUND_WORDS))
+        at = F.when(word == "", F.length(bare)).otherwise(F.call_function("locate", word, bare) - 1)
+        return F.struct(t.alias("printed"), word.alias("word"), at.alias("at"), F.substring(t, at + F.length(word) + 1, F.length(t)).alias("after"))
+
+    tokens = F.transform(F.split(c, r"(?<=\s)(?=\S)"), split)
+
+    def shaped(x: Column, before: Column) -> Column:
+        opens = before.isNull() | (before["word"] == "") | F.rtrim(before["after"]).endswith(":")
+        low = F.lower(x["word"])
+        stem = F.when(low.endswith("'s"), F.left(low, F.length(low) - 2))
+        parts = F.split(low, "-")
+        joined = F.array_join(F.concat(F.array(capital(parts[0])), F.transform(F.slice(parts, F.lit(2), F.size(parts)), within)), "-")
+        new = (
+            F.when(own[low].isNotNull(), own[low])
+            .when(own[stem].isNotNull(), F.concat(own[stem], F.lit("'s")))
+            .when(~opens & F.array_contains(small, low), low)
+            .when(low.startswith("mc") & (F.length(low) > 3), F.concat(F.lit("Mc"), capital(rest_of(low, 2))))
+            .otherwise(joined)
+        )
+        return F.when(x["word"] == "", x["printed"]).otherwise(F.concat(F.substring(x["printed"], F.lit(1), x["at"]), new, x["after"]))
+
+    all_ = lambda ts: F.array_join(F.transform(ts, lambda x, i: shaped(x, F.get(ts, i - 1))), "")
+    return F.when((c == "") | (c != F.upper(c)), c).otherwise(F.transform(F.array(tokens), all_)[0])

@@ -1,4 +1,4 @@
-"""Functions that no built-in expresses: sequence similarity, title casing, coded characters. Arrow-batched pandas UDFs over plain
+"""Functions that no built-in expresses: sequence similarity, title case, coded characters. Arrow-batched pandas UDFs over plain
 Python functions, which are the row-level specification and are tested as such."""
 
 from __future__ import annotations
@@ -11,10 +11,6 @@ import pandas as pd
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType
 
-#: Fixed value: what may stand around a word.
-_PUNCTUATION = "\"'([{,.;:!?)]}‘’“”"
-
-
 def plain(s: str | None) -> str:
     """NFKD without combining marks."""
     return "".join(c for c in unicodedata.normalize("NFKD", s or "") if not unicodedata.combining(c))
@@ -29,29 +25,6 @@ def ratio(a: str | None, b: str | None) -> float:
     return difflib.SequenceMatcher(None, a or "", b or "").ratio()
 
 
-def token_equal(a: str, b: str) -> bool:
-    """Equal; or, without digits, one a prefix of the other from five letters on, or alike from four on."""
-    if a == b or a.isdigit() or b.isdigit():
-        return a == b
-    short = min(len(a), len(b))
-    return short >= 5 and (a.startswith(b) or b.startswith(a)) or short >= 4 and ratio(a, b) >= 0.84
-
-
-def coverage(words: list[str], pool: list[str]) -> float:
-    return sum(any(token_equal(w, p) for p in pool) for w in words) / len(words) if len(words) else 0.0
-
-
-def candidate_score(main: str, full: str, surname: str, title: str | None, creator: str | None) -> float:
-    """How well a search result fits a record: the best of three similarities, more if its creator fits, less if it does not."""
-    a, b, whole = key(main), key(title), key(full)
-    if not a or not b:
-        return 0.0
-    best = max(ratio(a, b), ratio(whole, b), ratio(a, b[: len(a) + 3]) - 0.05)
-    if surname and creator:
-        best += 0.1 if surname in key(creator).split() else -0.25
-    return best
-
-
 #: Words that stay small inside a title.
 SMALL_WORDS = frozenset(
     "a an the and but or nor for of in into on onto to from by with without at as over under after before between through during "
@@ -85,35 +58,6 @@ def title_case(title: str | None) -> str | None:
     return out[:1].upper() + out[1:]
 
 
-def capitals_to_title(title: str | None, keep: dict[str, str] | None = None) -> str | None:
-    """A title printed in capitals in ordinary form; mixed case stays. keep: lower-case words that have a form of their own."""
-    if not title or title != title.upper():
-        return title
-    keep, out, first = keep or {}, [], True
-    for token in re.split(r"(\s+)", title):
-        core = token.strip().strip(_PUNCTUATION)
-        if not core:
-            first = first or bool(token.strip())
-            out.append(token)
-            continue
-        at = token.index(core)
-        low, after = core.lower(), token[at + len(core) :]
-        if low in keep:
-            new = keep[low]
-        elif low.endswith("'s") and low[:-2] in keep:
-            new = keep[low[:-2]] + "'s"
-        elif not first and low in SMALL_WORDS:
-            new = low
-        elif low.startswith("mc") and len(core) > 3:
-            new = "Mc" + low[2:].capitalize()
-        else:
-            parts = low.split("-")
-            new = "-".join(p if i and p in SMALL_WORDS else p[:1].upper() + p[1:] for i, p in enumerate(parts))
-        out.append(token[:at] + new + after)
-        first = after.endswith(":")
-    return "".join(out)
-
-
 #: Accents by the letter of a character code.
 MARKS = {"a": "́", "c": "̂", "d": "̀", "f": "̄", "h": "̧", "i": "̃", "j": "̈", "u": "̣"}
 
@@ -143,16 +87,6 @@ def similarity(a: pd.Series, b: pd.Series) -> pd.Series:
     return pd.Series([ratio(x, y) for x, y in zip(a, b, strict=True)], dtype="float64")
 
 
-@F.pandas_udf(DoubleType())
-def word_coverage(words: pd.Series, pool: pd.Series) -> pd.Series:
-    return pd.Series([coverage(list(w), list(p)) for w, p in zip(words, pool, strict=True)], dtype="float64")
-
-
-@F.pandas_udf(DoubleType())
-def score_candidate(main: pd.Series, full: pd.Series, surname: pd.Series, title: pd.Series, creator: pd.Series) -> pd.Series:
-    return pd.Series([candidate_score(*row) for row in zip(main, full, surname, title, creator, strict=True)], dtype="float64")
-
-
 fold_exact = _one(StringType(), plain)
 norm_exact = _one(StringType(), key)
 to_title_case = _one(StringType(), title_case)

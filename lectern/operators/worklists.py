@@ -7,9 +7,10 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lectern.functions import agreement as A
 from lectern.functions import text as X
-from lectern.functions import udfs as U
 from lectern.operators import dedupe
+from lectern.operators.similar import letters_bound
 
 #: Words of a title that the loose pass looks for, and the least share that a candidate must have.
 LOOSE_WORDS, LEAST_COVERAGE = 8, 0.6
@@ -66,13 +67,15 @@ def split_matches(rows: DataFrame, cache: DataFrame, key: str = "lkey", most: in
 
 def covering(candidates: DataFrame, words: str = "words", pool: str = "pool", least: float = LEAST_COVERAGE) -> DataFrame:
     """Candidates whose title has enough of the first words of the record's, with the share as cov."""
-    return candidates.withColumn("cov", U.word_coverage(F.slice(words, 1, LOOSE_WORDS), F.col(pool))).filter(F.col("cov") >= least)
+    return A.with_found_share(candidates, "cov", F.slice(words, 1, LOOSE_WORDS), F.col(pool)).filter(F.col("cov") >= least)
 
 
 def scored(candidates: DataFrame, least: float = LEAST_SCORE) -> DataFrame:
-    """Candidates (main, full, surname, c_title, c_creator) that score enough, with score."""
-    score = U.score_candidate("main", "full", "surname", "c_title", "c_creator")
-    return candidates.withColumn("score", score).filter(F.col("score") >= least)
+    """Candidates (main, full, surname, c_title, c_creator) that score enough, with score. Those whose letters alone rule that out
+    are not compared."""
+    columns = [F.col(c) for c in ("main", "full", "surname", "c_title", "c_creator")]
+    possible = candidates.filter(A.offer_score(*columns, ratio_of=letters_bound) >= least)
+    return possible.withColumn("score", A.offer_score(*columns)).filter(F.col("score") >= least)
 
 
 def batch_verdicts(review: DataFrame, line: str, first: int, yes: Sequence[int]) -> DataFrame:

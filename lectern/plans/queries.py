@@ -10,8 +10,9 @@ from pyspark.sql import types as T
 
 from lectern.functions import text as X
 from lectern.functions import udfs as U
-from lectern.operators import attach, dedupe, language, linkage, publish, scoring, search
+from lectern.operators import attach, dedupe, language, linkage, publish, scoring, search, similar
 from lectern.plans.catalogue import CATALOG_SQL, catalog
+from lectern.plans.workspace import materialize
 from lectern.sources import readers, sinks
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -28,7 +29,7 @@ def query(sql: str | None = None, cat: bool = False):
     def add(f: Query) -> Query:
         QUERIES[f.__name__] = f
         if sql:
-            ORACLES[f.__name__] = f"WITH {CATALOG_SQL}{',' if sql.lstrip().startswith('+') else ''} {sql.lstrip().removeprefix('+')}" if cat else sql
+            ORACLES[f.__name__] = f"WITH {'RECURSIVE ' * ('go(n' in sql)}{CATALOG_SQL}{',' if sql.lstrip().startswith('+') else ''} {sql.lstrip().removeprefix('+')}" if cat else sql
         return f
 
     return add
@@ -312,6 +313,46 @@ def exact_title_band_join(spark, sf_dir):
     return linkage.nearest_exact(_items(spark, sf_dir))
 
 
+_HALF = (
+    _ITEMS.replace("SELECT id AS ord,", f"SELECT id AS ord, CASE WHEN contains(author, ',') AND len(string_split({NORM.format("split_part(author, ',', 1)")}, ' ')) <= 3 THEN string_split({NORM.format("split_part(author, ',', 1)")}, ' ')[-1] ELSE '' END AS sur,")
+    + ", w AS (SELECT *, list_filter(list_distinct(string_split(tk, ' ')), lambda x: x <> '') AS toks FROM i)"
+)
+
+
+@query(_HALF + """, p AS (SELECT r.ord AS r_ord, t.ord AS t_ord, len(list_intersect(r.toks, t.toks)) AS shared, least(len(r.toks), len(t.toks)) AS least_
+  FROM w r JOIN w t ON r.sur = t.sur AND r.kind = t.kind AND t.ord < r.ord AND coalesce(abs(r.year - t.year) <= 3, true))
+SELECT r_ord, t_ord, shared FROM p WHERE shared > 0 AND 2 * shared >= least_""", cat=True)
+def half_shared_titles(spark, sf_dir):
+    """Records and earlier ones of their surname, kind and years that share half of the shorter title's words."""
+    it = similar.rarest_first(_items(spark, sf_dir), "ord", "toks")
+    side = lambda n: it.select(F.col("ord").alias(f"{n}_ord"), F.col("year").alias(f"{n}_year"), "sur", "kind", F.col("toks").alias("w"))
+    close = F.coalesce(linkage.years_close(F.col("r_year"), F.col("t_year")), F.lit(True))
+    pairs = similar.share_half(side("r"), side("t"), ["sur", "kind"], "w", (F.col("t_ord") < F.col("r_ord")) & close).select("r_ord", "t_ord").distinct()
+    words = lambda n: it.select(F.col("ord").alias(f"{n}_ord"), F.col("toks").alias(f"{n}_w"))
+    shared = F.size(F.array_intersect("r_w", "t_w"))
+    met = pairs.join(words("r"), "r_ord").join(words("t"), "t_ord").filter(2 * shared >= F.least(F.size("r_w"), F.size("t_w")))
+    return met.select("r_ord", "t_ord", shared.alias("shared"))
+
+
+@query(_HALF + """, e AS (SELECT r.ord AS r, t.ord AS t, t.ord % 10 = 0 AS old, CASE WHEN r.tk = t.tk THEN 1 ELSE 2 END AS stage, coalesce(abs(r.year - t.year), 99) AS d
+  FROM w r JOIN w t ON r.sur = t.sur AND r.kind = t.kind AND t.ord < r.ord AND coalesce(abs(r.year - t.year) <= 3, true) AND len(list_intersect(r.toks, t.toks)) > 0 AND 2 * len(list_intersect(r.toks, t.toks)) >= least(len(r.toks), len(t.toks))),
+c AS (SELECT r, list({'t': t, 'old': old, 'stage': stage} ORDER BY stage, d, t) AS cands FROM e GROUP BY r),
+n AS (SELECT ord, cands, row_number() OVER (ORDER BY ord) AS n FROM w LEFT JOIN c ON r = ord),
+go(n, dead, ord, match, stage) AS (SELECT 0::BIGINT, CAST([] AS BIGINT[]), NULL::BIGINT, NULL::BIGINT, NULL::INTEGER UNION ALL
+  SELECT x.n, CASE WHEN m IS NULL THEN dead ELSE list_append(dead, x.ord) END, x.ord, m.t, m.stage
+  FROM (SELECT n.n, n.ord, dead, list_filter(cands, lambda y: y.old OR NOT list_contains(dead, y.t))[1] AS m FROM go JOIN n ON n.n = go.n + 1) x)
+SELECT ord, match, stage FROM go WHERE n > 0""", cat=True)
+def cascade(spark, sf_dir):
+    """Each record's best candidate that none was found for itself, or that was there before (every tenth): equal titles first, then those
+    that share half of their words, nearest in years."""
+    it = _items(spark, sf_dir).select("ord", "tk", "year")
+    pairs = half_shared_titles(spark, sf_dir).join(it.toDF("r_ord", "r_tk", "r_year"), "r_ord").join(it.toDF("t_ord", "t_tk", "t_year"), "t_ord")
+    stage = F.when(F.col("r_tk") == F.col("t_tk"), 1).otherwise(2)
+    d = F.coalesce(F.abs(F.col("r_year") - F.col("t_year")), F.lit(99))
+    edges = pairs.select("r_ord", "t_ord", (F.col("t_ord") % 10 == 0).alias("t_existing"), stage.alias("stage"), F.lit(0).cast("long").alias("s"), d.alias("d"))
+    return linkage.resolve(it, edges)
+
+
 @query()
 def greedy_merge(spark, sf_dir):
     rows = catalog(spark, sf_dir).select(F.col("id").alias("ord"), "author", "title", F.col("year_num").alias("year"), linkage.kind_of(F.col("type")).alias("kind"))
@@ -418,7 +459,9 @@ def title_coverage(spark, sf_dir):
     mine = scoring.title_words(F.col("title"), scoring.RULES["gallica"].stop)
     words = F.split(X.norm(F.col("title")), " ")
     theirs = F.when(F.col("id") % 3 == 0, words).when(F.col("id") % 3 == 1, F.slice(words, 1, 2)).otherwise(F.array().cast("array<string>"))
-    return rows.select("id", F.size(mine).cast("long").alias("n"), F.size(F.filter(mine, lambda w: F.array_contains(theirs, w))).cast("long").alias("covered"))
+    # both lists are worked out once for a row, not for each word
+    both = F.transform(F.array(F.struct(mine.alias("m"), theirs.alias("t"))), lambda s: F.struct(F.size(s["m"]).cast("long").alias("n"), F.size(F.filter(s["m"], lambda w: F.array_contains(s["t"], w))).cast("long").alias("c")))
+    return rows.select("id", F.get(both, F.lit(0)).alias("b")).select("id", F.col("b.n").alias("n"), F.col("b.c").alias("covered"))
 
 
 @query()
@@ -484,10 +527,18 @@ def language_of_titles(spark, sf_dir):
 
 @query()
 def difflib_pairs(spark, sf_dir):
-    keys = catalog(spark, sf_dir).select("id", X.title_key(F.col("title")).alias("tk"), F.left(X.title_key(F.col("title")), F.lit(12)).alias("block")).filter("block <> ''")
-    other = keys.select(F.col("id").alias("other"), F.col("tk").alias("other_tk"), "block")
-    pairs = keys.join(other, "block").filter("id < other")
-    return pairs.select("id", "other", F.round(U.similarity("tk", "other_tk"), 6).alias("ratio"))
+    """Titles of one language with a sequence ratio of 0.8 or more that share half of the shorter one's words: found by rare words, held to
+    the letters that both have, and only then compared."""
+    rows = catalog(spark, sf_dir).select("id", "language", X.title_key(F.col("title")).alias("tk")).filter("tk <> ''")
+    keys = rows.groupBy("language", "tk").agg(F.min("id").alias("k")).withColumn("w", F.array_distinct(F.split("tk", " ")))
+    keys = materialize(similar.rarest_first(keys, "k", "w"), "titles")
+    side = lambda n: keys.select(F.col("k").alias(f"{n}_k"), "language", "w", F.length("tk").alias(f"{n}_n"))
+    near = 2 * F.least("a_n", "b_n") >= 0.8 * (F.col("a_n") + F.col("b_n"))
+    pairs = similar.share_half(side("a"), side("b"), ["language"], "w", (F.col("a_k") < F.col("b_k")) & near).select("a_k", "b_k").distinct()
+    text = lambda n: keys.select(F.col("k").alias(f"{n}_k"), F.col("tk").alias(f"{n}_tk"))
+    met = pairs.join(text("a"), "a_k").join(text("b"), "b_k").filter(similar.letters_bound(F.col("a_tk"), F.col("b_tk")) >= 0.8)
+    # each title once, in the place of its first row
+    return met.withColumn("ratio", U.similarity("a_tk", "b_tk")).filter("ratio >= 0.8").select(F.col("a_k").alias("id"), F.col("b_k").alias("other"), F.round("ratio", 6).alias("ratio"))
 
 
 @query()

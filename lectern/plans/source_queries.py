@@ -181,6 +181,47 @@ def strict_candidates(spark, sf_dir):
     return worklists.scored(made).select("id", F.round("score", 9).alias("score"))
 
 
+@query(
+    f"""+ s AS (SELECT id, unnest(string_split({NORM.format('title')}, ' ')) AS w, generate_subscripts(string_split({NORM.format('title')}, ' '), 1) AS pos FROM cat),
+v AS (SELECT *, length(w) AS n, CASE pos % 5 WHEN 0 THEN w WHEN 1 THEN concat(w, 'xq') WHEN 2 THEN concat(left(w, length(w) - 1), '0') WHEN 3 THEN concat('1', w) ELSE substr(w, 3) END AS p FROM s WHERE w <> ''),
+r AS (SELECT *, CASE pos % 5 WHEN 1 THEN 2 * n / (2 * n + 2) WHEN 2 THEN (n - 1) / n WHEN 3 THEN 2 * n / (2 * n + 1) WHEN 4 THEN 2 * (n - 2) / (2 * n - 2) END AS ratio, regexp_full_match(w, '[0-9]+') OR regexp_full_match(p, '[0-9]*') AS number FROM v)
+SELECT id, pos::INTEGER AS pos, 1.0::DOUBLE AS cov FROM r WHERE w = p OR (NOT number AND least(n, length(p)) >= 5 AND (starts_with(p, w) OR starts_with(w, p))) OR (NOT number AND least(n, length(p)) >= 4 AND ratio >= 0.84)""",
+    cat=True,
+)
+def loose_spellings(spark, sf_dir):
+    """Each word of a title against one other spelling of it: the same, longer, with another last letter, with a letter before, without its first two."""
+    w = F.col("w")
+    words = catalog(spark, sf_dir).select("id", F.posexplode(F.split(X.norm(F.col("title")), " ")).alias("i", "w")).filter("w <> ''").withColumn("pos", F.col("i") + 1)
+    kind = F.col("pos") % 5
+    other = (
+        F.when(kind == 0, w).when(kind == 1, F.concat(w, F.lit("xq"))).when(kind == 2, F.concat(F.left(w, F.length(w) - 1), F.lit("0"))).when(kind == 3, F.concat(F.lit("1"), w))
+        .otherwise(F.substring(w, F.lit(3), F.length(w)))
+    )
+    return worklists.covering(words.select("id", "pos", F.array("w").alias("words"), F.array(other).alias("pool"))).select("id", "pos", "cov")
+
+
+@query(
+    f"""WITH p AS (SELECT p_partkey AS id, {NORM.format('p_name')} AS m, p_partkey % 9 AS k, p_size % 4 AS j, p_partkey % 5 AS c FROM part),
+l AS (SELECT *, length(m) AS n FROM p),
+s AS (SELECT id, greatest(
+    CASE WHEN k = 0 THEN 1 ELSE 2 * n / (2 * n + k + 1) END,
+    CASE WHEN k = 0 AND j = 0 THEN 1 WHEN k = 0 THEN 2 * n / (2 * n + j + 1) WHEN j = 0 THEN 2 * n / (2 * n + k + 1) ELSE 2 * (n + 1 + least(j, k)) / (2 * n + 2 + j + k) END,
+    CASE WHEN k = 0 THEN 1 ELSE 2 * n / (2 * n + least(3, k + 1)) END - 0.05) + CASE WHEN c = 0 THEN 0 WHEN c < 3 THEN 0.1 ELSE -0.25 END AS score FROM l)
+SELECT id, round(score::DOUBLE, 9) AS score FROM s WHERE score >= 0.82"""
+)
+def strict_scores(spark, sf_dir):
+    """Offers whose titles go on after the record's by up to eight letters, while the record's own whole title goes on by up to three; creators that
+    have the surname, that do not, that are not told."""
+    main, last = X.norm(F.col("p_name")), F.substring_index("p_name", " ", -1)
+    tail = lambda n: F.concat(F.lit(" "), F.repeat(F.lit("z"), n.cast("int")))
+    j, c = F.col("p_size") % 4, F.col("p_partkey") % 5
+    made = table(spark, sf_dir, "part").select(
+        F.col("p_partkey").alias("id"), main.alias("main"), F.when(j == 0, main).otherwise(F.concat(main, tail(j))).alias("full"), X.norm(last).alias("surname"),
+        F.concat("p_name", tail(F.col("p_partkey") % 9)).alias("c_title"), F.when(c == 0, "").when(c < 3, F.concat(F.lit("Doe, and "), last)).otherwise("No-one").alias("c_creator"),
+    )
+    return worklists.scored(made).select("id", F.round("score", 9).alias("score"))
+
+
 @query("SELECT doc_id AS line, CASE WHEN doc_id IN (3, 5, 100, 119, 120) THEN 'y' ELSE 'n' END AS verdict FROM labels WHERE doc_id < 120")
 def batch_verdicts(spark, sf_dir):
     review = table(spark, sf_dir, "labels").select(F.col("doc_id").alias("line"))

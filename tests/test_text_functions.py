@@ -9,6 +9,7 @@ from lectern.functions import agreement as A
 from lectern.functions import text as X
 from lectern.functions import udfs as U
 from lectern.operators import attach
+from lectern.operators.similar import letters_bound
 
 
 def one(spark, column, **values):
@@ -163,9 +164,17 @@ def test_title_case(given, want):
     assert U.title_case(given) == want
 
 
-def test_capitals_eras_templates():
-    assert U.capitals_to_title("THE MCCOY REPORT OF GHQ: A STORY", {"ghq": "GHQ"}) == "The McCoy Report of GHQ: A Story"
-    assert U.capitals_to_title("Already Mixed") == "Already Mixed"
+def test_capitals(spark):
+    forms = {"ghq": "GHQ", "macarthur": "MacArthur"}
+    cases = [
+        ("THE MCCOY REPORT OF GHQ: A STORY", "The McCoy Report of GHQ: A Story"), ("Already Mixed", "Already Mixed"), ("", ""), (None, None), ("MACARTHUR'S  JAPAN'S", "MacArthur's  Japan's"),
+        ("(THE) END-OF-THE-ROAD AND \u201cÉTÉ\u201d", "(The) End-of-the-Road and \u201cÉté\u201d"), ("  A : THE - OF MC", "  A : The - of Mc"), ("1945: OF WAR; OF PEACE", "1945: Of War; of Peace"), ("...", "..."),
+    ]
+    assert answers(spark, [c[:1] for c in cases], "c string", X.from_capitals(F.col("c"), forms)) == [c[1] for c in cases]
+    assert answers(spark, [("GHQ OF",)], "c string", X.from_capitals(F.col("c"))) == ["Ghq of"]
+
+
+def test_templates():
     assert U.decode_template("caf{g0nae} {x1} {zz}", {"x1": "★"}) == unicodedata.normalize("NFC", "café") + " ★ {zz}"
 
 
@@ -177,9 +186,21 @@ def test_eras(spark):
     assert years == [1930, 1927, None, 1899]
 
 
-def test_coverage_and_scores():
-    assert U.coverage(["japan", "historical"], ["japanese", "history"]) == 0.5
-    assert U.coverage([], ["a"]) == 0.0
-    assert U.candidate_score("history of japan", "history of japan", "satow", "History of Japan", "Satow, E.") == pytest.approx(1.1)
-    assert U.candidate_score("history of japan", "history of japan", "satow", "History of Japan", "Other") == pytest.approx(0.75)
-    assert U.candidate_score("", "", "", "x", None) == 0.0
+def test_coverage_and_scores(spark):
+    cases = [
+        (["japan", "historical"], ["japanese", "history"], 0.5), ([], ["a"], 0.0), (None, None, 0.0), (["1868"], ["18680", "1869"], 0.0), (["1868", "1868"], ["1868"], 1.0),
+        (["abcd"], ["abcde"], 1.0), (["abc"], ["abcd"], 0.0), (["letters"], ["lettars"], 1.0), (["letter"], ["lettar"], 0.0), (["japan", "x"], [], 0.0), (["art", "arts"], ["art"], 0.5),
+    ]
+    df = spark.createDataFrame([(i, *c[:2]) for i, c in enumerate(cases)], "i int, w array<string>, p array<string>")
+    got = A.with_found_share(df, "x", F.col("w"), F.col("p"))
+    assert got.columns == ["i", "w", "p", "x"] and [r.x for r in got.orderBy("i").collect()] == [c[2] for c in cases]
+    assert sorted(r.i for r in got.filter("x >= 0.5").collect()) == [i for i, c in enumerate(cases) if c[2] >= 0.5]
+    named = [
+        ("history of japan", "history of japan", "satow", "History of Japan", "Satow, E.", 1.1), ("history of japan", "history of japan", "satow", "History of Japan", "Other", 0.75),
+        ("", "", "", "x", None, 0.0), ("a b", "a b", "s", "***", "S", 0.0), (None, None, None, None, None, 0.0), ("history", "history of art", "", "History of Art", "Anyone", 1.0),
+        ("history", "history x", "s", "History and more of it", None, 2 * 7 / 17 - 0.05),
+    ]
+    columns = [F.col(c) for c in "mfstc"]
+    assert answers(spark, [c[:5] for c in named], "m string, f string, s string, t string, c string", A.offer_score(*columns)) == [pytest.approx(c[5]) for c in named]
+    bound = answers(spark, [c[:5] for c in named], "m string, f string, s string, t string, c string", A.offer_score(*columns, ratio_of=letters_bound))
+    assert all(b >= c[5] - 1e-9 for b, c in zip(bound, named, strict=True))

@@ -157,9 +157,10 @@ def key_of(tokens: np.ndarray) -> bytes | None:
 
 
 def signed(docs: DataFrame, id_col: str, text_col: str, size: int, t: Threshold) -> DataFrame:
-    """(_id, row, n, key, sigs, followed, more, firsts) of each row: row is its number, key a digest of its set, null for empty
-    sets; the lists are those of `combined`, for each piece. Of rows that a task meets with one key only the first signs."""
+    """(_id, hash, row, n, key, sigs, followed, more, firsts) of each row: hash is its text's, row its number, key a digest of its
+    set, null for empty sets; the lists are those of `combined`, for each piece. Of rows that a task meets with one key only the first signs."""
     source = docs.select(F.col(id_col).alias("_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("_text"))
+    source = source.withColumn("hash", F.xxhash64("_text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen, row = set(), TaskContext.get().partitionId() << 33
@@ -176,11 +177,11 @@ def signed(docs: DataFrame, id_col: str, text_col: str, size: int, t: Threshold)
                         seen.clear()
                     seen.add(key)
                 if i - at == PIECE or held >= PIECE_SIGNATURES or i == batch.num_rows:
-                    yield pa.RecordBatch.from_arrays([batch.column(0)[at:i], pa.array(range(row, row + i - at), pa.int64()), pa.array(counts, pa.int64()), pa.array(keys, pa.binary()), *combined(sigs, row)], names=["_id", "row", "n", "key", "sigs", "followed", "more", "firsts"])
+                    yield pa.RecordBatch.from_arrays([batch.column(0)[at:i], batch.column(2)[at:i], pa.array(range(row, row + i - at), pa.int64()), pa.array(counts, pa.int64()), pa.array(keys, pa.binary()), *combined(sigs, row)], names=["_id", "hash", "row", "n", "key", "sigs", "followed", "more", "firsts"])
                     row += i - at
                     counts, keys, sigs, held, at = [], [], [], 0, i
 
-    return source.mapInArrow(run, f"_id {source.schema['_id'].dataType.simpleString()}, row long, n long, key binary, sigs array<long>, followed array<boolean>, more array<long>, firsts array<long>")
+    return source.mapInArrow(run, f"_id {source.schema['_id'].dataType.simpleString()}, hash long, row long, n long, key binary, sigs array<long>, followed array<boolean>, more array<long>, firsts array<long>")
 
 
 def candidates(rows: DataFrame) -> DataFrame:
@@ -377,8 +378,8 @@ def jaccard_components(docs: DataFrame, percent: int = 90, size: int = 3, id_col
     """
     t = Threshold(percent)
     signs = materialize(signed(docs, id_col, text_col, size, t), "signed")
-    rows = materialize(signs.select("_id", "row", "n", "key", F.expr("size(sigs) > 0 OR size(more) > 0").alias("signer")), "rows")
-    classes = rows.filter("key IS NOT NULL").groupBy("key").agg(F.min("row").alias("node"), F.min("_id").alias("least"), F.first("n").alias("n"), F.count(F.lit(1)).alias("rows"))
+    rows = materialize(signs.select("_id", "hash", "row", "n", "key", F.expr("size(sigs) > 0 OR size(more) > 0").alias("signer")), "rows")
+    classes = rows.filter("key IS NOT NULL").groupBy("key").agg(F.min("row").alias("node"), F.min("_id").alias("least"), F.min_by("hash", F.struct(F.col("_id").isNull(), "_id", "row")).alias("hash"), F.first("n").alias("n"), F.count(F.lit(1)).alias("rows"))
     classes = materialize(classes, "classes")
     # rows of one class that have signed in several tasks are one node
     signers = rows.filter("signer").select("key", F.col("row").alias("_row"))
@@ -399,11 +400,12 @@ def jaccard_components(docs: DataFrame, percent: int = 90, size: int = 3, id_col
     plans = materialize(whole_sizes.select("cluster", "blocks", (F.col("cost") <= F.col("star_cost")).alias("whole")), "plans")
     apart = star_sizes.select("cluster", "blocks", "component").join(plans.filter("NOT whole").select(F.col("cluster").alias("component")), "component", "left_semi")
     member = stars.join(apart, "cluster").drop("component").unionByName(wholes.join(plans.filter("whole").drop("whole"), "cluster"))
-    member = member.select("cluster", "node", "key", F.col("least").alias("_id"), "blocks", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int").alias("block"))
+    member = member.select("cluster", "node", "key", F.col("least").alias("_id"), "hash", "blocks", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int").alias("block"))
     member = materialize(member, "members")
     texts = docs.select(F.col(id_col).alias("_tid"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("_text"))
-    # a merge join at every size: it can spill, and the plan does not change as tables grow
-    whole = texts.join(member.hint("merge"), F.col("_id").eqNullSafe(F.col("_tid"))).drop("_tid")
+    # by id and text: an id that many rows have, or none, brings no other row's text. A merge join at every size: it can spill, and
+    # the plan does not change as tables grow
+    whole = texts.join(member.hint("merge"), (F.col("hash") == F.xxhash64("_text")) & F.col("_id").eqNullSafe(F.col("_tid"))).drop("_tid", "hash")
     found = components(links(whole, size, t))
 
     merged = classes.join(found.withColumnRenamed("component", "_c"), "node", "left").withColumn("_c", F.coalesce("_c", "node"))

@@ -144,3 +144,19 @@ def test_components_of_chains_stars_and_loops(spark):
     got = {r.node: r.component for r in C.components(spark.createDataFrame(edges, "a long, b long")).collect()}
     assert got == {**{i: 0 for i in range(51)}, **{i: 100 for i in range(100, 140)}, 200: 200, 201: 200}
     assert C.components(spark.createDataFrame([], "a long, b long")).collect() == []
+
+
+def test_one_id_or_none_brings_no_other_rows_text(spark, monkeypatch):
+    """2,000 near copies without an id, 300 of one id: no more texts are searched than there are in clusters."""
+    base = " ".join(f"w{i}" for i in range(80))
+    rows = [(None, f"{base} x{i}") for i in range(2000)] + [(7, f"{base} y{i}") for i in range(300)] + [(7, "alone here now")]
+    sent, real = [], J.links
+
+    def counted(members, size, t):
+        sent.append(members.select("node").count())
+        return real(members, size, t)
+
+    monkeypatch.setattr(J, "links", counted)
+    out = J.jaccard_components(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sent[0] <= 2 * len(rows)
+    assert {r.component_id for r in out} == {7} and len(out) == len(rows)

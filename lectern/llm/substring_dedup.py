@@ -135,11 +135,12 @@ def _unpacked(cells: pa.Array, kind: type) -> tuple[np.ndarray, np.ndarray]:
 
 
 def seeded(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(_id, row, key, n, chars, carries, seeds, followed, places, more, firsts, more_places) of each row: row is its number, key
-    that of its class, n its words; the rest are the lists of `combined`, for each piece, the first three of them packed, and
+    """(_id, hash, row, key, n, chars, carries, seeds, followed, places, more, firsts, more_places) of each row: hash is its text's,
+    row its number, key that of its class, n its words; the rest are the lists of `combined`, for each piece, the first three of them packed, and
     whether there are any. Of rows that a task meets with one key only the first carries seeds."""
     source = docs.select(F.col(id_col).alias("_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("_text"))
-    names = ["_id", "row", "key", "n", "chars", "carries", "seeds", "followed", "places", "more", "firsts", "more_places"]
+    source = source.withColumn("hash", F.xxhash64("_text"))
+    names = ["_id", "hash", "row", "key", "n", "chars", "carries", "seeds", "followed", "places", "more", "firsts", "more_places"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen, row = set(), TaskContext.get().partitionId() << 33
@@ -158,11 +159,11 @@ def seeded(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
                     own = [pa.array(range(row, row + i - at), pa.int64()), pa.array(keys, pa.binary()), pa.array(counts, pa.int64()), pa.array(chars, pa.int64()), pa.array([len(x) > 0 for x in seeds])]
                     lists = combined(seeds, row, places)
                     packed = [_packed(x.offsets.to_numpy(), x.values.to_numpy(zero_copy_only=False)) for x in lists[:3]]
-                    yield pa.RecordBatch.from_arrays([batch.column(0)[at:i], *own, *packed, *lists[3:]], names=names)
+                    yield pa.RecordBatch.from_arrays([batch.column(0)[at:i], batch.column(2)[at:i], *own, *packed, *lists[3:]], names=names)
                     row += i - at
                     keys, counts, chars, seeds, places, held, at = [], [], [], [], [], 0, i
 
-    return source.mapInArrow(run, f"_id {source.schema['_id'].dataType.simpleString()}, row long, key binary, n long, chars long, carries boolean, seeds binary, followed binary, places binary, more array<long>, firsts array<long>, more_places array<int>")
+    return source.mapInArrow(run, f"_id {source.schema['_id'].dataType.simpleString()}, hash long, row long, key binary, n long, chars long, carries boolean, seeds binary, followed binary, places binary, more array<long>, firsts array<long>, more_places array<int>")
 
 
 def _dealt(rows: DataFrame, parts: int) -> DataFrame:
@@ -468,9 +469,11 @@ def _by_text(wants: DataFrame, classes: DataFrame, docs: DataFrame, id_col: str,
     often = materialize(wants.groupBy("node").agg(F.count(F.lit(1)).alias("c")).filter(F.col("c") > AT_ONCE), "often")  # few: the planner sees how few
     dealt = wants.join(often, "node", "left").withColumn("part", F.when(F.col("c").isNotNull(), F.pmod(F.xxhash64("want.chain"), F.ceil(F.col("c") / AT_ONCE))).otherwise(0))
     lists = dealt.groupBy("node", "part").agg(F.collect_list("want").alias("wants"))
-    named = lists.join(classes.select("node", "key", F.col("least").alias("_id")), "node").select("_id", "key", "wants")
+    named = lists.join(classes.select("node", "key", "hash", F.col("least").alias("_id")), "node").select("_id", "hash", "key", "wants")
     texts = docs.select(F.col(id_col).alias("_tid"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("_text"))
-    return texts.join(named.hint(hint) if hint else named, F.col("_id").eqNullSafe(F.col("_tid"))).select("key", "wants", "_text")
+    # by id and text: an id that many rows have, or none, brings no other row's text
+    same = (F.col("hash") == F.xxhash64("_text")) & F.col("_id").eqNullSafe(F.col("_tid"))
+    return texts.join(named.hint(hint) if hint else named, same).select("key", "wants", "_text")
 
 
 def _texts_of(batch: pa.RecordBatch, places: bool = False) -> Iterator[tuple]:
@@ -688,8 +691,9 @@ def repeated_passages(docs: DataFrame, min_words: int = MIN_WORDS, id_col: str =
     spark = docs.sparkSession
     with arrow_batches(spark, 500):
         seeds = materialize(seeded(docs, id_col, text_col), "seeded")
-    rows = materialize(seeds.select("_id", "row", "key", "n", "chars", "carries"), "rows")
-    classes = rows.groupBy("key").agg(F.min("row").alias("node"), F.min("_id").alias("least"), F.first("n").alias("n"), F.min_by("chars", "_id").alias("least_chars"), F.count(F.lit(1)).alias("rows"))
+    rows = materialize(seeds.select("_id", "hash", "row", "key", "n", "chars", "carries"), "rows")
+    first = F.struct(F.col("_id").isNull(), "_id", "row")
+    classes = rows.groupBy("key").agg(F.min("row").alias("node"), F.min("_id").alias("least"), F.min_by("hash", first).alias("hash"), F.first("n").alias("n"), F.min_by("chars", first).alias("least_chars"), F.count(F.lit(1)).alias("rows"))
     classes = materialize(classes, "classes")
     # rows of one class that carry seeds in several tasks are one node
     same = materialize(rows.filter("carries").select("key", F.col("row").alias("_row")).join(classes.filter("rows > 1").select("key", F.col("node").alias("_node")), "key").filter("_row <> _node").select("_row", "_node"), "carriers")

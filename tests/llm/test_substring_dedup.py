@@ -266,3 +266,20 @@ def test_seeds_cover_every_equal_stretch():
         shared = r.integers(0, 2**63, n).astype(np.uint64)
         a, b = (np.concatenate([r.integers(0, 2**63, r.integers(0, 30)).astype(np.uint64), shared, r.integers(0, 2**63, r.integers(0, 30)).astype(np.uint64)]) for _ in range(2))
         assert np.intersect1d(S.seeds_of(a)[0], S.seeds_of(b)[0]).size
+
+
+def test_one_id_or_none_brings_no_other_rows_text(spark, monkeypatch):
+    """400 rows without an id that share a passage: each text is fetched for its own wants only."""
+    shared = " ".join(f"s{i}" for i in range(60))
+    rows = [(None, " ".join(f"a{i}_{j}" for j in range(20)) + f" {shared} z{i}") for i in range(400)]
+    fetched, real = [], S._by_text
+
+    def counted(*args):
+        out = real(*args)
+        fetched.append(out.count())
+        return out
+
+    monkeypatch.setattr(S, "_by_text", counted)
+    out = S.repeated_passages(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert max(fetched) <= 2 * len(rows)
+    assert len(out) == len(rows) - 1 and all(r.n_words >= 60 for r in out)

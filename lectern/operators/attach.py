@@ -103,10 +103,32 @@ def without_false_links(rows: DataFrame, records: DataFrame, id_col: str = "id")
     return remove_links(rows, wrong.select(F.col("row").alias(id_col), F.concat(F.lit("https://archive.org/details/"), "identifier").alias("url")), id_col)
 
 
+#: Letters of an anchor, by which identifiers find the texts that may contain them.
+ANCHOR = 6
+
+
 def containing(rows: DataFrame, records: DataFrame, part: str = "identifier", id_col: str = "id") -> DataFrame:
-    """As attach_by_identifier, by substring: an identifier that starts another one matches it too. records must be small."""
+    """As attach_by_identifier, by substring: an identifier that starts another one matches it too; of several rows the first.
+
+    Each identifier has one anchor, its run of ANCHOR letters (or it itself, if it is shorter) that fewest texts have; a text meets the
+    identifiers whose anchors it has, and only those are looked for in it. An empty identifier is in every row's links, a null one in
+    none. Rows without links have an empty text.
+    """
     own = rows.select(F.col(id_col).alias("row"), F.array_join(F.coalesce("links", no_strings()), "\n").alias("_all"))
-    return own.join(records, F.col("_all").contains(F.col(part))).groupBy(*records.columns).agg(F.min("row").alias("row"))
+    named = records.select(part).filter(F.col(part) != "").distinct()
+    lengths = [r[0] for r in named.select(F.least(F.length(part), F.lit(ANCHOR)).alias("n")).distinct().collect()]  # ANCHOR at most
+    runs = lambda c, n: F.transform(F.sequence(F.lit(1), F.length(c) - n + 1), lambda i: F.substring(c, i, F.lit(n) if isinstance(n, int) else n))
+    some = F.array_distinct(F.concat(no_strings(), *(F.when(F.length("_all") >= n, runs(F.col("_all"), n)).otherwise(no_strings()) for n in sorted(lengths))))
+    texts = own.select("row", F.explode(some).alias("_anchor"))
+    counts = texts.groupBy("_anchor").agg(F.count(F.lit(1)).alias("_c"))
+    size = F.least(F.length(part), F.lit(ANCHOR))
+    mine = named.select(part, F.explode(F.array_distinct(runs(F.col(part), size))).alias("_anchor")).join(counts, "_anchor", "left")
+    anchors = mine.groupBy(part).agg(F.min(F.struct(F.coalesce("_c", F.lit(0)).alias("c"), F.col("_anchor").alias("a"))).alias("_m")).filter("_m.c > 0").select(part, F.col("_m.a").alias("_anchor"))
+    met = texts.join(anchors, "_anchor").select("row", part).join(own, "row").filter(F.col("_all").contains(F.col(part)))
+    first = met.groupBy(part).agg(F.min("row").alias("row"))
+    if not records.filter(F.col(part) == "").isEmpty():
+        first = first.unionByName(own.agg(F.min("row").alias("row")).filter("row IS NOT NULL").select(F.lit("").alias(part), "row"))
+    return records.distinct().join(first, part).select(*records.columns, "row")
 
 
 def remove_links(rows: DataFrame, false_links: DataFrame, id_col: str = "id", url: str = "url") -> DataFrame:

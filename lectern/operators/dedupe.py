@@ -7,7 +7,7 @@ from collections.abc import Sequence
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructField, StructType
+from pyspark.sql.types import IntegerType, StringType, StructField, StructType
 
 from lectern.operators.graph import components
 from lectern.plans.workspace import materialize
@@ -63,6 +63,40 @@ def numbered(df: DataFrame, *order: str, start: int = 1, name: str = "id") -> Da
     return placed.withColumn("_r", rank).join(F.broadcast(offsets), "_p").withColumn(name, F.col("_r") + F.col("_before") + (start - 1)).drop("_p", "_r", "_before")
 
 
+def with_previous(df: DataFrame, value: str, *order: str, name: str = "previous") -> DataFrame:
+    """df with the value of the row before in the whole order, null for the first row: neighbours without one task for all rows.
+
+    Rows are range-partitioned and sorted; inside a range the row before is the neighbour, and a range's first row gets what the
+    last row of the ranges before it carries over: one row for each range goes to the driver. order must tell rows apart.
+    """
+    spark, kind = df.sparkSession, df.schema[value].dataType
+    place, last = _free(df, "_range"), _free(df, "_carried")
+    placed = df.repartitionByRange(int(spark.conf.get("spark.sql.shuffle.partitions")), *order).withColumn(place, F.spark_partition_id())
+    placed = materialize(placed, "ranges")  # ranges are sampled: they must not be drawn twice
+    ends = placed.groupBy(place).agg(F.max_by(F.struct(F.col(value).alias("v")), F.struct(*order)).alias("e")).collect()
+    carried, before = [], None
+    for r in sorted(ends, key=lambda r: r[place]):
+        carried.append((r[place], before))
+        before = r["e"]["v"]
+    schema = StructType([StructField(place, IntegerType()), StructField(last, kind)])
+    w = Window.partitionBy(place).orderBy(*order)
+    met = placed.withColumns({name: F.lag(value).over(w), f"{place}_n": F.row_number().over(w)}).join(F.broadcast(spark.createDataFrame(carried, schema)), place)
+    return met.withColumn(name, F.when(F.col(f"{place}_n") == 1, F.col(last)).otherwise(F.col(name))).drop(place, last, f"{place}_n")
+
+
+def breaks(df: DataFrame, value: str, *order: str) -> DataFrame:
+    """df with is_new: whether the value differs from that of the row before in the whole order; null is a value of its own."""
+    before = _free(df, "_before")
+    first = with_previous(df.withColumn(before, F.struct(F.col(value).alias("v"))), before, *order, name=f"{before}p")
+    return first.withColumn("is_new", F.col(f"{before}p").isNull() | ~F.col(before).eqNullSafe(F.col(f"{before}p"))).drop(before, f"{before}p")
+
+
+def gaps_over_all(df: DataFrame, number: str) -> DataFrame:
+    """(after, before): neighbours among all distinct numbers that are not consecutive."""
+    own = with_previous(df.select(number).filter(F.col(number).isNotNull()).distinct(), number, number, name="after")
+    return own.filter(F.col(number) > F.col("after") + 1).select("after", F.col(number).alias("before"))
+
+
 def suffixed(df: DataFrame, key: str, order: str, name: str = "key") -> DataFrame:
     """Keys made distinct, in order: each row has its key, or if that is taken its key with the first of 2, 3, ... that is free.
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -10,7 +11,7 @@ from pyspark.sql import types as T
 
 from lectern.functions import text as X
 from lectern.functions import udfs as U
-from lectern.operators import attach, dedupe, language, linkage, publish, scoring, search, similar
+from lectern.operators import attach, dedupe, language, linkage, publish, scoring, search, similar, text_index
 from lectern.plans.catalogue import CATALOG_SQL, catalog
 from lectern.plans.workspace import materialize
 from lectern.sources import readers, sinks
@@ -118,6 +119,21 @@ def search_terms(spark, sf_dir):
     return search.search(view(spark, sf_dir), search.Request("én -title:sch source:SRC1")).select("id")
 
 
+@query(_VIEW + """ SELECT id, 'both' AS request FROM v WHERE type = 'book' AND nlinks > 0 AND contains(fall, 'en') AND NOT contains(ft, 'sch') AND contains(fs, 'src1')
+UNION ALL SELECT id, 'long' FROM v WHERE type = 'book' AND contains(fall, 'imprint: paris, src') AND contains(ft, 'the')
+UNION ALL SELECT id, 'short' FROM v WHERE type IN ('book', 'article') AND contains(ft, 'q') AND contains(fa, 'fr')
+UNION ALL SELECT id, 'none' FROM v WHERE type = 'book' AND nlinks > 0""", cat=True)
+def indexed_search(spark, sf_dir):
+    """Searches through postings: terms of one letter and more, phrases, fields, negated terms, no terms."""
+    index = text_index.TextIndex.build(materialize(view(spark, sf_dir), "view"))
+    requests = {
+        "both": search.Request("én -title:sch source:SRC1"), "long": search.Request('"Imprint: Paris, src" title:the', show="all"),
+        "short": search.Request("title:q author:FR type:book type:article", show="all"), "none": search.Request(""),
+    }
+    found = [index.search(r).select("id", F.lit(name).alias("request")) for name, r in requests.items()]
+    return functools.reduce(DataFrame.unionByName, found)
+
+
 @query(_VIEW + " SELECT id FROM v WHERE contains(fall, '1880')", cat=True)
 def search_year(spark, sf_dir):
     return search.search(view(spark, sf_dir), search.Request("1880 type:all", show="all")).select("id")
@@ -286,6 +302,20 @@ def letter_breaks(spark, sf_dir):
     return dedupe.control_breaks(catalog(spark, sf_dir), "language", letter, "id").select("id", "value", "is_new")
 
 
+@query(f"SELECT id, value, coalesce(lag(value) OVER (ORDER BY id) <> value, true) AS is_new FROM (SELECT id, left({FOLD.format('title')}, 1) AS value FROM cat)", cat=True)
+def all_letter_breaks(spark, sf_dir):
+    """Where the first letter changes in the whole order, over ranges of rows."""
+    rows = catalog(spark, sf_dir).select("id", F.left(X.search_fold(F.col("title")), F.lit(1)).alias("value"))
+    return dedupe.breaks(rows, "value", "id")
+
+
+@query("SELECT after, before FROM (SELECT lag(l_partkey * 7 + l_suppkey) OVER (ORDER BY l_partkey * 7 + l_suppkey) AS after, l_partkey * 7 + l_suppkey AS before FROM (SELECT DISTINCT l_partkey * 7 + l_suppkey AS k, any_value(l_partkey) AS l_partkey, any_value(l_suppkey) AS l_suppkey FROM lineitem GROUP BY 1)) WHERE before > after + 1")
+def all_gaps(spark, sf_dir):
+    """Numbers that are missing between neighbours of the whole order."""
+    number = (F.col("l_partkey") * 7 + F.col("l_suppkey")).cast("long")
+    return dedupe.gaps_over_all(table(spark, sf_dir, "lineitem").select(number.alias("k")), "k")
+
+
 @query("SELECT id, n FROM (SELECT id, language, year_num, row_number() OVER (ORDER BY source, id) AS n FROM cat) WHERE language <> 'Spanish' AND (year_num IS NULL OR year_num BETWEEN 1850 AND 1940)", cat=True)
 def stable_ids(spark, sf_dir):
     rows = dedupe.numbered(catalog(spark, sf_dir).select("id", "source", "language", "year_num"), "source", "id", name="n")
@@ -392,6 +422,15 @@ def attach_by_identifier(spark, sf_dir):
     return attach.attach_by_identifier(catalog(spark, sf_dir), records).select("rid", "row")
 
 
+@query("+ r AS (SELECT DISTINCT doc_id AS rid, CASE doc_id % 3 WHEN 0 THEN concat('item', CAST(doc_id AS VARCHAR)) WHEN 1 THEN concat('ark:/', CAST(doc_id AS VARCHAR)) ELSE CAST(doc_id % 40 AS VARCHAR) END AS identifier FROM labels) SELECT rid, identifier, min(id) AS row FROM r JOIN cat ON contains(array_to_string(links, chr(10)), identifier) GROUP BY rid, identifier", cat=True)
+def contained_identifiers(spark, sf_dir):
+    """The first row that has an identifier anywhere in its links; identifiers that start others, and numbers of one or two digits."""
+    i = F.col("doc_id")
+    number = i.cast("string")
+    name = F.when(i % 3 == 0, F.concat(F.lit("item"), number)).when(i % 3 == 1, F.concat(F.lit("ark:/"), number)).otherwise((i % 40).cast("string"))
+    return attach.containing(catalog(spark, sf_dir), table(spark, sf_dir, "labels").select(i.alias("rid"), name.alias("identifier")).distinct())
+
+
 @query("SELECT id, CASE WHEN id % 2 = 0 THEN array_to_string(list_filter(links, lambda u: NOT contains(u, 'archive.org')), ' ') ELSE array_to_string(links, ' ') END AS links FROM cat", cat=True)
 def verified_links(spark, sf_dir):
     """Records of every second row describe another work."""

@@ -8,9 +8,9 @@ from pyspark.sql import functions as F
 from lectern.functions import text as X
 from lectern.operators import mapping, publish, validate, worklists
 from lectern.plans.catalogue import catalog
-from lectern.plans.queries import NORM, query, table
-from lectern.plans.workspace import new_path
-from lectern.streaming.linking import online_links
+from lectern.plans.queries import MAIN, NORM, query, table
+from lectern.plans.workspace import folder_of, materialize, new_path
+from lectern.streaming.linking import keyed_links, keyed_state, online_links
 
 # --- from source records to common ones -----------------------------------------------------------------------------------
 
@@ -341,5 +341,24 @@ def stream_links(spark, sf_dir):
     author = F.concat(F.lit("van "), F.coalesce("source", F.lit("")), F.lit(", "), F.coalesce("lang", F.lit("")))
     made = rows.select(F.col("doc_id").alias("ord"), author.alias("author"), F.substring_index("text", ".", 1).alias("title"), F.lit(None).cast("int").alias("year"))
     out = new_path(spark, "stream-links")
-    online_links(made).writeStream.format("parquet").option("path", out).option("checkpointLocation", f"{out}-state").trigger(availableNow=True).start().awaitTermination()
+    online_links(made).writeStream.format("parquet").option("path", out).option("checkpointLocation", new_path(spark, "stream-state")).trigger(availableNow=True).start().awaitTermination()
+    return spark.read.schema("ord long, match long").parquet(out)
+
+
+@query(
+    f"""+ r AS (SELECT id, author, {NORM.format(MAIN.format('title'))} AS key, year_num AS year, row_number() OVER (ORDER BY id) AS n FROM cat),
+b AS (SELECT *, concat(CASE WHEN contains(author, ',') AND len(string_split({NORM.format("split_part(author, ',', 1)")}, ' ')) <= 3 THEN string_split({NORM.format("split_part(author, ',', 1)")}, ' ')[-1] ELSE '' END, '|', key) AS k FROM r),
+go(n, taken, ord, match) AS (SELECT 0::BIGINT, CAST([] AS STRUCT(ord BIGINT, k VARCHAR, year INTEGER)[]), NULL::BIGINT, NULL::BIGINT UNION ALL
+  SELECT x.n, CASE WHEN m IS NULL AND x.key <> '' THEN list_append(taken, {{'ord': x.id, 'k': x.k, 'year': x.year}}) ELSE taken END, x.id, m
+  FROM (SELECT b.n, b.id, b.key, b.k, b.year, taken, CASE WHEN b.key <> '' THEN list_filter(taken, lambda y: y.k = b.k AND coalesce(abs(y.year - b.year) <= 3, true))[1].ord END AS m FROM go JOIN b ON b.n = go.n + 1) x)
+SELECT ord, match FROM go WHERE n > 0""",
+    cat=True,
+)
+def stream_equal_links(spark, sf_dir):
+    """The catalogue as a stream over keyed state: each record's earliest accepted one of its surname, title and years."""
+    rows = materialize(catalog(spark, sf_dir).select(F.col("id").alias("ord"), "author", "title", F.col("year_num").alias("year")), "stream-in")
+    source = spark.readStream.schema(rows.schema).parquet(folder_of(rows))
+    out = new_path(spark, "stream-equal")
+    with keyed_state(spark):
+        keyed_links(source, least=1.0).writeStream.format("parquet").option("path", out).option("checkpointLocation", new_path(spark, "stream-state")).trigger(availableNow=True).start().awaitTermination()
     return spark.read.schema("ord long, match long").parquet(out)

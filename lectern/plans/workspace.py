@@ -32,3 +32,9 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     path = new_path(df.sparkSession, name)
     df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def folder_of(table: DataFrame) -> str:
+    """The folder of a materialized table."""
+    (source,) = table._jdf.queryExecution().analyzed().collectLeaves().head().relation().location().rootPaths().mkString("\n").split("\n")
+    return source

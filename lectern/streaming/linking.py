@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+import contextlib
+from collections import Counter
 from collections.abc import Iterable, Iterator
 from typing import Any
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
 from lectern.functions import text as X
 from lectern.functions.udfs import ratio
@@ -51,3 +54,84 @@ def online_links(records: DataFrame, least: float = 0.9, tolerance: int = 3) ->
         yield pd.DataFrame({"ord": [o for o, _ in out], "match": pd.array([m for _, m in out], dtype="Int64")})
 
     return blocked.groupBy("block").applyInPandasWithState(step, "ord long, match long", _STATE, "append", GroupStateTimeout.NoTimeout)
+
+
+_PROVIDER = "spark.sql.streaming.stateStore.providerClass"
+
+
+@contextlib.contextmanager
+def keyed_state(spark: SparkSession) -> Iterator[None]:
+    """Streams that start inside keep their state in RocksDB, which keyed state needs."""
+    before = spark.conf.get(_PROVIDER)
+    spark.conf.set(_PROVIDER, "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+    try:
+        yield
+    finally:
+        spark.conf.set(_PROVIDER, before)
+
+
+def _near(year: int | None, other: int | None, tolerance: int) -> bool:
+    return year is None or other is None or abs(year - other) <= tolerance
+
+
+class Accepted(StatefulProcessor):
+    """A block's accepted records as keyed state: by title key their numbers and years, and the keys by length. A record reads the
+    entry of its own key, and only if that has no match the keys of lengths that can be alike; what is not accepted again within
+    the time to live goes by itself."""
+
+    def __init__(self, least: float, tolerance: int, ttl_ms: int | None):
+        self.least, self.tolerance, self.ttl = least, tolerance, ttl_ms
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.by_key = handle.getMapState("by_key", "key string", "ords array<long>, years array<int>", self.ttl)
+        self.by_length = handle.getMapState("by_length", "n int", "keys array<string>", self.ttl)
+
+    def _first(self, key: str, year: int | None) -> int | None:
+        if not self.by_key.containsKey((key,)):
+            return None
+        ords, years = self.by_key.getValue((key,))
+        return next((o for o, y in zip(ords, years, strict=True) if _near(year, y, self.tolerance)), None)
+
+    def _alike(self, key: str, year: int | None) -> int | None:
+        n, letters, found = len(key), Counter(key), []
+        for m in range(int(n * self.least / (2 - self.least)), int(n * (2 - self.least) / self.least) + 2):
+            if 2 * min(n, m) >= self.least * (n + m) and self.by_length.containsKey((m,)):
+                for other in self.by_length.getValue((m,))[0]:
+                    # common letters bound the ratio
+                    if other != key and 2 * (letters & Counter(other)).total() >= self.least * (n + m) and ratio(key, other) >= self.least:
+                        found.append(self._first(other, year))
+        return min((o for o in found if o is not None), default=None)
+
+    def _accept(self, ord_: int, key: str, year: int | None) -> None:
+        ords, years = self.by_key.getValue((key,)) if self.by_key.containsKey((key,)) else ([], [])
+        self.by_key.updateValue((key,), ([*ords, ord_], [*years, year]))
+        keys = self.by_length.getValue((len(key),))[0] if self.by_length.containsKey((len(key),)) else []
+        # written again even where it is known: its time starts anew, as the record's does
+        self.by_length.updateValue((len(key),), (list(dict.fromkeys([*keys, key])),))
+
+    def handleInputRows(self, key: Any, rows: Iterator[pd.DataFrame], timerValues: Any) -> Iterator[pd.DataFrame]:  # noqa: N802, N803
+        out = []
+        for row in pd.concat(list(rows)).sort_values("ord").itertuples():
+            year = None if pd.isna(row.year) else int(row.year)
+            match = None
+            if row.key:
+                match = self._first(row.key, year)
+                match = self._alike(row.key, year) if match is None and self.least < 1 else match
+                if match is None:
+                    self._accept(int(row.ord), row.key, year)
+            out.append((int(row.ord), match))
+        yield pd.DataFrame({"ord": [o for o, _ in out], "match": pd.array([m for _, m in out], dtype="Int64")})
+
+    def close(self) -> None:
+        pass
+
+
+def keyed_links(records: DataFrame, least: float = 0.9, tolerance: int = 3, ttl_ms: int | None = None) -> DataFrame:
+    """As online_links, with keyed state in place of one list for each block: a record is compared with the titles that can be
+    alike only, and an accepted one is forgotten after ttl_ms of processing time (null: never), so that state is bounded by what
+    arrives in that time. Start the stream inside keyed_state(spark)."""
+    key = X.title_key(F.coalesce("title", F.lit("")))
+    keyed = records.select("ord", key.alias("key"), F.col("year").cast("int").alias("year"), X.surname(F.col("author")).alias("_sur"))
+    blocked = keyed.withColumn("block", F.concat_ws("|", "_sur", F.substring_index("key", " ", 1))).drop("_sur")
+    mode = "none" if ttl_ms is None else "processingTime"
+    return blocked.groupBy("block").transformWithStateInPandas(Accepted(least, tolerance, ttl_ms), "ord long, match long", "append", mode)

@@ -253,6 +253,14 @@ def reachable(url: Column) -> Column:
     return ~(host.endswith(".local") | host.startswith("localhost"))
 
 
+def kept_urls(urls: Column, dropped: list[str] = []) -> Column:  # noqa: B006
+    """The addresses of a record that can be followed, in their normal form and order, each once: those on the network at large, not
+    taken out by hand, and whole ones, not a partner's bare identifier. A null array stays null."""
+    normal = F.array_distinct(F.transform(F.filter(urls, lambda u: u.isNotNull()), normal_url))
+    out = F.array(*map(F.lit, dropped)).cast("array<string>")
+    return F.filter(normal, lambda u: u.startswith("http") & reachable(u) & ~F.array_contains(out, u))
+
+
 def strip_tags(c: Column) -> Column:
     """Markup out, the five named entities decoded, white space collapsed."""
     out = F.regexp_replace(F.coalesce(c, F.lit("")), r"(?s)<[^>]*>", " ")

@@ -90,3 +90,5 @@ def similarity(a: pd.Series, b: pd.Series) -> pd.Series:
 fold_exact = _one(StringType(), plain)
 norm_exact = _one(StringType(), key)
 to_title_case = _one(StringType(), title_case)
+#: Composed where it can be: marks join the letters before them.
+compose = _one(StringType(), lambda s: s and unicodedata.normalize("NFC", s))

@@ -11,6 +11,8 @@ from collections.abc import Callable, Iterable
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from lectern.functions import udfs as U
+
 #: Words that are ordinary in a language and hardly stand in an English title.
 MARKERS = {
     "German": """der die das dem den und im zur zum nach ueber über unter aus mit von vom bei zwischen ein eine einer eines
@@ -113,6 +115,10 @@ def _vote(language: str, letters: Column, words: Column) -> Callable[[Column], C
 
 
 def words_of(title: Column) -> Column:
+    """A title's words as markers have them: in small letters, composed, without those to be ignored."""
+    # only titles with a mark of its own are taken out of the JVM
+    decomposed = U.compose(F.when(title.rlike(r"\p{M}"), title))
+    title = F.coalesce(decomposed, title)
     every = F.regexp_extract_all(F.lower(title), F.lit(r"([\p{L}\p{M}]+)"), F.lit(1))
     return F.filter(every, lambda w: ~w.isin(IGNORED))
 

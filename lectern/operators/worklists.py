@@ -29,10 +29,13 @@ def without_copy(links: Column) -> Column:
     return F.coalesce(F.size(links), F.lit(0)) <= 0
 
 
-def targets(books: DataFrame, language: str, done: DataFrame | None = None, key: str = "rowkey", limit: int | None = None) -> DataFrame:
+def targets(books: DataFrame, language: str, done: DataFrame | None = None, key: str = "rowkey", limit: int | None = None, containing: tuple[str, str] | None = None) -> DataFrame:
     """Books and periodicals of a language without a copy, by id with undated ones last; those whose key is done are left out.
-    limit is how much one run takes on."""
+    limit is how much one run takes on. containing: a column and a text that it must have somewhere, letters a-z in either case."""
     open_ = books.filter((F.col("language") == language) & F.col("type").isin("book", "periodical") & without_copy(F.col("links")))
+    if containing:
+        column, text = containing
+        open_ = open_.filter(F.lower(F.coalesce(F.col(column), F.lit(""))).contains(text.lower()))
     todo = open_ if done is None else dedupe.not_done(open_, done, key)
     ordered = todo.orderBy(F.col("year_num").isNull(), "id")
     return ordered if limit is None else ordered.limit(limit)
@@ -89,3 +92,10 @@ def fresh(items: DataFrame, known: DataFrame, key: str, urls: str = "urls") -> D
     address = F.explode(urls).alias("_u")
     met = items.select(key, address).join(known.select(address), "_u", "left_semi").select(key)
     return items.join(met, key, "left_anti")
+
+
+def to_redo(matches: Column, error: Column, redone: Column, old_cap: int | None = None) -> Column:
+    """Whether a look-up that was made is to be made again: it ended in an error; or it stopped at the number of matches that was once
+    the most, and has not been repeated since."""
+    cut = F.lit(False) if old_cap is None else (F.size(matches) == old_cap) & ~F.coalesce(redone, F.lit(False))
+    return F.coalesce(error, F.lit("")) != "" if old_cap is None else (F.coalesce(error, F.lit("")) != "") | F.coalesce(cut, F.lit(False))

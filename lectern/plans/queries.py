@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 
 from lectern.functions import text as X
 from lectern.functions import udfs as U
-from lectern.operators import attach, dedupe, language, linkage, publish, scoring, search, similar, text_index
+from lectern.operators import attach, dedupe, ladder, language, linkage, publish, scoring, search, similar, text_index
 from lectern.plans.catalogue import CATALOG_SQL, catalog
 from lectern.plans.workspace import materialize
 from lectern.sources import readers, sinks
@@ -475,6 +475,20 @@ def first_stage(spark, sf_dir):
 _MATCH = "m AS (SELECT c.id, c.type, c.author, c.year_num, l.quality, CASE WHEN c.id % 11 = 0 THEN NULL ELSE 1850 + (c.id * 7 + c.id % 9) % 106 END AS m_year, CASE WHEN c.id % 4 = 0 THEN '' ELSE 'x' END AS m_creator, c.id % 10 / 10.0::DOUBLE + 0.1 AS m_score, c.id % 6 AS title_words FROM cat c JOIN labels l ON c.id = l.doc_id)"
 
 
+@query(f"""+ a AS (SELECT id, list_filter(string_split({NORM.format(MAIN.format('title'))}, ' '), lambda x: x <> '') AS w, source FROM cat),
+h AS (SELECT r.id AS record, c.id AS candidate, CASE WHEN list_has_all(c.w, r.w[1:8]) AND r.source = c.source THEN 0 WHEN list_has_all(c.w, r.w[1:4]) AND r.source = c.source THEN 1 WHEN list_has_all(c.w, r.w[1:4]) THEN 2 END AS stage
+  FROM a r JOIN a c ON r.id <> c.id AND len(r.w) > 0 AND list_has_all(c.w, r.w[1:4]))
+SELECT record, candidate, stage FROM h QUALIFY stage = min(stage) OVER (PARTITION BY record)""", cat=True)
+def ladder_hits(spark, sf_dir):
+    """Other entries with a title's first eight words, of its source; else with its first four; else with those, of any source."""
+    rows = catalog(spark, sf_dir).select("id", "source", F.filter(F.split(X.title_key(F.col("title")), " "), lambda w: w != "").alias("words"))
+    corpus = rows.select(F.col("id").alias("candidate"), F.array_distinct("words").alias("words"), F.col("source").alias("c_source"))
+    other = F.col("record") != F.col("candidate")
+    same = other & (F.col("source") == F.col("c_source"))
+    rungs = [ladder.word_rung(corpus, 8, also=same), ladder.word_rung(corpus, 4, also=same), ladder.word_rung(corpus, 4, also=other)]
+    return ladder.climb(rows.withColumnRenamed("id", "record"), "record", rungs)[0]
+
+
 @query("+ " + _MATCH + ", s AS (SELECT *, contains(author, ',') AS personal FROM m) SELECT id, CASE WHEN title_words < 4 AND m_creator = '' THEN NULL WHEN m_year IS NULL THEN CASE WHEN personal THEN 'same' END WHEN abs(m_year - year_num) <= 3 THEN 'same' WHEN type = 'periodical' AND year_num IS NOT NULL AND m_year >= year_num - 3 THEN 'same' WHEN personal AND m_creator <> '' AND m_score >= 0.95 THEN 'other' END AS edition FROM s", cat=True)
 def split_editions(spark, sf_dir):
     i = F.col("id")

@@ -9,6 +9,7 @@ from lectern.functions import text as X
 from lectern.operators import mapping, publish, validate, worklists
 from lectern.plans.catalogue import catalog
 from lectern.plans.queries import MAIN, NORM, query, table
+from lectern.sources import xml
 from lectern.plans.workspace import folder_of, materialize, new_path
 from lectern.streaming.linking import keyed_links, keyed_state, online_links
 
@@ -333,6 +334,71 @@ def page_summaries(spark, sf_dir):
 # --- streams --------------------------------------------------------------------------------------------------------------
 
 
+@query(
+    r"""SELECT doc_id AS id, part, CASE WHEN doc_id % 3 = 0 THEN nullif(t, '') WHEN part = 1 THEN concat('EN <', source, '> & ', lang) ELSE concat('es ', source) END AS title,
+concat('Émile ', source) AS name, array_to_string(CASE WHEN part = 1 THEN [lang, source] ELSE [lang] END, '|') AS subjects, concat(doc_id, '-', part) AS code
+FROM (SELECT *, regexp_replace(split_part(text, '.', 1), '^[\x00-\x20]+|[\x00-\x20]+$', '', 'g') AS t FROM documents), (SELECT unnest([1, 2]) AS part)"""
+)
+def xml_parsed(spark, sf_dir):
+    """Two records in each document's XML, with prefixes, character data, numeric entities, titles in several languages, a title of something else
+    inside, and an attribute."""
+    esc = lambda c: F.replace(F.replace(c, F.lit("&"), F.lit("&amp;")), F.lit("<"), F.lit("&lt;"))
+    made = table(spark, sf_dir, "documents").withColumn("t", F.substring_index("text", ".", 1))
+    i = F.col("doc_id")
+    french = F.concat(F.lit('<dc:title xml:lang="fr">'), esc(F.col("t")), F.lit("</dc:title>"))
+
+    def part(n: int) -> Column:
+        other = F.concat(F.lit('<dc:title xml:lang="en"><![CDATA[EN <'), "source", F.lit("> & "), "lang", F.lit("]]></dc:title>")) if n == 1 else F.concat(F.lit('<dc:title xml:lang="es">es '), "source", F.lit("</dc:title>"))
+        subjects = F.concat(F.lit("<dc:subject>"), "lang", F.lit("</dc:subject>"), *([F.lit("<dc:subject> "), "source", F.lit("\n</dc:subject><dc:subject/>")] if n == 1 else []))
+        return F.concat(
+            F.lit('<oai:record code="'), i.cast("string"), F.lit(f'-{n}"><about><dc:title xml:lang="en">not this one</dc:title></about>'), french, F.when(i % 3 == 0, "").otherwise(other),
+            F.lit("<dc:creator><person><name>&#201;mile "), "source", F.lit("</name></person></dc:creator>"), subjects, F.lit("</oai:record>"),
+        )
+
+    whole = F.concat(F.lit('<?xml version="1.0"?><oai:list xmlns:oai="urn:o" xmlns:dc="urn:d"><oai:set>'), part(1), part(2), F.lit("</oai:set></oai:list>"))
+    fields = {"title": xml.Field("title", langs=("en", "es", "fr")), "name": xml.Field("creator/person/name"), "subjects": xml.Field("subject", many=True), "code": xml.Field("@code")}
+    found = xml.xml_table(made.select(i.alias("id"), whole.alias("xml")), "xml", "set/record", fields)
+    return found.select("id", F.substring_index("code", "-", -1).cast("int").alias("part"), "title", "name", F.array_join("subjects", "|").alias("subjects"), "code")
+
+
+@query(
+    r"""WITH u AS (SELECT c_custkey AS id, [concat('http://www.archive.org/details/', c_custkey), concat('https://', CASE c_nationkey % 4 WHEN 0 THEN 'nas.local' WHEN 1 THEN 'LOCALHOST:80' ELSE 'example.org' END, '/', c_custkey),
+  concat('ark:/', c_custkey), concat(' https://archive.org/details/', c_custkey - c_custkey % 2, ' '), concat('https://x.org/', c_custkey % 5)] AS urls FROM customer),
+n AS (SELECT id, list_transform(urls, lambda x: regexp_replace(trim(x), '^http://(www\.)?archive\.org/', 'https://archive.org/')) AS urls FROM u),
+k AS (SELECT id, list_filter(urls, lambda x: starts_with(x, 'http') AND x <> 'https://x.org/3' AND NOT regexp_matches(lower(x), '^https?://([^/]*\.local/|localhost)')) AS urls FROM n)
+SELECT id, array_to_string(CASE WHEN id % 2 = 0 THEN [urls[1]] || urls[2:] ELSE urls END, ' ') AS urls FROM (SELECT id, list_filter(urls, lambda x, i: list_position(urls, x) = i) AS urls FROM k)"""
+)
+def kept_addresses(spark, sf_dir):
+    """Addresses in normal form, once each, without those of internal hosts, bare identifiers and what was taken out by hand."""
+    c = table(spark, sf_dir, "customer")
+    key = F.col("c_custkey").cast("string")
+    host = F.when(F.col("c_nationkey") % 4 == 0, "nas.local").when(F.col("c_nationkey") % 4 == 1, "LOCALHOST:80").otherwise("example.org")
+    text = lambda *parts: F.concat(*(F.lit(p) if isinstance(p, str) else p for p in parts))
+    urls = F.array(
+        text("http://www.archive.org/details/", key), text("https://", host, "/", key), text("ark:/", key),
+        text(" https://archive.org/details/", (F.col("c_custkey") - F.col("c_custkey") % 2).cast("string"), " "), text("https://x.org/", (F.col("c_custkey") % 5).cast("string")),
+    )
+    return c.select(F.col("c_custkey").alias("id"), F.array_join(X.kept_urls(urls, ["https://x.org/3"]), " ").alias("urls"))
+
+
+@query("SELECT id FROM cat WHERE language = 'French' AND type IN ('book', 'periodical') AND coalesce(len(links), 0) = 0 AND contains(lower(source), 'rc1')", cat=True)
+def lookup_targets_like(spark, sf_dir):
+    return worklists.targets(catalog(spark, sf_dir), "French", containing=("source", "RC1")).select("id")
+
+
+@query(
+    """WITH c AS (SELECT l_orderkey AS k, count(*) AS n, bool_or(l_returnflag = 'R') AS redone, max(CASE WHEN l_linestatus = 'O' AND l_quantity > 45 THEN 'timeout' END) AS error FROM lineitem GROUP BY l_orderkey)
+SELECT k, error IS NOT NULL AS after_error, error IS NOT NULL OR (n = 6 AND NOT redone) AS after_cap FROM c"""
+)
+def redo_lookups(spark, sf_dir):
+    """Orders as look-ups with their lines as matches: made again after an error, or where they stopped at six."""
+    made = table(spark, sf_dir, "lineitem").groupBy(F.col("l_orderkey").alias("k")).agg(
+        F.collect_list("l_linenumber").alias("matches"), F.bool_or(F.col("l_returnflag") == "R").alias("redone"), F.max(F.when((F.col("l_linestatus") == "O") & (F.col("l_quantity") > 45), "timeout")).alias("error"),
+    )
+    columns = F.col("matches"), F.col("error"), F.col("redone")
+    return made.select("k", worklists.to_redo(*columns).alias("after_error"), worklists.to_redo(*columns, old_cap=6).alias("after_cap"))
+
+
 @query()
 def stream_links(spark, sf_dir):
     """The catalogue as a stream of one batch; tests compare it with a plain rendering."""

@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from lectern.functions import text as X
@@ -155,3 +155,12 @@ def write_report(df: DataFrame, path: str) -> None:
 def append_log(df: DataFrame, path: str) -> None:
     """Append rows to a log of JSON lines."""
     df.write.mode("append").json(path)
+
+
+def write_counted(df: DataFrame, path: str, flags: Sequence[tuple[str, Column]] = (), mode: str = "overwrite") -> dict[str, int]:
+    """Write a table and give its counters (rows, and how many have each flag), which the writing job itself observes: the rows are
+    not made a second time to be counted. flags must not be named rows."""
+    seen = Observation()
+    counts = [F.count(F.lit(1)).alias("rows"), *(F.count_if(c).alias(n) for n, c in flags)]
+    df.observe(seen, *counts).write.mode(mode).parquet(path)
+    return {"rows": 0, **{n: 0 for n, _ in flags}} | {k: v for k, v in seen.get.items() if v is not None}

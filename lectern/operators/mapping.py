@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame
@@ -123,3 +123,55 @@ def common(records: DataFrame, rules: Rules, excluded: DataFrame | None = None)
         made["year"] = F.coalesce(F.nullif(r["year"], F.lit("")), F.lit("n.d."))
     shown = [made[c].alias(c) for c in TEXTS]
     return wanted.select(*shown, year.alias("year_num"), "pdf_page", F.lit("book").alias("type"), F.lit(rules.source).alias("source"), rules.place_in(r).alias("place_in"))
+
+
+#: Abstracts that a scanning service wrote; the span of an author's life behind a heading.
+BOILERPLATE = "(?i)digitized by Google|uploaded to the Internet Archive|metadata below describe the original scanning"
+LIFE = r"\s*\((?:[bd]\.\s*)?\d{3,4}\??(?:-\d{0,4}\??)?\)\s*$"
+
+
+def _several(names: Column, after: str = "") -> Column:
+    """Each name of an array with its surname first, without those that say nothing."""
+    turned = F.transform(F.coalesce(names, F.array().cast("array<string>")), X.invert_name)
+    return F.transform(F.filter(turned, lambda n: F.coalesce(n, F.lit("")) != ""), lambda n: F.concat(n, F.lit(after)) if after else n)
+
+
+def collected(items: DataFrame, order: str, dropped: Sequence[str] = ()) -> DataFrame:
+    """Items of a reference manager's collection as common records with links: author, title, year, year_num, links, other.
+
+    items: order, title, date, urls, authors, editors, translators, contributors, subjects (arrays), place, publisher, pages, series,
+    language, abstract. An item without an address that can be followed goes; of those with one first address the first stays.
+    Editors stand for authors where there are none. Null texts and arrays count as empty.
+    """
+    t = lambda c: F.btrim(F.coalesce(F.col(c).cast("string"), F.lit("")))
+    linked = items.withColumn("_urls", X.kept_urls(F.col("urls"), list(dropped))).filter(F.size("_urls") > 0)
+    first = dedupe.first_wins(linked.withColumn("_first", F.get("_urls", F.lit(0))), ["_first"], order)
+    own = _several(F.col("authors"))
+    author = F.array_join(F.when(F.size(own) > 0, own).otherwise(_several(F.col("editors"), ", ed.")), "; ")
+    found = F.regexp_extract(t("date"), r"(?<!\d)(1[5-9]\d\d|20[0-2]\d)(?!\d)", 1)
+    plain_date = t("date").rlike(r"^\d{4}(-\d\d){0,2}$")
+    year = F.when(t("date") == "", "n.d.").when(plain_date & (found != ""), found).otherwise(t("date"))
+    pages = F.when(t("pages").rlike("^[0-9]+$"), F.concat(t("pages"), F.lit(" p."))).otherwise(t("pages"))
+    says = F.when(t("abstract").rlike(BOILERPLATE) | t("abstract").rlike(r"^[\d\s]+$"), "").otherwise(t("abstract"))
+    people = lambda c: F.array_join(_several(F.col(c)), "; ")
+    parts = [
+        ("Imprint", publish.imprint(t("place"), t("publisher"))), ("Extent", pages), ("Series", t("series")), ("Language", t("language")), ("Translator", people("translators")),
+        ("Contributor", people("contributors")), ("Subjects", F.array_join(F.slice(F.coalesce("subjects", F.array().cast("array<string>")), 1, 12), "; ")), ("Note", says),
+    ]
+    return first.select(order, author.alias("author"), t("title").alias("title"), year.alias("year"), F.nullif(found, F.lit("")).cast("int").alias("year_num"), F.col("_urls").alias("links"), publish.labelled(parts).alias("other"))
+
+
+def library_cards(cards: DataFrame, source: str = "Biblioteca Nacional de España", language: str = "Spanish") -> DataFrame:
+    """Cards of a digital library as common records: author, title, year, year_num, links, other, source.
+
+    cards: title, author, date, place, publisher, extent, signature, id, viewer, error. Cards with an error or without a title go. A
+    title ends at its statement of responsibility, an author at the first | and before the span of a life.
+    """
+    t = lambda c: F.btrim(F.coalesce(F.col(c).cast("string"), F.lit("")))
+    kept = cards.filter((t("error") == "") & (t("title") != ""))
+    title = F.btrim(F.split(t("title"), r"\s+/\s+", 2)[0], F.lit(" ."))
+    author = F.btrim(F.regexp_replace(F.substring_index(t("author"), "|", 1), LIFE, ""))
+    year = F.nullif(F.regexp_extract(t("date"), r"(1[5-9]\d\d|20\d\d)", 1), F.lit(""))
+    place_in = F.concat(F.lit(f"{source}, BNE Digital "), t("id"), F.when(t("signature") != "", F.concat(F.lit(" (signatura "), t("signature"), F.lit(")"))).otherwise(""))
+    parts = [("Imprint", publish.imprint(t("place"), t("publisher"))), ("Extent", t("extent")), ("Language", F.lit(language)), ("", place_in)]
+    return kept.select(author.alias("author"), title.alias("title"), F.coalesce(year, F.lit("n.d.")).alias("year"), year.cast("int").alias("year_num"), F.array(F.col("viewer")).alias("links"), publish.labelled(parts).alias("other"), F.lit(source).alias("source"))

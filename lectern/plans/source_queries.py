@@ -399,6 +399,52 @@ def redo_lookups(spark, sf_dir):
     return made.select("k", worklists.to_redo(*columns).alias("after_error"), worklists.to_redo(*columns, old_cap=6).alias("after_cap"))
 
 
+@query(
+    r"""WITH i AS (SELECT doc_id, doc_id % 6 AS k, text, source, lang, n_chars, regexp_replace(split_part(text, '.', 1), '^ +| +$', '', 'g') AS title FROM documents),
+u AS (SELECT *, CASE WHEN k = 0 THEN 'https://nas.local/x' WHEN k = 1 THEN concat('https://archive.org/details/', doc_id % 50) ELSE concat('https://x.org/', doc_id) END AS url FROM i),
+f AS (SELECT * FROM u WHERE k <> 0 QUALIFY row_number() OVER (PARTITION BY url ORDER BY doc_id) = 1),
+y AS (SELECT *, CASE doc_id % 4 WHEN 0 THEN concat(1850 + doc_id % 90, '-0', 1 + doc_id % 9) WHEN 1 THEN concat('c. ', 1850 + doc_id % 90, '?') WHEN 2 THEN '' ELSE 'undated' END AS date FROM f)
+SELECT doc_id, CASE k WHEN 2 THEN concat(source, ', Ann; ', lang, ', Bob C.') WHEN 3 THEN concat(source, ', Ed, ed.') WHEN 4 THEN 'The Japan Society' ELSE '' END AS author, title,
+  CASE doc_id % 4 WHEN 0 THEN CAST(1850 + doc_id % 90 AS VARCHAR) WHEN 1 THEN date WHEN 2 THEN 'n.d.' ELSE 'undated' END AS year, CASE WHEN doc_id % 4 < 2 THEN CAST(1850 + doc_id % 90 AS INTEGER) END AS year_num, url AS links,
+  concat('Imprint: ', CASE WHEN k > 3 THEN 'Paris, ' ELSE '' END, source, ' | Extent: ', n_chars, CASE WHEN k % 2 = 0 THEN ' p.' ELSE ' leaves' END, ' | Language: ', lang, ' | Translator: ', source, ', Tr | Subjects: ', lang, '; ', source,
+    CASE k WHEN 5 THEN concat(' | Note: about ', lang) ELSE '' END) AS other FROM y"""
+)
+def mapped_collection(spark, sf_dir):
+    """A reference manager's items: internal addresses, one item filed twice, editors for authors, bodies, dates of four kinds, abstracts that say nothing."""
+    i, none = F.col("doc_id"), F.array().cast("array<string>")
+    k = i % 6
+    text = lambda *parts: F.concat(*(F.lit(p) if isinstance(p, str) else p for p in parts))
+    year = (F.lit(1850) + i % 90).cast("string")
+    items = table(spark, sf_dir, "documents").select(
+        "doc_id", F.substring_index("text", ".", 1).alias("title"), F.when(i % 4 == 0, text(year, "-0", (1 + i % 9).cast("string"))).when(i % 4 == 1, text("c. ", year, "?")).when(i % 4 == 3, "undated").alias("date"),
+        F.array(F.when(k == 0, "https://nas.local/x").when(k == 1, text("http://www.archive.org/details/", (i % 50).cast("string"))).otherwise(text("https://x.org/", i.cast("string"))), F.lit("ark:/1")).alias("urls"),
+        F.when(k == 2, F.array(text("Ann ", F.col("source")), F.lit("Not available"), text("Bob C. ", F.col("lang")))).when(k == 4, F.array(F.lit("The Japan Society"))).otherwise(none).alias("authors"),
+        F.when(k.isin(2, 3), F.array(text("Ed ", F.col("source")))).alias("editors"), F.array(text("Tr ", F.col("source"))).alias("translators"), none.alias("contributors"), F.array("lang", "source").alias("subjects"),
+        F.when(k > 3, "Paris").alias("place"), F.col("source").alias("publisher"), F.when(k % 2 == 0, F.col("n_chars").cast("string")).otherwise(text(F.col("n_chars").cast("string"), " leaves")).alias("pages"), F.lit("").alias("series"), F.col("lang").alias("language"),
+        F.when(k == 5, text("about ", F.col("lang"))).when(k == 4, "Book digitized by Google from a library").otherwise("12 34").alias("abstract"),
+    )
+    return mapping.collected(items, "doc_id").withColumn("links", F.array_join("links", " "))
+
+
+@query(
+    r"""SELECT regexp_replace(split_part(text, '.', 1), '^ +| +$', '', 'g') AS title, CASE doc_id % 3 WHEN 0 THEN concat('Pérez, ', source) WHEN 1 THEN concat('Gil, ', lang) ELSE '' END AS author, CASE WHEN doc_id % 5 = 0 THEN 'n.d.' ELSE CAST(1700 + doc_id % 250 AS VARCHAR) END AS year,
+  CASE WHEN doc_id % 5 <> 0 THEN CAST(1700 + doc_id % 250 AS INTEGER) END AS year_num, concat('https://bne.es/', doc_id) AS links,
+  concat('Imprint: Madrid, ', source, ' | Extent: ', n_chars, ' h. | Language: Spanish | Biblioteca Nacional de España, BNE Digital ', doc_id, CASE WHEN doc_id % 2 = 0 THEN concat(' (signatura R/', doc_id, ')') ELSE '' END) AS other, 'Biblioteca Nacional de España' AS source
+FROM documents WHERE doc_id % 11 <> 0 AND trim(split_part(text, '.', 1)) <> ''"""
+)
+def mapped_cards(spark, sf_dir):
+    """A digital library's cards; every eleventh was answered by an error."""
+    i = F.col("doc_id")
+    text = lambda *parts: F.concat(*(F.lit(p) if isinstance(p, str) else p for p in parts))
+    number = i.cast("string")
+    cards = table(spark, sf_dir, "documents").select(
+        text(F.substring_index("text", ".", 1), " / por ", F.col("lang")).alias("title"), F.when(i % 3 == 0, text("Pérez, ", F.col("source"), " (1850-19?) | otro")).when(i % 3 == 1, text("Gil, ", F.col("lang"), " (b. 1801)")).alias("author"),
+        F.when(i % 5 != 0, text("entre ", (F.lit(1700) + i % 250).cast("string"), " y 1999")).alias("date"), F.lit("Madrid").alias("place"), F.col("source").alias("publisher"), text(F.col("n_chars").cast("string"), " h. ").alias("extent"),
+        F.when(i % 2 == 0, text("R/", number)).alias("signature"), number.alias("id"), text("https://bne.es/", number).alias("viewer"), F.when(i % 11 == 0, "no answer").alias("error"),
+    )
+    return mapping.library_cards(cards).withColumn("links", F.array_join("links", " "))
+
+
 @query()
 def stream_links(spark, sf_dir):
     """The catalogue as a stream of one batch; tests compare it with a plain rendering."""

@@ -35,6 +35,7 @@ class Rules:
     no_russian: bool = False  # works in Russian go, as title and note show
     told_language: bool = False  # and as the language field shows
     sections_out: str | None = None
+    pairs_out: tuple[tuple[str, str], ...] = ()  # parts of author and title of records that a person has ruled out
     made: Mapping[str, Callable[[Mapping[str, Column]], Column]] = field(default_factory=dict)
 
 
@@ -90,6 +91,15 @@ def is_russian(author: Column, title: Column, note: Column, language: Column) ->
     return text.rlike(CYRILLIC) | F.coalesce(note, F.lit("")).rlike(RUSSIAN_NOTE) | (F.lower(F.coalesce(language, F.lit(""))) == "russian")
 
 
+def ruled_out(author: Column, title: Column, pairs: Sequence[tuple[str, str]]) -> Column:
+    """Whether a record is one that a person has ruled out by a part of its author and a part of its title, both normalised."""
+    a, t = X.norm(F.coalesce(author, F.lit(""))), X.norm(F.coalesce(title, F.lit("")))
+    out = F.lit(False)
+    for part, other in pairs:
+        out = out | (a.contains(part) & t.contains(other))
+    return out
+
+
 def common(records: DataFrame, rules: Rules, excluded: DataFrame | None = None) -> DataFrame:
     """The wanted records of a source as common ones: TEXTS, year_num, pdf_page, type (book), source, place_in.
 
@@ -112,6 +122,8 @@ def common(records: DataFrame, rules: Rules, excluded: DataFrame | None = None)
         kept.append(~is_russian(r["author"], r["title"], r["note"], r["language"] if rules.told_language else F.lit("")))
     if rules.sections_out:
         kept.append(~r["section"].rlike(rules.sections_out))
+    if rules.pairs_out:
+        kept.append(~ruled_out(r["author"], r["title"], rules.pairs_out))
     wanted = records
     for condition in kept:
         wanted = wanted.filter(condition)
@@ -175,3 +187,43 @@ def library_cards(cards: DataFrame, source: str = "Biblioteca Nacional de Españ
     place_in = F.concat(F.lit(f"{source}, BNE Digital "), t("id"), F.when(t("signature") != "", F.concat(F.lit(" (signatura "), t("signature"), F.lit(")"))).otherwise(""))
     parts = [("Imprint", publish.imprint(t("place"), t("publisher"))), ("Extent", t("extent")), ("Language", F.lit(language)), ("", place_in)]
     return kept.select(author.alias("author"), title.alias("title"), F.coalesce(year, F.lit("n.d.")).alias("year"), year.cast("int").alias("year_num"), F.array(F.col("viewer")).alias("links"), publish.labelled(parts).alias("other"), F.lit(source).alias("source"))
+
+
+#: Words that make a creator a body, and what may stand at a title's end for an uncertain date.
+BODY = r"(?i)\b(society|association|bureau|company|line|army|navy|railway|forces|government|ministry|office|department|scholar|mail)\b"
+UNCERTAIN_END = r"(?i)[\s.,]*\b(ca|circa|n\.d)\.?$"
+
+
+def one_per_work(items: DataFrame, order: str, years: tuple[int, int] = (1850, 1900)) -> DataFrame:
+    """A collection's printed books as common records, copies of a work folded together: author, title, year, year_num, extent, order.
+
+    items: order, author, title, year, list_year, collation, error. Those with an error, without a title or without a year inside the span go.
+    Copies share surname, title key and year; the first in order stays.
+    """
+    t = lambda c: F.btrim(F.coalesce(F.col(c).cast("string"), F.lit("")))
+    printed = F.coalesce(F.nullif(t("year"), F.lit("")), t("list_year"))
+    year = F.nullif(F.regexp_extract(printed, r"(1[5-9]\d\d|20\d\d)", 1), F.lit("")).cast("int")
+    title = F.btrim(F.regexp_replace(t("title"), UNCERTAIN_END, ""), F.lit(" .,"))
+    kept = items.filter((t("error") == "") & (t("title") != "") & year.between(*years))
+    made = kept.select(order, t("author").alias("author"), title.alias("title"), year.cast("string").alias("year"), year.alias("year_num"), t("collation").alias("extent"))
+    keyed = made.withColumns({"_s": X.surname(F.col("author")), "_t": X.title_key(F.col("title"))})
+    return dedupe.first_wins(keyed, ["_s", "_t", "year_num"], order).drop("_s", "_t")
+
+
+def archive_items(items: DataFrame, fixes: DataFrame | None = None) -> DataFrame:
+    """Items of an archive chosen by hand as common records: identifier, author, title, year, year_num, publisher, extent, links, place_in.
+
+    items: identifier, creator, title, date, publisher, imagecount. A creator of two to four words without a comma is a person, turned
+    round, unless a word makes it a body. fixes: (identifier, author, title), null where nothing is to be corrected.
+    """
+    t = lambda c: F.regexp_replace(F.btrim(F.coalesce(F.col(c).cast("string"), F.lit(""))), r"\s+", " ")
+    words = F.split(t("creator"), " ")
+    person = ~t("creator").rlike(BODY) & ~t("creator").contains(",") & F.size(words).between(2, 4)
+    turned = F.concat(F.element_at(words, -1), F.lit(", "), F.array_join(F.slice(words, F.lit(1), F.greatest(F.size(words) - 1, F.lit(0))), " "))
+    year = F.nullif(F.regexp_extract(t("date"), r"(1[6-9]\d\d|20\d\d)", 1), F.lit(""))
+    images = F.when(F.coalesce(F.col("imagecount"), F.lit(0)) > 0, F.concat(F.col("imagecount").cast("string"), F.lit(" images"))).otherwise("")
+    out = items.select(
+        "identifier", F.when(person, turned).otherwise(t("creator")).alias("author"), t("title").alias("title"), F.coalesce(year, F.lit("n.d.")).alias("year"), year.cast("int").alias("year_num"), t("publisher").alias("publisher"), images.alias("extent"),
+        F.array(F.concat(F.lit("https://archive.org/details/"), "identifier")).alias("links"), F.concat(F.lit("archive.org item "), "identifier", F.lit(", chosen by hand")).alias("place_in"),
+    )
+    return out if fixes is None else publish.overridden(out, fixes, "identifier", ["author", "title"])

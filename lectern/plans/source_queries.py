@@ -445,6 +445,40 @@ def mapped_cards(spark, sf_dir):
     return mapping.library_cards(cards).withColumn("links", F.array_join("links", " "))
 
 
+@query(
+    f"""WITH p AS (SELECT p_partkey AS k, concat(upper(left(p_name, 1)), substr(p_name, 2)) AS name, 1840 + p_partkey % 70 AS y, p_size FROM part),
+c AS (SELECT k, CASE k % 3 WHEN 0 THEN 'Doe, J.' WHEN 1 THEN 'Roe, R.' ELSE '' END AS author, split_part(name, ' ', 1) AS title, y, p_size FROM p WHERE k % 13 <> 0 AND y BETWEEN 1850 AND 1900)
+SELECT k, author, title, CAST(y AS VARCHAR) AS year, CAST(y AS INTEGER) AS year_num, concat(p_size, ' p.') AS extent FROM c QUALIFY row_number() OVER (PARTITION BY k % 3, {NORM.format('title')}, y ORDER BY k) = 1"""
+)
+def mapped_printed_books(spark, sf_dir):
+    """Copies of works in one collection; every thirteenth could not be fetched, every second has its year in the list only."""
+    k = F.col("p_partkey")
+    year = (F.lit(1840) + k % 70).cast("string")
+    items = table(spark, sf_dir, "part").select(
+        k.alias("k"), F.when(k % 3 == 0, "Doe, J.").when(k % 3 == 1, "Roe, R.").alias("author"), F.concat(F.initcap(F.substring_index("p_name", " ", 1)), F.when(k % 4 == 0, ", circa.").when(k % 4 == 1, " n.d.").otherwise(".")).alias("title"),
+        F.when(k % 2 == 0, F.concat(F.lit("c"), year)).alias("year"), year.alias("list_year"), F.concat(F.col("p_size").cast("string"), F.lit(" p. ")).alias("collation"), F.when(k % 13 == 0, "lost").alias("error"),
+    )
+    return mapping.one_per_work(items, "k")
+
+
+@query(
+    r"""SELECT concat('i', c_custkey) AS identifier, CASE WHEN c_custkey % 10 = 0 THEN 'By Hand' WHEN c_custkey % 4 = 0 THEN 'BUILDING, Ann Bea' WHEN c_custkey % 4 = 1 THEN 'Japan Mail Line' WHEN c_custkey % 4 = 2 THEN 'Hume, Bill; Annarino, John' ELSE '' END AS author,
+concat('On ', c_mktsegment) AS title, CASE WHEN c_custkey % 3 = 0 THEN 'n.d.' ELSE CAST(1600 + c_custkey % 400 AS VARCHAR) END AS year, CASE WHEN c_custkey % 3 <> 0 THEN CAST(1600 + c_custkey % 400 AS INTEGER) END AS year_num,
+c_mktsegment AS publisher, CASE WHEN c_nationkey > 0 THEN concat(c_nationkey, ' images') ELSE '' END AS extent, concat('https://archive.org/details/i', c_custkey) AS links, concat('archive.org item i', c_custkey, ', chosen by hand') AS place_in FROM customer"""
+)
+def mapped_archive_items(spark, sf_dir):
+    """Items with creators in several forms; every tenth author is set right by hand."""
+    k = F.col("c_custkey")
+    key = F.concat(F.lit("i"), k.cast("string"))
+    c = table(spark, sf_dir, "customer")
+    items = c.select(
+        key.alias("identifier"), F.when(k % 4 == 0, " Ann  Bea BUILDING ").when(k % 4 == 1, "Japan Mail Line").when(k % 4 == 2, "Hume, Bill; Annarino, John").alias("creator"), F.concat(F.lit("On\n"), "c_mktsegment").alias("title"),
+        F.when(k % 3 != 0, F.concat(F.lit("c"), (F.lit(1600) + k % 400).cast("string"), F.lit("-01"))).alias("date"), F.col("c_mktsegment").alias("publisher"), F.col("c_nationkey").alias("imagecount"),
+    )
+    fixes = c.filter(k % 10 == 0).select(key.alias("identifier"), F.lit("By Hand").alias("author"), F.lit(None).cast("string").alias("title"))
+    return mapping.archive_items(items, fixes).withColumn("links", F.array_join("links", " "))
+
+
 @query()
 def stream_links(spark, sf_dir):
     """The catalogue as a stream of one batch; tests compare it with a plain rendering."""

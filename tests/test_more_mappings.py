@@ -11,7 +11,7 @@ def test_collected(spark):
     rows = [
         (1, " A title ", "1890-05", ["http://www.archive.org/details/a"], ["Ann Roe", "not available", None], None, None, None, None, None, None, "12", None, None, "77 88"),
         (2, "Twice", "1891", ["https://archive.org/details/a"], None, None, None, None, None, None, None, None, None, None, None),
-        (3, None, None, ["https://x.org/1"], [], ["Ed Poe", "Japan Society"], ["Tr One"], ["Co Two"], [f"s{i}" for i in range(20)], "Paris", "Doe", "xii, 3", "S", "fr", "Digitized by Google"),
+        (3, None, None, ["https://x.org/1"], [], ["Ed Poe", "Japan Society"], ["Tr One"], ["Cy Two"], [f"s{i}" for i in range(20)], "Paris", "Doe", "xii, 3", "S", "fr", "Digitized by Google"),
         (4, "No link", "x", ["ark:/1", "http://localhost/1"], None, None, None, None, None, None, None, None, None, None, None),
         (5, "Null links", "x", None, None, None, None, None, None, None, None, None, None, None, None),
         (6, "Out", "x", ["https://gone.org"], None, None, None, None, None, None, None, None, None, None, None),
@@ -20,7 +20,7 @@ def test_collected(spark):
     got = [tuple(r) for r in M.collected(df, "n", ["https://gone.org"]).orderBy("n").collect()]
     assert got == [
         (1, "Roe, Ann", "A title", "1890", 1890, ["https://archive.org/details/a"], "Extent: 12 p."),
-        (3, "Poe, Ed, ed.; Japan Society, ed.", "", "n.d.", None, ["https://x.org/1"], "Imprint: Paris, Doe | Extent: xii, 3 | Series: S | Language: fr | Translator: One, Tr | Contributor: Two, Co | Subjects: " + "; ".join(f"s{i}" for i in range(12))),
+        (3, "Poe, Ed, ed.; Japan Society, ed.", "", "n.d.", None, ["https://x.org/1"], "Imprint: Paris, Doe | Extent: xii, 3 | Series: S | Language: fr | Translator: One, Tr | Contributor: Two, Cy | Subjects: " + "; ".join(f"s{i}" for i in range(12))),
     ]
     assert M.collected(df.limit(0), "n").collect() == []
 

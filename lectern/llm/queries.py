@@ -34,6 +34,5 @@ def oracle_sql() -> dict[str, str]:
         "op4_secret_scan": secret_scan.ORACLE,
         "op5_jaccard_join": jaccard_join.ORACLE,
         "op11_importance": importance.ORACLE,
-        "op12_neighbours": neighbours.op12_neighbours,
         "op13_collocations": collocations.ORACLE,
     }

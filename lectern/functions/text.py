@@ -342,6 +342,80 @@ def imprint_parts(other: Column) -> Column:
     return F.struct(F.array_join(F.slice(bits, F.lit(1), taken), ", ").alias("place"), F.array_join(rest, ", ").alias("publisher"), F.btrim(F.regexp_extract(F.coalesce(other, F.lit("")), r"In: ([^|]+)", 1)).alias("container"))
 
 
+#: What a catalogue prints where place or publisher is not known; words of a title page's line that are no publisher's
+#: name; a date in roman numerals, the end of a phrase.
+NO_PLACE, NO_PUBLISHER = r"(?i)^s\.\s*l$", r"(?i)^s\.\s*n$"
+NOT_A_NAME = (
+    r"(?iU)\b(éditeur|editeur|imprimeur|libraire|chevalier|ancien|successeur|rue |street|strasse|straße|piccadilly|avenue|boulevard|"
+    r"printed for|published by|publisher|hofbuchhandlung)"
+)
+ROMAN_DATE, ROMAN_ONLY = r"\bM\.?D\.?C+[^.,;]*", r"^[MDCLXVI. ]+$"
+PHRASE_END = r"\.\s+[A-ZÉÈÀÖÜÄ][a-zà-ÿ]"
+#: A publisher's name is taken up to the part that makes it longer than this.
+LONG_NAME = 40
+
+
+def catalogue_imprint(line: Column) -> Column:
+    """struct(place, publisher) of an imprint as a catalogue prints it, 'Place : Publisher (Printer's place : Printer)'.
+
+    What stands in the first brackets takes the place of what is unknown outside; alone there, it is the printer. Null counts as empty.
+    """
+    text, marks = F.coalesce(line, F.lit("")), F.lit(" ,.[]")
+    parts = lambda c: F.split(c, ":", 2)
+    side = lambda c, k: F.coalesce(F.btrim(F.get(parts(c), F.lit(k)), marks), F.lit(""))
+    outer, inner = F.regexp_replace(text, r"\s*\([^)]*\)", ""), F.regexp_extract(text, r"\(([^)]+)\)", 1)
+    place = F.regexp_replace(side(outer, 0), NO_PLACE, "")
+    publisher = F.regexp_replace(side(outer, 1), NO_PUBLISHER, "")
+    printer = F.coalesce(F.nullif(side(inner, 1), F.lit("")), side(inner, 0))
+    printed_at = F.when(side(inner, 1) != "", side(inner, 0)).otherwise("")
+    return F.struct(F.coalesce(F.nullif(place, F.lit("")), printed_at).alias("place"), F.coalesce(F.nullif(publisher, F.lit("")), printer).alias("publisher"))
+
+
+def from_shouting(c: Column) -> Column:
+    """A text all in capitals with each run of letters as a capital and small ones; any other as it is."""
+    runs = F.transform(F.split(c, r"(?<!\p{L})(?=\p{L})"), lambda w: F.concat(F.upper(F.left(w, F.lit(1))), F.lower(F.substring(w, F.lit(2), F.length(w)))))
+    return F.when((c == F.upper(c)) & c.rlike(r"\p{L}"), F.array_join(runs, "")).otherwise(c)
+
+
+def title_page_imprint(line: Column) -> Column:
+    """struct(place, publisher) of an imprint line as a title page has it, with addresses, standings and dates, none of which is a name.
+
+    Place is the first part, each part cut where a phrase ends; publisher the next ones that can be names, up to LONG_NAME letters and the part that passes
+    it. Null counts as empty.
+    """
+    undated = F.coalesce(line, F.lit(""))
+    for pattern in (r"\[\d{4}[^\]]*\]", ROMAN_DATE, r"(?<!\d)\d{4}(?!\d)"):
+        undated = F.regexp_replace(undated, pattern, " ")
+    bare = lambda c, marks: F.btrim(c, F.lit(marks))
+    bits = F.filter(F.transform(F.split(undated, "[:,;]"), lambda b: bare(b, " .,:;")), lambda b: b != "")
+    phrases = F.transform(bits, lambda b: bare(F.get(F.split(b, PHRASE_END, 2), F.lit(0)), " .,"))
+    names = F.filter(F.slice(phrases, F.lit(2), F.greatest(F.size(phrases), F.lit(1))), lambda b: (F.length(b) >= 3) & ~b.rlike(r"\d") & ~b.rlike(ROMAN_ONLY) & ~b.rlike(NOT_A_NAME))
+    joined = F.aggregate(names, F.lit(""), lambda all_, b: F.when(F.length(all_) > LONG_NAME, all_).otherwise(F.concat_ws(", ", F.nullif(all_, F.lit("")), b)))
+    shown = lambda c: F.btrim(from_shouting(F.regexp_replace(c, r"\s+", " ")))
+    return F.struct(shown(F.coalesce(F.get(phrases, F.lit(0)), F.lit(""))).alias("place"), shown(joined).alias("publisher"))
+
+
+#: What an author's statement may end in; where the first of several names ends; words that make a name a body's.
+STATEMENT = r"(?i),?\s+(eds?\.|trs?\.|comps?\.|ed\.\s*(?:and|&)\s*trs?\.)$"
+NEXT_NAME = r"\s*(?:,\s*)?(?:&|\band\b)\s+|,\s+"
+BODIES = (
+    r"(?i)\b(?:Ministry|Bureau|Office|Association|Institute|Society|Department|Commission|University|Press|Government|Command|Section|Committee|Council|"
+    r"Agency|Corps|Service|Headquarters|Nations|States|Library|Museum|Company|Board|Staff|Conference)\b"
+)
+
+
+def first_inverted(c: Column) -> Column:
+    """'Ann Roe & Bob Poe, eds.' as 'Roe, Ann & Bob Poe, eds.': only the first name of a list is turned, and no body's."""
+    name = F.btrim(F.coalesce(c, F.lit("")))
+    ending = F.regexp_extract(name, STATEMENT, 1)
+    names = F.when(ending != "", F.btrim(F.regexp_replace(name, STATEMENT, ""))).otherwise(name)
+    first = F.get(F.split(names, NEXT_NAME, 2), F.lit(0))
+    words = F.split(F.btrim(first), r"\s+")
+    turned = F.concat(F.element_at(words, -1), F.lit(", "), F.array_join(F.slice(words, F.lit(1), F.greatest(F.size(words) - 1, F.lit(0))), " "))
+    head = F.when(F.size(words).between(2, 4) & ~first.rlike(BODIES), turned).otherwise(first)
+    return F.btrim(F.concat(head, F.substring(names, F.length(first) + 1, F.length(names)), F.when(ending != "", F.concat(F.lit(", "), ending)).otherwise("")))
+
+
 #: The year before each era's first, and numerals.
 ERAS = {"明治": 1867, "大正": 1911, "昭和": 1925, "慶応": 1864, "元治": 1863, "文久": 1860, "万延": 1859, "安政": 1853}
 NUMERALS = {"元": 1, "一": 1, "二": 2, "三": 3, "四": 4, "五": 5, "六": 6, "七": 7, "八": 8, "九": 9, "十": 10}

@@ -69,6 +69,11 @@ RULES = {
         skip="skip",
         no_russian=True,
     ),
+    "dower": Rules(
+        "Dower (1986)",
+        lambda r: F.format_string("Dower (1986), p. %s", r["pdf_page"].cast("string")),
+        made={"author": lambda r: X.first_inverted(r["author"]), "title": lambda r: X.from_capitals(r["title"])},
+    ),
     "wenckstern": Rules("Wenckstern (1907)", _list_place, undated=True, skip="skip", no_russian=True, told_language=True, sections_out=LEFT_OUT),
 }
 
@@ -177,8 +182,12 @@ def library_cards(cards: DataFrame, source: str = "Biblioteca Nacional de Españ
     """Cards of a digital library as common records: author, title, year, year_num, links, other, source.
 
     cards: title, author, date, place, publisher, extent, signature, id, viewer, error. Cards with an error or without a title go. A
-    title ends at its statement of responsibility, an author at the first | and before the span of a life.
+    title ends at its statement of responsibility, an author at the first | and before the span of a life. Where cards have a column
+    imprint, with place and publisher in one line, both are taken from it.
     """
+    if "imprint" in cards.columns:
+        cut = X.catalogue_imprint(F.col("imprint"))
+        cards = cards.withColumns({"place": cut["place"], "publisher": cut["publisher"]})
     t = lambda c: F.btrim(F.coalesce(F.col(c).cast("string"), F.lit("")))
     kept = cards.filter((t("error") == "") & (t("title") != ""))
     title = F.btrim(F.split(t("title"), r"\s+/\s+", 2)[0], F.lit(" ."))
@@ -189,6 +198,63 @@ def library_cards(cards: DataFrame, source: str = "Biblioteca Nacional de Españ
     return kept.select(author.alias("author"), title.alias("title"), F.coalesce(year, F.lit("n.d.")).alias("year"), year.cast("int").alias("year_num"), F.array(F.col("viewer")).alias("links"), publish.labelled(parts).alias("other"), F.lit(source).alias("source"))
 
 
+#: Languages by code; what stands around a name in a statement of responsibility; subjects that are class marks.
+LANGUAGES = {
+    "eng": "English", "jpn": "Japanese", "fre": "French", "fra": "French", "ger": "German", "deu": "German", "ita": "Italian", "spa": "Spanish",
+    "dut": "Dutch", "nld": "Dutch", "rus": "Russian", "lat": "Latin", "por": "Portuguese", "chi": "Chinese", "zho": "Chinese", "und": "",
+}
+ROLE_AFTER = r"\s*[\[［]?(?:著|編|訳|譯|撰|画|校訂|校閲|編纂|述|輯|共著|編著|編訳|編著者|監修|解説)+[\]］]?$"
+ROLE_BEFORE = r"(?i)^\[?(?:by|ed\.? by|edited by|compiled by|translated by)\]?\s+"
+CLASS_MARK = "^[A-Z0-9-]{1,10}$"
+
+
+def stated_name(c: Column) -> Column:
+    """A name without the words that say what its bearer did."""
+    return F.btrim(F.regexp_replace(F.regexp_replace(F.btrim(c), ROLE_AFTER, ""), ROLE_BEFORE, ""), F.lit(" .,;[]"))
+
+
+def national_records(records: DataFrame, order: str, access: DataFrame | None = None, notes: DataFrame | None = None, source: str = "NDL Digital Collections") -> DataFrame:
+    """A national library's records as common ones: pid, author, title, year, year_num, volume, other, access, source.
+
+    records: order, pid, title, issued, volume, place, publisher, extent, series, language (texts), issued_all, creators, headings, subjects,
+    descriptions (arrays), error. Those with an error or without a title go; of several with one pid the first stays. Headings go
+    before creators as authors, three at most; the other creators are told. Dates are Gregorian, as printed beside them. A volume field is a
+    designation, or a part's title that the title gets unless it has it. access: (pid, access), unknown where there is none;
+    notes: (pid, note), added by hand; of several rows for a pid one counts. Null texts and arrays count as empty.
+    """
+    t = lambda c: F.btrim(F.coalesce(F.col(c).cast("string"), F.lit("")))
+    many = lambda c: F.filter(F.coalesce(F.col(c), F.array().cast("array<string>")), lambda x: x.isNotNull())
+    several = lambda c, n, sep="; ": F.array_join(F.slice(c, 1, n), sep)
+    fields = "pid title issued volume place publisher extent series language issued_all creators headings subjects descriptions error".split()
+    r = dedupe.first_wins(records.select(order, *fields).filter((t("error") == "") & (t("title") != "")), ["pid"], order)
+    if notes is not None:
+        r = r.join(notes.groupBy("pid").agg(F.max("note").alias("_note")), "pid", "left")
+    known = F.lit(None).cast("string")
+    if access is not None:
+        r, known = r.join(access.groupBy("pid").agg(F.max("access").alias("_access")), "pid", "left"), F.col("_access")
+    headed = F.transform(F.slice(many("headings"), 1, 3), lambda h: F.btrim(F.regexp_replace(h, r",\s*\d{4}-?\d{0,4}$", "")))
+    stated = F.transform(many("creators"), stated_name)
+    author = F.array_join(F.when(F.size(many("headings")) > 0, headed).otherwise(_several(F.slice(stated, 1, 3))), "; ")
+    year_num = X.western_year(F.array_join(many("issued_all"), " ; "), t("issued"))
+    year = F.coalesce(F.nullif(X.to_western(t("issued")), F.lit("")), F.lit("n.d."))
+    # a column before the title, so that the parts of the field are cut once
+    r = r.withColumns({"_author": author, "_year": year, "_year_num": year_num, "_stated": stated}).withColumn("_part", X.split_volume(F.col("volume"), F.col("_year_num")))
+    part = F.col("_part.part_title")
+    title = F.when((part != "") & ~X.norm(t("title")).contains(X.norm(part)), F.concat(F.rtrim(t("title"), F.lit(" .")), F.lit(". "), part)).otherwise(t("title"))
+    codes = F.create_map(*(F.lit(x) for pair in LANGUAGES.items() for x in pair))
+    others = F.filter("_stated", lambda c: (c != "") & ~F.col("_author").contains(c))
+    said = F.concat(many("descriptions"), F.array_compact(F.array("_note"))) if notes is not None else many("descriptions")
+    parts = [
+        ("Imprint", publish.imprint(t("place"), t("publisher"))), ("Extent", t("extent")), ("Series", t("series")), ("Language", F.coalesce(codes[t("language")], t("language"))),
+        ("Subjects", several(F.filter(many("subjects"), lambda s: ~s.rlike(CLASS_MARK)), 8)), ("Statement of responsibility", several(others, 3)), ("Note", several(said, 4)),
+        ("Date as printed", F.when((F.col("_year") != t("issued")) & (t("issued") != ""), t("issued")).otherwise("")), ("", F.concat(F.lit(f"{source} pid "), F.col("pid").cast("string"))),
+    ]
+    return r.select(
+        "pid", F.col("_author").alias("author"), title.alias("title"), F.col("_year").alias("year"), F.col("_year_num").alias("year_num"), F.col("_part.designation").alias("volume"),
+        publish.labelled(parts).alias("other"), F.coalesce(known, F.lit("unknown")).alias("access"), F.lit(source).alias("source"),
+    )
+
+
 #: Words that make a creator a body, and what may stand at a title's end for an uncertain date.
 BODY = r"(?i)\b(society|association|bureau|company|line|army|navy|railway|forces|government|ministry|office|department|scholar|mail)\b"
 UNCERTAIN_END = r"(?i)[\s.,]*\b(ca|circa|n\.d)\.?$"
@@ -198,14 +264,17 @@ def one_per_work(items: DataFrame, order: str, years: tuple[int, int] = (1850, 1
     """A collection's printed books as common records, copies of a work folded together: author, title, year, year_num, extent, order.
 
     items: order, author, title, year, list_year, collation, error. Those with an error, without a title or without a year inside the span go.
-    Copies share surname, title key and year; the first in order stays.
+    Copies share surname, title key and year; the first in order stays. Where items have a column imprint, a title page's line, place and
+    publisher are taken from it.
     """
+    cut = X.title_page_imprint(F.col("imprint")) if "imprint" in items.columns else None
+    imprint = [cut["place"].alias("place"), cut["publisher"].alias("publisher")] if cut is not None else []
     t = lambda c: F.btrim(F.coalesce(F.col(c).cast("string"), F.lit("")))
     printed = F.coalesce(F.nullif(t("year"), F.lit("")), t("list_year"))
     year = F.nullif(F.regexp_extract(printed, r"(1[5-9]\d\d|20\d\d)", 1), F.lit("")).cast("int")
     title = F.btrim(F.regexp_replace(t("title"), UNCERTAIN_END, ""), F.lit(" .,"))
     kept = items.filter((t("error") == "") & (t("title") != "") & year.between(*years))
-    made = kept.select(order, t("author").alias("author"), title.alias("title"), year.cast("string").alias("year"), year.alias("year_num"), t("collation").alias("extent"))
+    made = kept.select(order, t("author").alias("author"), title.alias("title"), year.cast("string").alias("year"), year.alias("year_num"), t("collation").alias("extent"), *imprint)
     keyed = made.withColumns({"_s": X.surname(F.col("author")), "_t": X.title_key(F.col("title"))})
     return dedupe.first_wins(keyed, ["_s", "_t", "year_num"], order).drop("_s", "_t")
 

@@ -731,4 +731,4 @@ def entry(spark: SparkSession, sf_dir: str) -> DataFrame:
     return search.page(view(spark, sf_dir), r).select("id", "author", "title", "year", "type", "language", "access", "rel")
 
 
-from lectern.plans import source_queries  # noqa: E402,F401  registers its queries
+from lectern.plans import imprint_queries, source_queries  # noqa: E402,F401  register their queries

@@ -42,6 +42,9 @@ LIMITS = frozenset("table td th caption html template button object marquee".spl
 LISTS = frozenset("ul ol menu dir".split())
 #: Lines of a table's cell are wrapped at spaces beyond this width, as a browser does; a longer word widens its column.
 CELL_WIDTH = 60
+#: A column is as wide as its longest line, but no wider than this, so that room stays in proportion to text; a longer line moves what follows it in its
+#: own line only.
+WIDEST = 240
 #: Inputs that are buttons, with their value on them, and those that draw no text; all others show their value, or a placeholder.
 PRESSED = frozenset(("submit", "button", "reset"))
 UNDRAWN = frozenset("hidden checkbox radio password file image color range".split())
@@ -421,14 +424,18 @@ class Lines:
         self.gap = 0  # blank lines due before the next line
         self.broken = False  # whether a forced break has just ended a line
         self.marks: list[list[str]] = []  # for each list item or indent: [text for the next line, text for later ones]
+        self.keeps = False  # whether the line has text whose white space is kept
+        self.kept: set[int] = set()  # the lines that have
 
     def text(self, data: str, kept: bool) -> None:
         if kept:
             first, *more = data.replace("\r\n", "\n").split("\n")
             self.line += [first] if first else []
+            self.keeps = self.keeps or bool(first)
             for one in more:
                 self.forced()
                 self.line += [one] if one else []
+                self.keeps = bool(one)
             return
         data = SPACE.sub(" ", data)
         if not self.line or self.line[-1].endswith(" "):
@@ -443,6 +450,8 @@ class Lines:
         prefix = "".join(m[0] for m in self.marks)
         for m in self.marks:
             m[0] = m[1]
+        if self.keeps:
+            self.kept.add(len(self.lines))
         self.lines.append((prefix + text).rstrip())
 
     def flush(self) -> None:
@@ -450,6 +459,7 @@ class Lines:
         self.line = []
         if text.strip():
             self._put(text)
+        self.keeps = False
 
     def forced(self) -> None:
         if self.line:
@@ -521,12 +531,13 @@ class Grid:
         self.rows.append([])
         self.column = 0
 
-    def cell(self, columns: int, rows: int, lines: list[str]) -> None:
+    def cell(self, columns: int, rows: int, lines: list[str], kept: set[int]) -> None:
+        """kept: the lines whose white space is kept; they are never wrapped."""
         if not self.rows:
             self.row()
         while self.column in self.taken:
             self.column += 1
-        lines = [part for line in lines for part in (wrapped(line, CELL_WIDTH) if len(line) > CELL_WIDTH else [line])]
+        lines = [part for i, line in enumerate(lines) for part in (wrapped(line, CELL_WIDTH) if len(line) > CELL_WIDTH and i not in kept else [line])]
         self.rows[-1].append((self.column, columns, lines))
         for c in range(self.column, self.column + columns):
             if rows > 1:
@@ -535,10 +546,22 @@ class Grid:
 
     def written(self) -> list[str]:
         width: dict[int, int] = {}
+        spans: dict[tuple[int, int], int] = {}
         for row in self.rows:
             for column, columns, lines in row:
-                if columns == 1 and lines:
-                    width[column] = max(width.get(column, 0), max(map(len, lines)))
+                if lines:
+                    longest = min(max(map(len, lines)), WIDEST)
+                    if columns == 1:
+                        width[column] = max(width.get(column, 0), longest)
+                    else:
+                        span = column + columns - 1, column
+                        spans[span] = max(spans.get(span, 0), longest)
+        # what a spanning cell has beyond its columns is its last one's
+        for (last, first), longest in sorted(spans.items()):
+            inside = range(first, last + 1) if last - first < len(width) else (c for c in width if first <= c <= last)
+            short = longest + 2 - sum(width[c] + 2 for c in inside if c in width)
+            if short > 0:
+                width[last] = width[last] + short if last in width else max(short - 2, 0)
         # where each column starts: columns that hold nothing of their own take no room
         starts, upto = {}, 0
         for column in sorted({*width, *(c for row in self.rows for c, _, _ in row)}):
@@ -580,7 +603,7 @@ def render(source: str | None) -> str:
             if tag in CELL:
                 contexts.pop()
                 found = attributes_of(node) if node.attributes else {}
-                grids[-1].cell(max(1, _number(found.get("colspan"), 1, 1000)), max(1, _number(found.get("rowspan"), 1, 65534)), out.done())
+                grids[-1].cell(max(1, _number(found.get("colspan"), 1, 1000)), max(1, _number(found.get("rowspan"), 1, 65534)), out.done(), out.kept)
             elif tag == "table":
                 lines = grids.pop().written()
                 out.block(1)

@@ -165,3 +165,28 @@ def test_query_cases(spark):
 )
 def test_visible_text_is_kept(source, shown):
     assert H.render(source) == shown
+
+
+def test_spanning_cells_have_room():
+    wide = "a spanning cell that is wide"
+    lines = H.render(f"<table><tr><td colspan=2>{wide}<td>x<tr><td>a<td>b<td>c<tr><td colspan=3>all<td>d</table>").split("\n")
+    assert lines[0].index("x") == lines[1].index("c") == len(wide) + 2 and lines[1].index("b") == 3
+    assert lines[2].index("d") > lines[0].index("x")
+    # one that spans columns that no other row has, one without text, one inside of what it needs
+    assert H.render("<table><tr><td colspan=9>t<tr><td>a<td>b</table>") == "t\na  b"
+    assert H.render("<table><tr><td colspan=2><td>x<tr><td>a<td>b<td>c</table>") == "      x\na  b  c"
+    assert H.render("<table><tr><td colspan=2>abcd<td>x<tr><td>a<td>b<td>c</table>") == "abcd  x\na  b  c"
+    assert H.render("<table><tr><td colspan=1000>" + "w " * 40 + "<td>x</table>").count("x") == 1
+
+
+def test_kept_text_in_cells_is_not_wrapped():
+    code = "if  x:" + "   y =  1;" * 12
+    lines = H.render(f"<table><tr><td><pre>{code}\n  z</pre><td>n<tr><td>{'word ' * 20}<td>m</table>").split("\n")
+    assert lines[0] == code + "  n" and lines[1] == "  z"
+    assert max(map(len, lines[2:])) < len(code) + 4 and lines[2].endswith("m") and lines[2].index("m") == lines[0].index("n", len(code))
+    # text after the kept one is wrapped again; a line that is longer than a column can be moves its own line only
+    after = H.render(f"<table><tr><td><pre>{code}</pre>{'word ' * 20}</table>").split("\n")
+    assert after[0] == code and all(len(x) <= H.CELL_WIDTH for x in after[1:]) and " ".join(after[1:]).split() == ["word"] * 20
+    long = "k" * (H.WIDEST + 50)
+    first, second = H.render(f"<table><tr><td>{long}<td>n<tr><td>a<td>m</table>").split("\n")
+    assert first == long + "  n" and second.index("m") == H.WIDEST + 2

@@ -54,11 +54,27 @@ def catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _with_gains(rows: DataFrame) -> DataFrame:
+    """rows with what their matched records bring, which come in order: their sources, links that are not there yet, and where else they are described."""
+    none = F.array().cast("array<string>")
+    links = F.flatten(F.transform("_each", lambda x: F.coalesce(x["_l"], none)))
+    notes = F.array_distinct(F.filter(F.transform("_each", lambda x: x["_p"]), lambda p: (p != "") & ~F.coalesce("other", F.lit("")).contains(p)))
+    named = F.col("_more").isNull() | F.col("source").contains(F.col("_more"))
+    return rows.withColumns(
+        {
+            "source": F.when(named, F.col("source")).otherwise(F.concat_ws("; ", "source", "_more")),
+            "links": F.when(F.size(links) > 0, F.array_distinct(F.concat(F.coalesce("links", none), links))).otherwise(F.col("links")),
+            "other": F.when(F.size(notes) > 0, F.concat_ws(" | ", F.nullif("other", F.lit("")), F.array_join(notes, " | "))).otherwise(F.col("other")),
+        }
+    )
+
+
 def build(existing: DataFrame, sources: list[tuple[str, DataFrame]], copies: DataFrame | None = None, excluded: DataFrame | None = None, fixes: DataFrame | None = None, languages: DataFrame | None = None) -> DataFrame:
     """The published table from linked sources, in their order: each source's records are linked to what is there, what is new
     is appended, copies are attached by key, ids are given, and then rows that are not to be published go.
 
-    existing and each source: (author, title, year, year_num, edition, volume, links, other, source, type, ord), ord within each;
+    existing and each source: (author, title, year, year_num, edition, volume, links, other, source, type, ord), ord within each; a
+    source may have place_in, a note for the rows that it is linked to, which also gain its links;
     copies: (rowkey, url); excluded: (rowkey); fixes: (rowkey, title); languages: (rowkey, language), as checked by hand.
     The language is that checked by hand, else guessed from the title as the source has it; titles are corrected after that.
     """
@@ -70,10 +86,13 @@ def build(existing: DataFrame, sources: list[tuple[str, DataFrame]], copies: Dat
         new = records.withColumn("ord", F.col("ord") + F.lit(base + 1))
         shaped = lambda df: df.select("ord", "author", "title", F.col("year_num").alias("year"), linkage.kind_of(F.col("type")).alias("kind"))
         found = linkage.merge(shaped(numbered), shaped(new), linkage.CASCADES.get(name, linkage.Cascade()))
-        also = found.filter("match IS NOT NULL").join(new.select("ord", F.col("source").alias("_s")), "ord").groupBy(F.col("match").alias("ord")).agg(F.array_join(F.array_sort(F.collect_set("_s")), "; ").alias("_more"))
+        told = new.select("ord", F.col("source").alias("_s"), F.col("links").alias("_l"), (F.col("place_in") if "place_in" in new.columns else F.lit(None).cast("string")).alias("_p"))
+        gained = found.filter("match IS NOT NULL").select("ord", "match").join(told, "ord").groupBy(F.col("match").alias("ord"))
+        each = F.array_sort(F.collect_list(F.struct("ord", "_l", "_p")))
+        also = gained.agg(F.array_join(F.array_sort(F.collect_set("_s")), "; ").alias("_more"), each.alias("_each"))
         added = new.join(found.filter("match IS NULL").select("ord"), "ord", "left_semi")
         both = numbered.select("seq", "ord", *columns).unionByName(added.select(F.lit(seq).alias("seq"), "ord", *columns))
-        rows = both.join(also, "ord", "left").withColumn("source", F.when(F.col("_more").isNull() | F.col("source").contains(F.col("_more")), F.col("source")).otherwise(F.concat_ws("; ", "source", "_more"))).drop("_more")
+        rows = _with_gains(both.join(also, "ord", "left")).select("seq", "ord", *columns)
     keyed = rows.withColumn("rowkey", X.row_key(F.col("author"), F.col("title"), F.col("year")))
     if copies is not None:
         keyed = attach.attach_by_key(keyed, copies)

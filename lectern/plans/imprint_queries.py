@@ -6,7 +6,8 @@ from pyspark.sql import functions as F
 
 from lectern.functions import text as X
 from lectern.operators import mapping
-from lectern.plans.queries import query, table
+from lectern.plans.catalogue import build, catalog
+from lectern.plans.queries import MAIN, NORM, _guess_sql, query, table
 
 
 def _text(*parts):
@@ -150,3 +151,44 @@ def mapped_reading_list(spark, sf_dir):
         _text("THE WAR OF ", F.upper(seg), ": A STUDY OF MR ", k.cast("string")).alias("title"), year.cast("string").alias("year"), year.alias("year_num"),
     )
     return mapping.common(readings, mapping.RULES["dower"]).select("author", "title", "year", "year_num", "place_in")
+
+
+_NUMBERS = r"list_sort(list_distinct(regexp_extract_all({0}.full_, '\d+')))"
+_BUILD = rf"""+ k AS (SELECT id AS ord, title, coalesce(CAST(y AS VARCHAR), 'n.d.') AS year, y AS year_num, concat('https://cards.example.org/', id) AS url, concat(CASE WHEN id % 10 = 0 THEN 'Language: Spanish | ' ELSE '' END, 'Card ', id) AS other,
+  concat('Card ', id) AS place_in, {NORM.format('title')} AS full_, {NORM.format(MAIN.format('title'))} AS tk FROM (SELECT *, CAST(year_num + id % 6 AS INTEGER) AS y FROM cat WHERE id % 5 = 0)),
+n AS (SELECT *, row_number() OVER (ORDER BY id) AS no, {NORM.format('title')} AS full_, {NORM.format(MAIN.format('title'))} AS tk FROM cat),
+m AS (SELECT k.ord, k.url, k.place_in, n.no FROM k JOIN n ON k.tk = n.tk AND n.type IN ('book', 'periodical') AND abs(k.year_num - n.year_num) <= 3 AND ({_NUMBERS.format('k')} = {_NUMBERS.format('n')} OR len({_NUMBERS.format('k')}) = 0 OR len({_NUMBERS.format('n')}) = 0)
+  WHERE length(k.tk) >= 18 QUALIFY row_number() OVER (PARTITION BY k.ord ORDER BY abs(k.year_num - n.year_num), n.no) = 1),
+a AS (SELECT no, list(url ORDER BY ord) AS more, string_agg(place_in, ' | ' ORDER BY ord) AS notes FROM m GROUP BY no),
+b AS (SELECT no AS id, author, title, year, year_num, CASE WHEN more IS NULL THEN links ELSE list_concat(coalesce(links, []), more) END AS links, concat(other, coalesce(' | ' || notes, '')) AS other, concat(source, CASE WHEN more IS NULL THEN '' ELSE '; Cards' END) AS source
+  FROM n LEFT JOIN a USING (no) UNION ALL
+  SELECT (SELECT count(*) FROM n) + row_number() OVER (ORDER BY ord), 'Cardona, Ana', title, year, year_num, [url], other, 'Cards' FROM k WHERE ord NOT IN (SELECT ord FROM m)),
+h AS (SELECT *, concat_ws('|', {NORM.format('author')}, {NORM.format('title')}, {NORM.format('year')}) AS rowkey FROM b),
+o AS (SELECT id, concat_ws('|', {NORM.format('author')}, {NORM.format('title')}, {NORM.format('year')}) AS rowkey FROM cat),
+c AS (SELECT rowkey, list(concat('https://www.europeana.eu/item/', id) ORDER BY concat('https://www.europeana.eu/item/', id)) AS found FROM o WHERE id % 4 = 0 GROUP BY rowkey),
+z AS (SELECT h.id, h.author, h.title, h.year, h.year_num, h.source, h.rowkey, CASE WHEN found IS NULL THEN links ELSE list_concat(coalesce(links, []), found) END AS links, regexp_replace(other, '\s*\|\s*Annotation: [^|]*', '') AS other FROM h LEFT JOIN c USING (rowkey)),
+v AS (SELECT id, title FROM z),
+{{guess}},
+f AS (SELECT rowkey, min(id) AS id FROM o WHERE id % 9 = 0 GROUP BY rowkey),
+q AS (SELECT z.*, CASE WHEN z.rowkey IN (SELECT rowkey FROM o WHERE id % 7 = 0) THEN 'Dutch' WHEN contains(other, 'Language: Spanish') THEN 'Spanish' ELSE u.guessed END AS language, f.id AS fixed FROM z JOIN u ON u.id = z.id LEFT JOIN f USING (rowkey))
+SELECT id, author, CASE WHEN fixed IS NULL THEN {NORM.format('title')} ELSE concat('set right ', fixed) END AS title_key, year, year_num, language, source, other, array_to_string(links, ' ') AS links FROM q
+WHERE (year_num IS NULL OR year_num BETWEEN 1850 AND 1955) AND rowkey NOT IN (SELECT rowkey FROM o WHERE id % 23 = 0)"""
+
+
+@query(_BUILD.replace("{guess}", "u AS (WITH " + _guess_sql() + ")"), cat=True)
+def built_catalogue(spark, sf_dir):
+    """The whole build: cards linked to the catalogue by long equal titles, copies attached, languages, corrections, ids, rows that are left out.
+    Titles are compared as keys, as their display has no SQL."""
+    rows = catalog(spark, sf_dir)
+    i, number = F.col("id"), F.col("id").cast("string")
+    year = (F.col("year_num") + i % 6).cast("int")
+    cards = rows.filter(i % 5 == 0).select(
+        F.lit("Cardona, Ana").alias("author"), "title", F.coalesce(year.cast("string"), F.lit("n.d.")).alias("year"), year.alias("year_num"), F.lit("").alias("edition"), F.lit("").alias("volume"), F.array(_text("https://cards.example.org/", number)).alias("links"),
+        F.concat(F.when(i % 10 == 0, "Language: Spanish | ").otherwise(""), _text("Card ", number)).alias("other"), F.lit("Cards").alias("source"), F.lit("book").alias("type"), i.alias("ord"), _text("Card ", number).alias("place_in"),
+    )
+    keyed = rows.select("id", X.row_key(F.col("author"), F.col("title"), F.col("year")).alias("rowkey"))
+    copies = keyed.filter(i % 4 == 0).select("rowkey", _text("https://www.europeana.eu/item/", number).alias("url"))
+    fixes = keyed.filter(i % 9 == 0).groupBy("rowkey").agg(_text("Set right ", F.min("id").cast("string")).alias("title"))
+    checked = keyed.filter(i % 7 == 0).select("rowkey", F.lit("Dutch").alias("language"))
+    made = build(rows.withColumn("ord", i).drop("id"), [("bne", cards)], copies, keyed.filter(i % 23 == 0), fixes, checked)
+    return made.select("id", "author", X.norm(F.col("title")).alias("title_key"), "year", "year_num", "language", "source", "other", F.array_join("links", " ").alias("links"))

@@ -53,3 +53,20 @@ def test_national_records(spark):
     with_both = {r.pid: (r.access, r.other) for r in M.national_records(df, "n", told, notes).collect()}
     assert with_both["d"] == ("open", "Note: by hand | NDL Digital Collections pid d") and len(with_both) == 3
     assert M.national_records(df.limit(0), "n").collect() == []
+
+
+def test_build_brings_links_and_notes(spark):
+    """A linked record leaves its links and note on the row, in order and once; rows and records without any stay as they are."""
+    from lectern.plans.catalogue import build
+
+    schema = "author string, title string, year string, year_num int, edition string, volume string, links array<string>, other string, source string, type string, ord long"
+    title = "A long account of gardens in Kyoto"
+    old = spark.createDataFrame(
+        [("Roe, Ann", title, "1890", 1890, "", "", ["https://a"], "Note: x", "One", "book", 1), ("Poe, Bob", "Another work of some length here", "1880", 1880, "", "", None, "", "One", "book", 2)], schema
+    )
+    rows = [("Who, Else", title, "1891", 1891, "", "", ["https://b", "https://a"], "", "Two", "book", 1, "Two 1"), ("Who, Else", title, "1890", 1890, "", "", None, "", "Two", "book", 2, None), ("Who, Else", "A third work that is not known yet", "1890", 1890, "", "", None, "", "Two", "book", 3, "Two 3")]
+    new = spark.createDataFrame(rows, schema + ", place_in string")
+    got = [(r.id, r.source, r.links, r.other) for r in build(old, [("bne", new)]).orderBy("id").collect()]
+    assert got == [(1, "One; Two", ["https://a", "https://b"], "Note: x | Two 1"), (2, "One", None, ""), (3, "Two", None, "")]
+    again = build(old, [("bne", new.drop("place_in")), ("bne", new.limit(0))])
+    assert [r.other for r in again.orderBy("id").collect()] == ["Note: x", "", ""]

@@ -65,3 +65,94 @@ def test_nothing_to_learn(spark):
     none = spark.createDataFrame([], "doc_id long, toxic int")
     assert [r.score for r in X.score(docs, X.fit(docs, none, PLAN, lang_col=None)).collect()] == [0.0, 0.0]
     assert X.score(docs.limit(0), X.fit(docs, none, PLAN, lang_col=None)).collect() == []
+
+
+SMALL = X.Plan(rows=40, chars=100_000, slots=64, steps=0, width=6, filters=5, sizes=(1, 2, 3), batch=64)
+
+
+def drawn(n=12):
+    texts = [text(i, i % 3 == 0) for i in range(n)] + [""]
+    table = X.Words(SMALL)
+    numbers = [table.numbers(X.words_of(t)) for t in texts]
+    return numbers, np.array([i % 3 == 0 for i in range(n)] + [False], np.float32), table.slots()
+
+
+def plain_logits(m, numbers, slots):
+    """Each text by itself, each window by itself."""
+    out = []
+    for words in numbers:
+        rows = [m.embeddings[slots[w]].sum(0) for w in words] or [np.zeros(m.plan.width)]
+        rows += [np.zeros(m.plan.width)] * (max(m.plan.sizes) - 1)
+        pooled = []
+        for size, kernel, bias in zip(m.plan.sizes, m.kernels, m.bias, strict=True):
+            windows = [np.concatenate(rows[i : i + size]) @ kernel for i in range(max(1, len(words)))]
+            pooled.append(np.maximum(np.max(windows, 0) + bias, 0))
+        out.append(np.concatenate(pooled) @ m.out + m.out_bias)
+    return np.array(out)
+
+
+def test_forward_equals_plain_rendering():
+    numbers, y, slots = drawn()
+    m = X._trained(SMALL, numbers, y, slots, np.arange(len(y)))
+    m.bias = [b + 0.1 for b in m.bias]
+    assert np.allclose(X._logits(m, numbers, slots), plain_logits(m, numbers, slots), atol=1e-4)
+
+
+def test_first_step_follows_the_gradient():
+    """The first step of Adam goes by the sign of each gradient, Adagrad's along it: both against differences of the plain loss."""
+    numbers, y, slots = drawn()
+    every = np.arange(len(y))
+    before, after = (X._trained(replace(SMALL, steps=k), numbers, y, slots, every) for k in (0, 1))
+    weight = np.minimum(np.where(y == 1, len(y) / 2 / (y == 1).sum(), len(y) / 2 / (y == 0).sum()), 10)
+
+    def loss():
+        z = plain_logits(before, numbers, slots)
+        return float((weight * (np.logaddexp(0, z) - y * z)).mean())
+
+    def slope(a, i, h=1e-3):
+        kept = a[i]
+        a[i] = kept + h
+        up = loss()
+        a[i] = kept - h
+        down = loss()
+        a[i] = kept
+        return (up - down) / (2 * h)
+
+    for name in ("embeddings", "out"):
+        setattr(before, name, getattr(before, name).astype(np.float64))
+    before.kernels, before.bias = [k.astype(np.float64) for k in before.kernels], [b.astype(np.float64) for b in before.bias]
+    rng, checked = np.random.default_rng(1), 0
+    for a, b in zip([*before.kernels, *before.bias, before.out], [*after.kernels, *after.bias, after.out], strict=True):
+        for i in [tuple(rng.integers(0, n) for n in a.shape) for _ in range(12)]:
+            g = slope(a, i)
+            if abs(g) > 1e-3:
+                assert np.sign(before_minus := a[i] - b[i]) == np.sign(g) and abs(abs(before_minus) - SMALL.rate) < 0.05 * SMALL.rate
+                checked += 1
+    assert checked > 25
+    moved = np.flatnonzero(np.abs(before.embeddings - after.embeddings).max(1) > 1e-7)
+    assert len(moved) > 10
+    for row in moved[:12]:
+        g = np.array([slope(before.embeddings, (row, d)) for d in range(SMALL.width)])
+        step = (before.embeddings - after.embeddings)[row]
+        if np.abs(g).max() > 1e-3:
+            assert step @ g / np.linalg.norm(step) / np.linalg.norm(g) > 0.98
+
+
+def test_ties_repeats_and_ablations(monkeypatch):
+    """Equal texts have equal scores but for rounding; without the log-odds of a slot, or without windows of
+    several words, the classifier still learns from the words."""
+    texts, y = [text(i, i % 4 == 0) for i in range(300)], np.array([i % 4 == 0 for i in range(300)], int)
+    unseen = [(text(i, i % 2 == 0), i % 2 == 0) for i in range(1000, 1100)]
+
+    def accuracy(plan):
+        m = X.train(plan, texts, y, [None] * len(y))
+        got = X.Scorer(m).scores(t for t, _ in unseen)
+        twice = X.Scorer(m).scores(iter([unseen[0][0]] * 3 + ["", ""]))
+        assert np.ptp(twice[:3]) < 1e-6 and abs(twice[3] - twice[4]) < 1e-6  # float32 sums differ by place
+        return np.mean((got >= X.CUT) == [toxic for _, toxic in unseen])
+
+    whole, words = accuracy(PLAN), accuracy(replace(PLAN, sizes=(1,)))
+    monkeypatch.setattr(X, "_log_odds", lambda texts, y, slots, n: np.random.default_rng(5).normal(0, 0.05, n).astype(np.float32))
+    drawn_at_random = accuracy(PLAN)
+    print("whole", whole, "words", words, "random", drawn_at_random)
+    assert whole >= 0.95 and words >= 0.9 and drawn_at_random >= 0.8

@@ -97,6 +97,14 @@ def gaps_over_all(df: DataFrame, number: str) -> DataFrame:
     return own.filter(F.col(number) > F.col("after") + 1).select("after", F.col(number).alias("before"))
 
 
+def sharing_none(items: DataFrame, known: DataFrame, key: str, values: str) -> DataFrame:
+    """The items whose array of values has none in common with any of known's arrays; null values are in none, so an item without
+    any stays. key tells items apart. Values are compared one by one, so an array that very many share costs a row a task."""
+    there = known.select(F.explode(values).alias("_v")).distinct()
+    met = items.select(F.col(key).alias("_id"), F.explode(F.array_distinct(values)).alias("_v")).join(there, "_v", "left_semi").select("_id").distinct()
+    return items.join(met, items[key] == met["_id"], "left_anti")
+
+
 def suffixed(df: DataFrame, key: str, order: str, name: str = "key") -> DataFrame:
     """Keys made distinct, in order: each row has its key, or if that is taken its key with the first of 2, 3, ... that is free.
 

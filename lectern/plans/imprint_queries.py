@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from lectern.functions import text as X
-from lectern.operators import mapping
+from lectern.operators import dedupe, mapping
 from lectern.plans.catalogue import build, catalog
 from lectern.plans.queries import MAIN, NORM, _guess_sql, query, table
 
@@ -87,6 +87,52 @@ def first_names_turned(spark, sf_dir):
     return rows.select("id", X.first_inverted(name).alias("author"))
 
 
+@query(
+    rf"""WITH d AS (SELECT doc_id AS id, source, lang, list_filter(string_split(substr(text, 1, 400), ' '), lambda w: regexp_matches(w, '^[A-Za-z]+[.]?$')) AS ws FROM documents),
+n AS (SELECT id, trim(CASE id % 8 WHEN 0 THEN concat(array_to_string(ws[1:1 + id % 5], ' '), ' ') WHEN 1 THEN concat(coalesce(ws[1], 'x'), ', ', coalesce(ws[2], 'y')) WHEN 2 THEN concat(coalesce(ws[1], 'x'), ' ', coalesce(ws[2], 'y'), ' ', CASE WHEN id % 3 = 0 THEN 'SOCIETY' ELSE 'Societies' END)
+  WHEN 3 THEN concat('  ', source, '  ', lang, ' ') WHEN 4 THEN concat(source, ' & ', lang) WHEN 5 THEN concat('Not', ' Available') WHEN 6 THEN concat(source, ' [', lang, '] x') ELSE concat('J. ', coalesce(ws[1], 'x'), ' A. ', source) END) AS name FROM d),
+w AS (SELECT id, name, string_split_regex(name, '\s+') AS ws FROM n)
+SELECT id, CASE WHEN lower(name) IN ('', 'not available') THEN '' WHEN NOT contains(name, ',') AND NOT regexp_matches(name, '{X.CORPORATE.removeprefix("(?iU)")}', 'i') AND len(ws) BETWEEN 2 AND 4 THEN concat(ws[-1], ', ', array_to_string(ws[1:-2], ' ')) ELSE name END AS name FROM w"""
+)
+def names_turned(spark, sf_dir):
+    """Names of one to five of each text's own words, with commas, words of bodies, marks, abbreviations, none."""
+    i, source, lang = F.col("id"), F.col("source"), F.col("lang")
+    words = F.filter(F.split(F.left("text", F.lit(400)), " "), lambda w: w.rlike("^[A-Za-z]+[.]?$"))
+    rows = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("id"), "source", "lang", words.alias("ws"))
+    a, b = F.coalesce(F.get("ws", F.lit(0)), F.lit("x")), F.coalesce(F.get("ws", F.lit(1)), F.lit("y"))
+    forms = [
+        _text(F.array_join(F.slice("ws", F.lit(1), (1 + i % 5).cast("int")), " "), " "), _text(a, ", ", b), _text(a, " ", b, " ", F.when(i % 3 == 0, "SOCIETY").otherwise("Societies")), _text("  ", source, "  ", lang, " "),
+        _text(source, " & ", lang), F.lit("Not Available"), _text(source, " [", lang, "] x"),
+    ]
+    name = _text("J. ", a, " A. ", source)
+    for k, form in enumerate(forms):
+        name = F.when(i % 8 == k, form).otherwise(name)
+    return rows.select("id", X.invert_name(name).alias("name"))
+
+
+@query("SELECT p_partkey AS id FROM part WHERE p_partkey NOT IN (SELECT l_partkey FROM lineitem WHERE l_returnflag = 'R' AND l_quantity > 40) AND p_partkey + p_size NOT IN (SELECT l_partkey FROM lineitem WHERE l_returnflag = 'R' AND l_quantity > 40)")
+def unknown_exports(spark, sf_dir):
+    """Items of an export of which no address is in an earlier one."""
+    key = F.col("p_partkey")
+    items = table(spark, sf_dir, "part").select(key.alias("id"), F.array(key, key + F.col("p_size"), F.lit(None)).alias("urls"))
+    known = table(spark, sf_dir, "lineitem").filter("l_returnflag = 'R' AND l_quantity > 40").select(F.array(F.col("l_partkey"), F.lit(None)).alias("urls"))
+    return dedupe.sharing_none(items, known, "id", "urls").select("id")
+
+
+@query(
+    """WITH RECURSIVE r AS (SELECT c_custkey AS id, concat('b', c_custkey // 4) AS base, row_number() OVER (ORDER BY c_custkey DESC) AS n FROM customer),
+go(n, taken, id, key) AS (SELECT 0::BIGINT, CAST([] AS VARCHAR[]), NULL::BIGINT, NULL::VARCHAR UNION ALL
+  SELECT x.n, list_append(taken, key), x.id, key FROM (SELECT n, id, taken, CASE WHEN NOT list_contains(taken, base) THEN base ELSE concat(base, list_filter(range(2, 3 + len(own)), lambda k: NOT list_contains(own, concat(base, k)))[1]) END AS key
+    FROM (SELECT r.n, r.id, r.base, taken, list_filter(taken, lambda y: starts_with(y, r.base)) AS own FROM go JOIN r ON r.n = go.n + 1)) x)
+SELECT id, key FROM go WHERE n > 0"""
+)
+def key_suffix_clashes(spark, sf_dir):
+    """Keys that end in numbers, so that one's second is another one's first; from the last row on."""
+    key = F.col("c_custkey")
+    rows = table(spark, sf_dir, "customer").select(key.alias("id"), (-key).alias("order"), _text("b", F.floor(key / 4).cast("string")).alias("base"))
+    return dedupe.suffixed(rows, "base", "order").select("id", "key")
+
+
 @query(
     r"""WITH o AS (SELECT o_orderkey AS id, o_orderkey % 9 AS k, o_custkey % 40 AS n, o_orderstatus AS s, o_orderpriority AS t FROM orders)
 SELECT id, CASE k WHEN 0 THEN concat(n, ' v.') WHEN 1 THEN concat('(', n, ') vols.') WHEN 2 THEN concat(n, ' pts. in 2 v.') WHEN 3 THEN concat(n, ' v. in 1 (', s, ')') WHEN 5 THEN concat('Bd. ', n) WHEN 6 THEN concat('Tome ', 'XI', '-', n) WHEN 7 THEN concat('Part ', n, ', ', n + 1) ELSE '' END AS volume FROM o"""

@@ -70,3 +70,12 @@ def test_build_brings_links_and_notes(spark):
     assert got == [(1, "One; Two", ["https://a", "https://b"], "Note: x | Two 1"), (2, "One", None, ""), (3, "Two", None, "")]
     again = build(old, [("bne", new.drop("place_in")), ("bne", new.limit(0))])
     assert [r.other for r in again.orderBy("id").collect()] == ["Note: x", "", ""]
+
+
+def test_sharing_none(spark):
+    from lectern.operators.dedupe import sharing_none
+
+    items = spark.createDataFrame([(1, ["a", "b"]), (2, ["c", None]), (3, []), (4, None), (5, [None]), (1, ["z"])], "id int, urls array<string>")
+    known = spark.createDataFrame([(["b", "b", None],), (None,), ([],)], "urls array<string>")
+    assert sorted(r.id for r in sharing_none(items, known, "id", "urls").collect()) == [2, 3, 4, 5]  # an id's rows go together
+    assert sharing_none(items, known.limit(0), "id", "urls").count() == 6 and sharing_none(items.limit(0), known, "id", "urls").count() == 0

@@ -26,7 +26,12 @@ def _in_small_batches(spark: SparkSession) -> None:
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drop documents whose score reaches the threshold of their language; the model learns from labelled rows of docs."""
+    """Drop documents whose score reaches the threshold of their language; the model learns from labelled rows of docs.
+
+    Null texts are scored as empty ones, texts of any length whole; a null language, or one without a threshold of its own, has the
+    threshold of all. A score equal to its threshold is rejected. Repeated rows are decided alike, null ids are kept or dropped by their texts,
+    an empty table stays empty; other columns, whatever their names, are kept.
+    """
     _in_small_batches(spark)
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
     model = toxicity.fit(docs, labels)
@@ -35,7 +40,11 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of documents with equal normalised texts the one with the smallest id stays; of rows that repeat both, one."""
+    """Of documents with equal normalised texts the one with the smallest id stays; of rows that repeat both, one.
+
+    Null texts equal empty ones, null ids come last, texts of any length are compared whole; an empty table stays empty; other columns
+    are kept as the row that stays has them.
+    """
     key, digest, nth = (free_name(docs, x) for x in ("_key", "_digest", "_nth"))
     of = lambda id_, sha: F.concat_ws(":", F.coalesce(id_.cast("string"), F.lit("-")), sha)
     kept = dedup.exact_dedup(docs).filter("kept").select(of(F.col("doc_id"), F.col("text_sha256")).alias(key))
@@ -48,7 +57,8 @@ def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of documents linked by the Jaccard join the one with the smallest id stays.
 
-    A hash of the text tells apart rows that repeat an id; a null id is the smallest.
+    A hash of the text tells apart rows that repeat an id; a null id is the smallest. Null and empty texts are linked with nothing and stay; texts of any
+    length are compared whole; an empty table stays empty; other columns are kept.
     """
     _in_small_batches(spark)
     row = free_name(docs, "_row")
@@ -59,12 +69,20 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents as often as the mixture takes them."""
+    """Documents as often as the mixture takes them, each time with all its columns.
+
+    A null source or language counts as "", null texts as empty ones, which have no tokens and go with the prefix that they stand in. The order within
+    a leaf is by a seeded hash of id and text; rows that repeat both, or have equal texts and no id, are taken or left together. Long
+    texts count with all their tokens. An empty table stays empty.
+    """
     return mixing.mixed(docs, mixing.levels_of_documents(), weights=mixing.WEIGHTS, budget_share=mixing.SHARE, max_epochs=mixing.EPOCHS, seed=mixing.SEED)
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Ids of each document's pieces, with their number and digests."""
+    """Ids of each document's pieces, with their number and digests: one row for each row of docs, repeated ones too.
+
+    Null texts are encoded as empty ones, texts of any length whole; null ids stay null; other columns, whatever their names, are left out.
+    """
     _in_small_batches(spark)
     return sentencepieces.piece_codes(docs, sentencepieces.default_model(), keep_text=False).select("doc_id", "n_tokens", "ids", "ids_sha256", "decoded_sha256")
 

@@ -34,7 +34,7 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
     The row with the smallest id of each group of equal normalised texts stays. Null texts equal empty ones. Null ids come
     last; keep_id is null only where all ids of a group are. Of rows that repeat both id and text exactly one stays.
-    Other columns of docs are ignored, whatever their names. An empty table gives an empty result.
+    Other columns of docs are ignored, whatever their names. An empty table gives an empty result. Texts of any length are compared whole.
     Texts whose digests collide stay apart: where that happens, members find their group by full content.
     """
     keyed = docs.select(F.col(id_col).alias("_id"), normalised(F.col(text_col)).alias("_norm")).withColumn("_digest", digest(F.col("_norm")))

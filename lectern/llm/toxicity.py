@@ -294,7 +294,12 @@ def held_out(id_col: str):
 
 def sample(docs: DataFrame, labels: DataFrame, plan: Plan, id_col: str, text_col: str, label_col: str, lang_col: str | None) -> tuple[list[str], np.ndarray, list[str | None]]:
     """The bounded training sample: labelled rows that are not held out, in the order of a hash of their id, half of each
-    class as far as there are as many; as many of them as Plan.chars allows. Ids and lengths are chosen first, then texts read."""
+    class as far as there are as many; as many of them as Plan.chars allows. Ids and lengths are chosen first, then texts read.
+
+    Labels that are null or of no id are ignored; of several for an id the highest counts. Null texts are empty ones; of rows that repeat an
+    id one text is read, the smallest. A text longer than what is left of Plan.chars is left out whole, never cut. Equal hashes
+    are ordered by id. Empty tables give an empty sample; other columns are ignored.
+    """
     marks = labels.filter(F.col(label_col).isNotNull() & F.col(id_col).isNotNull()).filter(~held_out(id_col)).groupBy(F.col(id_col).alias("_id")).agg(F.max(F.col(label_col).cast("int")).alias("_y"))
     order = F.xxhash64("_id", F.lit(plan.seed))
     pick = lambda y: marks.filter(F.col("_y") == y).orderBy(order, "_id").limit(plan.rows)
@@ -320,6 +325,10 @@ def sample(docs: DataFrame, labels: DataFrame, plan: Plan, id_col: str, text_col
 
 
 def fit(docs: DataFrame, labels: DataFrame, plan: Plan = Plan(), id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", lang_col: str | None = "lang") -> Model:
+    """The classifier of docs, from the bounded sample that sample() takes of its labelled rows; nulls, repeats, long texts and empty tables are as there.
+
+    Without labels every score is 0, with those of one class only it is their share. lang_col is used for thresholds alone.
+    """
     return train(plan, *sample(docs, labels, plan, id_col, text_col, label_col, lang_col))
 
 

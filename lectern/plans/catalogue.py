@@ -54,15 +54,27 @@ def catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _gains(matched: DataFrame) -> DataFrame:
+    """(ord, _gains): what each row is brought by matched(ord, match, _s, _l, _p), each source, link and note once, by the first record that has
+    it. Repeats go before rows meet, so a work with very many records costs what it gains."""
+    one = lambda kind, v: F.struct(F.lit(kind).alias("kind"), v.alias("v"))
+    links = F.transform(F.coalesce("_l", F.array().cast("array<string>")), lambda v: one("link", v))
+    every = F.concat(F.array(one("source", F.col("_s")), one("note", F.col("_p"))), links)
+    said = matched.select("match", "ord", F.posexplode(every).alias("_at", "_g")).filter("_g.v <> ''")
+    first = said.groupBy("match", "_g").agg(F.min(F.struct("ord", "_at")).alias("_first"))
+    return first.groupBy(F.col("match").alias("ord")).agg(F.array_sort(F.collect_list(F.struct("_first", "_g"))).alias("_gains"))
+
+
 def _with_gains(rows: DataFrame) -> DataFrame:
-    """rows with what their matched records bring, which come in order: their sources, links that are not there yet, and where else they are described."""
+    """rows with their _gains, in order: their sources, links that are not there yet, and where else they are described."""
     none = F.array().cast("array<string>")
-    links = F.flatten(F.transform("_each", lambda x: F.coalesce(x["_l"], none)))
-    notes = F.array_distinct(F.filter(F.transform("_each", lambda x: x["_p"]), lambda p: (p != "") & ~F.coalesce("other", F.lit("")).contains(p)))
-    named = F.col("_more").isNull() | F.col("source").contains(F.col("_more"))
+    of = lambda kind: F.transform(F.filter("_gains", lambda x: x["_g"]["kind"] == kind), lambda x: x["_g"]["v"])
+    links, more = of("link"), F.array_join(F.array_sort(of("source")), "; ")
+    notes = F.filter(of("note"), lambda p: ~F.coalesce("other", F.lit("")).contains(p))
+    named = more.isNull() | F.col("source").contains(more)
     return rows.withColumns(
         {
-            "source": F.when(named, F.col("source")).otherwise(F.concat_ws("; ", "source", "_more")),
+            "source": F.when(named, F.col("source")).otherwise(F.concat_ws("; ", "source", more)),
             "links": F.when(F.size(links) > 0, F.array_distinct(F.concat(F.coalesce("links", none), links))).otherwise(F.col("links")),
             "other": F.when(F.size(notes) > 0, F.concat_ws(" | ", F.nullif("other", F.lit("")), F.array_join(notes, " | "))).otherwise(F.col("other")),
         }
@@ -87,9 +99,7 @@ def build(existing: DataFrame, sources: list[tuple[str, DataFrame]], copies: Dat
         shaped = lambda df: df.select("ord", "author", "title", F.col("year_num").alias("year"), linkage.kind_of(F.col("type")).alias("kind"))
         found = linkage.merge(shaped(numbered), shaped(new), linkage.CASCADES.get(name, linkage.Cascade()))
         told = new.select("ord", F.col("source").alias("_s"), F.col("links").alias("_l"), (F.col("place_in") if "place_in" in new.columns else F.lit(None).cast("string")).alias("_p"))
-        gained = found.filter("match IS NOT NULL").select("ord", "match").join(told, "ord").groupBy(F.col("match").alias("ord"))
-        each = F.array_sort(F.collect_list(F.struct("ord", "_l", "_p")))
-        also = gained.agg(F.array_join(F.array_sort(F.collect_set("_s")), "; ").alias("_more"), each.alias("_each"))
+        also = _gains(found.filter("match IS NOT NULL").select("ord", "match").join(told, "ord"))
         added = new.join(found.filter("match IS NULL").select("ord"), "ord", "left_semi")
         both = numbered.select("seq", "ord", *columns).unionByName(added.select(F.lit(seq).alias("seq"), "ord", *columns))
         rows = _with_gains(both.join(also, "ord", "left")).select("seq", "ord", *columns)

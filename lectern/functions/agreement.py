@@ -134,9 +134,17 @@ def offer_score(main: Column, full: Column, surname: Column, title: Column, crea
 
     ratio_of: similarity, or a bound of it, which makes the score a bound.
     """
-    offered, makers = X.norm(F.coalesce(title, F.lit(""))), words_in(X.norm(F.coalesce(creator, F.lit(""))))
+    return normed_offer_score(main, full, X.norm(F.coalesce(title, F.lit(""))), maker_points(surname, creator), ratio_of)
+
+
+def normed_offer_score(main: Column, full: Column, offered: Column, by: Column, ratio_of=similarity) -> Column:
+    """offer_score from the offer's normalised title and the maker_points."""
     start = F.substring(offered, F.lit(1), F.length(main) + 3)
     likeness = F.greatest(ratio_of(main, offered), ratio_of(full, offered), ratio_of(main, start) - 0.05)
-    told = (F.coalesce(surname, F.lit("")) != "") & (F.coalesce(creator, F.lit("")) != "")
-    by = F.when(~told, 0.0).when(F.array_contains(makers, surname), 0.1).otherwise(-0.25)
     return F.when((F.coalesce(main, F.lit("")) == "") | (offered == ""), 0.0).otherwise(likeness + by)
+
+
+def maker_points(surname: Column, creator: Column) -> Column:
+    makers = words_in(X.norm(F.coalesce(creator, F.lit(""))))
+    told = (F.coalesce(surname, F.lit("")) != "") & (F.coalesce(creator, F.lit("")) != "")
+    return F.when(~told, 0.0).when(F.array_contains(makers, surname), 0.1).otherwise(-0.25)

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from lectern.functions import agreement as A
 from lectern.functions import text as X
+from lectern.functions import udfs as U
 from lectern.operators import dedupe
 from lectern.operators.similar import letters_bound
 
@@ -75,10 +76,12 @@ def covering(candidates: DataFrame, words: str = "words", pool: str = "pool", le
 
 def scored(candidates: DataFrame, least: float = LEAST_SCORE) -> DataFrame:
     """Candidates (main, full, surname, c_title, c_creator) that score enough, with score. Those whose letters alone rule that out
-    are not compared."""
-    columns = [F.col(c) for c in ("main", "full", "surname", "c_title", "c_creator")]
-    possible = candidates.filter(A.offer_score(*columns, ratio_of=letters_bound) >= least)
-    return possible.withColumn("score", A.offer_score(*columns)).filter(F.col("score") >= least)
+    are not compared; each of the others is compared once."""
+    main, full, by = F.col("main"), F.col("full"), F.col("_by")
+    # each column is worked out once for a row: bounds go through explode, which no filter is moved before, and into each ratio by itself
+    offered = X.once(X.norm(F.coalesce("c_title", F.lit(""))), lambda t: F.struct(t.alias("t"), (A.normed_offer_score(main, full, t, by, letters_bound) >= least).alias("possible")))
+    possible = candidates.withColumn("_by", A.maker_points(F.col("surname"), F.col("c_creator"))).withColumn("_t", F.explode(F.transform(F.filter(F.array(offered), lambda o: o["possible"]), lambda o: o["t"])))
+    return possible.withColumn("score", A.normed_offer_score(main, full, F.col("_t"), by, U.similarity_in_place)).filter(F.col("score") >= least).drop("_by", "_t")
 
 
 def batch_verdicts(review: DataFrame, line: str, first: int, yes: Sequence[int]) -> DataFrame:

@@ -216,7 +216,9 @@ def strict_scores(spark, sf_dir):
     main, last = X.norm(F.col("p_name")), F.substring_index("p_name", " ", -1)
     tail = lambda n: F.concat(F.lit(" "), F.repeat(F.lit("z"), n.cast("int")))
     j, c = F.col("p_size") % 4, F.col("p_partkey") % 5
-    made = table(spark, sf_dir, "part").select(
+    # few bytes a row and much work: a file that one task would read is many tasks' work
+    rows = table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_size").repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "p_partkey")
+    made = rows.select(
         F.col("p_partkey").alias("id"), main.alias("main"), F.when(j == 0, main).otherwise(F.concat(main, tail(j))).alias("full"), X.norm(last).alias("surname"),
         F.concat("p_name", tail(F.col("p_partkey") % 9)).alias("c_title"), F.when(c == 0, "").when(c < 3, F.concat(F.lit("Doe, and "), last)).otherwise("No-one").alias("c_creator"),
     )

@@ -27,27 +27,37 @@ def climb(records: DataFrame, key: str, rungs: Sequence[Rung]) -> tuple[DataFram
         asked.append(n)
         hits = materialize(rung(open_).withColumn("stage", F.lit(stage)), "hits")
         found = hits if found is None else found.unionByName(hits)
-        open_ = materialize(open_.join(hits.select(key), key, "left_anti"), "open")
+        open_ = materialize(open_.join(hits.select(key).distinct(), key, "left_anti"), "open")
     return found, asked
 
 
-def word_rung(corpus: DataFrame, n: int, key: str = "record", also: Column | None = None) -> Rung:
+def word_rung(corpus: DataFrame, n: int, key: str = "record", also: Column | None = None, same: tuple[str, str] | None = None) -> Rung:
     """A rung over a local corpus(candidate, words): candidates that have all of the first n words of a record's title (words), and meet
-    the condition, over the columns of both. Records without words have no hits.
+    the condition, over the columns of both. Records without words have no hits. same: a column of the records and one of the
+    candidates that must be equal; pairs meet by it.
 
-    Records and candidates meet by the rarest of the n words alone, the others are looked up in the candidate's own.
+    Sets of words meet by the rarest of the n words alone, the others are looked up in the candidate's own; equal sets are one until
+    their hits are told to all records and candidates that have them.
     """
-    ranked = materialize(rarest_first(corpus, "candidate", "words"), "corpus")
-    places = ranked.select("candidate", F.explode("words").alias("_w"))
-    counts = materialize(places.groupBy("_w").agg(F.count(F.lit(1)).alias("_c")), "counts")
+    by = F.col(same[1]) if same else F.lit(0)
+    digest = lambda words: F.sha2(F.array_join(words, " "), 256)
+    ranked = materialize(rarest_first(corpus, "candidate", "words").withColumns({"_set": digest("words"), "_same": by}), "corpus")
+    sets = materialize(ranked.groupBy("_set", "_same").agg(F.first("words").alias("_has")), "sets")
+    places = sets.select("_set", "_same", F.explode("_has").alias("_w"))
+    counts = materialize(places.groupBy("_same", "_w").agg(F.count(F.lit(1)).alias("_c")), "counts")
 
     def rung(open_: DataFrame) -> DataFrame:
-        asked = open_.withColumn("_first", F.array_distinct(F.slice("words", 1, n))).filter(F.size("_first") > 0)
-        each = asked.select(key, F.size("_first").alias("_n"), F.explode("_first").alias("_w")).join(counts, "_w")
+        first = F.array_sort(F.array_distinct(F.slice("words", 1, n)))
+        asked = open_.withColumn("_first", first).filter(F.size("_first") > 0).withColumns({"_ask": digest("_first"), "_same": F.col(same[0]) if same else F.lit(0)})
+        forms = asked.groupBy("_ask", "_same").agg(F.first("_first").alias("_first"))
+        each = forms.select("_ask", "_same", "_first", F.explode("_first").alias("_w")).join(counts, ["_same", "_w"])
         # a word that no candidate has is not counted: its record has no hit
-        anchor = each.groupBy(key).agg(F.min(F.struct("_c", "_w")).alias("_m"), F.count(F.lit(1)).alias("_known"), F.first("_n").alias("_n")).filter("_known = _n").select(key, F.col("_m._w").alias("_w"))
-        met = anchor.join(places, "_w").drop("_w").join(asked.withColumnRenamed("words", "_title"), key).join(ranked.withColumnRenamed("words", "_has"), "candidate")
-        kept = met.filter((F.size(F.array_except("_first", "_has")) == 0) & (F.lit(True) if also is None else also))
-        return kept.select(key, "candidate")
+        anchor = each.groupBy("_ask", "_same").agg(F.min(F.struct("_c", "_w")).alias("_m"), F.count(F.lit(1)).alias("_known"), F.first("_first").alias("_first"))
+        anchor = anchor.filter(F.col("_known") == F.size("_first")).select("_ask", "_same", "_first", F.col("_m._w").alias("_w"))
+        met = anchor.join(places, ["_same", "_w"]).join(sets, ["_set", "_same"])
+        kept = met.filter(F.size(F.array_except("_first", "_has")) == 0).select("_ask", "_set", "_same")
+        found = kept.join(ranked.drop("words"), ["_set", "_same"]).drop("_set")
+        pairs = found.join(asked.drop("words", "_first"), ["_ask", "_same"])
+        return (pairs if also is None else pairs.filter(also)).select(key, "candidate")
 
     return rung

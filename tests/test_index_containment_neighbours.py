@@ -1,6 +1,7 @@
 """The text index against the search without one, containment against all pairs, neighbours against a sorted list."""
 
 import random
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -83,3 +84,24 @@ def test_gaps_over_all(spark):
     df = spark.createDataFrame([(x,) for x in [1, 2, 2, 3, 7, 8, None, 20]], "n long")
     assert sorted(map(tuple, D.gaps_over_all(df, "n").collect())) == [(3, 7), (8, 20)]
     assert D.gaps_over_all(df.limit(0), "n").collect() == []
+
+
+def test_postings_of_a_long_text(spark):
+    """A text of 200,000 letters is cut in one go; each place cost all letters before it."""
+    text = "".join(chr(97 + i * i % 23) for i in range(200_000)) + "😀日"
+    row = spark.createDataFrame([(1, text)], "id long, ft string")
+    began = time.time()
+    got = {r.gram for r in T.postings(row, ("ft",)).collect()}
+    assert time.time() - began < 15
+    filled = text + T.END * 2
+    assert got == {filled[i : i + 3] for i in range(len(text))}
+
+
+def test_a_whole_field_has_postings_of_its_borders_only(view):
+    rows = T.postings(view).collect()
+    texts = {r.id: r for r in view.collect()}
+    of = lambda i, f: (texts[i][f] or "") + T.END * 2
+    grams = lambda i, f: {of(i, f)[j : j + 3] for j in range(len(of(i, f)) - 2)} - {T.END * 2}
+    whole = {(r.id, r.gram) for r in rows if r.field == "fall"}
+    assert whole == {(i, g) for i in texts for g in grams(i, "fall") - grams(i, "fa") - grams(i, "ft") - grams(i, "fo")}
+    assert len(whole) < len(rows) / 5 and len(rows) == len(set(rows))

@@ -410,15 +410,17 @@ BODIES = (
 )
 
 
-def first_inverted(c: Column) -> Column:
-    """'Ann Roe & Bob Poe, eds.' as 'Roe, Ann & Bob Poe, eds.': only the first name of a list is turned, and no body's."""
+def first_inverted(c: Column, any_case: bool = True) -> Column:
+    """'Ann Roe & Bob Poe, eds.' as 'Roe, Ann & Bob Poe, eds.': only the first name of a list is turned, and no body's. any_case: whether
+    words that make a name a body's do so without their capital, too."""
     name = F.btrim(F.coalesce(c, F.lit("")))
     ending = F.regexp_extract(name, STATEMENT, 1)
     names = F.when(ending != "", F.btrim(F.regexp_replace(name, STATEMENT, ""))).otherwise(name)
     first = F.get(F.split(names, NEXT_NAME, 2), F.lit(0))
     words = F.split(F.btrim(first), r"\s+")
     turned = F.concat(F.element_at(words, -1), F.lit(", "), F.array_join(F.slice(words, F.lit(1), F.greatest(F.size(words) - 1, F.lit(0))), " "))
-    head = F.when(F.size(words).between(2, 4) & ~first.rlike(BODIES), turned).otherwise(first)
+    bodies = BODIES if any_case else BODIES.removeprefix("(?i)")
+    head = F.when(F.size(words).between(2, 4) & ~first.rlike(bodies), turned).otherwise(first)
     return F.btrim(F.concat(head, F.substring(names, F.length(first) + 1, F.length(names)), F.when(ending != "", F.concat(F.lit(", "), ending)).otherwise("")))
 
 

@@ -28,6 +28,11 @@ def test_a_word_before_a_line_break_is_none(spark, tmp_path, name):
     assert differing(spark, tmp_path, name, texts) == ([], [])
 
 
+def test_a_body_in_lower_case_is_a_word_of_the_text(spark, tmp_path):
+    texts = [(i, ["thly states erantion", "states thly erantion", "thly erantion States", "office press staff"][i % 4], "en", "src1") for i in range(56)]
+    assert differing(spark, tmp_path, "first_names_turned", texts) == ([], [])
+
+
 def test_an_entry_found_by_both_searches_is_one_row(spark, tmp_path):
     texts = [(i, "lorem, en the ipsum", "en", "src1") for i in range(2)] + [(2, "lorem", "en", "src1"), (3, "dolor, en the", "de", "src2")]
     assert differing(spark, tmp_path, "search_borders", texts) == ([], [])

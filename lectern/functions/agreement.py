@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DoubleType
 
 from lectern.functions import text as X
-from lectern.functions.udfs import ratio, similarity
+from lectern.functions.udfs import ratio, similarity, similarity_from
 
 #: Words that may open a title, and words that do not tell titles apart.
 ARTICLES = "the a an der die das le la les l".split()
@@ -66,21 +66,59 @@ def _alike(a: Column, b: Column, least: Column | float) -> Column:
     return a.isNotNull() & b.isNotNull() & (similarity(a, b) >= least) & F.coalesce(spelled_alike(a, b), F.lit(False))
 
 
-def same_title(a: Column, b: Column, full_a: Column, full_b: Column, strict: Column) -> Column:
-    """Whether two normalised titles name one work. a, b: titles proper; strict (parts, anonymous works): a shared series title
-    is not enough, whole titles must be alike."""
+def _settled(a: Column, b: Column, full_a: Column, full_b: Column, strict: Column) -> Column:
+    """What same_title says where no ratio is needed for it; null elsewhere."""
     numbers = [F.array_distinct(F.regexp_extract_all(x, F.lit(r"(\d+)"), F.lit(1))) for x in (a, b)]
     other_numbers = (F.size(numbers[0]) > 0) & (F.size(numbers[1]) > 0) & ((F.size(F.array_except(*numbers)) > 0) | (F.size(F.array_except(*numbers[::-1])) > 0))
     goes_on = lambda x, y: y.startswith(F.concat(x, F.lit(" ")))
     begins = goes_on(a, b) | goes_on(b, a) | goes_on(full_a, full_b) | goes_on(full_b, full_a)
-    settled = F.when((F.coalesce(a, F.lit("")) == "") | (F.coalesce(b, F.lit("")) == "") | other_numbers, False).when(a == b, True).when(~strict & (F.least(F.length(a), F.length(b)) >= 14) & begins, True)
+    return F.when((F.coalesce(a, F.lit("")) == "") | (F.coalesce(b, F.lit("")) == "") | other_numbers, False).when(a == b, True).when(~strict & (F.least(F.length(a), F.length(b)) >= 14) & begins, True)
+
+
+def _whole(strict: Column, x: Column, full: Column) -> Column:
+    return F.when(strict, full).otherwise(x)
+
+
+def same_title(a: Column, b: Column, full_a: Column, full_b: Column, strict: Column) -> Column:
+    """Whether two normalised titles name one work. a, b: titles proper; strict (parts, anonymous works): a shared series title
+    is not enough, whole titles must be alike."""
+    settled = _settled(a, b, full_a, full_b, strict)
     shared = F.least(F.length(full_a), F.length(full_b))
     left = lambda x: F.when(settled.isNull() & ~strict & (shared >= 20), F.substring(x, F.lit(1), shared))
-    whole = lambda x, full: F.when(settled.isNull(), F.when(strict, full).otherwise(x))
+    whole = lambda x, full: F.when(settled.isNull(), _whole(strict, x, full))
     found = _alike(whole(a, full_a), whole(b, full_b), F.when(strict, 0.95).otherwise(0.9)) | _alike(left(full_a), left(full_b), 0.93)
     return F.coalesce(settled, found)
 
 
+def with_same_title(df: DataFrame, keep: list[str], a: str, b: str, full_a: str, full_b: str, strict: str) -> DataFrame:
+    """The rows of df, with the columns keep only, that same_title holds for. Ratios are asked for only where nothing settles the
+    matter and lengths allow them, spellings only where ratios are high; and titles are dealt over all tasks only there."""
+    c = lambda name: F.col(f"_{name}")
+    titles = [F.col(x) for x in (a, b, full_a, full_b)]
+    shared = F.least(F.length(full_a), F.length(full_b))
+    sides = [(F.col(a), F.col(full_a)), (F.col(b), F.col(full_b))]
+    least = F.when(F.col(strict), 0.95).otherwise(0.9)
+    # what a ratio says of two lengths, a little lower than it is
+    fits = lambda x, y: 2 * F.least(F.length(x), F.length(y)) >= (least - 1e-9) * (F.length(x) + F.length(y))
+    open_ = df.withColumn("_settled", _settled(*titles, F.col(strict))).filter("_settled IS NULL OR _settled")
+    asked = open_.withColumn("_ask", F.col("_settled").isNull()).withColumns(
+        {
+            "_whole": c("ask") & fits(*(_whole(F.col(strict), *side) for side in sides)),
+            "_left": c("ask") & ~F.col(strict) & (shared >= 20),
+        }
+    )
+    parts = {f"_w{i}": F.when(c("whole"), _whole(F.col(strict), *side)) for i, side in enumerate(sides)}
+    parts |= {f"_l{i}": F.when(c("left"), F.substring(side[1], F.lit(1), shared)) for i, side in enumerate(sides)}
+    asked = asked.filter("_settled OR _whole OR _left").select(*keep, "_settled", least.alias("_least"), *(x.alias(name) for name, x in parts.items()))
+    asked = asked.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    rated = asked.withColumn("_wr", similarity_from(0.9)("_w0", "_w1")).withColumn("_lr", similarity_from(0.93)("_l0", "_l1"))
+    near = rated.filter("_settled OR _wr >= _least OR _lr >= 0.93")
+    # no title, so no words, where the ratio is too low
+    spelled = lambda x, y, high: high & F.coalesce(spelled_alike(F.when(high, c(x)), F.when(high, c(y))), F.lit(False))
+    same = spelled("w0", "w1", F.coalesce(c("wr") >= c("least"), F.lit(False))) | spelled("l0", "l1", F.coalesce(c("lr") >= 0.93, F.lit(False)))
+    return near.filter(F.coalesce("_settled", F.lit(False)) | same).select(*keep)
+
+
 def telling(words: Column) -> Column:
     """Of the words of a part of a title those that tell it from others."""
     first = F.when((F.size(words) > 1) & F.get(words, F.lit(0)).isin(ARTICLES), 2).otherwise(1)

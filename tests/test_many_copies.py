@@ -1,9 +1,11 @@
 """Titles with very many copies, and very long ones: what is made for them grows with the rows."""
 
+import random
 import time
 
 from pyspark.sql import functions as F
 
+from lectern.functions import agreement as A
 from lectern.operators import ladder, scoring, worklists
 from lectern.operators import linkage as L
 
@@ -18,6 +20,34 @@ def test_edges_of_copies_grow_with_the_rows(spark):
     assert L.candidate_edges(copies(spark, 400)).count() < 400 * 2 * 16
 
 
+def test_two_titles_are_compared_once(spark, monkeypatch):
+    """40 rows of two titles were some 700 comparisons."""
+    seen, real = [], L.with_same_title
+    monkeypatch.setattr(L, "with_same_title", lambda df, *a: seen.append(df.select("r_tk", "t_tk", "strict")) or real(df, *a), raising=False)
+    rows = [(i, "Doe, J.", f"Old stone gardens of the {('kyoto', 'kyoro')[i % 2]} hills", 1880 + i % 4, "book", False) for i in range(40)]
+    it = L.items(spark.createDataFrame(rows, "ord long, author string, title string, year int, kind string, existing boolean"))
+    assert L.candidate_edges(it).filter("stage = 1").select("r_ord").distinct().count() == 39
+    assert 2 <= seen[0].count() <= 4
+
+
+def test_titles_without_years_meet_only_as_equals(spark):
+    """All 45 pairs met, to be dropped where titles are compared."""
+    rows = [(i, "Doe, J.", f"Old stone gardens {'abcde'[i // 2] * 6}", None, "book", False) for i in range(10)]
+    it = L.rarest_first(L.items(spark.createDataFrame(rows, "ord long, author string, title string, year int, kind string, existing boolean")), "ord", "toks")
+    assert sorted(map(tuple, L._paired(*L._sides(it), "r_sur", "t_sur").collect())) == [(i, i - 1) for i in range(1, 10, 2)]
+
+
+def test_rows_of_one_title_are_those_that_same_title_has(spark):
+    words = "old stone gardens garden of the kyoto kyoro hills 1 2 in colour".split()
+    rnd = random.Random(4)
+    full = [" ".join(rnd.choices(words, k=rnd.randint(1, 9))) for _ in range(150)]
+    pairs = [(i, x, y, x + " by roe" * (i % 3), y + " by ros" * (i % 2), i % 4 == 0) for i, (x, y) in enumerate((x, (x + " hills", x.replace("o", "e", 1), y)[i % 3]) for i, (x, y) in enumerate(zip(full, full[1:], strict=False)))]
+    df = spark.createDataFrame(pairs, "n int, a string, b string, fa string, fb string, strict boolean")
+    want = {r.n for r in df.filter(A.same_title(*map(F.col, ("a", "b", "fa", "fb", "strict")))).collect()}
+    got = [r.n for r in A.with_same_title(df, ["n"], "a", "b", "fa", "fb", "strict").collect()]
+    assert sorted(got) == sorted(want) and 40 < len(want) < 149
+
+
 def test_nearest_of_copies_is_that_of_all_pairs(spark):
     it = copies(spark, 60)
     got = {tuple(r) for r in L.nearest_exact(it).collect()}

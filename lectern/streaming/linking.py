@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 import contextlib
+import math
 from collections import Counter
 from collections.abc import Iterable, Iterator
 from typing import Any
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,19 +16,70 @@ from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
 from lectern.functions import text as X
-from lectern.functions.udfs import ratio
+from lectern.functions.udfs import ratio, ratio_from
 
 _STATE = "ords array<long>, keys array<string>, years array<int>"
 
 
-def _best(key: str, year: int | None, taken: list[tuple[int, str, int | None]], least: float, tolerance: int) -> int | None:
-    """The earliest accepted record that the key matches, those with equal keys first. Years must not be known to be apart."""
-    fit = [(o, k) for o, k, y in taken if year is None or y is None or abs(year - y) <= tolerance]
-    equal = next((o for o, k in fit if k == key), None)
-    if equal is not None:
-        return equal
-    close = lambda k: 2 * min(len(k), len(key)) >= least * (len(k) + len(key)) and ratio(key, k) >= least
-    return next((o for o, k in fit if close(k)), None)
+def _near(year: int | None, other: int | None, tolerance: int) -> bool:
+    return year is None or other is None or abs(year - other) <= tolerance
+
+
+#: Columns that letters are counted in: a to z, 0 to 9, and what all others share.
+LETTERS = 40
+
+
+def _letters(key: str) -> np.ndarray:
+    codes = np.frombuffer(key.encode("utf-32-le", "surrogatepass"), dtype="<u4").astype(np.int64)
+    at = np.where((codes >= 97) & (codes <= 122), codes - 97, np.where((codes >= 48) & (codes <= 57), codes - 22, 36 + codes % 4))
+    return np.bincount(at, minlength=LETTERS).astype(np.int32)
+
+
+class _Taken:
+    """A block's accepted records, in order, found by key, and by length and letters: a record meets those only that have enough
+    letters in common with it, which is told for many at once."""
+
+    def __init__(self, least: float, tolerance: int):
+        self.least, self.tolerance = least, tolerance
+        # of two strings that can be alike, the longer is at most so many times as long
+        self.step = math.log(1.001 * (2 - least) / max(least, 1e-3))
+        self.rows: list[tuple[int, str, int | None]] = []
+        self.by_key: dict[str, list[int]] = {}
+        self.bands: dict[int, tuple[list[int], np.ndarray]] = {}
+
+    def add(self, ord_: int, key: str, year: int | None) -> None:
+        place = len(self.rows)
+        self.rows.append((ord_, key, year))
+        self.by_key.setdefault(key, []).append(place)
+        if self.least >= 1:
+            return
+        places, counts = self.bands.get(band := self._band(key), ([], np.zeros((4, LETTERS), dtype=np.int32)))
+        if len(places) == len(counts):
+            counts = np.concatenate([counts, np.zeros_like(counts)])
+        counts[len(places)] = _letters(key)
+        places.append(place)
+        self.bands[band] = places, counts
+
+    def _band(self, key: str) -> int:
+        return int(math.log(len(key)) / self.step)
+
+    def _fits(self, place: int, year: int | None) -> bool:
+        return _near(year, self.rows[place][2], self.tolerance)
+
+    def best(self, key: str, year: int | None) -> int | None:
+        """The earliest accepted record that the key matches, those with equal keys first. Years must not be known to be apart."""
+        equal = next((p for p in self.by_key.get(key, ()) if self._fits(p, year)), None)
+        if equal is not None or self.least >= 1:
+            return None if equal is None else self.rows[equal][0]
+        own, n, near = _letters(key), len(key), []
+        for band in range(self._band(key) - 1, self._band(key) + 2):
+            places, counts = self.bands.get(band, ((), None))
+            if places:
+                there = counts[: len(places)]
+                alike = 2 * np.minimum(there, own).sum(axis=1) >= self.least * (n + there.sum(axis=1)) * (1 - 1e-9)
+                near += [places[i] for i in alike.nonzero()[0]]
+        found = (p for p in sorted(near) if self._fits(p, year) and ratio_from(self.least, key, self.rows[p][1]) is not None)
+        return next((self.rows[p][0] for p in found), None)
 
 
 def online_links(records: DataFrame, least: float = 0.9, tolerance: int = 3) -> DataFrame:
@@ -42,15 +95,17 @@ def online_links(records: DataFrame, least: float = 0.9, tolerance: int = 3) ->
 
     def step(block: Any, batches: Iterable[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         ords, keys, years = state.get if state.exists else ([], [], [])
-        taken = [(o, k, y) for o, k, y in zip(ords, keys, years, strict=True)]
+        taken = _Taken(least, tolerance)
+        for accepted in zip(ords, keys, years, strict=True):
+            taken.add(*accepted)
         out = []
         for row in pd.concat(list(batches)).sort_values("ord").itertuples():
             year = None if pd.isna(row.year) else int(row.year)
-            match = _best(row.key, year, taken, least, tolerance) if row.key else None
+            match = taken.best(row.key, year) if row.key else None
             if match is None and row.key:
-                taken.append((int(row.ord), row.key, year))
+                taken.add(int(row.ord), row.key, year)
             out.append((int(row.ord), match))
-        state.update(tuple(list(column) for column in zip(*taken, strict=True)) if taken else ([], [], []))
+        state.update(tuple(list(column) for column in zip(*taken.rows, strict=True)) if taken.rows else ([], [], []))
         yield pd.DataFrame({"ord": [o for o, _ in out], "match": pd.array([m for _, m in out], dtype="Int64")})
 
     return blocked.groupBy("block").applyInPandasWithState(step, "ord long, match long", _STATE, "append", GroupStateTimeout.NoTimeout)
@@ -70,10 +125,6 @@ def keyed_state(spark: SparkSession) -> Iterator[None]:
         spark.conf.set(_PROVIDER, before)
 
 
-def _near(year: int | None, other: int | None, tolerance: int) -> bool:
-    return year is None or other is None or abs(year - other) <= tolerance
-
-
 class Accepted(StatefulProcessor):
     """A block's accepted records as keyed state: by title key their numbers and years, and the keys by length. A record reads the
     entry of its own key, and only if that has no match the keys of lengths that can be alike; what is not accepted again within

@@ -6,6 +6,7 @@ import time
 
 import pandas as pd
 from lectern.functions import udfs as U
+from lectern.streaming import linking
 from lectern.streaming.linking import keyed_links, keyed_state
 
 SCHEMA = "ord long, author string, title string, year int"
@@ -67,3 +68,26 @@ def test_state_expires(spark, tmp_path):
     time.sleep(2)
     got = run(spark, tmp_path, [(3, *one), (4, *one)], "b", ttl_ms=1500)
     assert got == {1: None, 2: 1, 3: None, 4: 3}
+
+
+def test_a_block_is_searched_by_key_length_and_letters(monkeypatch):
+    """1,200 accepted records of one block; each was compared with all before it of near length."""
+    calls, real = [], linking.ratio_from
+    monkeypatch.setattr(linking, "ratio_from", lambda *a: calls.append(a) or real(*a), raising=False)
+    rnd = random.Random(3)
+    keys = ["old " + "".join(rnd.choices("abcdefghijklmnopqrstuvwxyz 0123456789é", k=rnd.randint(1, 60))) for _ in range(1200)]
+    for i in range(0, 1200, 10):
+        keys[i] = keys[rnd.randrange(1200)] + "ab"[: i % 3]
+    taken, plain, matched = linking._Taken(0.9, 3), [], 0
+    for i, key in enumerate(keys):
+        year = rnd.choice([None, 1900, 1902, 1910])
+        fit = [(o, k) for o, k, y in plain if year is None or y is None or abs(year - y) <= 3]
+        close = (o for o, k in fit if 2 * min(len(k), len(key)) >= 0.9 * (len(k) + len(key)) and real(0.9, key, k) is not None)
+        want = next((o for o, k in fit if k == key), None)
+        want = next(close, None) if want is None else want
+        assert taken.best(key, year) == want
+        if want is None:
+            taken.add(i, key, year)
+            plain.append((i, key, year))
+        matched += want is not None
+    assert matched > 30 and len(calls) < 5000

@@ -1,5 +1,7 @@
 """Queries against their SQL on rows that the given tables have at size only: words at a line's end, entries that two searches find."""
 
+import random
+
 import duckdb
 import pytest
 
@@ -33,6 +35,12 @@ def test_a_body_in_lower_case_is_a_word_of_the_text(spark, tmp_path):
     assert differing(spark, tmp_path, "first_names_turned", texts) == ([], [])
 
 
+def test_what_was_there_before_stays_live_when_it_is_linked(spark, tmp_path):
+    rnd, words = random.Random(2), "old stone gardens hills kyoto lake".split()
+    texts = [(i, " ".join(rnd.sample(words, rnd.randint(2, 3))) + ". x", ("en", "de")[i % 2], "src1") for i in range(200)]
+    assert differing(spark, tmp_path, "cascade", texts) == ([], [])
+
+
 def test_an_entry_found_by_both_searches_is_one_row(spark, tmp_path):
     texts = [(i, "lorem, en the ipsum", "en", "src1") for i in range(2)] + [(2, "lorem", "en", "src1"), (3, "dolor, en the", "de", "src2")]
     assert differing(spark, tmp_path, "search_borders", texts) == ([], [])
